@@ -1,0 +1,22 @@
+"""Joins against a side whose size is checked before it is broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def lookup_join(big: DataFrame, small: DataFrame, on, how: str = "left",
+                max_rows: int = 1_000_000) -> DataFrame:
+    """Join ``big`` to a lookup table, broadcasting the lookup only when it is proven small.
+
+    The row count of ``small`` is measured first (a pruned scan of the lookup alone).  At
+    or below ``max_rows`` the lookup is broadcast, so ``big`` is never shuffled - which
+    matters when the join key has few distinct values and a shuffle would put all rows of
+    one value in one task.  Above the bound the join is left to the planner as a shuffle
+    join; AQE's skew-join handling then splits oversized partitions of ``big``.
+    """
+    n = small.count()
+    if n <= max_rows:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
