@@ -97,3 +97,67 @@ def with_previous(df: DataFrame, key: str, ts: str, cols: list[str], chunk_secon
     for c in cols:
         x = x.withColumn(prefix + c, F.when(F.col("_rn") == 1, F.col("_carry")[c]).otherwise(F.col(f"_lag_{c}")))
     return x.drop(KEY, CHUNK, "_rn", "_carry", *[f"_lag_{c}" for c in cols])
+
+
+def carry(df: DataFrame, key: str, ts: str, specs: dict[str, tuple[str, Column]],
+          chunk_seconds: int, tiebreak: list[str] | None = None) -> DataFrame:
+    """Per-key sequential state, evaluated as a chunked prefix scan.
+
+    ``specs`` maps an output column to ``(kind, expr)``:
+
+    * ``"last"``  - the last non-NULL ``expr`` on rows up to and including this one
+      (``last(expr) IGNORE NULLS OVER (... ROWS UNBOUNDED PRECEDING)``);
+    * ``"first"`` - ``expr`` on the key's first row (``first_value`` over the whole key);
+    * ``"prev"``  - ``expr`` on the key's previous row (``lag(expr)``).
+
+    Ordering is ``ts`` then ``tiebreak``, NULLs last.  Only a one-row-per-(key, chunk)
+    summary crosses chunk boundaries, so a key holding a third of all rows is still spread
+    over as many tasks as it has chunks.
+    """
+    tiebreak = tiebreak or []
+    x = with_chunks(df, key, ts, chunk_seconds)
+    for name, (_, expr) in specs.items():
+        x = x.withColumn(f"_v_{name}", expr)
+    w = Window.partitionBy(KEY, CHUNK).orderBy(*_order(ts, tiebreak))
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("_rn", F.row_number().over(w))
+    order_key = F.struct(F.col(ts).isNull(), F.col(ts), *[F.col(t).isNull() for t in tiebreak],
+                         *[F.col(t) for t in tiebreak])
+    summary = []
+    for name, (kind, _) in specs.items():
+        v = F.col(f"_v_{name}")
+        if kind == "last":
+            x = x.withColumn(f"_l_{name}", F.last(v, ignorenulls=True).over(upto))
+            summary.append(F.max_by(v, F.when(v.isNotNull(), order_key)).alias(f"_s_{name}"))
+        elif kind == "first":
+            summary.append(F.min_by(v, order_key).alias(f"_s_{name}"))
+        elif kind == "prev":
+            x = x.withColumn(f"_l_{name}", F.lag(v).over(w))
+            summary.append(F.max_by(v, order_key).alias(f"_s_{name}"))
+        else:
+            raise ValueError(f"unknown carry kind {kind!r}")
+    chunks = x.groupBy(KEY, CHUNK).agg(*summary)
+    wc = Window.partitionBy(KEY).orderBy(CHUNK)
+    before = wc.rowsBetween(Window.unboundedPreceding, -1)
+    carried = []
+    for name, (kind, _) in specs.items():
+        s = F.col(f"_s_{name}")
+        if kind == "last":
+            carried.append(F.last(s, ignorenulls=True).over(before).alias(f"_c_{name}"))
+        elif kind == "first":
+            carried.append(F.first(s).over(wc.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_c_{name}"))
+        else:
+            carried.append(F.lag(s).over(wc).alias(f"_c_{name}"))
+    chunks = chunks.select(KEY, CHUNK, *carried)
+    x = x.join(chunks, [KEY, CHUNK])
+    drop = [KEY, CHUNK, "_rn"]
+    for name, (kind, _) in specs.items():
+        c = F.col(f"_c_{name}")
+        if kind == "last":
+            x = x.withColumn(name, F.coalesce(F.col(f"_l_{name}"), c))
+        elif kind == "first":
+            x = x.withColumn(name, c)
+        else:
+            x = x.withColumn(name, F.when(F.col("_rn") == 1, c).otherwise(F.col(f"_l_{name}")))
+        drop += [f"_v_{name}", f"_l_{name}", f"_c_{name}"]
+    return x.drop(*[d for d in drop if d in x.columns])

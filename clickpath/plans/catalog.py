@@ -17,7 +17,8 @@ from clickpath.operators.derived import derived_events, rebuild_stats
 from clickpath.operators.sessions import derived_sessions, sessions
 from clickpath.plans import oracle as O
 from clickpath.plans import reports as R
-from clickpath.sources.bridge import BRIDGE_CONFIG, bridge_events
+from clickpath.operators import journeys as J
+from clickpath.sources.bridge import BRIDGE_CONFIG, bridge_events, bridge_hits
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -288,3 +289,34 @@ def q_rebuild_stats(spark, sf):
     "AS padded_capture_pct FROM contract_events GROUP BY 1")))
 def q_dt_vs_event_date(spark, sf):
     return R.dt_vs_event_date(ev(spark, sf))
+
+
+# ---- journeys F1-F10 ------------------------------------------------------------------------
+JR = O.journey_cte()
+
+
+def jr(spark, sf):
+    return J.journey_events(bridge_hits(spark, sf), BRIDGE_CONFIG)
+
+
+@register("journey_events", O.with_ctes(JR, select="SELECT * FROM journey"))
+def q_journey_events(spark, sf):
+    return jr(spark, sf)
+
+
+@register("journey_derived_rows", O.with_ctes(JR, select=(
+    "SELECT anonymous_id, session_id, event_id, ts, page_path, attribution, 'session_start' AS event_name "
+    "FROM journey WHERE is_session_start UNION ALL "
+    "SELECT anonymous_id, session_id, event_id, ts, page_path, attribution, 'first_visit' AS event_name "
+    "FROM journey WHERE is_first_visit")))
+def q_journey_derived_rows(spark, sf):
+    return J.journey_derived_rows(jr(spark, sf))
+
+
+@register("journey_sessions", O.with_ctes(JR, select=(
+    "SELECT anonymous_id, session_id, min(ts) AS session_start, max(ts) AS session_end, "
+    "count(*) AS events, count(*) FILTER (WHERE event_name = 'page_view') AS page_views, "
+    "arg_min(page_path, (ts, event_id)) AS entry_path, arg_max(page_path, (ts, event_id)) AS exit_path "
+    "FROM journey GROUP BY 1, 2")))
+def q_journey_sessions(spark, sf):
+    return J.journey_sessions(jr(spark, sf))

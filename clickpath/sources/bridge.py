@@ -19,6 +19,10 @@ Definition (all branches on ``n``; ``/`` between integers is integer division):
   campaign         by n%32, CAMPAIGNS; attribution 'first_touch' if n%3=0 else 'last_touch'
   params           {"gclid":"g<n>"} if n%41=5 else NULL
   duplicates       every row with n%20=0 is delivered twice, the copy ingested 9 s later
+
+Tag calls (``bridge_hits``, input of the journey jobs): one per driver event, no duplicate
+delivery, ``event_id`` always minted, the page URL of the bridge, and the call's name
+upper-cased when n%30=2 (a name the tag refuses).
 """
 
 from __future__ import annotations
@@ -86,15 +90,47 @@ def _pick(index, values):
     return out
 
 
-def bridge_events(spark: SparkSession, sf_dir: str, cfg: Config = BRIDGE_CONFIG) -> DataFrame:
-    """Contract events (EVENT_SCHEMA + ``dt`` + ``event_date``) from the driver tables."""
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type")
+def _url(n):
+    m25, m97 = F.pmod(n, F.lit(25)), F.pmod(n, F.lit(97))
+    url = F.when(m25 == 4, F.lit(ROBOT_URL))
+    for k, u in SPECIAL_URLS.items():
+        url = url.when(m97 == k, F.lit(u))
+    return url.otherwise(F.col("page_url"))
+
+
+def _event_name(n):
+    return (F.when((F.pmod(n, F.lit(25)) == 4) | (F.col("event_type") == "view"), F.lit("page_view"))
+            .otherwise(F.col("event_type")))
+
+
+def _with_pages(spark: SparkSession, sf_dir: str, cols: list[str], cfg: Config) -> DataFrame:
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(*cols)
     pages = (spark.read.parquet(f"{sf_dir}/pages.parquet")
              .where((F.col("page_id") >= 0) & (F.col("page_id") < PAGE_MODULUS))
              .select("page_id", F.col("url").alias("page_url")))
+    base = ev.withColumn("page_id", F.pmod(F.col("event_id"), F.lit(PAGE_MODULUS)))
+    return lookup_join(base, pages, "page_id", "left", cfg.broadcast_max_rows)
+
+
+def bridge_hits(spark: SparkSession, sf_dir: str, cfg: Config = BRIDGE_CONFIG) -> DataFrame:
+    """Tag calls: (anonymous_id, event_id, ts, event_name, url, props)."""
+    rows = _with_pages(spark, sf_dir, ["event_id", "ts", "user_id", "event_type", "props"], cfg)
+    n = F.col("event_id")
+    name = _event_name(n)
+    return rows.select(
+        F.concat(F.lit("anon_"), F.lpad(F.col("user_id").cast("string"), 8, "0")).alias("anonymous_id"),
+        F.concat(F.lit("evt_"), F.lpad(n.cast("string"), 10, "0")).alias("event_id"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.when(F.pmod(n, F.lit(30)) == 2, F.upper(name)).otherwise(name).alias("event_name"),
+        _url(n).alias("url"),
+        F.col("props"),
+    )
+
+
+def bridge_events(spark: SparkSession, sf_dir: str, cfg: Config = BRIDGE_CONFIG) -> DataFrame:
+    """Contract events (EVENT_SCHEMA + ``dt`` + ``event_date``) from the driver tables."""
+    rows = _with_pages(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"], cfg)
     n = F.col("event_id")
-    base = ev.withColumn("page_id", F.pmod(n, F.lit(PAGE_MODULUS)))
-    rows = lookup_join(base, pages, "page_id", "left", cfg.broadcast_max_rows)
     # Duplicate delivery without a second scan: n%20=0 rows explode into two copies.
     rows = rows.withColumn("copy", F.explode(
         F.when(F.pmod(n, F.lit(20)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
@@ -109,10 +145,7 @@ def bridge_events(spark: SparkSession, sf_dir: str, cfg: Config = BRIDGE_CONFIG)
         .when(m50 == 10, ts - F.expr("INTERVAL 10 MINUTES"))
         .otherwise(ts + F.expr("INTERVAL 1 SECOND"))
     ) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("copy") * 9)
-    url = F.when(m25 == 4, F.lit(ROBOT_URL))
-    for k, u in SPECIAL_URLS.items():
-        url = url.when(m97 == k, F.lit(u))
-    url = url.otherwise(F.col("page_url"))
+    url = _url(n)
     idx = m32
     src = _pick(idx, [c[0] for c in CAMPAIGNS])
     med = _pick(idx, [c[1] for c in CAMPAIGNS])
@@ -122,8 +155,7 @@ def bridge_events(spark: SparkSession, sf_dir: str, cfg: Config = BRIDGE_CONFIG)
         F.lit("0").alias("schema_version"),
         F.when(F.pmod(n, F.lit(10)) == 3, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("evt_"), pad_n)).alias("event_id"),
-        F.when((m25 == 4) | (F.col("event_type") == "view"), F.lit("page_view"))
-         .otherwise(F.col("event_type")).alias("event_name"),
+        _event_name(n).alias("event_name"),
         ts.alias("event_timestamp"),
         ingested.alias("ingested_at"),
         F.concat(F.lit("anon_"), F.lpad(F.col("user_id").cast("string"), 8, "0")).alias("anonymous_id"),
@@ -160,7 +192,7 @@ def _bridge_sql() -> str:
     return f"""
 bridge_src AS (
     SELECT e.event_id AS n, CAST(e.ts AS TIMESTAMP) AS ts, e.user_id AS uid, e.event_type,
-           p.url AS page_url
+           e.props, p.url AS page_url
     FROM events e
     LEFT JOIN (SELECT page_id, url FROM pages WHERE page_id >= 0 AND page_id < {PAGE_MODULUS}) p
       ON p.page_id = e.event_id % {PAGE_MODULUS}
@@ -200,6 +232,13 @@ bridge_typed AS (
         n AS bridge_n
     FROM bridge_rows
 ),
+bridge_hits AS (
+    SELECT 'anon_' || lpad(CAST(uid AS VARCHAR), 8, '0') AS anonymous_id,
+           'evt_' || lpad(CAST(n AS VARCHAR), 10, '0') AS event_id, ts,
+           CASE WHEN n % 30 = 2 THEN upper(nm) ELSE nm END AS event_name, url, props
+    FROM (SELECT *, CASE WHEN n % 25 = 4 OR event_type = 'view' THEN 'page_view' ELSE event_type END AS nm
+          FROM bridge_rows WHERE copy = 0)
+),
 contract_events AS (
     SELECT * EXCLUDE (bridge_n), CAST(ingested_at AS DATE) AS dt,
            CAST(event_timestamp AS DATE) AS event_date
