@@ -58,18 +58,23 @@ def rebuild_stats(raw: DataFrame, derived: DataFrame) -> DataFrame:
                      "untrusted_clock", "partitions"))
 
 
-def write_derived(derived: DataFrame, dest: str, files_per_date_hint: int | None = None,
+def write_derived(derived: DataFrame, dest: str, slices_per_date: int = 8,
                   max_records_per_file: int = 5_000_000) -> None:
     """A5: Parquet (zstd), partitioned by ``event_date``, rows ordered by ``event_time``.
 
-    Full static overwrite: a vanished date must not survive a rebuild.  Range
-    partitioning on (event_date, event_time) gives balanced tasks that each write a
-    contiguous slice of one or two dates - a hot date is split over many tasks instead of
-    landing in one - and the files come out time-sorted for row-group pruning.  ``dest``
-    must not be the path being read.
+    Full static overwrite: a vanished date must not survive a rebuild.  Each date is cut
+    into ``slices_per_date`` equal slices of the day and rows are hash-partitioned on
+    (date, slice): a hot date is written by that many tasks instead of one, every file
+    covers one contiguous stretch of time (so min/max statistics prune on ``event_time``),
+    and - unlike range partitioning - no sampling pass re-runs the pipeline (which would
+    also double-count ``observe`` metrics).  ``maxRecordsPerFile`` bounds file size
+    whatever the skew.  ``dest`` must not be the path being read.
     """
-    n = files_per_date_hint or int(derived.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (derived.repartitionByRange(n, "event_date", "event_time")
+    day_us = 86_400_000_000
+    us_of_day = F.pmod(F.unix_micros(F.col("event_time")), F.lit(day_us))
+    slice_ = F.floor(us_of_day * F.lit(slices_per_date) / F.lit(day_us)).cast("int")
+    n = int(derived.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (derived.repartition(n, F.col("event_date"), slice_)
             .sortWithinPartitions("event_date", "event_time")
             .write.mode("overwrite")
             .option("compression", "zstd")
