@@ -17,7 +17,10 @@ from clickpath.operators.derived import derived_events, rebuild_stats
 from clickpath.operators.sessions import derived_sessions, sessions
 from clickpath.plans import oracle as O
 from clickpath.plans import reports as R
+from clickpath.operators import ingest as I
 from clickpath.operators import journeys as J
+from clickpath.plans import oracle_ingest as OI
+from clickpath.sources.bodies import bridge_bodies
 from clickpath.sources.bridge import BRIDGE_CONFIG, bridge_events, bridge_hits
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -320,3 +323,38 @@ def q_journey_derived_rows(spark, sf):
     "FROM journey GROUP BY 1, 2")))
 def q_journey_sessions(spark, sf):
     return J.journey_sessions(jr(spark, sf))
+
+
+# ---- ingest B1-B8 -----------------------------------------------------------------------------
+IG = OI.ingest_ctes()
+
+
+def processed(spark, sf):
+    return I.ingest(bridge_bodies(spark, sf))
+
+
+@register("ingest_fork_counts", O.with_ctes(IG, select=OI.FORK_COUNTS))
+def q_ingest_fork_counts(spark, sf):
+    return I.fork_counts(processed(spark, sf))
+
+
+@register("ingest_errors", O.with_ctes(IG, select=OI.ERRORS))
+def q_ingest_errors(spark, sf):
+    return (processed(spark, sf).select(F.explode("errors").alias("error"))
+            .groupBy("error").agg(F.count(F.lit(1)).alias("elements")))
+
+
+@register("ingest_bad_rows", O.with_ctes(IG, select=OI.BAD_ROWS))
+def q_ingest_bad_rows(spark, sf):
+    return I.bad_rows(processed(spark, sf)).select(
+        "ingested_at", "dt", F.array_join("errors", " | ").alias("errors_text"), "payload", "payload_raw")
+
+
+@register("ingest_good_events", O.with_ctes(IG, select=OI.GOOD_EVENTS))
+def q_ingest_good_events(spark, sf):
+    g = I.good_events(processed(spark, sf))
+    return g.select("event_id", "event_name", "event_timestamp", "ingested_at", "anonymous_id", "session_id",
+                    F.col("page.url").alias("page_url"), F.col("page.referrer").alias("page_referrer"),
+                    F.col("campaign.source").alias("campaign_source"),
+                    F.col("campaign.attribution").alias("campaign_attribution"),
+                    F.col("device.screen_width").alias("device_screen_width"), "params", "dt")

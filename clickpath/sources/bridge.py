@@ -127,8 +127,11 @@ def bridge_hits(spark: SparkSession, sf_dir: str, cfg: Config = BRIDGE_CONFIG) -
     )
 
 
-def bridge_events(spark: SparkSession, sf_dir: str, cfg: Config = BRIDGE_CONFIG) -> DataFrame:
-    """Contract events (EVENT_SCHEMA + ``dt`` + ``event_date``) from the driver tables."""
+def bridge_events(spark: SparkSession, sf_dir: str, cfg: Config = BRIDGE_CONFIG,
+                  keep_keys: bool = False) -> DataFrame:
+    """Contract events (EVENT_SCHEMA + ``dt`` + ``event_date``) from the driver tables.
+
+    ``keep_keys`` also returns the bridge key ``bridge_n`` and the delivery ``copy``."""
     rows = _with_pages(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"], cfg)
     n = F.col("event_id")
     # Duplicate delivery without a second scan: n%20=0 rows explode into two copies.
@@ -174,6 +177,7 @@ def bridge_events(spark: SparkSession, sf_dir: str, cfg: Config = BRIDGE_CONFIG)
                  F.lit(DEVICE[4]).cast("long").alias("screen_height")).alias("device"),
         F.when(F.pmod(n, F.lit(41)) == 5, F.concat(F.lit('{"gclid":"g'), n.cast("string"), F.lit('"}')))
          .alias("params"),
+        *([n.alias("bridge_n"), F.col("copy")] if keep_keys else []),
     )
     return out.withColumn("dt", F.to_date("ingested_at")).withColumn("event_date", F.to_date("event_timestamp"))
 
@@ -229,7 +233,7 @@ bridge_typed AS (
         {{'platform': '{DEVICE[0]}', 'user_agent': '{DEVICE[1]}', 'language': '{DEVICE[2]}',
           'screen_width': CAST({DEVICE[3]} AS BIGINT), 'screen_height': CAST({DEVICE[4]} AS BIGINT)}} AS device,
         CASE WHEN n % 41 = 5 THEN '{{"gclid":"g' || CAST(n AS VARCHAR) || '"}}' END AS params,
-        n AS bridge_n
+        n AS bridge_n, copy
     FROM bridge_rows
 ),
 bridge_hits AS (
@@ -240,7 +244,7 @@ bridge_hits AS (
           FROM bridge_rows WHERE copy = 0)
 ),
 contract_events AS (
-    SELECT * EXCLUDE (bridge_n), CAST(ingested_at AS DATE) AS dt,
+    SELECT * EXCLUDE (bridge_n, copy), CAST(ingested_at AS DATE) AS dt,
            CAST(event_timestamp AS DATE) AS event_date
     FROM bridge_typed
 )"""
