@@ -358,3 +358,46 @@ def q_ingest_good_events(spark, sf):
                     F.col("campaign.source").alias("campaign_source"),
                     F.col("campaign.attribution").alias("campaign_attribution"),
                     F.col("device.screen_width").alias("device_screen_width"), "params", "dt")
+
+
+# ---- scalar classifiers C1-C11, evaluated per distinct input after aggregation -------------
+@register("classify_campaign_values", O.with_ctes(select=(
+    "SELECT src AS source, med AS medium, camp AS campaign, events, "
+    f"{O.is_engine_product('src')} AS is_engine_product, {O.is_paid('med')} AS is_paid_medium, "
+    f"{O.is_shopping_source('src')} AS is_shopping_source, {O.is_search('src')} AS is_search_source, "
+    f"{O.is_social('src')} AS is_social_source, {O.is_video('src')} AS is_video_source, "
+    f"{O.channel_group('src', 'med', 'camp')} AS channel "
+    "FROM (SELECT campaign.source AS src, campaign.medium AS med, campaign.campaign AS camp, count(*) AS events "
+    "FROM contract_events GROUP BY 1, 2, 3)")))
+def q_classify_campaign_values(spark, sf):
+    g = (ev(spark, sf).groupBy(F.col("campaign.source").alias("source"), F.col("campaign.medium").alias("medium"),
+                                F.col("campaign.campaign").alias("campaign"))
+         .agg(F.count(F.lit(1)).alias("events")))
+    s, m, c = F.col("source"), F.col("medium"), F.col("campaign")
+    return g.select("source", "medium", "campaign", "events",
+                    C.is_engine_product(s).alias("is_engine_product"), C.is_paid_medium(m).alias("is_paid_medium"),
+                    C.is_shopping_source(s).alias("is_shopping_source"), C.is_search_source(s).alias("is_search_source"),
+                    C.is_social_source(s).alias("is_social_source"), C.is_video_source(s).alias("is_video_source"),
+                    C.channel_group(s, m, c).alias("channel"))
+
+
+_REF_I = O.inferred("NULL", "NULL", "NULL", "NULL", "ref", O.DOMAINS)
+
+
+@register("classify_referrers", O.with_ctes(select=(
+    f"SELECT ref AS referrer, events, {O.referrer_host('ref')} AS referrer_host, "
+    f"{O.is_internal(O.referrer_host('ref'), O.DOMAINS)} AS is_internal_host, "
+    f"{O.engine_name(O.referrer_host('ref'))} AS engine_name, "
+    f"{_REF_I['source']} AS inferred_source, {_REF_I['medium']} AS inferred_medium, "
+    f"{_REF_I['attribution_from']} AS attribution_from "
+    "FROM (SELECT page.referrer AS ref, count(*) AS events FROM contract_events GROUP BY 1)")))
+def q_classify_referrers(spark, sf):
+    g = ev(spark, sf).groupBy(F.col("page.referrer").alias("referrer")).agg(F.count(F.lit(1)).alias("events"))
+    r = F.col("referrer")
+    host = C.referrer_host(r)
+    null = F.lit(None).cast("string")
+    i = C.infer_traffic_source(null, null, null, null, r, BRIDGE_CONFIG.internal_domain_list())
+    return g.select("referrer", "events", host.alias("referrer_host"),
+                    C.is_internal_host(host, BRIDGE_CONFIG.internal_domain_list()).alias("is_internal_host"),
+                    C.engine_name(host).alias("engine_name"), i.source.alias("inferred_source"),
+                    i.medium.alias("inferred_medium"), i.attribution_from.alias("attribution_from"))
