@@ -27,6 +27,10 @@ def build_spark(master: str = "local[8]", app: str = "clickpath",
     builder = SparkSession.builder.master(master).appName(app)
     settings = dict(DEFAULT_CONF)
     settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        # Local mode runs every task in the driver JVM; the 1 GB default is too small for
+        # the large generated classes of the contract validator.  A cluster sets its own.
+        settings["spark.driver.memory"] = "8g"
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
