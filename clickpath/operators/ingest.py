@@ -78,18 +78,25 @@ def _get(v: Column, path: str) -> Column:
     return F.variant_get(v, "$." + path, "variant")
 
 
-def json_type(x: Column) -> Column:
-    """JSON type of a variant: object, array, string, boolean, null, integer, number."""
-    s = F.schema_of_variant(x)
-    integral = F.try_variant_get(x, "$", "double") == F.floor(F.try_variant_get(x, "$", "double"))
+def json_type(x: Column, schema: Column | None = None) -> Column:
+    """JSON type of a variant: object, array, string, boolean, null, integer, number.
+
+    ``schema`` is ``schema_of_variant(x)`` when already computed (it walks whole objects)."""
+    s = F.schema_of_variant(x) if schema is None else schema
+    d = F.try_variant_get(x, "$", "double")
     return (F.when(x.isNull(), F.lit(None))
             .when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array")
             .when(s == "STRING", "string").when(s == "BOOLEAN", "boolean").when(s == "VOID", "null")
             .when(s.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), "integer")
-            .when(integral, "integer")
+            .when(d == F.floor(d), "integer")
             .otherwise("number"))
 
 
+def _keys_of(obj: Column) -> Column:
+    """Keys of a variant object (variant -> map cast; no JSON text round trip)."""
+    return F.map_keys(F.try_variant_get(obj, "$", "map<string,variant>"))
+
+
 def _type_ok(t: Column, allowed: list[str]) -> Column:
     ok = t.isin(allowed)
     if "number" in allowed:
@@ -117,8 +124,9 @@ def _err(path: str, cond: Column, message: Column) -> Column:
     return F.when(cond, F.struct(F.lit(key).alias("k"), F.concat(F.lit(loc + ": "), message).alias("m")))
 
 
-def _unexpected(obj: Column, path: str | None, allowed: list[str], label: str | None = None) -> Column:
-    keys = F.json_object_keys(F.to_json(obj))
+def _unexpected(obj: Column, path: str | None, allowed: list[str], label: str | None = None,
+                keys: Column | None = None) -> Column:
+    keys = _keys_of(obj) if keys is None else keys
     extra = F.filter(keys, lambda k: ~k.isin(allowed))
     quoted = F.transform(extra, lambda k: F.concat(F.lit("'"), k, F.lit("'")))
     msg = F.concat(F.lit("Additional properties are not allowed ("), F.array_join(quoted, ", "),
@@ -132,31 +140,35 @@ def _fcol(path: str, what: str) -> str:
 
 def with_contract_errors(df: DataFrame, event: str, params: str, out: str = "errors") -> DataFrame:
     """Add ``out``, the sorted ``location: message`` list for each event object (empty =
-    valid).  ``event`` is the stamped event (variant), ``params`` the redacted params
-    (variant).
+    valid).  ``event`` is the received object (variant), ``params`` the redacted params
+    (variant).  The server stamp is folded in rather than materialised: after stamping,
+    ``ingested_at`` is always present and a valid date-time, so it satisfies its rules.
 
     Staged projections: each field's value and JSON type are extracted once into columns,
     and the ~60 rules then reference those columns - the rule table never re-inlines the
     event expression."""
     v, pv = F.col(event), F.col(params)
-    stage = [F.json_object_keys(F.to_json(v)).alias("_keys")]
+    stage = [F.array_union(_keys_of(v), F.array(F.lit("ingested_at"))).alias("_keys")]
     for path, _, _ in FIELD_RULES:
-        x = pv if path == "params" else _get(v, path)
+        x = pv if path == "params" else F.lit(None).cast("variant") if path == "ingested_at" else _get(v, path)
         stage.append(x.alias(_fcol(path, "x")))
     df = df.select("*", *stage)
+    df = df.select("*", *[F.schema_of_variant(F.col(_fcol(p, "x"))).alias(_fcol(p, "sv")) for p, _, _ in FIELD_RULES])
     stage = []
     for path, _, _ in FIELD_RULES:
-        x = F.col(_fcol(path, "x"))
-        stage += [json_type(x).alias(_fcol(path, "t")), F.try_variant_get(x, "$", "string").alias(_fcol(path, "s")),
-                  _repr(x).alias(_fcol(path, "r"))]
+        x, sv = F.col(_fcol(path, "x")), F.col(_fcol(path, "sv"))
+        stage += [json_type(x, sv).alias(_fcol(path, "t")),
+                  F.when(sv == "STRING", F.try_variant_get(x, "$", "string")).alias(_fcol(path, "s"))]
     df = df.select("*", *stage)
     errs = []
     for f in REQUIRED:
         errs.append(_err("", ~F.array_contains(F.col("_keys"), f), F.lit(f"'{f}' is a required property")))
-    errs.append(_unexpected(v, None, ROOT_FIELDS))
+    errs.append(_unexpected(v, None, ROOT_FIELDS, keys=F.col("_keys")))
     for path, allowed, checks in FIELD_RULES:
         x, t = F.col(_fcol(path, "x")), F.col(_fcol(path, "t"))
-        s, r = F.col(_fcol(path, "s")), F.col(_fcol(path, "r"))
+        s = F.col(_fcol(path, "s"))
+        # rendered only inside a failing branch (CASE evaluates lazily)
+        r = F.when(t == "string", F.concat(F.lit("'"), s, F.lit("'"))).otherwise(F.to_json(x))
         present = x.isNotNull()
         errs.append(_err(path, present & ~_type_ok(t, allowed),
                          F.concat(r, F.lit(f" is not of type {_types_text(allowed)}"))))
@@ -181,7 +193,7 @@ def with_contract_errors(df: DataFrame, event: str, params: str, out: str = "err
         if path in CLOSED_OBJECTS:
             errs.append(F.when(present & (t == "object"), _unexpected(x, "", CLOSED_OBJECTS[path], path)))
         if "max_properties" in checks:
-            n = F.size(F.json_object_keys(F.to_json(x)))
+            n = F.size(_keys_of(x))
             errs.append(_err(path, present & (t == "object") & (n > checks["max_properties"]),
                              F.concat(F.to_json(x), F.lit(" has too many properties"))))
     # params values: flat scalars only (one error per offending key)
@@ -193,7 +205,7 @@ def with_contract_errors(df: DataFrame, event: str, params: str, out: str = "err
                                     F.lit(f" is not of type {_types_text(PARAM_VALUE_TYPES)}")).alias("m")))
     all_errs = F.concat(F.array_compact(F.array(*errs)), F.coalesce(per_key, F.array()))
     df = df.withColumn(out, F.transform(F.array_sort(all_errs), lambda e: e["m"]))
-    return df.drop("_keys", *[_fcol(p, w) for p, _, _ in FIELD_RULES for w in ("x", "t", "s", "r")])
+    return df.drop("_keys", *[_fcol(p, w) for p, _, _ in FIELD_RULES for w in ("x", "sv", "t", "s")])
 
 
 def _py_type_name(v: Column) -> Column:
@@ -263,21 +275,8 @@ def process(elements: DataFrame) -> DataFrame:
     # Deep redaction of params (UDF only for rows that could hold a secret).
     x = x.withColumn("params", F.when(F.col("_params_in").isNotNull(), redact_json(F.to_json(F.col("_params_in")))))
     x = x.withColumn("_pvar", F.try_parse_json(F.col("params")))
-    # The stamped event = received object, params redacted, ingested_at overwritten.
-    empty = F.create_map().cast("map<string,variant>")
     fields = F.try_variant_get(e, "$", "map<string,variant>")
-    red_params = F.when(F.col("_pvar").isNotNull(),
-                        F.map_from_arrays(F.array(F.lit("params")), F.array(F.col("_pvar"))))
-    ts_txt = F.date_format(F.col("ingested_at"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
-    stamp_v = F.try_parse_json(F.concat(F.lit('"'), ts_txt, F.lit('"')))
-    x = x.select(
-        "*",
-        F.when(F.col("_is_obj"), F.to_variant_object(F.map_concat(
-            F.map_filter(fields, lambda k, v: ~k.isin("ingested_at", "params")), F.coalesce(red_params, empty),
-            F.map_from_arrays(F.array(F.lit("ingested_at")), F.array(stamp_v))))).alias("event"),
-        F.when(F.col("_is_obj"), F.to_json(F.to_variant_object(F.map_concat(
-            F.map_filter(fields, lambda k, v: k != "params"), F.coalesce(red_params, empty))))).alias("_as_received"))
-    x = with_contract_errors(x, "event", "_pvar", "_contract_errors")
+    x = with_contract_errors(x, "elem", "_pvar", "_contract_errors")
     raw_text = F.substring(F.coalesce(F.col("body"), F.lit("")), 1, RAW_TEXT_LIMIT)
     non_obj_payload = F.when(F.col("_kind") == "STRING",
                              F.regexp_extract(F.to_json(F.array(redact_text(F.try_variant_get(e, "$", "string")))),
@@ -292,16 +291,26 @@ def process(elements: DataFrame) -> DataFrame:
     # A non-deterministic guard (always true) stops predicate pushdown at this projection;
     # results are unaffected.
     x = x.select("*", F.when(F.spark_partition_id() >= 0, errors).alias("errors"))
+    good = F.size("errors") == 0
+    # B7 bad payload: the received object with params redacted (as stored before the stamp);
+    # rendered only for rows that are actually bad.
+    empty = F.create_map().cast("map<string,variant>")
+    red_params = F.when(F.col("_pvar").isNotNull(),
+                        F.map_from_arrays(F.array(F.lit("params")), F.array(F.col("_pvar"))))
+    as_received = F.to_json(F.to_variant_object(F.map_concat(
+        F.map_filter(fields, lambda k, v: k != "params"), F.coalesce(red_params, empty))))
     return x.select(
         "ingested_at", F.to_date("ingested_at").alias("dt"), "collector_instance", "elem_pos", "errors",
-        (F.size("errors") == 0).alias("good"), "event", "params",
-        F.when(F.col("_is_obj"), F.col("_as_received")).when(e.isNotNull(), non_obj_payload).alias("payload"),
+        good.alias("good"), F.when(F.col("_is_obj"), e).alias("event"), "params",
+        F.when(good, F.lit(None).cast("string")).when(F.col("_is_obj"), as_received)
+         .when(e.isNotNull(), non_obj_payload).alias("payload"),
         F.when(e.isNull(), redact_text(raw_text)).alias("payload_raw"),
     )
 
 
 def good_events(processed: DataFrame) -> DataFrame:
-    """B7 good fork: typed contract rows (EVENT_SCHEMA + dt)."""
+    """B7 good fork: typed contract rows (EVENT_SCHEMA + dt): the received fields, the
+    redacted params and the server's ``ingested_at``."""
     v = F.col("event")
     cols = []
     for f in EVENT_SCHEMA.fields:
