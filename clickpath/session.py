@@ -40,12 +40,17 @@ def build_spark(master: str = "local[8]", app: str = "clickpath",
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+    """The shared folder for intermediate tables (``spark.checkpoint.dir``).
 
-    A cluster names it; only when it is unset (local tests) is a scratch folder created.
+    The cluster names it.  Only a session in local mode, where the driver is the only
+    machine, may go without: a scratch folder is made for it.  On a cluster an unset
+    folder is an error, because executors cannot see each other's disks.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="clickpath-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
