@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from clickpath.llm import simhash
 from clickpath.llm.common import table
 from clickpath.llm.packing import pack_documents
 
@@ -21,8 +23,15 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints (3-word shingles) and components of pairs within 3 bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("bits")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op3_packing": op3_packing,
+    "op7_simhash": op7_simhash,
 }
 
 ORACLES: dict[str, str] = {}
