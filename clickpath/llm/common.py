@@ -53,3 +53,27 @@ def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = column.buffers()[2]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return data[offsets[0]:offsets[-1]], (offsets - offsets[0]).astype(np.int64)
+
+
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every run of true bytes; a run ends with its row."""
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    rows = offsets[:-1][np.diff(offsets) > 0]
+    first[rows] = inside[rows]
+    starts = np.flatnonzero(first)
+    ended = np.concatenate([~inside, [True]])
+    ended[offsets] = True
+    stops = np.flatnonzero(ended)
+    return starts, stops[np.searchsorted(stops, starts, side="right")]
+
+
+def byte_table(keep: str) -> np.ndarray:
+    """256 booleans: which bytes match the pattern of one (Latin-1) character."""
+    import re
+
+    return np.array([bool(re.fullmatch(keep, chr(b), re.DOTALL)) for b in range(256)])
+
+
+#: A-Z to a-z, every other byte as it is.
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)

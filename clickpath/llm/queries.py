@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from clickpath.llm import simhash
 from clickpath.llm.common import table
+from clickpath.llm.decontaminate import contamination
 from clickpath.llm.packing import pack_documents
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -29,9 +30,17 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("bits")).alias("fingerprint"), "component_id")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document inside 13-word windows of benchmark items."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES = {
     "op3_packing": op3_packing,
     "op7_simhash": op7_simhash,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLES: dict[str, str] = {}

@@ -36,49 +36,31 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.llm.common import byte_slices, flat_bytes, stored
+from clickpath.llm.common import LOWER, byte_slices, byte_table, flat_bytes, runs, stored
 from clickpath.llm.components import components
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 3, 42
 CROWD = 32
 _SEGMENTS = ((42, 22), (21, 21), (0, 21))       # shift, width
+_WORD = byte_table(r"[^\x20\x09-\x0D]")
 _GENERATOR = 0b101011100011                     # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
 
 
-def _word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of every run of non-space bytes; runs end with their row."""
-    word = ~((data == 0x20) | ((data >= 0x09) & (data <= 0x0D)))
-    first = word.copy()
-    first[1:] &= ~word[:-1]
-    rows = offsets[:-1][np.diff(offsets) > 0]
-    first[rows] = word[rows]
-    starts = np.flatnonzero(first)
-    ended = np.concatenate([~word, [True]])
-    ended[offsets] = True
-    stops = np.flatnonzero(ended)
-    return starts, stops[np.searchsorted(stops, starts, side="right")]
-
-
 def fingerprint_column(column: pa.Array, words: int = SHINGLE_WORDS) -> np.ndarray:
     """Unsigned fingerprints of a string column (A-Z lower-cased, words joined by one space)."""
     data, offsets = flat_bytes(column)
     out = np.zeros(len(offsets) - 1, np.uint64)
-    starts, stops = _word_spans(data, offsets)
+    word = _WORD[data]
+    starts, stops = runs(word, offsets)
     if not len(starts):
         return out
     # All words, each followed by one space: a shingle is then one slice.
-    lower = data + ((data >= 0x41) & (data <= 0x5A)).astype(np.uint8) * 32
     sizes = stops - starts + 1
     at = np.cumsum(sizes) - sizes
     text = np.full(int(sizes.sum()), 0x20, np.uint8)
-    inside = np.zeros(len(data), bool)
-    delta = np.zeros(len(data) + 1, np.int8)
-    delta[starts] += 1
-    np.subtract.at(delta, stops, 1)
-    inside = np.cumsum(delta[:-1], dtype=np.int8).astype(bool)
     keep = np.ones(len(text), bool)
     keep[at + sizes - 1] = False
-    text[keep] = lower[inside]
+    text[keep] = LOWER[data[word]]
     buffer = text.tobytes()
     row_words = np.diff(np.searchsorted(starts, offsets))
     row_first = np.cumsum(row_words) - row_words
