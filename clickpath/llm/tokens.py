@@ -1,9 +1,10 @@
 """Token ids of whole texts with the ``tokenizers`` library.
 
 The library spends its time on pre-tokens, and a corpus repeats them.  Texts are cut before
-a white-space character that stands between non-space characters: no pre-token of the
-supported tokenizers reaches over such a place, so the ids of a text are the ids of its
-pieces, one after the other.  Each distinct piece is encoded once per task; everything else
+a white-space character that stands between non-space characters, and between an ASCII
+letter and a punctuation mark (not an apostrophe, nor a character of a special token): no pre-token of the supported tokenizers
+reaches over such a place, so the ids of a text are the ids of its pieces, one after the
+other.  Each distinct piece is encoded once per task; everything else
 is array work.
 """
 
@@ -14,13 +15,15 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from clickpath.llm.common import flat_bytes
+from clickpath.llm.common import byte_table, flat_bytes
 
 END_ID = 1
 #: Distinct pieces that a task remembers before it starts anew (memory, never results).
-MEMORY_PIECES = 400_000
+MEMORY_PIECES = 600_000
 _JOINED = 256           # pieces handed to the library as one text
 _MARK = "\x01"
+_LETTER, _PRINTED, _SEEN = byte_table(r"[A-Za-z]"), byte_table(r"[!-~]"), byte_table(r"[!-~\xC3]")
+_POINT = byte_table(r"[!-/:-@\[-`{-~]")
 _ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}
 
 
@@ -47,6 +50,8 @@ class PieceEncoder:
         self.drops_space = not self._ids([" "])[0]
         mark = self._ids([f" {_MARK}"])[0]
         self.mark = mark[0] if len(mark) == 1 else None
+        self.points = _POINT.copy()
+        self.points[list(("'" + "".join(x.content for x in self.tokenizer.get_added_tokens_decoder().values())).encode())] = False
         self._forget()
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -101,11 +106,12 @@ class PieceEncoder:
             self._forget()
         cut = np.zeros(len(data) + 1, bool)
         if len(data) > 2:
-            before, here, after = data[:-2], data[1:-1], data[2:]
-            visible = ((after > 0x20) & (after < 0x7F)) | (after == 0xC3)
-            space = here == 0x20
-            line = (here == 0x0A) & (before > 0x20) & (before < 0x7F)
-            cut[1:-2] = (space | line) & visible
+            here, after = data[1:-1], _SEEN[data[2:]]
+            before = data[:-2]
+            inner = _LETTER[before] & self.points[here]
+            inner |= (here == 0x20) & after
+            inner |= (here == 0x0A) & _PRINTED[before] & after
+            cut[1:-2] = inner
         cut[offsets] = True
         at = np.flatnonzero(cut)
         places = pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)) if len(at) > 1 else pa.array([], pa.string())
