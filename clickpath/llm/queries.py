@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpath.llm import simhash
+from clickpath.llm import secrets, simhash
 from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination
 from clickpath.llm.packing import pack_documents
@@ -24,6 +24,16 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of whole texts, with the corpus-wide ownership of their values."""
+    found = secrets.secrets(table(spark, sf_dir, "documents"))
+    of = {kind: F.filter("spans", lambda s, k=kind: s["kind"] == k) for kind in secrets.BASE_KINDS}
+    base = F.filter("spans", lambda s: s["kind"] != "live")
+    return found.select("doc.doc_id", *(F.size(of[k]).cast("long").alias(f"n_{k}") for k in secrets.BASE_KINDS),
+                        F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"),
+                        F.size(F.filter("spans", lambda s: s["copied"])).cast("long").alias("n_copied"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints (3-word shingles) and components of pairs within 3 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -39,6 +49,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_packing": op3_packing,
+    "op4_secrets": op4_secrets,
     "op7_simhash": op7_simhash,
     "op9_decontamination": op9_decontamination,
 }
