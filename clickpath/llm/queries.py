@@ -27,9 +27,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secret spans of whole texts, with the corpus-wide ownership of their values."""
     found = secrets.secrets(table(spark, sf_dir, "documents"))
-    of = {kind: F.filter("spans", lambda s, k=kind: s["kind"] == k) for kind in secrets.BASE_KINDS}
+    kinds = F.col("spans.kind")
+    n_of = {k: F.size(kinds) - F.size(F.array_remove(kinds, k)) for k in secrets.BASE_KINDS}
     base = F.filter("spans", lambda s: s["kind"] != "live")
-    return found.select("doc.doc_id", *(F.size(of[k]).cast("long").alias(f"n_{k}") for k in secrets.BASE_KINDS),
+    return found.select("doc.doc_id", *(n.cast("long").alias(f"n_{k}") for k, n in n_of.items()),
                         F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"),
                         F.size(F.filter("spans", lambda s: s["copied"])).cast("long").alias("n_copied"))
 
