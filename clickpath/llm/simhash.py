@@ -171,8 +171,8 @@ def _crowd_links(members: DataFrame) -> DataFrame:
 
     spread = members.repartition(members.sparkSession.sparkContext.defaultParallelism * 4)
     rows = spread.mapInPandas(around, "word long, bits long, near boolean")
-    hub = rows.filter("near").groupBy("word").agg(F.min("bits").alias("hub"))
-    return rows.join(hub, "word").filter("bits <> hub").select(F.col("bits").alias("u"), F.col("hub").alias("v")).distinct()
+    hub = F.expr("min(if(near, bits, null)) over (partition by word)")
+    return rows.select(F.col("bits").alias("u"), hub.alias("v")).filter("u <> v").distinct()
 
 
 def links(prints: DataFrame, max_bits: int = MAX_BITS, crowd: int = CROWD) -> DataFrame:
