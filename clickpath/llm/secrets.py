@@ -100,14 +100,15 @@ def _spotted(column: pa.Array) -> np.ndarray:
     return mark
 
 
-def scan(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang")) -> DataFrame:
+def scan(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang"), keep_text: bool = False) -> DataFrame:
     """``(doc, row, owner, repository, spans)`` of every document, stored.
 
-    ``doc`` holds the columns of ``docs``, ``row`` numbers the rows, and ``spans`` are the
-    candidates of all kinds with their value's SHA-256.
+    ``doc`` holds the columns of ``docs`` (the text only if asked for), ``row`` numbers the
+    rows, and ``spans`` are the candidates of all kinds with their value's SHA-256.
     """
     ship_package(docs.sparkSession)
-    given = docs.select(F.struct(*docs.columns).alias("doc"), F.col("text").cast("string").alias("text"), F.col(owner).cast("string").alias("owner"),
+    kept = F.struct(*(c for c in docs.columns if keep_text or c != "text"))
+    given = docs.select(kept.alias("doc"), F.col("text").cast("string").alias("text"), F.col(owner).cast("string").alias("owner"),
                         F.to_json(F.struct(*repository)).alias("repository"))
     schema = T.StructType([*given.drop("text").schema.fields, T.StructField("spans", T.ArrayType(SPAN))])
     span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())]))
@@ -148,10 +149,14 @@ def judged(scanned: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
 
 
 def secrets(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang"), max_owners: int = MAX_OWNERS) -> DataFrame:
-    """``(doc, spans)`` for every document: its columns, and its reported spans by start and kind."""
+    """``(doc, spans)`` for every document: its columns but the text, and its reported spans by start and kind."""
     scanned = scan(docs, owner, repository)
-    found = scanned.select("row", "doc").join(judged(scanned, max_owners), "row", "left")
-    return found.select("doc", F.coalesce("spans", F.expr("cast(array() as array<struct<start:bigint,order:bigint,kind:string,end:bigint,copied:boolean,n_owners:bigint,n_repositories:bigint>>)")).alias("spans"))
+    marked = judged(scanned, max_owners)
+    plain, seen = scanned.filter(F.size("spans") == 0), scanned.filter(F.size("spans") > 0)
+    found = seen.select("row", "doc").join(marked, "row", "left").select("doc", "spans")
+    none = F.lit(None).cast(marked.schema["spans"].dataType)
+    return (found.unionAll(plain.select("doc", none.alias("spans")))
+            .withColumn("spans", F.coalesce("spans", F.array().cast(marked.schema["spans"].dataType))))
 
 
 def listed(spans: Column) -> Column:
@@ -161,10 +166,11 @@ def listed(spans: Column) -> Column:
 
 def redact(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every reported span replaced by a mark; other texts are left alone."""
-    scanned = scan(docs, **{k: v for k, v in options.items() if k != "max_owners"})
-    marked = judged(scanned, options.get("max_owners", MAX_OWNERS))
-    joined = scanned.select("row", "doc").join(marked, "row", "left")
-    clean = joined.filter(F.col("spans").isNull()).select("doc.*")
+    max_owners = options.pop("max_owners", MAX_OWNERS)
+    scanned = scan(docs, **options, keep_text=True)
+    plain, seen = scanned.filter(F.size("spans") == 0), scanned.filter(F.size("spans") > 0)
+    joined = seen.select("row", "doc").join(judged(scanned, max_owners), "row", "left")
+    clean = plain.select("doc.*").unionByName(joined.filter(F.col("spans").isNull()).select("doc.*"))
     schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
