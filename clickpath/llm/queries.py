@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpath.llm import secrets, simhash
+from clickpath.llm import secrets, simhash, toxicity
 from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination
 from clickpath.llm.packing import pack_documents
@@ -41,6 +41,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("bits")).alias("fingerprint"), "component_id")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text by a lexicon learned from the rows not held out."""
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc.doc_id", toxicity.held_out(F.col("doc.doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside 13-word windows of benchmark items."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -52,6 +58,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_secrets": op4_secrets,
     "op7_simhash": op7_simhash,
+    "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
 }
 
