@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpath.llm import secrets, simhash, toxicity
+from clickpath.llm import quality, secrets, simhash, toxicity
 from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination
 from clickpath.llm.packing import pack_documents
@@ -35,6 +35,12 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size(F.filter("spans", lambda s: s["copied"])).cast("long").alias("n_copied"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics of whole texts and an isolation forest's verdict."""
+    found = quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", *quality.COUNTS[:5], "base_failed", "kept", "score")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints (3-word shingles) and components of pairs within 3 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -57,6 +63,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_packing": op3_packing,
     "op4_secrets": op4_secrets,
+    "op5_quality": op5_quality,
     "op7_simhash": op7_simhash,
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
