@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpath.llm import quality, secrets, simhash, toxicity
+from clickpath.llm import html_text, quality, secrets, simhash, toxicity
 from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination
 from clickpath.llm.packing import pack_documents
@@ -60,6 +60,11 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by tree scoring."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op3_packing": op3_packing,
     "op4_secrets": op4_secrets,
@@ -67,6 +72,7 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLES: dict[str, str] = {}
