@@ -10,15 +10,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpath.llm import html_text, quality, secrets, simhash, toxicity
+from clickpath.llm import html_text, oracles, quality, secrets, simhash, toxicity
 from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination
+from clickpath.llm.licenses import licenses
 from clickpath.llm.packing import pack_documents
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every whole text by diagonal voting."""
+    return licenses(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 ids by minimum bin slack."""
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER))
@@ -66,6 +72,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licenses": op1_licenses,
     "op3_packing": op3_packing,
     "op4_secrets": op4_secrets,
     "op5_quality": op5_quality,
@@ -75,4 +82,7 @@ QUERIES = {
     "op10_html_extraction": op10_html_extraction,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_licenses": oracles.LICENSES,
+    "op9_decontamination": oracles.CONTAMINATION,
+}
