@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from clickpath.session import checkpoint_dir
@@ -36,7 +37,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def byte_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column, each of about ``limit`` bytes and one row at least."""
-    sizes = np.asarray(pa.compute.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False), np.int64)
+    sizes = np.asarray(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False), np.int64)
     ends = np.cumsum(sizes)
     at = 0
     while at < len(sizes):

@@ -15,9 +15,11 @@ from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination
 from clickpath.llm.licenses import licenses
 from clickpath.llm.packing import pack_documents
+from clickpath.llm.token_counts import count_documents
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
+BYTE_END = 50256        # the tokenizer's own end-of-document id
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +49,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *quality.COUNTS[:5], "base_failed", "kept", "score")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files by their separators."""
+    counted = count_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER), BYTE_END)
+    return counted.select("doc_id", "file", "start", "n_tokens")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprints (3-word shingles) and components of pairs within 3 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -76,6 +84,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_secrets": op4_secrets,
     "op5_quality": op5_quality,
+    "op6_token_counts": op6_token_counts,
     "op7_simhash": op7_simhash,
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
