@@ -16,6 +16,7 @@ from clickpath.llm.decontaminate import contamination
 from clickpath.llm.licenses import licenses
 from clickpath.llm.packing import pack_documents
 from clickpath.llm.token_counts import count_documents
+from clickpath.llm.token_files import write_and_read
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
@@ -27,6 +28,11 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses(table(spark, sf_dir, "documents"))
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written to context-mixed, range-coded files and read back."""
+    return write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 ids by minimum bin slack."""
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER))
@@ -81,6 +87,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_licenses": op1_licenses,
+    "op2_token_files": op2_token_files,
     "op3_packing": op3_packing,
     "op4_secrets": op4_secrets,
     "op5_quality": op5_quality,
