@@ -43,7 +43,7 @@ HIT_SHARE = 20
 BLOCK_BYTES = 4 << 20
 _WORD = byte_table(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]|[A-Z]")
 _SAMPLE = 8
-_STATE = "doc_id long, text string, n_words long, starts array<long>, ends array<long>, items array<string>"
+_FOUND = ("n_words", "starts", "ends", "items")
 
 
 def column_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -240,8 +240,8 @@ def _pass(block: Phrases):
                 for d, i in zip(doc.tolist(), item.tolist(), strict=True):
                     if block.items[i] is not None:
                         names[d].add(block.items[i])
-                columns = [part.column("doc_id"), part.column("text"), pa.array(np.diff(offsets)), *spans, pa.array([sorted(x) for x in names], pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_words", "starts", "ends", "items"])
+                columns = [part.column("doc"), part.column("text"), pa.array(np.diff(offsets)), *spans, pa.array([sorted(x) for x in names], pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "text", *_FOUND])
 
     return run
 
@@ -264,18 +264,18 @@ def merged(part: pa.RecordBatch, offsets: np.ndarray, hit: np.ndarray) -> tuple[
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, share: int = HIT_SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``(doc_id, n_words, starts, ends, items, n_hit, contaminated)`` for every document.
+    """``(doc, n_words, starts, ends, items, n_hit, contaminated)`` for every document.
 
-    ``starts`` and ``ends`` are the merged spans of words to remove (words from 0, end
-    exclusive), ``items`` the benchmark items that have a window in the document.
+    ``doc`` holds the columns of ``docs``, ``starts`` and ``ends`` are the merged spans of
+    words to remove (words from 0, end exclusive), ``items`` the benchmark items that have a
+    window in the document.
     """
     ship_package(docs.sparkSession)
-    empty = "cast(array() as array<{}>)"
-    state = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"),
-                        *(F.expr(empty.format(t)).alias(c) for c, t in (("starts", "long"), ("ends", "long"), ("items", "string"))))
-    blocks = list(_blocks(benchmark, size, block_bytes)) or [Phrases([], [], size)]
-    for block in blocks:
-        state = state.mapInArrow(_pass(block), _STATE)
+    empty = {"starts": "array<long>", "ends": "array<long>", "items": "array<string>"}
+    state = docs.select(F.struct(*docs.columns).alias("doc"), F.col("text").cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"),
+                        *(F.array().cast(t).alias(c) for c, t in empty.items()))
+    for block in list(_blocks(benchmark, size, block_bytes)) or [Phrases([], [], size)]:
+        state = state.mapInArrow(_pass(block), state.schema)
     n_hit = F.expr("aggregate(zip_with(starts, ends, (a, b) -> b - a), 0L, (x, y) -> x + y)")
-    return (state.drop("text").withColumn("n_hit", n_hit)
+    return (state.select("doc", *_FOUND).withColumn("n_hit", n_hit)
             .withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))))

@@ -35,6 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickpath.llm.common import LOWER, byte_slices, byte_table, flat_bytes, runs, stored
 from clickpath.llm.components import components
@@ -78,17 +79,19 @@ def fingerprint_column(column: pa.Array, words: int = SHINGLE_WORDS) -> np.ndarr
     return out
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``docs(doc_id, text)`` to ``(doc_id, bits)``; ``bits`` is the fingerprint as a signed long."""
-
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``docs(doc_id, text)`` to ``(doc_id, *carry, bits)``; ``bits`` is the fingerprint as a signed long."""
     ship_package(docs.sparkSession)
+    kept = ["doc_id", *carry]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in byte_slices(batch.column("text"), 1 << 20):
                 prints = fingerprint_column(batch.column("text").slice(lo, hi - lo), words)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(prints.view(np.int64))], ["doc_id", "bits"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in kept), pa.array(prints.view(np.int64))], [*kept, "bits"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, bits long")
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, F.col("text").cast("string").alias("text"))
+    return given.mapInArrow(run, T.StructType([*given.drop("text").schema.fields, T.StructField("bits", T.LongType())]))
 
 
 @cache
@@ -195,15 +198,28 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, crowd: int = CROWD) -> Da
     return found[0] if len(found) == 1 else found[0].unionAll(found[1])
 
 
-def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, crowd: int = CROWD) -> DataFrame:
-    """``(doc_id, bits, component_id)`` for every row of ``docs(doc_id, text)``."""
-    prints = stored(fingerprints(docs, words), "simhash-prints")
+def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, crowd: int = CROWD, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, *carry, bits, component_id, group)`` for every row of ``docs(doc_id, text)``.
+
+    ``group`` is the smallest fingerprint of the component, which is there without doc_ids too.
+    """
+    prints = stored(fingerprints(docs, words, carry), "simhash-prints")
     distinct = stored(prints.groupBy("bits").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     root = components(stored(links(distinct, max_bits, crowd), "simhash-links")).withColumnRenamed("u", "bits")
-    rooted = distinct.join(root, "bits", "left").withColumn("root", F.coalesce("root", "bits"))
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    lookup = rooted.select("bits", "root").join(named, "root").select("bits", "component_id")
-    return prints.join(lookup, "bits").select("doc_id", "bits", "component_id")
+    rooted = distinct.join(root, "bits", "left").select("bits", "first", F.coalesce("root", "bits").alias("group"))
+    named = rooted.groupBy("group").agg(F.min("first").alias("component_id"))
+    lookup = rooted.select("bits", "group").join(named, "group").select("bits", "component_id", "group")
+    return prints.join(lookup, "bits").select("doc_id", *carry, "bits", "component_id", "group")
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one row of each component: its smallest doc_id (nulls last), then text hash."""
+    told = docs.withColumn("__text", F.xxhash64("text"))
+    found = near_duplicates(told.select("doc_id", "text", "__text"), carry=("__text",), **options)
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__text")).alias("kept"))
+    kept = first.select(F.col("kept.doc_id").alias("__doc"), F.col("kept.__text").alias("__kept"))
+    stay = told.join(kept, told["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (F.col("__text") == F.col("__kept")), "left_semi")
+    return stay.dropDuplicates(["doc_id", "__text"]).select(*docs.columns)
 
 
 def hex_digits(bits: Column) -> Column:

@@ -33,11 +33,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clickpath.llm.common import stored
+from clickpath.llm.common import byte_slices, stored
 from clickpath.shipping import ship_package
 
 SAMPLE_ROWS = 20_000
@@ -232,16 +234,18 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon, n_pos: int, n_neg: int, most:
 
 
 def _measured(rows: DataFrame, lexicon: Lexicon, carried: str, folded: bool) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    names = ["weight", "density", "variety"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
         for batch in batches:
-            got = [measures(lexicon, automaton, (text or "") if folded else fold(text)) for text in batch["text"]]
-            out = pd.DataFrame(got, columns=["weight", "density", "variety"])
-            out.insert(0, carried, batch[carried])
-            yield out
+            for lo, hi in byte_slices(batch.column("text")):
+                part = batch.slice(lo, hi - lo)
+                got = np.array([measures(lexicon, automaton, (text or "") if folded else fold(text)) for text in part.column("text").to_pylist()], float)
+                yield pa.RecordBatch.from_arrays([part.column(carried), *map(pa.array, got.T)], [carried, *names])
 
-    kind = rows.schema[carried].dataType.simpleString()
-    return rows.select(carried, "text").mapInPandas(run, f"{carried} {kind}, weight double, density double, variety double")
+    schema = T.StructType([rows.schema[carried], *(T.StructField(c, T.DoubleType()) for c in names)])
+    return rows.select(carried, "text").mapInArrow(run, schema)
 
 
 def _calibrated(rows: DataFrame, lexicon: Lexicon) -> np.ndarray:
