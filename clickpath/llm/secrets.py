@@ -27,7 +27,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -171,24 +170,25 @@ def redact(docs: DataFrame, **options) -> DataFrame:
     plain, seen = scanned.filter(F.size("spans") == 0), scanned.filter(F.size("spans") > 0)
     joined = seen.select("row", "doc").join(judged(scanned, max_owners), "row", "left")
     clean = plain.select("doc.*").unionByName(joined.filter(F.col("spans").isNull()).select("doc.*"))
-    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("text", T.StringType())])
+    dirty = joined.filter(F.col("spans").isNotNull()).select("doc", F.col("doc.text").cast("string").alias("text"), "spans")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for text, spans in zip(batch["text"], batch["spans"], strict=True):
-                out, at = [], 0
-                for span in spans:
-                    if span["end"] > at:
-                        if span["start"] >= at:
-                            out += [text[at:span["start"]], "<EXAMPLE>" if span["copied"] else "<SECRET>"]
-                        at = span["end"]
-                texts.append("".join([*out, text[at:]]))
-            yield pd.DataFrame({"row": batch["row"], "text": texts})
-
-    dirty = joined.filter(F.col("spans").isNotNull())
-    texts = dirty.select("row", F.col("doc.text").alias("text"), "spans").mapInPandas(run, schema)
-    changed = dirty.select("row", "doc.*").drop("text").join(texts, "row")
+            texts = [_masked(t, s) for t, s in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(texts, pa.string())], ["doc", "text"])
+
+    masked = dirty.mapInArrow(run, dirty.drop("spans").schema)
+    doc = F.col("doc").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return clean.unionByName(changed.select(*docs.columns))
+        doc = doc.withField("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean.unionByName(masked.select(doc.alias("doc")).select("doc.*"))
+
+
+def _masked(text: str, spans: list[dict]) -> str:
+    """The text with its spans, merged where they overlap, replaced by marks."""
+    out, at = [], 0
+    for span in spans:
+        if span["start"] >= at:
+            out += [text[at:span["start"]], "<EXAMPLE>" if span["copied"] else "<SECRET>"]
+        at = max(at, span["end"])
+    return "".join([*out, text[at:]])

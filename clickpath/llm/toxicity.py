@@ -57,8 +57,9 @@ SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8":
 _FOLD = str.maketrans({c: latin for latin, alike in HOMOGLYPHS.items() for c in alike} | dict.fromkeys(INVISIBLE)
                       | {chr(c): unicodedata.normalize("NFKC", chr(c)) for c in range(0xFF01, 0xFF5F)})
 _WORD = re.compile(r"[^\W_]+")
-# A substitute with a letter on both sides, or a digit that begins a word of letters.
-_DISGUISED = re.compile(r"(?<=[^\W\d_])[013457 8@$!]{1,3}(?=[^\W\d_])".replace(" ", "") + r"|(?<![\w@$!])[013457 8](?=[^\W\d_]{2})".replace(" ", ""))
+# Substitutes with a letter on both sides, or a digit that begins a word of two letters or more.
+_SUBSTITUTE, _LETTER = "[" + "".join(SUBSTITUTES) + "]{1,3}", r"[^\W\d_]"
+_DISGUISED = re.compile(rf"(?<={_LETTER}){_SUBSTITUTE}(?={_LETTER})|(?<![\w@$!])[0134578](?={_LETTER}(?:{_LETTER}|{_SUBSTITUTE}{_LETTER}))")
 
 
 def fold(text: str | None) -> str:
