@@ -17,9 +17,22 @@ from clickpath.shipping import ship_package
 SLICE_BYTES = 4 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables, with the package shipped to the workers."""
+#: Text that one Arrow batch carries between the JVM and Python, on either side.
+BATCH_BYTES = 4 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the operators' Python tasks need: the package on the workers, and small batches.
+
+    The default batch is bounded by 10,000 rows and 64 MB; with two tasks and both sides'
+    copies that alone can fill a small executor."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -47,6 +60,12 @@ def byte_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
         at = to
 
 
+def doc_text(batch: pa.RecordBatch) -> pa.Array:
+    """The texts of a batch: its column ``text``, or that field of its struct ``doc``."""
+    found = batch.column("text") if "text" in batch.schema.names else pc.struct_field(batch.column("doc"), "text")
+    return found.cast(pa.string())
+
+
 def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A string column as one UTF-8 buffer and its row offsets (a null row is empty)."""
     column = pa.concat_arrays([column.cast(pa.string()).fill_null("")])

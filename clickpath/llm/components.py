@@ -16,8 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.llm.common import stored
-from clickpath.shipping import ship_package
+from clickpath.llm.common import prepare, stored
 
 #: Links that one task contracts.
 CHUNK = 500_000
@@ -84,7 +83,7 @@ def components(links: DataFrame) -> DataFrame:
 
     The root itself has no row.  Self-links and repeated links are ignored; no links, no rows.
     """
-    ship_package(links.sparkSession)
+    prepare(links.sparkSession)
     plain = links.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v")).filter("u <> v")
     parts = max(1, -(-plain.count() // CHUNK))
     state = stored(_contracted(plain.repartition(parts)), "components")

@@ -32,9 +32,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.llm.common import LOWER, byte_slices, byte_table, flat_bytes, runs
+from clickpath.llm.common import LOWER, byte_slices, byte_table, doc_text, flat_bytes, prepare, runs
 from clickpath.llm.tokens import spread
-from clickpath.shipping import ship_package
 
 WINDOW_WORDS = 13
 #: A document is contaminated if at least one in so many of its words is hit.
@@ -232,16 +231,16 @@ def _blocks(benchmark: DataFrame, size: int, limit: int) -> Iterator[Phrases]:
 def _pass(block: Phrases):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in byte_slices(batch.column("text")):
+            for lo, hi in byte_slices(doc_text(batch)):
                 part = batch.slice(lo, hi - lo)
-                offsets, hit, doc, item = scan_shard(part.column("text"), block)
+                offsets, hit, doc, item = scan_shard(doc_text(part), block)
                 spans = merged(part, offsets, hit)
                 names: list[set[str]] = [set(x or ()) for x in part.column("items").to_pylist()]
                 for d, i in zip(doc.tolist(), item.tolist(), strict=True):
                     if block.items[i] is not None:
                         names[d].add(block.items[i])
-                columns = [part.column("doc"), part.column("text"), pa.array(np.diff(offsets)), *spans, pa.array([sorted(x) for x in names], pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc", "text", *_FOUND])
+                columns = [part.column("doc"), pa.array(np.diff(offsets)), *spans, pa.array([sorted(x) for x in names], pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc", *_FOUND])
 
     return run
 
@@ -270,12 +269,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORD
     words to remove (words from 0, end exclusive), ``items`` the benchmark items that have a
     window in the document.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     empty = {"starts": "array<long>", "ends": "array<long>", "items": "array<string>"}
-    state = docs.select(F.struct(*docs.columns).alias("doc"), F.col("text").cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"),
+    state = docs.select(F.struct(*docs.columns).alias("doc"), F.lit(0).cast("long").alias("n_words"),
                         *(F.array().cast(t).alias(c) for c, t in empty.items()))
     for block in list(_blocks(benchmark, size, block_bytes)) or [Phrases([], [], size)]:
         state = state.mapInArrow(_pass(block), state.schema)
     n_hit = F.expr("aggregate(zip_with(starts, ends, (a, b) -> b - a), 0L, (x, y) -> x + y)")
-    return (state.select("doc", *_FOUND).withColumn("n_hit", n_hit)
+    return (state.withColumn("n_hit", n_hit)
             .withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))))

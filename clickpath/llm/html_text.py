@@ -26,8 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.llm.common import byte_slices
-from clickpath.shipping import ship_package
+from clickpath.llm.common import byte_slices, prepare
 
 # Kinds of elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -296,7 +295,7 @@ def main_text(html: str | None) -> str:
 
 def extract(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text, n_chars)`` for every row of ``pages(page_id, url, html)``."""
-    ship_package(pages.sparkSession)
+    prepare(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

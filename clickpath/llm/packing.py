@@ -30,9 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.llm.common import byte_slices, stored
+from clickpath.llm.common import byte_slices, prepare, stored
 from clickpath.llm.tokens import END_ID, encoder
-from clickpath.shipping import ship_package
 
 CAPACITY = 2048
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -47,7 +46,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
     of the same length; store the rows before :func:`pack`, which reads them twice.
     """
 
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         part = TaskContext.get().partitionId()

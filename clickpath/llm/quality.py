@@ -27,8 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.llm.common import byte_slices, byte_table, flat_bytes, runs, stored
-from clickpath.shipping import ship_package
+from clickpath.llm.common import byte_slices, byte_table, flat_bytes, prepare, runs, stored
 
 LEAST_WORDS, MOST_REPEATED = 50, 50      # words; per cent of words in repeated windows
 TREES, SAMPLE, BINS, SEED = 128, 256, 1000, 20
@@ -109,7 +108,7 @@ def _equal_lines(data: np.ndarray, offsets: np.ndarray, word_starts: np.ndarray)
 
 def rule_statistics(docs: DataFrame) -> DataFrame:
     """``(doc_id, <counts>)`` of every row of ``docs(doc_id, text)``."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -32,8 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpath.llm.common import LOWER, byte_slices, byte_table, flat_bytes, runs, stored
-from clickpath.shipping import ship_package
+from clickpath.llm.common import LOWER, byte_slices, byte_table, doc_text, flat_bytes, prepare, runs, stored
 
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = BASE_KINDS + ("live",)
@@ -105,20 +104,22 @@ def scan(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = (
     ``doc`` holds the columns of ``docs`` (the text only if asked for), ``row`` numbers the
     rows, and ``spans`` are the candidates of all kinds with their value's SHA-256.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     kept = F.struct(*(c for c in docs.columns if keep_text or c != "text"))
-    given = docs.select(kept.alias("doc"), F.col("text").cast("string").alias("text"), F.col(owner).cast("string").alias("owner"),
+    text = [] if keep_text else [F.col("text").cast("string").alias("text")]
+    given = docs.select(kept.alias("doc"), *text, F.col(owner).cast("string").alias("owner"),
                         F.to_json(F.struct(*repository)).alias("repository"))
     schema = T.StructType([*given.drop("text").schema.fields, T.StructField("spans", T.ArrayType(SPAN))])
     span_type = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in byte_slices(batch.column("text")):
+            for lo, hi in byte_slices(doc_text(batch)):
                 part = batch.slice(lo, hi - lo)
+                texts = doc_text(part)
                 spans: list[list[dict]] = [[] for _ in range(hi - lo)]
-                for k in np.flatnonzero(_spotted(part.column("text"))).tolist():
-                    spans[k] = [{"kind": kind, "start": a, "end": b, "value": hashlib.sha256(v.encode()).hexdigest()} for kind, a, b, v in text_spans(part.column("text")[k].as_py())]
+                for k in np.flatnonzero(_spotted(texts)).tolist():
+                    spans[k] = [{"kind": kind, "start": a, "end": b, "value": hashlib.sha256(v.encode()).hexdigest()} for kind, a, b, v in text_spans(texts[k].as_py())]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc", "owner", "repository")), pa.array(spans, span_type)], ["doc", "owner", "repository", "spans"])
 
     return stored(given.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "secret-spans")

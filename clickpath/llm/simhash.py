@@ -37,9 +37,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpath.llm.common import LOWER, byte_slices, byte_table, flat_bytes, runs, stored
+from clickpath.llm.common import LOWER, byte_slices, byte_table, flat_bytes, prepare, runs, stored
 from clickpath.llm.components import components
-from clickpath.shipping import ship_package
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 3, 42
 CROWD = 32
@@ -81,7 +80,7 @@ def fingerprint_column(column: pa.Array, words: int = SHINGLE_WORDS) -> np.ndarr
 
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
     """``docs(doc_id, text)`` to ``(doc_id, *carry, bits)``; ``bits`` is the fingerprint as a signed long."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     kept = ["doc_id", *carry]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +181,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, crowd: int = CROWD) -> Da
     """Links ``(u, v)`` that connect all pairs of the distinct ``prints(bits)`` within ``max_bits`` (3 at most)."""
     if not 0 <= max_bits <= 3:
         raise ValueError("the codeword keys find pairs of up to 3 differing bits")
-    ship_package(prints.sparkSession)
+    prepare(prints.sparkSession)
     ask, answer = _keyed(prints, True), _keyed(prints, False)
     crowded = stored(ask.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd).select("key"), "simhash-crowded")
     calm = ask

@@ -29,10 +29,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clickpath.llm.common import byte_slices, stored
+from clickpath.llm.common import byte_slices, prepare, stored
 from clickpath.llm.tokens import encoder
 from clickpath.session import checkpoint_dir
-from clickpath.shipping import ship_package
 
 BLOCK_IDS = 1 << 16
 CHUNK_BLOCKS = 1 << 10
@@ -45,7 +44,7 @@ def write_flat(docs: DataFrame, tokenizer: str, end_id: int, path: str, block_id
     ``path/blocks`` has rows (file, block, data), ``path/order`` has (file, first, doc_ids):
     which documents were written, in order.  Special tokens in a text are ordinary text.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     kind = WIDTHS[width]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +80,7 @@ def write_flat(docs: DataFrame, tokenizer: str, end_id: int, path: str, block_id
 
 def read_binary(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS, width: int = 2) -> DataFrame:
     """Blocks (file, block, data) of plain binary files of ids; a file must fit a row (2 GB)."""
-    ship_package(spark)
+    prepare(spark)
     size = block_ids * width
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +94,7 @@ def read_binary(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS, widt
 
 def scan_blocks(blocks: DataFrame, end_id: int, width: int = 2) -> DataFrame:
     """(file, block, n_ids, ends): ids of each block and the places after its separators."""
-    ship_package(blocks.sparkSession)
+    prepare(blocks.sparkSession)
     kind = WIDTHS[width]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

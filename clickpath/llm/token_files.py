@@ -30,11 +30,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clickpath.llm.common import byte_slices
+from clickpath.llm.common import byte_slices, prepare
 from clickpath.llm.mixing_coder import BLOCK_IDS, LANES, decode_blocks, encode_blocks
 from clickpath.llm.tokens import END_ID, encoder
 from clickpath.session import checkpoint_dir
-from clickpath.shipping import ship_package
 
 _LISTS = ("ordinals", "doc_ids", "begins", "starts", "counts", "after")
 SCHEMA = "file int, block long, payload binary, " + ", ".join(f"{c} array<long>" for c in _LISTS)
@@ -80,7 +79,7 @@ def _block_rows(file: int, first: int, ids: np.ndarray, at: int, docs: np.ndarra
 
 def write_files(docs: DataFrame, tokenizer: str, path: str, block_ids: int = BLOCK_IDS) -> None:
     """Write the ids of ``docs(doc_id, text)`` to files under ``path``, in order of doc_id."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, file = encoder(tokenizer), TaskContext.get().partitionId()
@@ -112,7 +111,7 @@ def read_pieces(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     ``begin`` counts the file's ids before the document, ``start`` the document's before the
     piece; ``crc`` is the piece's share of its document's CRC-32; ``with_ids`` adds the ids.
     """
-    ship_package(spark)
+    prepare(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

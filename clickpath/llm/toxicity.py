@@ -39,8 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpath.llm.common import byte_slices, stored
-from clickpath.shipping import ship_package
+from clickpath.llm.common import byte_slices, doc_text, prepare, stored
 
 SAMPLE_ROWS = 20_000
 MOST_ENTRIES = 4_000
@@ -170,9 +169,9 @@ def _beginnings(entry: str) -> list[str]:
 
 def learn(rows: DataFrame, most: int = MOST_ENTRIES) -> tuple[Lexicon, np.ndarray]:
     """Lexicon and logistic coefficients from ``rows(text, toxic)`` (a bounded sample)."""
-    ship_package(rows.sparkSession)
+    prepare(rows.sparkSession)
 
-    def prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def folded_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [fold(t) for t in batch["text"]]
             # Near copies share the smallest hash of their word triples more often than not.
@@ -182,7 +181,7 @@ def learn(rows: DataFrame, most: int = MOST_ENTRIES) -> tuple[Lexicon, np.ndarra
                 keys.append(min((xxhash.xxh64_intdigest(" ".join(words[i:i + 3])) >> 1 for i in range(max(1, len(words) - 2))), default=0))
             yield pd.DataFrame({"copy": keys, "text": texts, "toxic": batch["toxic"]})
 
-    folded = rows.mapInPandas(prepare, "copy long, text string, toxic int")
+    folded = rows.mapInPandas(folded_rows, "copy long, text string, toxic int")
     kept = stored(folded.groupBy("copy", "toxic").agg(F.min("text").alias("text")).select("text", "toxic"), "toxic-sample")
     totals = dict(kept.groupBy("toxic").count().collect())
     n_pos, n_neg = sum(n for y, n in totals.items() if y), totals.get(0, 0)
@@ -235,18 +234,19 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon, n_pos: int, n_neg: int, most:
 
 
 def _measured(rows: DataFrame, lexicon: Lexicon, carried: str, folded: bool) -> DataFrame:
+    """``carried`` (a column, or the struct ``doc`` that holds the text) and the measures of each text."""
     names = ["weight", "density", "variety"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = lexicon.automaton()
         for batch in batches:
-            for lo, hi in byte_slices(batch.column("text")):
+            for lo, hi in byte_slices(doc_text(batch)):
                 part = batch.slice(lo, hi - lo)
-                got = np.array([measures(lexicon, automaton, (text or "") if folded else fold(text)) for text in part.column("text").to_pylist()], float)
+                got = np.array([measures(lexicon, automaton, (text or "") if folded else fold(text)) for text in doc_text(part).to_pylist()], float)
                 yield pa.RecordBatch.from_arrays([part.column(carried), *map(pa.array, got.T)], [carried, *names])
 
     schema = T.StructType([rows.schema[carried], *(T.StructField(c, T.DoubleType()) for c in names)])
-    return rows.select(carried, "text").mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def _calibrated(rows: DataFrame, lexicon: Lexicon) -> np.ndarray:
@@ -267,8 +267,8 @@ def _calibrated(rows: DataFrame, lexicon: Lexicon) -> np.ndarray:
 
 def score(docs: DataFrame, lexicon: Lexicon, beta: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
     """``(doc, score, predicted)`` for every row; ``doc`` holds the columns of ``docs``."""
-    ship_package(docs.sparkSession)
-    measured = _measured(docs.select(F.struct(*docs.columns).alias("doc"), F.col("text").cast("string").alias("text")), lexicon, "doc", False)
+    prepare(docs.sparkSession)
+    measured = _measured(docs.select(F.struct(*docs.columns).alias("doc")), lexicon, "doc", False)
     if not np.isfinite(beta[0]):
         value = F.lit(0.0)
     else:
