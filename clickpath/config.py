@@ -10,7 +10,6 @@ SKEW_LIMIT_SECONDS = 86400          # |client clock - ingest clock| beyond this
 FIRST_TOUCH_TTL_SECONDS = 63072000  # first-touch campaign kept two years
 LAST_TOUCH_TTL_SECONDS = 15552000   # last-touch campaign kept 180 days
 MAX_PARAMS = 25                     # at most 25 flat params per event
-RAW_TEXT_LIMIT = 4096               # an unparseable body is kept up to this many chars
 REDACTED = "<REDACTED>"
 
 
@@ -22,18 +21,16 @@ class Config:
     domains; a referrer host equal to one of them, or ending in ``.`` + one of them, is a
     self-referral and never becomes a traffic source.
 
-    ``chunk_seconds`` is a physical knob only: per-visitor sequential logic (gap
-    sessionisation, previous page, last touch) is evaluated as a prefix scan over
-    (visitor, time chunk) partitions so that one very active visitor is spread over many
-    tasks.  Results do not depend on it.
+    ``chunks`` is a physical knob only: per-visitor sequential logic (gap sessionisation,
+    previous page, last touch) is a prefix scan over the partitions of a global sort, so
+    that one very active visitor is spread over many tasks.  Unset, the number of
+    partitions is Spark's.  Results do not depend on it.
     """
 
     internal_domains: str = ""
     session_gap_seconds: int = SESSION_GAP_SECONDS
     skew_limit_seconds: int = SKEW_LIMIT_SECONDS
-    chunk_seconds: int = 3600
-    # Largest row count a side may have to be broadcast (checked before broadcasting).
-    broadcast_max_rows: int = 1_000_000
+    chunks: int | None = None
 
     def internal_domain_list(self) -> list[str]:
         return [d.strip().lower() for d in self.internal_domains.split(",") if d.strip()]

@@ -39,7 +39,7 @@ VIDEO_SOURCES = ["youtube", "vimeo", "twitch", "dailymotion"]
 VIDEO_SHORT_NAMES = ["yt"]
 DISPLAY_MEDIUMS = ["display", "banner", "expandable", "interstitial", "cpm"]
 SOCIAL_MEDIUMS = ["social", "social-network", "social-media", "sm", "social network", "social media"]
-VIDEO_MEDIUM_PATTERN = r"^(video|.*video.*)$"
+VIDEO_MEDIUM_PATTERN = "video"
 AI_SOURCES = ["chatgpt", "openai", "perplexity", "copilot", "gemini", "claude.ai", "anthropic"]
 AI_MEDIUM_PATTERN = r"(ai.?assistant|ai.?chat)"
 EMAIL_SOURCES = ["email", "e-mail", "e_mail", "e mail"]

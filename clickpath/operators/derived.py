@@ -20,63 +20,51 @@ def with_clock(events: DataFrame, cfg: Config = Config()) -> DataFrame:
             .withColumn("event_date", F.to_date("event_time")))
 
 
-def dedup_deliveries(events: DataFrame) -> DataFrame:
+def dedup_deliveries(events: DataFrame, copies: str | None = None) -> DataFrame:
     """Keep the earliest-ingested copy of each ``event_id``; rows without an id are all kept.
 
-    Plan shape matters here.  Rows without an id (most of a dataset collected before ids
-    existed) never enter a shuffle: they are split off and unioned back.  Rows with an id
-    are reduced with ``min_by`` in a grouped aggregation, whose partial (map-side) step
-    collapses copies before the shuffle, so even one id delivered millions of times moves
-    at most one row per input partition.  Ties on ``ingested_at`` (NULLs last) break on the
-    row's content hash, so the survivor is deterministic.
+    One scan and one aggregation.  A row without an id is a group of its own (the salt), so
+    the rows of a dataset from before ids existed spread evenly; copies of an id collapse
+    before the shuffle, so one id delivered millions of times moves at most one row per
+    input partition.  Ties on ``ingested_at`` (NULLs last) break on the row's content hash,
+    so the survivor is deterministic.  ``copies`` names a column for how many rows each
+    survivor stands for.
     """
-    cols = [c for c in events.columns]
-    nulls = events.where(F.col("event_id").isNull())
-    order = F.struct(F.col("ingested_at").isNull(), F.col("ingested_at"),
-                     F.xxhash64(*[F.col(c) for c in cols]))
-    ids = (events.where(F.col("event_id").isNotNull())
-           .groupBy("event_id")
-           .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_row"))
-           .select("_row.*"))
-    return nulls.unionByName(ids)
-
-
-def derived_events(events: DataFrame, cfg: Config = Config()) -> DataFrame:
+    cols = events.columns
+    salt = F.when(F.col("event_id").isNull(), F.monotonically_increasing_id())
+    order = F.struct(F.col("ingested_at").isNull(), F.col("ingested_at"), F.xxhash64(*cols))
+    kept = events.groupBy(F.col("event_id").alias("_id"), salt.alias("_salt")).agg(
+        F.min_by(F.struct(*cols), order).alias("_row"), *([F.count(F.lit(1)).alias(copies)] if copies else []))
+    return kept.select("_row.*", *([copies] if copies else []))
+
+
+def derived_events(events: DataFrame, cfg: Config = Config(), copies: str | None = None) -> DataFrame:
     """Clock columns + dedup.  Input: contract events (``dt`` optional)."""
-    return with_clock(dedup_deliveries(events), cfg)
+    return with_clock(dedup_deliveries(events, copies), cfg)
 
 
-def rebuild_stats(raw: DataFrame, derived: DataFrame) -> DataFrame:
-    """E17 as a query: raw, derived, duplicates removed, untrusted clocks, partitions."""
-    r = raw.agg(F.count(F.lit(1)).alias("raw_events"))
-    d = derived.agg(F.count(F.lit(1)).alias("derived_events"),
-                    F.count_if(~F.col("event_time_trusted")).alias("untrusted_clock"),
-                    F.count_distinct("event_date").alias("partitions"))
-    return (r.crossJoin(d)
-             .select("raw_events", "derived_events",
-                     (F.col("raw_events") - F.col("derived_events")).alias("duplicates_removed"),
-                     "untrusted_clock", "partitions"))
+def rebuild_stats(raw: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """E17 as a query: raw, derived, duplicates removed, untrusted clocks, partitions; one scan."""
+    d = derived_events(raw, cfg, copies="_copies")
+    return (d.agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("raw_events"), F.count(F.lit(1)).alias("derived_events"),
+                  F.count_if(~F.col("event_time_trusted")).alias("untrusted_clock"), F.count_distinct("event_date").alias("partitions"))
+            .select("raw_events", "derived_events", (F.col("raw_events") - F.col("derived_events")).alias("duplicates_removed"),
+                    "untrusted_clock", "partitions"))
 
 
-def write_derived(derived: DataFrame, dest: str, slices_per_date: int = 8,
-                  max_records_per_file: int = 5_000_000) -> None:
+def write_derived(derived: DataFrame, dest: str, max_records_per_file: int = 5_000_000, only_touched: bool = False) -> None:
     """A5: Parquet (zstd), partitioned by ``event_date``, rows ordered by ``event_time``.
 
-    Full static overwrite: a vanished date must not survive a rebuild.  Each date is cut
-    into ``slices_per_date`` equal slices of the day and rows are hash-partitioned on
-    (date, slice): a hot date is written by that many tasks instead of one, every file
-    covers one contiguous stretch of time (so min/max statistics prune on ``event_time``),
-    and - unlike range partitioning - no sampling pass re-runs the pipeline (which would
-    also double-count ``observe`` metrics).  ``maxRecordsPerFile`` bounds file size
-    whatever the skew.  ``dest`` must not be the path being read.
+    The rebalance is by date and sized by Spark at run time: small dates share a task, a hot
+    date is split into as many as its bytes need, and ``maxRecordsPerFile`` bounds a file.
+    A full static overwrite, so that a vanished date does not survive a rebuild, or with
+    ``only_touched`` an overwrite of the dates in ``derived``.  ``dest`` must not be the path
+    being read.
     """
-    day_us = 86_400_000_000
-    us_of_day = F.pmod(F.unix_micros(F.col("event_time")), F.lit(day_us))
-    slice_ = F.floor(us_of_day * F.lit(slices_per_date) / F.lit(day_us)).cast("int")
-    n = int(derived.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (derived.repartition(n, F.col("event_date"), slice_)
+    (derived.hint("rebalance", F.col("event_date"))
             .sortWithinPartitions("event_date", "event_time")
             .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic" if only_touched else "static")
             .option("compression", "zstd")
             .option("maxRecordsPerFile", max_records_per_file)
             .partitionBy("event_date")
@@ -104,23 +92,17 @@ def rebuild_derived(raw: DataFrame, dest: str, cfg: Config = Config()) -> dict:
 
     Counts are collected with ``observe`` during the single write job; files and bytes
     come from the written table's file metadata."""
-    spark = raw.sparkSession
-    obs_null, obs_ids, obs_out = Observation("nulls"), Observation("ids"), Observation("out")
-    base = raw.select(*[c for c in EVENT_COLUMNS])
-    nulls = base.where(F.col("event_id").isNull()).observe(obs_null, F.count(F.lit(1)).alias("n"))
-    ided = base.where(F.col("event_id").isNotNull()).observe(obs_ids, F.count(F.lit(1)).alias("n"))
-    deduped = nulls.unionByName(dedup_deliveries(ided))
-    derived = with_clock(deduped, cfg).observe(
-        obs_out, F.count(F.lit(1)).alias("n"), F.count_if(~F.col("event_time_trusted")).alias("untrusted"))
-    write_derived(derived, dest)
-    raw_n = obs_null.get["n"] + obs_ids.get["n"]
-    out = obs_out.get
+    spark, out = raw.sparkSession, Observation("out")
+    kept = derived_events(raw.select(*EVENT_COLUMNS), cfg, copies="_copies")
+    write_derived(kept.observe(out, F.sum("_copies").alias("raw"), F.count(F.lit(1)).alias("n"),
+                               F.count_if(~F.col("event_time_trusted")).alias("untrusted")).drop("_copies"), dest)
+    raw_n, got = out.get["raw"] or 0, out.get
     files = list_table_files(spark, dest, ".parquet")
     return {
         "raw_events": raw_n,
-        "derived_events": out["n"],
-        "duplicates_removed": raw_n - out["n"],
-        "untrusted_clock": out["untrusted"],
+        "derived_events": got["n"],
+        "duplicates_removed": raw_n - got["n"],
+        "untrusted_clock": got["untrusted"],
         "partitions": len({d for d, _ in files}),
         "files": len(files),
         "bytes": sum(size for _, size in files),

@@ -1,18 +1,16 @@
 """Per-visitor sequential logic as a skew-safe prefix scan.
 
 A window ``PARTITION BY visitor ORDER BY ts`` puts every event of one visitor in one task;
-one bot holding a third of all rows would then be one task.  Instead the timeline of each
-visitor is cut into time chunks (``Config.chunk_seconds``):
-
-1. a window over (visitor, chunk) computes everything local to a chunk (previous row,
-   running sums);
-2. a per-chunk summary (first/last timestamp, last values, local totals) is small - at most
-   one row per visitor per chunk - and a window over it carries state across chunks;
-3. the summary is joined back on (visitor, chunk); the events side keeps the partitioning
-   of step 1, so only the summary moves.
-
-Results are identical to the single-window formulation for any chunk size; NULL
-timestamps sort last (as in ``ORDER BY ts``), in a chunk of their own.
+one bot holding a third of all rows would then be one task.  Here the rows are range-sorted
+by (visitor, ts, tiebreak, row) and the partitions of that sort are the chunks, so a visitor
+with many rows - even at one timestamp, or with none at all - is cut by the number of rows:
+
+1. windows over (visitor, chunk) compute what is local to a chunk; the result is stored;
+2. one summary row per visitor and chunk carries state across chunks;
+3. the summary is joined back on (visitor, chunk).
+
+Results equal the single-window form for any cut.  NULL timestamps sort last, and rows that
+tie in everything keep the order in which they were read.
 """
 
 from __future__ import annotations
@@ -22,11 +20,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickpath.functions.clock import epoch_floor
+from clickpath.storage import stored
 
-KEY = "_seq_key"
-CHUNK = "_seq_chunk"
-_LAST_CHUNK = 2**62  # NULL timestamps: a chunk ordered after every real one
+KEY, CHUNK, ROW = "_seq_key", "_seq_chunk", "_seq_row"
 
 
 def seq_key(c: Column) -> Column:
@@ -34,130 +30,89 @@ def seq_key(c: Column) -> Column:
     return F.when(c.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), c))
 
 
-def with_chunks(df: DataFrame, key: str, ts: str, chunk_seconds: int) -> DataFrame:
-    return (df.withColumn(KEY, seq_key(F.col(key)))
-              .withColumn(CHUNK, F.coalesce(epoch_floor(F.col(ts), chunk_seconds * 1_000_000),
-                                            F.lit(_LAST_CHUNK).cast("long"))))
-
-
-def _order(ts: str, tiebreak: list[str]) -> list[Column]:
-    return [F.col(ts).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tiebreak]
-
-
-def number_sessions(df: DataFrame, key: str, ts: str,
-                    is_new: Callable[[Column, Column], Column],
-                    chunk_seconds: int, tiebreak: list[str] | None = None,
-                    out: str = "session_number") -> DataFrame:
-    """Number each row's gap-session within ``key``, starting at 1.
-
-    ``is_new(prev_ts, ts)`` decides whether a row opens a session given the timestamp of
-    the visitor's previous row (NULL for the first row); it must be NULL-safe.  The result
-    equals ``sum(is_new) OVER (PARTITION BY key ORDER BY ts ROWS UNBOUNDED PRECEDING)``.
-    """
-    tiebreak = tiebreak or []
-    x = with_chunks(df, key, ts, chunk_seconds)
-    w = Window.partitionBy(KEY, CHUNK).orderBy(*_order(ts, tiebreak))
-    x = (x.withColumn("_rn", F.row_number().over(w))
-          .withColumn("_local", F.when(F.col("_rn") > 1,
-                                       is_new(F.lag(F.col(ts)).over(w), F.col(ts)).cast("int"))
-                      .otherwise(F.lit(0)))
-          .withColumn("_run", F.sum("_local").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    chunks = x.groupBy(KEY, CHUNK).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"),
-                                       F.sum("_local").alias("_nlocal"))
-    wc = Window.partitionBy(KEY).orderBy(CHUNK)
-    chunks = (chunks.withColumn("_open", is_new(F.lag("_last").over(wc), F.col("_first")).cast("int"))
-                    .withColumn("_offset", F.coalesce(
-                        F.sum(F.col("_open") + F.col("_nlocal")).over(
-                            wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                    .select(KEY, CHUNK, "_open", "_offset"))
-    return (x.join(chunks, [KEY, CHUNK])
-             .withColumn(out, (F.col("_offset") + F.col("_open") + F.col("_run")).cast("long"))
-             .drop(KEY, CHUNK, "_rn", "_local", "_run", "_open", "_offset"))
+def _chunked(df: DataFrame, key: str, order: list[Column], chunks: int | None) -> DataFrame:
+    """Rows with their key and the partition of a global sort that they fall in."""
+    numbered = df.withColumn(KEY, seq_key(F.col(key))).withColumn(ROW, F.monotonically_increasing_id())
+    by = [F.col(KEY).asc(), *order]
+    cut = numbered.repartitionByRange(chunks, *by) if chunks else numbered.repartitionByRange(*by)
+    return cut.withColumn(CHUNK, F.spark_partition_id())
 
 
-def with_previous(df: DataFrame, key: str, ts: str, cols: list[str], chunk_seconds: int,
-                  tiebreak: list[str] | None = None, prefix: str = "prev_") -> DataFrame:
-    """Add ``prev_<c>``: the value of ``c`` on the previous row of the same ``key``.
-
-    Equals ``lag(c) OVER (PARTITION BY key ORDER BY ts, tiebreak)``.
-    """
-    tiebreak = tiebreak or []
-    x = with_chunks(df, key, ts, chunk_seconds)
-    w = Window.partitionBy(KEY, CHUNK).orderBy(*_order(ts, tiebreak))
-    x = x.withColumn("_rn", F.row_number().over(w))
-    for c in cols:
-        x = x.withColumn(f"_lag_{c}", F.lag(F.col(c)).over(w))
-    # Last row of each chunk (same order as the window: NULL timestamps last).
-    order_key = F.struct(F.col(ts).isNull(), F.col(ts), *[F.col(t).isNull() for t in tiebreak],
-                         *[F.col(t) for t in tiebreak])
-    chunks = x.groupBy(KEY, CHUNK).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order_key).alias("_lastrow"))
-    wc = Window.partitionBy(KEY).orderBy(CHUNK)
-    chunks = chunks.withColumn("_carry", F.lag("_lastrow").over(wc)).select(KEY, CHUNK, "_carry")
-    x = x.join(chunks, [KEY, CHUNK])
-    for c in cols:
-        x = x.withColumn(prefix + c, F.when(F.col("_rn") == 1, F.col("_carry")[c]).otherwise(F.col(f"_lag_{c}")))
-    return x.drop(KEY, CHUNK, "_rn", "_carry", *[f"_lag_{c}" for c in cols])
-
-
-def carry(df: DataFrame, key: str, ts: str, specs: dict[str, tuple[str, Column]],
-          chunk_seconds: int, tiebreak: list[str] | None = None) -> DataFrame:
-    """Per-key sequential state, evaluated as a chunked prefix scan.
+def scan(df: DataFrame, key: str, ts: str, specs: dict[str, tuple[str, Column]] | None = None,
+         tiebreak: list[str] | None = None, opens: Callable[[Column, Column], Column] | None = None,
+         chunks: int | None = None) -> DataFrame:
+    """Add sequential state per ``key``, in order of ``ts`` and ``tiebreak`` (NULLs last).
 
     ``specs`` maps an output column to ``(kind, expr)``:
 
-    * ``"last"``  - the last non-NULL ``expr`` on rows up to and including this one
-      (``last(expr) IGNORE NULLS OVER (... ROWS UNBOUNDED PRECEDING)``);
-    * ``"first"`` - ``expr`` on the key's first row (``first_value`` over the whole key);
-    * ``"prev"``  - ``expr`` on the key's previous row (``lag(expr)``).
+    * ``"last"``   - the last non-NULL ``expr`` up to and including this row;
+    * ``"before"`` - the last non-NULL ``expr`` strictly before this row;
+    * ``"prev"``   - ``expr`` on the previous row;
+    * ``"first"``  - ``expr`` on the key's first row.
 
-    Ordering is ``ts`` then ``tiebreak``, NULLs last.  Only a one-row-per-(key, chunk)
-    summary crosses chunk boundaries, so a key holding a third of all rows is still spread
-    over as many tasks as it has chunks.
+    ``is_first`` marks the key's first row.  ``opens(previous ts, ts)``, which must be
+    NULL-safe, says whether a row opens a session; then ``opened`` is that flag,
+    ``opened_at`` the latest non-NULL opening ``ts`` and ``opened_nth`` the session's number
+    from 1.  ``chunks`` fixes the number of chunks (results do not depend on it).
     """
-    tiebreak = tiebreak or []
-    x = with_chunks(df, key, ts, chunk_seconds)
-    for name, (_, expr) in specs.items():
-        x = x.withColumn(f"_v_{name}", expr)
-    w = Window.partitionBy(KEY, CHUNK).orderBy(*_order(ts, tiebreak))
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    x = x.withColumn("_rn", F.row_number().over(w))
-    order_key = F.struct(F.col(ts).isNull(), F.col(ts), *[F.col(t).isNull() for t in tiebreak],
-                         *[F.col(t) for t in tiebreak])
-    summary = []
-    for name, (kind, _) in specs.items():
-        v = F.col(f"_v_{name}")
-        if kind == "last":
-            x = x.withColumn(f"_l_{name}", F.last(v, ignorenulls=True).over(upto))
-            summary.append(F.max_by(v, F.when(v.isNotNull(), order_key)).alias(f"_s_{name}"))
-        elif kind == "first":
-            summary.append(F.min_by(v, order_key).alias(f"_s_{name}"))
+    specs = specs or {}
+    order = [F.col(ts).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak or []], F.col(ROW).asc()]
+    x = _chunked(df, key, order, chunks)
+    w = Window.partitionBy(KEY, CHUNK).orderBy(*order)
+    upto, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    local = {"_rn": F.row_number().over(w)}
+    for name, (kind, expr) in specs.items():
+        if kind == "first":
+            local[f"_l_{name}"] = expr
         elif kind == "prev":
-            x = x.withColumn(f"_l_{name}", F.lag(v).over(w))
-            summary.append(F.max_by(v, order_key).alias(f"_s_{name}"))
+            local[f"_l_{name}"], local[f"_e_{name}"] = F.lag(expr).over(w), expr
+        elif kind in ("last", "before"):
+            local[f"_l_{name}"] = F.last(expr, ignorenulls=True).over(upto if kind == "last" else before)
+            local[f"_e_{name}"] = F.last(expr, ignorenulls=True).over(upto)
         else:
-            raise ValueError(f"unknown carry kind {kind!r}")
-    chunks = x.groupBy(KEY, CHUNK).agg(*summary)
+            raise ValueError(f"unknown kind {kind!r}")
+    x = x.select("*", *[c.alias(n) for n, c in local.items()])
+    if opens:
+        inside = F.when(F.col("_rn") > 1, opens(F.lag(F.col(ts)).over(w), F.col(ts))).otherwise(F.lit(False))
+        x = x.withColumn("_op", inside)
+        x = x.select("*", F.last(F.when(F.col("_op"), F.col(ts)), ignorenulls=True).over(upto).alias("_at"),
+                     F.sum(F.col("_op").cast("long")).over(upto).alias("_nth"))
+    x = stored(x, "sequence")
+
+    # One row per key and chunk.
+    rn = F.col("_rn")
+    summary = [F.max_by(f"_e_{n}", rn).alias(f"_s_{n}") if k != "first" else F.min_by(f"_l_{n}", rn).alias(f"_s_{n}") for n, (k, _) in specs.items()]
+    if opens:
+        summary += [F.min_by(ts, rn).alias("_first_ts"), F.max_by(ts, rn).alias("_last_ts"), F.max_by("_at", rn).alias("_end_at"), F.max("_nth").alias("_end_nth")]
+    ends = x.groupBy(KEY, CHUNK).agg(F.count(F.lit(1)).alias("_rows"), *summary)
     wc = Window.partitionBy(KEY).orderBy(CHUNK)
-    before = wc.rowsBetween(Window.unboundedPreceding, -1)
-    carried = []
+    earlier = wc.rowsBetween(Window.unboundedPreceding, -1)
+    carried = [F.row_number().over(wc).alias("_chunk_nth")]
     for name, (kind, _) in specs.items():
         s = F.col(f"_s_{name}")
-        if kind == "last":
-            carried.append(F.last(s, ignorenulls=True).over(before).alias(f"_c_{name}"))
-        elif kind == "first":
-            carried.append(F.first(s).over(wc.rowsBetween(Window.unboundedPreceding, 0)).alias(f"_c_{name}"))
-        else:
-            carried.append(F.lag(s).over(wc).alias(f"_c_{name}"))
-    chunks = chunks.select(KEY, CHUNK, *carried)
-    x = x.join(chunks, [KEY, CHUNK])
-    drop = [KEY, CHUNK, "_rn"]
+        state = (F.first(s).over(wc.rowsBetween(Window.unboundedPreceding, 0)) if kind == "first"
+                 else F.lag(s).over(wc) if kind == "prev" else F.last(s, ignorenulls=True).over(earlier))
+        carried.append(state.alias(f"_c_{name}"))
+    if opens:
+        ends = ends.withColumn("_open", opens(F.lag("_last_ts").over(wc), F.col("_first_ts")))
+        at = F.coalesce("_end_at", F.when(F.col("_open"), F.col("_first_ts")))
+        carried += [F.col("_open"), F.col("_first_ts"), F.last(at, ignorenulls=True).over(earlier).alias("_c_at"),
+                    F.coalesce(F.sum(F.col("_open").cast("long") + F.col("_end_nth")).over(earlier), F.lit(0)).alias("_c_nth")]
+    x = x.join(ends.select(KEY, CHUNK, *carried), [KEY, CHUNK])
+
+    out = {"is_first": (rn == 1) & (F.col("_chunk_nth") == 1)}
     for name, (kind, _) in specs.items():
-        c = F.col(f"_c_{name}")
-        if kind == "last":
-            x = x.withColumn(name, F.coalesce(F.col(f"_l_{name}"), c))
-        elif kind == "first":
-            x = x.withColumn(name, c)
-        else:
-            x = x.withColumn(name, F.when(F.col("_rn") == 1, c).otherwise(F.col(f"_l_{name}")))
-        drop += [f"_v_{name}", f"_l_{name}", f"_c_{name}"]
-    return x.drop(*[d for d in drop if d in x.columns])
+        mine, c = F.col(f"_l_{name}"), F.col(f"_c_{name}")
+        out[name] = c if kind == "first" else F.when(rn == 1, c).otherwise(mine) if kind == "prev" else F.coalesce(mine, c)
+    if opens:
+        out["opened"] = F.when(rn == 1, F.col("_open")).otherwise(F.col("_op"))
+        out["opened_at"] = F.coalesce("_at", F.when(F.col("_open"), F.col("_first_ts")), "_c_at")
+        out["opened_nth"] = F.col("_c_nth") + F.col("_open").cast("long") + F.col("_nth")
+    return x.select(*df.columns, *[c.alias(n) for n, c in out.items()])
+
+
+def number_sessions(df: DataFrame, key: str, ts: str, is_new: Callable[[Column, Column], Column],
+                    tiebreak: list[str] | None = None, out: str = "session_number", chunks: int | None = None) -> DataFrame:
+    """Number each row's gap-session within ``key``, starting at 1."""
+    found = scan(df, key, ts, tiebreak=tiebreak, opens=is_new, chunks=chunks)
+    return found.select(*df.columns, F.col("opened_nth").alias(out))

@@ -89,15 +89,16 @@ def gap_session_numbers(events: DataFrame, cfg: Config = Config(), time_col: str
     else:
         def is_new(prev, ts):
             return F.coalesce((F.unix_micros(ts) - F.unix_micros(prev)) >= gap * 1_000_000, F.lit(True))
-    return number_sessions(events, "anonymous_id", time_col, is_new, cfg.chunk_seconds,
-                           tiebreak=["ingested_at", "event_id"], out="derived_session_number")
+    return number_sessions(events, "anonymous_id", time_col, is_new, tiebreak=["ingested_at", "event_id"],
+                           out="derived_session_number", chunks=cfg.chunks)
 
 
 def derived_sessions(events: DataFrame, cfg: Config = Config(), time_col: str = "event_timestamp") -> DataFrame:
     """D3: sessions re-derived from 30 minutes of inactivity, ignoring the client's id.
 
     A data-quality check on the client's cookie logic: compare its count with D2's."""
-    numbered = gap_session_numbers(events, cfg, time_col)
+    needed = [c for c in events.columns if c in ("anonymous_id", "session_id", "ingested_at", "event_id", time_col)]
+    numbered = gap_session_numbers(events.select(*needed), cfg, time_col)
     return numbered.groupBy("anonymous_id", "derived_session_number").agg(
         F.min("session_id").alias("client_session_id"),
         F.count_distinct("session_id").alias("distinct_client_session_ids"),

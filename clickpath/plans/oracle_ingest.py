@@ -4,7 +4,7 @@ most two levels); the Spark job itself recurses without a limit."""
 
 from __future__ import annotations
 
-from clickpath.config import RAW_TEXT_LIMIT, REDACTED
+from clickpath.config import REDACTED
 from clickpath.functions.redaction import RAW_SECRET_PATTERN, SECRET_KEY_PATTERN
 from clickpath.operators import ingest as I
 from clickpath.sources.bodies import BAD_BASE64, BODIES_SQL
@@ -182,7 +182,7 @@ processed AS (
                  CASE WHEN json_type(elem) = 'VARCHAR' THEN '"' || {redact_text_sql("json_extract_string(elem, '$')")} || '"'
                       ELSE {redact_sql('elem')} END
         END AS payload,
-        CASE WHEN elem IS NULL THEN {redact_text_sql(f"substr(coalesce(body, ''), 1, {RAW_TEXT_LIMIT})")} END AS payload_raw
+        CASE WHEN elem IS NULL THEN {redact_text_sql("coalesce(body, '')")} END AS payload_raw
     FROM redacted
 )"""
 
@@ -192,13 +192,11 @@ FORK_COUNTS = ("SELECT dt, count(*) AS received, count(*) FILTER (WHERE len(erro
 ERRORS = "SELECT error, count(*) AS elements FROM (SELECT unnest(errors) AS error FROM processed) GROUP BY error"
 BAD_ROWS = ("SELECT ingested_at, dt, array_to_string(errors, ' | ') AS errors_text, payload, payload_raw "
             "FROM processed WHERE len(errors) > 0")
+_TEXTS = {"page": ["url", "path", "title", "referrer"], "campaign": ["source", "medium", "campaign", "content", "term", "attribution"],
+          "device": ["platform", "user_agent", "language"]}
 GOOD_EVENTS = (
-    "SELECT json_extract_string(elem, '$.event_id') AS event_id, json_extract_string(elem, '$.event_name') AS event_name, "
-    "timezone('UTC', CAST(json_extract_string(elem, '$.event_timestamp') AS TIMESTAMPTZ)) AS event_timestamp, "
-    "ingested_at, json_extract_string(elem, '$.anonymous_id') AS anonymous_id, "
-    "json_extract_string(elem, '$.session_id') AS session_id, json_extract_string(elem, '$.page.url') AS page_url, "
-    "json_extract_string(elem, '$.page.referrer') AS page_referrer, "
-    "json_extract_string(elem, '$.campaign.source') AS campaign_source, "
-    "json_extract_string(elem, '$.campaign.attribution') AS campaign_attribution, "
-    "CAST(json_extract(elem, '$.device.screen_width') AS BIGINT) AS device_screen_width, params, dt "
-    "FROM processed WHERE len(errors) = 0")
+    "SELECT " + ", ".join(f"json_extract_string(elem, '$.{c}') AS {c}" for c in ("schema_version", "event_id", "event_name", "anonymous_id", "session_id", "user_id"))
+    + ", timezone('UTC', CAST(json_extract_string(elem, '$.event_timestamp') AS TIMESTAMPTZ)) AS event_timestamp, ingested_at, "
+    + ", ".join(f"json_extract_string(elem, '$.{o}.{c}') AS {o}_{c}" for o, cs in _TEXTS.items() for c in cs)
+    + ", " + ", ".join(f"CAST(json_extract(elem, '$.device.{c}') AS BIGINT) AS device_{c}" for c in ("screen_width", "screen_height"))
+    + ", params, dt FROM processed WHERE len(errors) = 0")

@@ -6,10 +6,11 @@ deterministic, and NULLs sort last.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpath.functions.clock import round_half_away
+from clickpath.storage import stored
 
 TOP_K = 10
 
@@ -77,13 +78,15 @@ def client_vs_gap_sessions(sessions: DataFrame, derived_sessions: DataFrame) ->
 def rejected_by_dt(bad: DataFrame, samples: int = 3) -> DataFrame:
     """Rejected rows per ingest date with up to three distinct sample errors.
 
-    Distributed: errors are exploded and de-duplicated per (dt, error) before the sample is
-    taken, so no group ever collects its full error list."""
+    Each of the smallest errors of a date is a minimum over the errors greater than the one
+    before, so a date's errors are only ever pre-aggregated, never gathered."""
     counts = bad.groupBy("dt").agg(F.count(F.lit(1)).alias("bad_rows"))
-    errs = (bad.select("dt", F.explode("errors").alias("error")).distinct()
-            .groupBy("dt")
-            .agg(F.slice(F.array_sort(F.collect_list("error")), 1, samples).alias("sample_errors")))
-    return counts.join(errs, "dt", "left").orderBy("dt")
+    errors = stored(bad.select("dt", F.explode("errors").alias("error")).distinct(), "rejected")
+    for k in range(samples):
+        more = errors if k == 0 else errors.join(counts.select("dt", F.col(f"_e{k - 1}").alias("_last")), "dt").where(F.col("error") > F.col("_last"))
+        counts = counts.join(more.groupBy("dt").agg(F.min("error").alias(f"_e{k}")), "dt", "left")
+    listed = F.array_compact(F.array(*[F.col(f"_e{k}") for k in range(samples)]))
+    return counts.select("dt", "bad_rows", listed.alias("sample_errors")).orderBy("dt")
 
 
 def clock_skew_report(skew: DataFrame) -> DataFrame:
@@ -99,12 +102,10 @@ def tagging_report(tagging: DataFrame, k: int = TOP_K) -> DataFrame:
 def attribution_provenance(sessions: DataFrame) -> DataFrame:
     """Sessions per attribution rule and share of all sessions.
 
-    The total comes from a one-row aggregate cross-joined in, not a global window."""
+    The total sums the grouped rows (one per rule), so sessions are computed once."""
     g = sessions.groupBy("attribution_from").agg(F.count(F.lit(1)).alias("sessions"))
-    total = sessions.agg(F.count(F.lit(1)).alias("_total"))
-    return (g.crossJoin(total)
-            .select("attribution_from", "sessions",
-                    round_half_away(F.lit(100.0) * F.col("sessions") / F.col("_total"), 1).alias("pct"))
+    total = F.sum("sessions").over(Window.partitionBy(F.lit(1)))
+    return (g.select("attribution_from", "sessions", round_half_away(F.lit(100.0) * F.col("sessions") / total, 1).alias("pct"))
             .orderBy(F.desc("sessions"), "attribution_from"))
 
 
@@ -135,11 +136,13 @@ def dt_vs_event_date(events: DataFrame, pad_days: int = 1) -> DataFrame:
                         round_half_away(F.lit(100.0) * F.col("padded_dt_events") / F.col("events"), 2))
 
 
-def prune_by_ingest(events: DataFrame, lo, hi, pad_days: int = 1) -> DataFrame:
+def prune_by_ingest(events: DataFrame, lo, hi, pad_days: int = 1) -> tuple[DataFrame, DataFrame]:
     """Opt-in ``event_date`` range filter that also prunes ``dt`` partitions (+/- pad).
 
-    Lossy by design: events whose clock is further off than the pad are dropped.  Measure
-    the loss with ``dt_vs_event_date`` / ``health_clock_skew`` before trusting it."""
+    Events whose clock is further off than the pad are lost to the first DataFrame; the
+    second is one row that says how many: ``events`` in the range, ``kept``, ``lost``."""
     lo_c, hi_c = F.to_date(F.lit(lo)), F.to_date(F.lit(hi))
-    return events.where((F.col("dt") >= F.date_sub(lo_c, pad_days)) & (F.col("dt") <= F.date_add(hi_c, pad_days))
-                        & (F.col("event_date") >= lo_c) & (F.col("event_date") <= hi_c))
+    wanted = F.col("event_date").between(lo_c, hi_c)
+    near = F.col("dt").between(F.date_sub(lo_c, pad_days), F.date_add(hi_c, pad_days))
+    loss = events.agg(F.count_if(wanted).alias("events"), F.count_if(wanted & F.coalesce(near, F.lit(False))).alias("kept"))
+    return events.where(near & wanted), loss.withColumn("lost", F.col("events") - F.col("kept"))

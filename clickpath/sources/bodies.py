@@ -10,6 +10,8 @@ JSON (keys in sorted order).  Deterministic defects by ``n % 30`` exercise every
   12 attribution outside enum   13 platform outside enum     14 unknown key in page
   15 screen_width not integer   16 26 params                 17 empty array body
   18 client-supplied ingested_at (overwritten)               19 body is JSON null
+  21 event followed by markup   22 two events in one body       23 user_id given twice (last counts)
+  24 truncated, then over 5,000 characters and a secret
 
 Every 7th request (n % 7 = 0) arrives as a pixel ``GET ?e=<base64url>`` instead; among
 those, n % 30 = 0 sends an empty ``e`` and n % 30 = 20 an undecodable one.  The request
@@ -31,6 +33,9 @@ SECRET_PARAMS = ('{"auth_token":"tok', '","empty_secret":"","plan":"pro","x-api-
 NESTED_PARAMS = ('{"auth":{"password":"p', '"},"plan":"pro"}')
 MANY_PARAMS = "{" + ",".join(f'"p{i:02d}":{i}' for i in range(26)) + "}"
 BAD_BASE64 = "not*base64"
+TRAILING = " <html>"
+TWICE = ('{"user_id":"first_user",', '"user_id":"last_user",')
+LONG_TAIL = "z" * 5000 + " password=tail"
 # ----------------------------------------------------------------------------------------------
 
 
@@ -92,6 +97,10 @@ def bridge_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(m == 8, F.concat(F.lit("["), obj, F.lit(',42,"str apikey=abc'), ns, F.lit('",null]')))
             .when(m == 17, F.lit("[]"))
             .when(m == 19, F.lit("null"))
+            .when(m == 21, F.concat(obj, F.lit(TRAILING)))
+            .when(m == 22, F.concat(obj, F.lit(" "), obj))
+            .when(m == 23, F.concat(F.lit("".join(TWICE)), F.substring(obj, 2, 1 << 30)))
+            .when(m == 24, F.concat(F.substring(obj, 1, TRUNCATE_AT), F.lit(LONG_TAIL)))
             .otherwise(obj))
     pixel = F.pmod(n, F.lit(PIXEL_EVERY)) == 0
     # Spark's base64 is MIME-chunked (CRLF every 76 chars); a URL parameter has no breaks.
@@ -161,6 +170,10 @@ corpus AS (
              WHEN {m} = 8 THEN '[' || obj || ',42,"str apikey=abc' || {ns} || '",null]'
              WHEN {m} = 17 THEN '[]'
              WHEN {m} = 19 THEN 'null'
+             WHEN {m} = 21 THEN obj || '{TRAILING}'
+             WHEN {m} = 22 THEN obj || ' ' || obj
+             WHEN {m} = 23 THEN '{{' || '{TWICE[1]}' || substr(obj, 2)
+             WHEN {m} = 24 THEN substr(obj, 1, {TRUNCATE_AT}) || '{LONG_TAIL}'
              ELSE obj END AS body,
         bridge_n % {PIXEL_EVERY} = 0 AS pixel
     FROM corpus_obj

@@ -1,7 +1,8 @@
 """Test-data bridge: contract events derived from the driver's ``events`` + ``pages`` tables.
 
 The driver's tables do not carry the event contract, so contract rows are built by
-arithmetic on the numeric ``event_id`` (``n``) joined to ``pages`` on ``page_id = n % 50``.
+arithmetic on the numeric ``event_id`` (``n``) joined to ``pages`` on ``page_id = n`` modulo
+the number of pages, so every page is used.
 The same definition exists twice: as Spark code (``bridge_events``) and as a DuckDB CTE
 (``BRIDGE_SQL``) that every oracle query starts from.  Both are generated from the fixed
 tables below, so they cannot drift apart.
@@ -20,9 +21,9 @@ Definition (all branches on ``n``; ``/`` between integers is integer division):
   params           {"gclid":"g<n>"} if n%41=5 else NULL
   duplicates       every row with n%20=0 is delivered twice, the copy ingested 9 s later
 
-Tag calls (``bridge_hits``, input of the journey jobs): one per driver event, no duplicate
-delivery, ``event_id`` always minted, the page URL of the bridge, and the call's name
-upper-cased when n%30=2 (a name the tag refuses).
+Tag calls (``bridge_hits``, input of the journey jobs): one per driver event, two equal ones
+when n%20=0, ``event_id`` NULL when n%10=3, the page URL of the bridge or, by n%23, one of
+``AD_URLS``, and the call's name upper-cased when n%30=2 (a name the tag refuses).
 """
 
 from __future__ import annotations
@@ -31,15 +32,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpath.config import Config
-from clickpath.functions.text import sql_list
-from clickpath.operators.joins import lookup_join
 
 # ---- fixed values of the bridge ------------------------------------------------------------
 INTERNAL_DOMAINS = "example.com.br"
-PAGE_MODULUS = 50
 ROBOT_URL = "https://www.example.com/render"
 SPECIAL_URLS = {13: "https://gtm-msr.appspot.com/a", 14: "http://localhost:8080/x",
                 15: "https://staging.example.com/x"}
+AD_URLS = {5: "https://www.example.com/land?utm_source={src}&utm_campaign=a|b",
+           6: "https://www.example.com/sale?utm_campaign=50%off&utm_medium=e%2Dmail+x&gclid=G%31#now",
+           7: "https://www.example.com/x?other=1&utm_source=&utm_term", 8: "https://www.example.com/y?utm_source=mailing&fbclid=f"}
 PATH_PATTERN = r"^[a-z]+://[^/]+(/[^?#]*)?"
 REFERRERS = [
     None,
@@ -64,13 +65,13 @@ CAMPAIGNS = [  # (source, medium, campaign) by n % 32; 22..31 all NULL
     ("google", "organic", None),
     ("chatgpt.com", "referral", None),
     ("newsletter", "email", "digest"),
-    ("partner", "affiliate", "aff"),
-    ("spotify", "audio", "aud"),
-    ("carrier", "sms", None),
+    ("bargainclub", "affiliate", "autumn"),
+    ("podcastnet", "audio", "ep12"),
+    ("txtmail", "sms", None),
     ("app", "push", None),
     ("news.example.org", "referral", None),
     ("google", "cpc", "spring cross-network"),
-    ("zzz", "qqq", None),
+    ("mystery", "unheard", None),
     ("google", None, "untagged"),
     ("gtm_preview", "test", None),
     ("", "", None),
@@ -103,40 +104,45 @@ def _event_name(n):
             .otherwise(F.col("event_type")))
 
 
-def _with_pages(spark: SparkSession, sf_dir: str, cols: list[str], cfg: Config) -> DataFrame:
+def _with_pages(spark: SparkSession, sf_dir: str, cols: list[str]) -> DataFrame:
     ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(*cols)
-    pages = (spark.read.parquet(f"{sf_dir}/pages.parquet")
-             .where((F.col("page_id") >= 0) & (F.col("page_id") < PAGE_MODULUS))
-             .select("page_id", F.col("url").alias("page_url")))
-    base = ev.withColumn("page_id", F.pmod(F.col("event_id"), F.lit(PAGE_MODULUS)))
-    return lookup_join(base, pages, "page_id", "left", cfg.broadcast_max_rows)
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.col("url").alias("page_url"))
+    total = pages.agg(F.count(F.lit(1)).alias("_pages"))       # one row
+    base = (ev.crossJoin(F.broadcast(total))
+            .withColumn("page_id", F.pmod(F.col("event_id"), F.nullif(F.col("_pages"), F.lit(0)))).drop("_pages"))
+    return base.join(pages, "page_id", "left")
 
 
-def bridge_hits(spark: SparkSession, sf_dir: str, cfg: Config = BRIDGE_CONFIG) -> DataFrame:
+def _with_copies(rows: DataFrame) -> DataFrame:
+    """Duplicate delivery without a second scan: n%20=0 rows explode into two copies."""
+    twice = F.pmod(F.col("event_id"), F.lit(20)) == 0
+    return rows.withColumn("copy", F.explode(F.when(twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+
+
+def bridge_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tag calls: (anonymous_id, event_id, ts, event_name, url, props)."""
-    rows = _with_pages(spark, sf_dir, ["event_id", "ts", "user_id", "event_type", "props"], cfg)
+    rows = _with_copies(_with_pages(spark, sf_dir, ["event_id", "ts", "user_id", "event_type", "props"]))
     n = F.col("event_id")
     name = _event_name(n)
+    url = _url(n)
+    for k, ad in AD_URLS.items():
+        url = F.when(F.pmod(n, F.lit(23)) == k, F.lit(ad)).otherwise(url)
     return rows.select(
         F.concat(F.lit("anon_"), F.lpad(F.col("user_id").cast("string"), 8, "0")).alias("anonymous_id"),
-        F.concat(F.lit("evt_"), F.lpad(n.cast("string"), 10, "0")).alias("event_id"),
+        F.when(F.pmod(n, F.lit(10)) != 3, F.concat(F.lit("evt_"), F.lpad(n.cast("string"), 10, "0"))).alias("event_id"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.when(F.pmod(n, F.lit(30)) == 2, F.upper(name)).otherwise(name).alias("event_name"),
-        _url(n).alias("url"),
+        url.alias("url"),
         F.col("props"),
     )
 
 
-def bridge_events(spark: SparkSession, sf_dir: str, cfg: Config = BRIDGE_CONFIG,
-                  keep_keys: bool = False) -> DataFrame:
+def bridge_events(spark: SparkSession, sf_dir: str, keep_keys: bool = False) -> DataFrame:
     """Contract events (EVENT_SCHEMA + ``dt`` + ``event_date``) from the driver tables.
 
     ``keep_keys`` also returns the bridge key ``bridge_n`` and the delivery ``copy``."""
-    rows = _with_pages(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"], cfg)
+    rows = _with_copies(_with_pages(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"]))
     n = F.col("event_id")
-    # Duplicate delivery without a second scan: n%20=0 rows explode into two copies.
-    rows = rows.withColumn("copy", F.explode(
-        F.when(F.pmod(n, F.lit(20)) == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
 
     ts = F.col("ts").cast("timestamp")
     m50, m25, m97, m32 = (F.pmod(n, F.lit(k)) for k in (50, 25, 97, 32))
@@ -192,14 +198,14 @@ def _sql_pick(index: str, values) -> str:
 
 def _bridge_sql() -> str:
     url_cases = " ".join(f"WHEN n % 97 = {k} THEN '{u}'" for k, u in SPECIAL_URLS.items())
+    ad_cases = " ".join(f"WHEN {k} THEN '{u}'" for k, u in AD_URLS.items())
     url = f"CASE WHEN n % 25 = 4 THEN '{ROBOT_URL}' {url_cases} ELSE page_url END"
     return f"""
 bridge_src AS (
     SELECT e.event_id AS n, CAST(e.ts AS TIMESTAMP) AS ts, e.user_id AS uid, e.event_type,
            e.props, p.url AS page_url
     FROM events e
-    LEFT JOIN (SELECT page_id, url FROM pages WHERE page_id >= 0 AND page_id < {PAGE_MODULUS}) p
-      ON p.page_id = e.event_id % {PAGE_MODULUS}
+    LEFT JOIN pages p ON p.page_id = e.event_id % (SELECT count(*) FROM pages)
 ),
 bridge_rows AS (
     SELECT b.*, c.copy, {url} AS url
@@ -238,10 +244,11 @@ bridge_typed AS (
 ),
 bridge_hits AS (
     SELECT 'anon_' || lpad(CAST(uid AS VARCHAR), 8, '0') AS anonymous_id,
-           'evt_' || lpad(CAST(n AS VARCHAR), 10, '0') AS event_id, ts,
-           CASE WHEN n % 30 = 2 THEN upper(nm) ELSE nm END AS event_name, url, props
+           CASE WHEN n % 10 <> 3 THEN 'evt_' || lpad(CAST(n AS VARCHAR), 10, '0') END AS event_id, ts,
+           CASE WHEN n % 30 = 2 THEN upper(nm) ELSE nm END AS event_name,
+           CASE n % 23 {ad_cases} ELSE url END AS url, props
     FROM (SELECT *, CASE WHEN n % 25 = 4 OR event_type = 'view' THEN 'page_view' ELSE event_type END AS nm
-          FROM bridge_rows WHERE copy = 0)
+          FROM bridge_rows)
 ),
 contract_events AS (
     SELECT * EXCLUDE (bridge_n, copy), CAST(ingested_at AS DATE) AS dt,
@@ -251,4 +258,3 @@ contract_events AS (
 
 
 BRIDGE_SQL = _bridge_sql()
-INTERNAL_DOMAINS_SQL = sql_list([d for d in INTERNAL_DOMAINS.split(",") if d])

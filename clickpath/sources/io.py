@@ -1,13 +1,16 @@
 """File sources and sinks (A1-A6).  Paths are Hadoop URIs: ``file://``, ``s3a://``,
 ``gs://``, ``abfss://`` all work unchanged (A6).
 
-Raw streams are NDJSON under ``<root>/<events|bad>/dt=YYYY-MM-DD/``; a streaming ingest may
-add one ``batch=<id>`` level above ``dt`` (idempotent re-runs).  Schemas are declared,
+Raw streams are NDJSON under ``<root>/<events|bad>/batch=<name>/dt=YYYY-MM-DD/``, whoever
+writes them: a streaming micro-batch under its id (so a re-run replaces itself), an append or
+a replay under a name of its own.  Schemas are declared,
 never inferred: a dataset where no row carries ``page`` still has a ``page`` column.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,18 +24,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _with_dt(schema: T.StructType) -> T.StructType:
-    return T.StructType(schema.fields + [T.StructField("dt", T.DateType())])
+def _with_dt(schema: T.StructType, *more: T.StructField) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("dt", T.DateType()), *more])
+
+
+_BATCH = T.StructField("batch", T.StringType())
 
 
 def read_events(spark: SparkSession, root: str) -> DataFrame:
     """A1: raw good events (declared schema, hive ``dt``) plus ``event_date``.
 
-    Unknown fields are ignored and missing ones are NULL; ``params`` keeps the object's
+    Unknown fields are ignored and missing ones are NULL, a line that is no JSON is no row; ``params`` keeps the object's
     JSON text.  A filter on ``dt`` prunes directories before any file is opened."""
     path = f"{root}/events"
-    df = (spark.read.schema(_with_dt(EVENT_SCHEMA))
-          .option("recursiveFileLookup", "false").option("basePath", path).json(path))
+    df = spark.read.schema(_with_dt(EVENT_SCHEMA, _BATCH)).option("basePath", path).option("mode", "DROPMALFORMED").json(path)
     return df.drop("batch").withColumn("event_date", F.to_date("event_timestamp"))
 
 
@@ -42,7 +47,10 @@ def read_bad(spark: SparkSession, root: str) -> DataFrame:
     path = f"{root}/bad"
     if not _exists(spark, path):
         return spark.createDataFrame([], _with_dt(BAD_SCHEMA))
-    return spark.read.schema(_with_dt(BAD_SCHEMA)).option("basePath", path).json(path).drop("batch")
+    # The payload is any JSON value: read as a variant, a string keeps its quotes and a null is one.
+    fields = [T.StructField(f.name, T.VariantType()) if f.name == "payload" else f for f in BAD_SCHEMA.fields]
+    rows = spark.read.schema(_with_dt(T.StructType(fields), _BATCH)).option("basePath", path).option("mode", "DROPMALFORMED").json(path)
+    return rows.withColumn("payload", F.to_json("payload")).drop("batch")
 
 
 def read_derived(spark: SparkSession, root: str) -> DataFrame:
@@ -63,10 +71,10 @@ def _bad_json(df: DataFrame) -> DataFrame:
                      .alias("value"), "dt")
 
 
-def write_raw(df: DataFrame, root: str, stream: str, mode: str = "append", subdir: str | None = None) -> None:
+def write_raw(df: DataFrame, root: str, stream: str, batch: str | None = None) -> None:
     """A4: NDJSON partitioned by ingest date.  ``stream`` is ``events`` (contract rows) or
     ``bad`` (rejected rows).  Spark's commit protocol gives unique file names and atomic
-    visibility; objects are never rewritten in append mode."""
+    visibility.  A ``batch`` written again replaces itself; without one it is a new batch."""
     body = _event_json(df) if stream == "events" else _bad_json(df)
-    path = f"{root}/{stream}" + (f"/{subdir}" if subdir else "")
-    body.write.mode(mode).partitionBy("dt").text(path)
+    path = f"{root}/{stream}/batch={batch or uuid.uuid4().hex}"
+    body.write.mode("overwrite").partitionBy("dt").text(path)

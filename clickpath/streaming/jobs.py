@@ -18,48 +18,61 @@ from pyspark.sql import functions as F
 from clickpath.config import SESSION_GAP_SECONDS, Config
 from clickpath.operators import ingest as I
 from clickpath.operators.derived import derived_events, write_derived
-from clickpath.operators.health import SKEW_BUCKETS, skew_bucket
-from clickpath.functions.clock import skew_seconds
+from clickpath.functions.clock import round_half_away, skew_seconds
+from clickpath.operators.health import SKEW_BUCKETS, SKEW_OVERFLOW, skew_bucket
 from clickpath.sources import io
+from clickpath.storage import stored
 
 # Spark's session window merges events exactly one gap apart; the event model splits at >= gap.
 LIVE_SESSION_GAP = f"{SESSION_GAP_SECONDS - 1} seconds 999999 microseconds"
 
 
-def landed_bodies(spark: SparkSession, landing: str, max_files: int = 1000) -> DataFrame:
-    """A7 as a stream: one request body per line of landed text files.  The arrival stamp
-    is the file's modification time - stable when a micro-batch is replayed."""
-    return (spark.readStream.option("maxFilesPerTrigger", max_files).text(landing)
-            .select(F.col("value").alias("body"),
-                    F.col("_metadata.file_modification_time").alias("received_at")))
+def landed_bodies(spark: SparkSession, landing: str, max_files: int = 1000, whole_files: bool = False) -> DataFrame:
+    """A7 as a stream: one request body per line of landed text files, or per file with
+    ``whole_files`` (bodies of several lines).  The arrival stamp is the file's modification
+    time - stable when a micro-batch is replayed."""
+    return (spark.readStream.option("maxFilesPerTrigger", max_files).text(landing, wholetext=whole_files)
+            .select(F.col("value").alias("body"), F.col("_metadata.file_modification_time").alias("received_at")))
 
 
-def ingest_stream(spark: SparkSession, landing: str, sink_root: str, checkpoint: str,
-                  trigger: dict | None = None, collector_instance: str = "spark"):
-    """H1: continuous ingest.  Each micro-batch is processed once (persisted for the two
-    writes) and written to ``batch=<id>`` folders in overwrite mode, so a batch replayed
-    after a failure replaces its own output instead of duplicating it."""
+def landed_pixels(spark: SparkSession, landing: str, max_files: int = 1000) -> DataFrame:
+    """A8 as a stream: one pixel request's ``e`` parameter per line of landed text files."""
+    lines = (spark.readStream.option("maxFilesPerTrigger", max_files).text(landing)
+             .select(F.col("value").alias("e"), F.col("_metadata.file_modification_time").alias("received_at")))
+    return I.decode_pixel(lines)
+
+
+def ingest_stream(spark: SparkSession, landing: str, sink_root: str, checkpoint: str, trigger: dict | None = None,
+                  collector_instance: str = "spark", pixels: str | None = None, whole_files: bool = False):
+    """H1: continuous ingest of landed bodies and, with ``pixels``, of landed pixel requests.
+
+    Each micro-batch is processed once (persisted for the two writes) and written under its
+    own batch id, so a batch replayed after a failure replaces its output."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         processed = I.ingest(batch.withColumn("collector_instance", F.lit(collector_instance))).persist()
         try:
-            io.write_raw(I.good_events(processed), sink_root, "events", "overwrite", f"batch={batch_id}")
-            io.write_raw(I.bad_rows(processed), sink_root, "bad", "overwrite", f"batch={batch_id}")
+            io.write_raw(I.good_events(processed), sink_root, "events", f"stream-{batch_id}")
+            io.write_raw(I.bad_rows(processed), sink_root, "bad", f"stream-{batch_id}")
         finally:
             processed.unpersist()
 
-    w = (landed_bodies(spark, landing).writeStream.foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint))
-    w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
-    return w.start()
+    bodies = landed_bodies(spark, landing, whole_files=whole_files)
+    if pixels:
+        bodies = bodies.withColumn("decode_error", F.lit(None).cast("string")).unionByName(landed_pixels(spark, pixels))
+    w = bodies.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
 def live_dedup(events: DataFrame, horizon: str = "1 hour") -> DataFrame:
-    """H2: drop duplicate deliveries of an ``event_id`` seen within ``horizon`` of server
-    time (``ingested_at`` - a client cannot move it).  Rows without an id pass through
-    untouched and never enter the dedup state.  Keeps the first copy *processed*; the
-    batch rebuild keeps the earliest *ingested* - the two agree when copies arrive in order."""
-    ids = (events.where(F.col("event_id").isNotNull()).withWatermark("ingested_at", horizon)
-           .dropDuplicatesWithinWatermark(["event_id"]))
+    """H2: drop duplicate deliveries of an ``event_id`` that arrive within ``horizon``.
+
+    The horizon runs on the time of arrival in this job, which only moves forward: no row is
+    ever late, so a distinct id is never lost, however old its stamps are.  Rows without an
+    id pass through untouched and never enter the dedup state.  Keeps the first copy
+    *processed*; the batch rebuild keeps the earliest *ingested* - the two agree when copies
+    arrive in order."""
+    ids = (events.where(F.col("event_id").isNotNull()).withColumn("_arrived", F.current_timestamp())
+           .withWatermark("_arrived", horizon).dropDuplicatesWithinWatermark(["event_id"]).drop("_arrived"))
     return events.where(F.col("event_id").isNull()).unionByName(ids)
 
 
@@ -77,46 +90,59 @@ def live_sessions(events: DataFrame, cfg: Config = Config(), lateness: str = "1
                     F.col("session.end").alias("session_end"), "events", "page_views"))
 
 
-def live_quality(events: DataFrame, lateness: str = "10 minutes") -> DataFrame:
-    """H4: per ingest minute - events, clock-skew buckets, event_id coverage."""
+def live_quality(events: DataFrame, bad: DataFrame | None = None, lateness: str = "10 minutes") -> DataFrame:
+    """H4: per ingest minute - accepted and rejected rows, reject rate, clock-skew buckets
+    (the last one for everything ahead of the others), event_id coverage.
+
+    ``bad`` are the rejected rows; without them nothing counts as rejected."""
+    cols = ["ingested_at", "event_timestamp", "event_id"]
+    rows = events.select(*cols, F.lit(False).alias("_rejected"))
+    if bad is not None:
+        rows = rows.unionByName(bad.select("ingested_at", F.lit(True).alias("_rejected")), allowMissingColumns=True)
+    good = ~F.col("_rejected")
     skew = skew_seconds(F.col("event_timestamp"), F.col("ingested_at"))
-    bucket = skew_bucket(skew)
-    labels = [label for _, _, label in SKEW_BUCKETS]
-    return (events.withWatermark("ingested_at", lateness)
+    bucket = F.when(good, skew_bucket(skew))
+    labels = [label for _, _, label in SKEW_BUCKETS] + [SKEW_OVERFLOW]
+    return (rows.withWatermark("ingested_at", lateness)
             .groupBy(F.window("ingested_at", "1 minute").alias("minute"))
-            .agg(F.count(F.lit(1)).alias("events"),
+            .agg(F.count_if(good).alias("events"), F.count_if(~good).alias("rejected"),
                  F.count("event_id").alias("with_event_id"),
                  *[F.count_if(bucket == lab).alias(f"skew_bucket_{i}") for i, lab in enumerate(labels)],
-                 F.count_if(F.abs(skew) > F.lit(86400)).alias("untrusted_clock"))
-            .select(F.col("minute.start").alias("minute_start"), "events", "with_event_id",
-                    *[f"skew_bucket_{i}" for i in range(len(labels))], "untrusted_clock"))
-
-
-def incremental_rebuild(spark: SparkSession, raw_root: str, dest: str, new_dts: list[str],
-                        cfg: Config = Config()) -> int:
-    """H5: fold newly arrived ingest dates into the derived layer.
-
-    Only the ``event_date`` partitions touched by rows of ``new_dts`` are rewritten (dynamic
-    partition overwrite).  The earliest-ingested copy of an id wins and new arrivals are
-    ingested later than anything already derived, so ids already present are dropped with a
-    ``left_anti`` join; the touched partitions' current rows are checkpointed (reliable,
-    in ``spark.checkpoint.dir``) before being overwritten, never read while written."""
-    from clickpath.session import checkpoint_dir
-    checkpoint_dir(spark)
-    raw = io.read_events(spark, raw_root).where(F.col("dt").isin(new_dts))
-    fresh = derived_events(raw, cfg)
+                 F.count_if(good & (F.abs(skew) > F.lit(86400))).alias("untrusted_clock"))
+            .select(F.col("minute.start").alias("minute_start"), "events", "rejected",
+                    round_half_away(F.lit(100.0) * F.col("rejected") / (F.col("events") + F.col("rejected")), 2).alias("reject_pct"),
+                    "with_event_id", *[f"skew_bucket_{i}" for i in range(len(labels))], "untrusted_clock"))
+
+
+def incremental_rebuild(spark: SparkSession, raw_root: str, dest: str, new_dts: list, cfg: Config = Config()) -> int:
+    """H5: fold ingest dates into the derived layer; running it again changes nothing.
+
+    Rows of the derived layer that came from ``new_dts`` (a row's ingest date tells) are
+    replaced, so a date folded in twice is there once.  Only the ``event_date`` partitions
+    touched by old or new rows of those dates are rewritten.  An id already derived from
+    other dates was ingested earlier and stays.  The new content is stored before the
+    partitions are overwritten, never read while written.  Returns the rows rewritten."""
+    dates = [F.to_date(F.lit(str(d))) for d in new_dts]
+    fresh = derived_events(io.read_events(spark, raw_root).where(F.col("dt").isin(*dates)), cfg)
     existing = io.read_derived(spark, dest)
-    known = existing.select("event_id").where(F.col("event_id").isNotNull())
-    fresh = (fresh.where(F.col("event_id").isNull())
-             .unionByName(fresh.where(F.col("event_id").isNotNull()).join(known, "event_id", "left_anti")))
-    touched = fresh.select("event_date").distinct()
-    current = existing.join(F.broadcast(touched), "event_date", "left_semi") if touched.count() <= 100_000 \
-        else existing.join(touched, "event_date", "left_semi")
-    merged = current.unionByName(fresh.select(*current.columns)).checkpoint(eager=True)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        write_derived(merged, dest)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    replaced = F.coalesce(F.to_date("ingested_at").isin(*dates), F.lit(False))
+    known = existing.where(~replaced & F.col("event_id").isNotNull()).select("event_id")
+    fresh = stored(fresh.join(known, "event_id", "left_anti").select(*existing.columns), "rebuild-fresh")
+    touched = fresh.select("event_date").union(existing.where(replaced).select("event_date")).distinct()
+    current = existing.where(~replaced).join(touched, "event_date", "left_semi").select(*existing.columns)
+    merged = stored(current.unionByName(fresh), "rebuild")
+    write_derived(merged, dest, only_touched=True)
     return merged.count()
+
+
+def rebuild_stream(spark: SparkSession, raw_root: str, dest: str, checkpoint: str, cfg: Config = Config()):
+    """H5 as a stream: all raw files that landed since the last run name the ingest dates to
+    fold in (a batch's distinct dates); ``availableNow``, then it ends."""
+    raw = spark.readStream.option("basePath", f"{raw_root}/events").schema("value string, batch string, dt date").text(f"{raw_root}/events")
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        dts = [r["dt"].isoformat() for r in batch.select("dt").where("dt is not null").distinct().collect()]
+        if dts:
+            incremental_rebuild(spark, raw_root, dest, dts, cfg)
+
+    return raw.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -48,6 +48,12 @@ def test_rebuild_is_idempotent(spark, scratch):
     assert set(EVENT_COLUMNS) <= set(back.columns)
 
 
-def test_null_ids_stay_out_of_the_shuffle(spark):
-    plan = derived_events(events_df(spark, _rows()))._jdf.queryExecution().optimizedPlan().toString()
-    assert "Window" not in plan  # dedup is an aggregate, never a window over event_id
+def test_one_scan_and_no_window(spark, scratch):
+    events_df(spark, _rows()).write.parquet(scratch + "/raw")
+    plan = derived_events(spark.read.parquet(scratch + "/raw"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Window" not in plan
+
+
+def test_equal_rows_without_an_id_all_stay(spark):
+    rows = [event(anonymous_id="anon_same_0001")] * 3 + [event(event_id="same_000000001")] * 3
+    assert derived_events(events_df(spark, rows)).count() == 4

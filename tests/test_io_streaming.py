@@ -47,21 +47,68 @@ def test_ingest_stream_matches_batch(spark, scratch):
     assert good.count() + bad.count() == batch.count()      # nothing lost
 
 
-def test_live_dedup_and_quality(spark, scratch):
-    src = scratch + "/derived"
-    rebuild_derived(bridge_events(spark, SF), src)
-    schema = spark.read.parquet(src).schema
-    stream = spark.readStream.schema(schema).parquet(src)
-    dedup = jobs.live_dedup(stream.drop("event_date"), "1 hour")
-    q = dedup.writeStream.format("memory").queryName("dedup_out").trigger(availableNow=True).start()
+def test_sinks_share_one_layout(spark, scratch):
+    """A streaming sink, an append and a replay of bad rows stay readable together."""
+    landing, pixels = scratch + "/landing", scratch + "/pixels"
+    ok = '{"schema_version":"0","event_name":"page_view","event_timestamp":"2026-07-28T12:00:00Z","anonymous_id":"anon_0000001","session_id":"1785240000"}'
+    spark.createDataFrame([(ok,), (ok.replace("page_view", "Bad"),)], "value string").coalesce(1).write.text(landing)
+    import base64
+    spark.createDataFrame([(base64.urlsafe_b64encode(ok.encode()).decode().rstrip("="),), ("%%%",)], "value string").coalesce(1).write.text(pixels)
+    jobs.ingest_stream(spark, landing, scratch + "/sink", scratch + "/ckpt", trigger={"availableNow": True}, pixels=pixels).awaitTermination(300)
+    assert io.read_events(spark, scratch + "/sink").count() == 2 and io.read_bad(spark, scratch + "/sink").count() == 2
+    io.write_raw(io.read_events(spark, scratch + "/sink"), scratch + "/sink", "events")
+    io.write_raw(I.replay_bad(io.read_bad(spark, scratch + "/sink")), scratch + "/sink", "events", "replay-1")
+    assert io.read_events(spark, scratch + "/sink").count() == 4
+
+
+def test_bodies_of_several_lines(spark, scratch):
+    os.makedirs(scratch + "/landing")
+    with open(scratch + "/landing/a.txt", "w") as f:
+        f.write('{"schema_version":"0",\n"event_name":"page_view","event_timestamp":"2026-07-28T12:00:00Z",\n"anonymous_id":"anon_0000001","session_id":"1785240000"}\n')
+    jobs.ingest_stream(spark, scratch + "/landing", scratch + "/sink", scratch + "/ckpt", trigger={"availableNow": True}, whole_files=True).awaitTermination(300)
+    assert io.read_events(spark, scratch + "/sink").count() == 1
+
+
+def _stream(spark, scratch, name, batches, schema):
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{scratch}/{name}")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/{name}")
+
+
+def test_live_dedup_drops_copies_and_keeps_late_ids(spark, scratch):
+    t = [f"2026-07-28 {h:02d}:00:00" for h in range(24)]
+    batches = [[("e1", t[1]), ("e1", t[1]), (None, t[1])], [("e2", t[20]), (None, t[1]), ("e1", t[1])], [("e3", t[2]), ("e2", t[20])]]
+    stream = _stream(spark, scratch, "dedup", [[(i, x) for i, x in b] for b in batches], "event_id string, at string").withColumn("ingested_at", F.to_timestamp("at"))
+    q = jobs.live_dedup(stream).writeStream.format("memory").queryName("dedup_out").trigger(availableNow=True).start()
     q.awaitTermination(300)
-    # the derived layer is already deduplicated: the stream must keep every row
-    assert spark.table("dedup_out").count() == spark.read.parquet(src).count()
-    raw = bridge_events(spark, SF)
-    q2 = (jobs.live_quality(spark.readStream.schema(schema).parquet(src)).writeStream.format("memory")
-          .queryName("quality_out").outputMode("append").trigger(availableNow=True).start())
-    q2.awaitTermination(300)
-    assert spark.table("quality_out").agg(F.sum("events")).first()[0] <= derived_events(raw).count()
+    assert sorted(str(r.event_id) for r in spark.table("dedup_out").collect()) == ["None", "None", "e1", "e2", "e3"]
+
+
+def test_live_quality_counts_rejects_and_all_buckets(spark):
+    minute = "2026-07-28 12:00:30"
+    skews = [-200_000, -1_000, 0, 1_000, 200_000]
+    good = spark.createDataFrame([(minute, s, "e") for s in skews], "at string, s long, event_id string").select(
+        F.to_timestamp("at").alias("ingested_at"), F.timestamp_seconds(F.unix_seconds(F.to_timestamp("at")) + F.col("s")).alias("event_timestamp"), "event_id")
+    bad = spark.createDataFrame([(minute,)] * 3, "at string").select(F.to_timestamp("at").alias("ingested_at"))
+    r = jobs.live_quality(good, bad).first()
+    assert (r.events, r.rejected, r.reject_pct, r.with_event_id, r.untrusted_clock) == (5, 3, 37.5, 5, 2)
+    assert [r[f"skew_bucket_{k}"] for k in range(5)] == [1] * 5
+
+
+def test_incremental_rebuild_twice_and_as_a_stream(spark, scratch):
+    raw_root, dest = scratch + "/raw", scratch + "/derived"
+    ev = bridge_events(spark, SF)
+    dts = sorted(r.dt.isoformat() for r in ev.select("dt").distinct().collect())
+    io.write_raw(ev.where(F.col("dt").isin(dts[:-2])), raw_root, "events")
+    rebuild_derived(io.read_events(spark, raw_root), dest)
+    jobs.rebuild_stream(spark, raw_root, dest, scratch + "/ckpt").awaitTermination(300)
+    io.write_raw(ev.where(F.col("dt").isin(dts[-2:])), raw_root, "events")
+    jobs.rebuild_stream(spark, raw_root, dest, scratch + "/ckpt").awaitTermination(300)
+    jobs.incremental_rebuild(spark, raw_root, dest, dts[-2:])
+    full = derived_events(io.read_events(spark, raw_root))
+    cols = ["event_id", "anonymous_id", "event_time", "ingested_at", "event_date"]
+    inc = spark.read.parquet(dest)
+    assert inc.count() == full.count() and inc.select(*cols).exceptAll(full.select(*cols)).count() == 0
 
 
 def test_incremental_rebuild_equals_full(spark, scratch):
