@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickpath.session import checkpoint_dir
 from clickpath.shipping import ship_package
@@ -48,6 +49,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hashed_sample(df: DataFrame, by: list[str], rows: int) -> DataFrame:
+    """The ``rows`` rows with the smallest hash of ``by`` (all, if there are fewer).
+
+    A sort with a limit sends that many rows of every partition to one place; rows whose
+    hash is far above the wanted share of all rows are left out before it."""
+    key, total = F.xxhash64(*by), df.count()
+    if total > 2 * rows:
+        df = df.filter(key <= -(2**63) + int(2**64 * 1.5 * rows / total))
+    return df.orderBy(key, *by).limit(rows)
+
+
 def byte_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column, each of about ``limit`` bytes and one row at least."""
     sizes = np.asarray(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False), np.int64)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.llm.common import byte_slices, byte_table, flat_bytes, prepare, runs, stored
+from clickpath.llm.common import byte_slices, byte_table, flat_bytes, hashed_sample, prepare, runs, stored
 
 LEAST_WORDS, MOST_REPEATED = 50, 50      # words; per cent of words in repeated windows
 TREES, SAMPLE, BINS, SEED = 128, 256, 1000, 20
@@ -207,7 +207,7 @@ def quality(docs: DataFrame, labels: DataFrame, trees: int = TREES, sample: int
     counted = stored(rule_statistics(docs), "quality-counts")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     counted = counted.withColumn("base_failed", failed)
-    drawn = counted.filter(~failed).orderBy(F.xxhash64("doc_id", F.lit(SEED)), *COUNTS).limit(trees * sample)
+    drawn = hashed_sample(counted.filter(~failed), ["doc_id", *COUNTS], trees * sample)
     forest = grow(shape(drawn.toPandas()), trees, sample)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

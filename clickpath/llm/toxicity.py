@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpath.llm.common import byte_slices, doc_text, prepare, stored
+from clickpath.llm.common import byte_slices, doc_text, hashed_sample, prepare, stored
 
 SAMPLE_ROWS = 20_000
 MOST_ENTRIES = 4_000
@@ -127,7 +127,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -
     """``(text, toxic)`` of at most ``rows`` labelled documents that are not held out."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null")
              .filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)      # bounded, so it may be broadcast
+    sample = hashed_sample(known, ["doc_id"], rows)                          # bounded, so it may be broadcast
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id").select("text", "toxic")
 
 
