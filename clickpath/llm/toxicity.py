@@ -146,11 +146,12 @@ def _counted(rows: DataFrame, texts_entries) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            pos, neg = Counter(), Counter()
-            for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-                (pos if toxic else neg).update(texts_entries(text))
-            entries = list(pos.keys() | neg.keys())
-            yield pd.DataFrame({"entry": entries, "pos": [pos[e] for e in entries], "neg": [neg[e] for e in entries]})
+            for lo in range(0, len(batch), 512):          # few texts at a time: their entries are many
+                pos, neg, part = Counter(), Counter(), batch.iloc[lo:lo + 512]
+                for text, toxic in zip(part["text"], part["toxic"], strict=True):
+                    (pos if toxic else neg).update(texts_entries(text))
+                entries = list(pos.keys() | neg.keys())
+                yield pd.DataFrame({"entry": entries, "pos": [pos[e] for e in entries], "neg": [neg[e] for e in entries]})
 
     counted = rows.mapInPandas(run, "entry string, pos long, neg long")
     return counted.groupBy("entry").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
@@ -188,10 +189,13 @@ def learn(rows: DataFrame, most: int = MOST_ENTRIES) -> tuple[Lexicon, np.ndarra
     lexicon = Lexicon()
     if not n_pos or not n_neg:
         return lexicon, np.array([-np.inf, 0.0, 0.0, 0.0])
-    counted = _counted(kept, _entries).filter((F.col("pos") >= max(3, n_pos // 500)) & (F.col("pos") * n_neg > 5 * F.col("neg") * n_pos))
-    # At most 50 times the entries kept reach the driver, the best by what they explain.
-    odds = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
-    found = counted.orderBy((F.col("pos") * odds).desc(), "entry").limit(50 * most).toPandas()
+    # Only entries that several toxic documents hold can be learned: they are found first, and
+    # the clean documents are searched for those alone.
+    held = _counted(kept.filter("toxic <> 0"), _entries).filter(F.col("pos") >= max(3, n_pos // 500)).select("entry", "pos")
+    held = held.orderBy(F.col("pos").desc(), "entry").limit(50 * most).toPandas()
+    wanted = frozenset(held["entry"])
+    clean = _counted(kept.filter("toxic = 0"), lambda text: wanted & _entries(text)).select("entry", "neg").toPandas()
+    found = held.merge(clean, "left", on="entry").fillna({"neg": 0}).astype({"pos": "int64", "neg": "int64"})
     found["weight"] = _log_odds(found["pos"], found["neg"], n_pos, n_neg)
     found = found[(found["weight"] >= _LEAST_WEIGHT) & (_gain(found["pos"], found["neg"], n_pos, n_neg) >= _LEAST_GAIN)]
     support = dict(zip(found["entry"], found["pos"], strict=True))
