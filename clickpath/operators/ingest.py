@@ -428,18 +428,27 @@ def ingest(bodies: DataFrame) -> DataFrame:
     return process(decode_bodies(bodies))
 
 
-def replay_bad(bad: DataFrame, known_ids: DataFrame | None = None) -> DataFrame:
-    """Re-validate stored bad rows after a fix; rows that now pass (and whose id is
-    not already in the good table) come back as good contract rows.
-
-    The bad row's payload is the post-redaction object as received; it is re-stamped with
-    the original ``ingested_at`` so ``dt`` does not move."""
-    bodies = (bad.where(F.col("payload").isNotNull())
-              .select(F.col("payload").alias("body"), F.col("ingested_at").alias("received_at"),
-                      "collector_instance"))
+REPLAY_KEY = ["anonymous_id", "session_id", "event_name", "event_timestamp", "ingested_at"]
+
+
+def replay_bad(bad: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Re-validate stored bad rows after a fix; rows that now pass come back as good
+    contract rows.
+
+    A row's payload is the post-redaction object as received, or the raw text that no parser
+    took then.  It is re-stamped with the original ``ingested_at`` so ``dt`` does not move.
+    ``known`` is the good table: rows whose id it has, or that have no id and equal one of
+    its rows in ``REPLAY_KEY``, are left out, so a second replay adds nothing."""
+    bodies = (bad.select(F.coalesce("payload", "payload_raw").alias("body"), F.col("ingested_at").alias("received_at"), "collector_instance")
+              .where(F.col("body").isNotNull()))
     fixed = good_events(ingest(bodies))
-    if known_ids is not None:
-        with_id = fixed.where(F.col("event_id").isNotNull()).join(
-            known_ids.select("event_id").where(F.col("event_id").isNotNull()), "event_id", "left_anti")
-        fixed = fixed.where(F.col("event_id").isNull()).unionByName(with_id.select(*fixed.columns))
-    return fixed
+    if known is None:
+        return fixed
+    missing = F.col("event_id").isNull()
+    with_id = fixed.where(~missing).join(known.where(~missing).select("event_id"), "event_id", "left_anti")
+    others = known.where(missing).select(*[F.col(c).alias(f"_{c}") for c in REPLAY_KEY])
+    same = None
+    for c in REPLAY_KEY:
+        equal = F.col(c).eqNullSafe(F.col(f"_{c}"))
+        same = equal if same is None else same & equal
+    return with_id.select(*fixed.columns).unionByName(fixed.where(missing).join(others, same, "left_anti"))

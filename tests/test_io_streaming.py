@@ -61,6 +61,19 @@ def test_sinks_share_one_layout(spark, scratch):
     assert io.read_events(spark, scratch + "/sink").count() == 4
 
 
+def test_replay_adds_fixed_rows_once(spark, scratch):
+    """Rows fixed since (an object, and text that once failed) come back once, with and without an id."""
+    import datetime as dt
+    ok = '{"schema_version":"0","event_name":"page_view","event_timestamp":"2026-07-28T12:00:00Z","anonymous_id":"anon_0000001","session_id":"sess_00001"%s}'
+    at = dt.datetime(2026, 7, 28, 12, 0, 1)
+    rows = [(at, "c", ["once"], ok % "", None), (at, "c", ["once"], None, ok % ',"event_id":"evt_000001"'), (at, "c", ["still"], '{"a":1}', None), (at, "c", ["still"], None, "not json")]
+    bad = spark.createDataFrame(rows, "ingested_at timestamp, collector_instance string, errors array<string>, payload string, payload_raw string")
+    first = I.replay_bad(bad)
+    assert sorted(str(r.event_id) for r in first.collect()) == ["None", "evt_000001"]
+    io.write_raw(first, scratch, "events", "replay-1")
+    assert I.replay_bad(bad, io.read_events(spark, scratch)).count() == 0
+
+
 def test_bodies_of_several_lines(spark, scratch):
     os.makedirs(scratch + "/landing")
     with open(scratch + "/landing/a.txt", "w") as f:
