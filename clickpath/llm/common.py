@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,13 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpath.session import checkpoint_dir
 from clickpath.shipping import ship_package
 
-# Text handed to one numpy pass inside a task; bounds a worker's memory whatever the batch.
+#: Text handed to one numpy pass inside a task; bounds a worker's memory whatever the batch.
 SLICE_BYTES = 4 << 20
-
-
 #: Text that one Arrow batch carries between the JVM and Python, on either side.
 BATCH_BYTES = 4 << 20
 
@@ -37,18 +33,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back.
-
-    Cuts the lineage with files that every executor can read again, so a lost executor
-    costs a re-read and not a recomputation.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/clickpath-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def hashed_sample(df: DataFrame, by: list[str], rows: int) -> DataFrame:
     """The ``rows`` rows with the smallest hash of ``by`` (all, if there are fewer).
 

@@ -16,7 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.llm.common import prepare, stored
+from clickpath.llm.common import prepare
+from clickpath.storage import stored
 
 #: Links that one task contracts.
 CHUNK = 500_000

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickpath.llm.common import byte_slices, byte_table, flat_bytes, hashed_sample, prepare, runs, stored
+from clickpath.llm.common import byte_slices, byte_table, flat_bytes, hashed_sample, prepare, runs
+from clickpath.storage import stored
 
 LEAST_WORDS, MOST_REPEATED = 50, 50      # words; per cent of words in repeated windows
 TREES, SAMPLE, BINS, SEED = 128, 256, 1000, 20

@@ -37,8 +37,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpath.llm.common import LOWER, byte_slices, byte_table, flat_bytes, prepare, runs, stored
+from clickpath.llm.common import LOWER, byte_slices, byte_table, flat_bytes, prepare, runs
 from clickpath.llm.components import components
+from clickpath.storage import stored
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 3, 42
 CROWD = 32

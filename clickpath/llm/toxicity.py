@@ -39,7 +39,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickpath.llm.common import byte_slices, doc_text, hashed_sample, prepare, stored
+from clickpath.llm.common import byte_slices, doc_text, hashed_sample, prepare
+from clickpath.storage import stored
 
 SAMPLE_ROWS = 20_000
 MOST_ENTRIES = 4_000
