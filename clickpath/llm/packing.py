@@ -24,7 +24,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -40,6 +39,15 @@ _CUT = _PIECES + ", part int, nth long"
 _PACKED = _PIECES + ", sequence_id long, offset long"
 
 
+def _nth_of_equal(values: np.ndarray) -> np.ndarray:
+    """How many equal values stand before each."""
+    order = np.argsort(values, kind="stable")
+    inorder = values[order]
+    nth = np.empty(len(values), np.int64)
+    nth[order] = np.arange(len(values)) - np.searchsorted(inorder, inorder)
+    return nth
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """One row per piece of at most ``capacity`` ids; ``with_ids`` adds them (uint32, little-endian).
 
@@ -69,7 +77,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
                     pa.array(start), pa.array(length),
                     pa.array([zlib.crc32(raw[a:b]) for a, b in spans], pa.int64()),
                     pa.array(sizes[row]), pa.array(np.full(len(row), part, np.int32)),
-                    pa.array(seen[length] + pd.Series(length).groupby(length).cumcount().to_numpy(np.int64)),
+                    pa.array(seen[length] + _nth_of_equal(length)),
                 ]
                 seen += np.bincount(length, minlength=capacity + 1)
                 names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "nth"]
@@ -173,16 +181,16 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     schema = _PACKED + (", ids binary" if "ids" in cut.columns else "")
     names = [x.split()[0] for x in schema.split(", ")]
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            length = batch["length"].to_numpy(np.int64)
-            rank = batch["earlier"].to_numpy(np.int64) + batch["nth"].to_numpy(np.int64)
-            short = length < capacity
-            sequence, offset = rank + slots.windows, np.zeros(len(batch), np.int64)
+            length, before, nth = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "earlier", "nth"))
+            rank, short = before + nth, length < capacity
+            sequence, offset = rank + slots.windows, np.zeros(len(rank), np.int64)
             sequence[short], offset[short] = slots.place(length[short], rank[short])
-            yield batch.assign(sequence_id=sequence, offset=offset)[names]
+            found = {"sequence_id": pa.array(sequence), "offset": pa.array(offset)}
+            yield pa.RecordBatch.from_arrays([found[c] if c in found else batch.column(c) for c in names], names)
 
-    return cut.join(earlier, ["length", "part"]).mapInPandas(place, schema)
+    return cut.join(earlier, ["length", "part"]).mapInArrow(place, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
