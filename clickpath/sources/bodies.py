@@ -93,6 +93,7 @@ def bridge_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"schema_version":'), F.when(m == 9, F.lit('"1"')).otherwise(F.lit('"0"')),
         opt(m != 1, F.concat(F.lit(',"session_id":'), _jstr(F.col("session_id")))),
         F.lit("}"))
+    ev, obj = ev.withColumn("_obj", obj), F.col("_obj")        # built once, used in several branches
     body = (F.when(m == 4, F.substring(obj, 1, TRUNCATE_AT))
             .when(m == 8, F.concat(F.lit("["), obj, F.lit(',42,"str apikey=abc'), ns, F.lit('",null]')))
             .when(m == 17, F.lit("[]"))
