@@ -152,7 +152,8 @@ def _counted(rows: DataFrame, texts_entries) -> DataFrame:
                 for text, toxic in zip(part["text"], part["toxic"], strict=True):
                     (pos if toxic else neg).update(texts_entries(text))
                 entries = list(pos.keys() | neg.keys())
-                yield pd.DataFrame({"entry": entries, "pos": [pos[e] for e in entries], "neg": [neg[e] for e in entries]})
+                if entries:          # an empty frame has no string column
+                    yield pd.DataFrame({"entry": entries, "pos": [pos[e] for e in entries], "neg": [neg[e] for e in entries]})
 
     counted = rows.mapInPandas(run, "entry string, pos long, neg long")
     return counted.groupBy("entry").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
@@ -175,6 +176,8 @@ def learn(rows: DataFrame, most: int = MOST_ENTRIES) -> tuple[Lexicon, np.ndarra
 
     def folded_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            if batch.empty:
+                continue
             texts = [fold(t) for t in batch["text"]]
             # Near copies share the smallest hash of their word triples more often than not.
             keys = []
