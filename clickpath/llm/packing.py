@@ -61,7 +61,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for lo, hi in byte_slices(batch.column("text")):
+            for lo, hi in byte_slices(batch.column("text"), 2 << 20):
                 ids, off = enc.encode(batch.column("text").slice(lo, hi - lo), END_ID)
                 sizes = np.diff(off)
                 n = -(-sizes // capacity)
