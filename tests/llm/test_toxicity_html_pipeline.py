@@ -60,6 +60,13 @@ def test_exceptions_excuse_hits():
     assert empty.hits(empty.automaton(), "anything") == []
 
 
+def test_learning_from_tasks_without_entries(spark):
+    """Tasks whose texts hold nothing that is counted give nothing, and learning goes on."""
+    rows = [("grobnik " + text(k, 5) if k < 6 else text(500 + k, 3) if k % 2 else None, int(k < 6)) for k in range(60)]
+    lexicon, _ = toxicity.learn(spark.createDataFrame(rows, "text string, toxic int").repartition(20))
+    assert "grobnik" in lexicon.words
+
+
 def test_toxicity_without_labels(spark):
     docs = documents(spark, awkward())
     none = spark.createDataFrame([], LABELS)
