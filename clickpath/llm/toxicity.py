@@ -12,7 +12,8 @@ document's score is a logistic function of its hits' weight, that weight over it
 the number of different entries hit.
 
 What is learned is bounded: ``SAMPLE_ROWS`` labelled rows (those with the smallest hash of
-their doc_id), and ``MOST_ENTRIES`` entries and exceptions each.  Rows whose
+their doc_id), and ``MOST_ENTRIES`` entries and exceptions each, chosen on the driver among at
+most 50 times as many that toxic texts hold.  Rows whose
 crc32(doc_id) mod 4 is 2 are never learned from.  Copies of a text are learned from once.
 Scoring covers every whole text.
 
