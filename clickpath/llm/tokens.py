@@ -19,7 +19,7 @@ from clickpath.llm.common import byte_table, flat_bytes
 
 END_ID = 1
 #: Distinct pieces that a task remembers before it starts anew (memory, never results).
-MEMORY_PIECES = 300_000
+MEMORY_PIECES = 500_000
 _JOINED = 256           # pieces handed to the library as one text
 _MARK = "\x01"
 _LETTER, _PRINTED, _SEEN = byte_table(r"[A-Za-z]"), byte_table(r"[!-~]"), byte_table(r"[!-~\xC3]")
