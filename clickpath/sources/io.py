@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickpath.operators.ingest import allow_repeated_keys
 from clickpath.sources.schema import BAD_SCHEMA, EVENT_SCHEMA
 
 
@@ -29,28 +30,79 @@ def _with_dt(schema: T.StructType, *more: T.StructField) -> T.StructType:
 
 
 _BATCH = T.StructField("batch", T.StringType())
+_LINE = "_corrupt_record"
+#: No limit to the digits of a number: one of any length makes its field unreadable, not its line.
+_JSON = {"maxNumLen": str(2**31 - 1)}
+
+
+def _readable(line: Column) -> Column:
+    """Whether a line is a JSON object (or an array of them, whose elements are rows)."""
+    listed = F.size(F.from_json(line, "array<map<string,string>>", _JSON)) > 0
+    return F.from_json(line, "map<string,string>", _JSON).isNotNull() | F.coalesce(listed, F.lit(False))
+
+
+def _read_lines(spark: SparkSession, path: str, fields: list[T.StructField]) -> DataFrame:
+    """Rows of the NDJSON files below ``path``, with ``_LINE``: the text of a line of which a field that is read
+    does not convert (that field is NULL), else NULL.
+
+    Which lines are rows depends on the line alone, never on the columns that a query reads."""
+    schema = _with_dt(T.StructType(fields), _BATCH, T.StructField(_LINE, T.StringType()))
+    rows = spark.read.schema(schema).option("basePath", path).options(**_JSON).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).json(path)
+    # Always true, and not known to be so: Spark refuses a read of the line's text without any field.
+    with_field = F.xxhash64(fields[0].name) >= F.lit(-(2**63))
+    return rows.where((F.col(_LINE).isNull() | _readable(F.col(_LINE))) & with_field).drop("batch")
+
+
+def _time(name: str) -> Column:
+    """A timestamp; RFC 3339 allows the letters T and Z in lower case too."""
+    text = F.translate(F.get_json_object(_LINE, f"$.{name}"), "tz", "TZ")
+    return F.coalesce(F.col(name), text.try_cast("timestamp"))
+
+
+def _whole_number(device_field: str) -> Column:
+    """An integer as JSON Schema has it: 1280.0 is one; over 64 bits it is NULL."""
+    number = F.get_json_object(_LINE, f"$.device.{device_field}").try_cast("decimal(38,10)")
+    return F.coalesce(F.col("device")[device_field], F.when(number == F.floor(number), number.try_cast("bigint")))
 
 
 def read_events(spark: SparkSession, root: str) -> DataFrame:
     """A1: raw good events (declared schema, hive ``dt``) plus ``event_date``.
 
-    Unknown fields are ignored and missing ones are NULL, a line that is no JSON is no row; ``params`` keeps the object's
-    JSON text.  A filter on ``dt`` prunes directories before any file is opened."""
-    path = f"{root}/events"
-    df = spark.read.schema(_with_dt(EVENT_SCHEMA, _BATCH)).option("basePath", path).option("mode", "DROPMALFORMED").json(path)
-    return df.drop("batch").withColumn("event_date", F.to_date("event_timestamp"))
+    Unknown fields are ignored, missing ones are NULL and so is a field that does not convert;
+    a line that is no JSON object is no row (:func:`read_dropped` has those).  ``params`` keeps
+    the object's JSON text.  A filter on ``dt`` prunes directories before any file is opened."""
+    rows = _read_lines(spark, f"{root}/events", EVENT_SCHEMA.fields)
+    device = F.col("device")
+    for name in ("screen_width", "screen_height"):
+        device = device.withField(name, _whole_number(name))
+    partly = F.col(_LINE).isNotNull()
+    rows = rows.withColumns({**{name: _time(name) for name in ("event_timestamp", "ingested_at")},
+                             "device": F.when(partly & F.col("device").isNotNull(), device).otherwise(F.col("device"))})
+    return rows.drop(_LINE).withColumn("event_date", F.to_date("event_timestamp"))
 
 
 def read_bad(spark: SparkSession, root: str) -> DataFrame:
     """A2: rejected rows.  No ``bad/`` directory is the normal state: an empty table with
-    the declared schema is returned (so "0 rejected" is a result, not a missing view)."""
+    the declared schema is returned (so "0 rejected" is a result, not a missing view).
+    Lines that are partly or not readable: as in :func:`read_events`."""
     path = f"{root}/bad"
     if not _exists(spark, path):
         return spark.createDataFrame([], _with_dt(BAD_SCHEMA))
+    allow_repeated_keys(spark)
     # The payload is any JSON value: read as a variant, a string keeps its quotes and a null is one.
     fields = [T.StructField(f.name, T.VariantType()) if f.name == "payload" else f for f in BAD_SCHEMA.fields]
-    rows = spark.read.schema(_with_dt(T.StructType(fields), _BATCH)).option("basePath", path).option("mode", "DROPMALFORMED").json(path)
-    return rows.withColumn("payload", F.to_json("payload")).drop("batch")
+    rows = _read_lines(spark, path, fields).withColumn("ingested_at", _time("ingested_at"))
+    return rows.withColumn("payload", F.to_json("payload")).drop(_LINE)
+
+
+def read_dropped(spark: SparkSession, root: str, stream: str = "events") -> DataFrame:
+    """``(value, batch, dt)``: the lines of a raw stream that are no row of it, for they are no
+    JSON object (cut off, say); blank lines aside.  Rows and these make up the whole stream."""
+    path, schema = f"{root}/{stream}", "value string, batch string, dt date"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    lines = spark.read.schema(schema).option("basePath", path).text(path)
+    return lines.where((F.trim("value") != "") & ~_readable(F.col("value")))
 
 
 def read_derived(spark: SparkSession, root: str) -> DataFrame:

@@ -120,16 +120,21 @@ def incremental_rebuild(spark: SparkSession, raw_root: str, dest: str, new_dts:
     Rows of the derived layer that came from ``new_dts`` (a row's ingest date tells) are
     replaced, so a date folded in twice is there once.  Only the ``event_date`` partitions
     touched by old or new rows of those dates are rewritten.  An id already derived from
-    other dates was ingested earlier and stays.  The new content is stored before the
+    other dates was ingested earlier and stays, and a row with neither id nor ingest stamp is
+    known by its content.  The new content is stored before the
     partitions are overwritten, never read while written.  Returns the rows rewritten."""
     dates = [F.to_date(F.lit(str(d))) for d in new_dts]
     fresh = derived_events(io.read_events(spark, raw_root).where(F.col("dt").isin(*dates)), cfg)
     existing = io.read_derived(spark, dest)
     replaced = F.coalesce(F.to_date("ingested_at").isin(*dates), F.lit(False))
     known = existing.where(~replaced & F.col("event_id").isNotNull()).select("event_id")
-    fresh = stored(fresh.join(known, "event_id", "left_anti").select(*existing.columns), "rebuild-fresh")
-    touched = fresh.select("event_date").union(existing.where(replaced).select("event_date")).distinct()
-    current = existing.where(~replaced).join(touched, "event_date", "left_semi").select(*existing.columns)
+    fresh = fresh.join(known, "event_id", "left_anti").select(*existing.columns)
+    nameless = F.col("event_id").isNull() & F.col("ingested_at").isNull()
+    there = existing.where(nameless).select(F.xxhash64(*existing.columns).alias("_there"))
+    fresh = stored(fresh.join(there, nameless & (F.xxhash64(*existing.columns) == F.col("_there")), "left_anti"), "rebuild-fresh")
+    # Rows without a readable time stand under a NULL date, which is rewritten whole like any other.
+    touched = fresh.select("event_date").union(existing.where(replaced).select("event_date")).distinct().withColumnRenamed("event_date", "_touched")
+    current = existing.where(~replaced).join(touched, F.col("event_date").eqNullSafe(F.col("_touched")), "left_semi").select(*existing.columns)
     merged = stored(current.unionByName(fresh), "rebuild")
     write_derived(merged, dest, only_touched=True)
     return merged.count()
