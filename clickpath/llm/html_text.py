@@ -3,7 +3,11 @@
 A page becomes a tree (unclosed and misnested tags are repaired the way browsers mostly do).
 Elements that are never article text are set aside: navigation, page headers and footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments, by element, role,
-or the words of class and id.  Every paragraph then passes points to its ancestors, for
+or a class or id that as a whole names such furniture (``ad-slot``, ``related-posts``).  A class
+or id with only a word of it (``legal-status``, made from a heading) is a doubt: headings and
+inline elements stay, paragraphs, list items and cells go if most of their text is links, and
+other elements also if they have little text and no heading or paragraph.  Formulas (``math``, without their
+annotations) and ``xmp`` are text.  Every paragraph then passes points to its ancestors, for
 its length and its commas, the full sum to the parent, half to the grandparent and less
 further up; a container's points are discounted by its link density.  The container with
 most points is kept, widened to the article element or the heading that it belongs to,
@@ -30,14 +34,23 @@ from clickpath.llm.common import byte_slices, prepare
 
 # Kinds of elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript template iframe svg canvas object math xmp noembed noframes".split())
+RAW = set("script style textarea title noscript template iframe svg canvas object annotation annotation-xml xmp noembed noframes".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+MATH = set("math maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics".split())
+INLINE |= MATH
 ASIDE = set("nav aside footer form button select option optgroup fieldset input dialog menu menuitem datalist output progress meter head audio video map".split())
 ASIDE_ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form toolbar tablist status".split())
 ASIDE_WORDS = set("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promoted promotion nav navbar navigation menu breadcrumb breadcrumbs "
                   "sidebar aside footer masthead cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription signup login "
                   "comment comments disqus respond replies reply share sharing social related recommended recommendations widget pagination pager toolbar skip search banner "
                   "toc copyright legal disclaimer paywall outbrain taboola".split())
+#: Of these, those that articles are about as well: an id of no others is a doubt.
+SUBJECTS = set("alert banner consent copyright disclaimer legal login map menu navigation notice notification promotion recommendations recommended related reply search sharing signup social status subscribe subscription widget".split())
+#: Those that no article is about: a class with one of them names furniture, whatever else it says.
+ADVERTS = set("ad ads adv advert adverts advertisement advertising adsense sponsored promo nav navbar breadcrumb breadcrumbs sidebar masthead cookie cookies gdpr newsletter disqus pagination pager toolbar popup modal paywall outbrain taboola".split())
+#: Words that go with furniture: a name of these and ASIDE_WORDS alone names it as a whole.
+FITTINGS = set("area article articles bar block bottom box btn button buttons center column container content count div entry facebook field fixed form global google gpt group header hero holder icon icons inner input item items "
+               "left link links list main meta mobile page pages panel post posts primary right row secondary section site slot stories story sub tags text this title top topbar twitter unit wrap wrapper".split())
 HEADER_WORDS = {"header", "topbar", "hero"}
 ARTICLE_WORDS = set("article content main body entry post story text".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
@@ -46,6 +59,10 @@ SAME = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table",
 SIBLINGS = {"dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"tbody", "thead", "tfoot"}, "thead": {"tbody", "thead", "tfoot"}, "tfoot": {"tbody", "thead", "tfoot"}}
 PARAGRAPHS = {"p", "pre", "td", "blockquote"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements that hold text themselves, however little.
+TEXTUAL = PARAGRAPHS | HEADINGS | {"li", "dt", "dd", "th", "caption", "figcaption", "summary"}
+#: An element in doubt goes if more of its text is links, or if it has less text (and no textual element).
+DOUBT_LINKED, DOUBT_LENGTH = 0.5, 25
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+>|[^>]*>)""", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.IGNORECASE)
@@ -55,11 +72,11 @@ _RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*>?", re.IGNORECASE) for tag in RAW}
 
 
 class Node:
-    __slots__ = ("tag", "parent", "kids", "aside", "article", "points", "length", "linked", "commas", "blocks")
+    __slots__ = ("tag", "parent", "kids", "aside", "article", "points", "length", "linked", "commas", "blocks", "doubt")
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.kids = tag, parent, []
-        self.aside = self.article = False
+        self.aside = self.article = self.doubt = False
         self.points = 0.0
         self.length = self.linked = self.commas = self.blocks = 0
 
@@ -71,14 +88,14 @@ def _judge(node: Node, attributes: str) -> None:
     node.article = tag in ("article", "main")
     if len(attributes) < 4:
         return
-    words: set[str] = set()
+    names: list[tuple[str, list[str]]] = []
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name in ("class", "id"):
             for part in value.split():
                 found = [w.lower() for w in _NAME_WORDS.findall(part)]
                 if found and found[0] not in ("has", "with", "no", "is", "without", "js"):
-                    words.update(found)
+                    names.append((name, found))
         elif name == "role":
             node.aside |= value.strip().lower() in ASIDE_ROLES
             node.article |= value.strip().lower() in ("main", "article")
@@ -88,10 +105,30 @@ def _judge(node: Node, attributes: str) -> None:
             node.aside |= re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE) is not None
         elif name == "itemprop":
             node.article |= value.strip().lower() == "articlebody"
-    if tag not in ("html", "body") and words & ASIDE_WORDS:
-        node.aside |= tag not in ("article", "main") or bool(words & {"comment", "comments", "reply", "ad", "ads", "related", "promo", "sponsored"})
-    if words & HEADER_WORDS and not words & ARTICLE_WORDS and tag in ("div", "section"):
-        node.aside = True
+    if tag in ("html", "body"):
+        return
+    headers = HEADER_WORDS if tag in ("div", "section") and not any(ARTICLE_WORDS.intersection(found) for _, found in names) else set()
+    for name, found in names:
+        words = set(found)
+        hit = words & (ASIDE_WORDS if tag not in ("article", "main") else {"comment", "comments", "reply", "ad", "ads", "related", "promo", "sponsored"})
+        if not hit and not words & headers:
+            continue
+        if name == "id" and tag in HEADINGS:           # where a link leads, made from the heading
+            continue
+        if _furniture(name, words, headers):
+            node.aside = True
+        else:
+            node.doubt = True
+
+
+def _furniture(name: str, words: set[str], headers: set[str]) -> bool:
+    """Whether a class or id names furniture as a whole."""
+    if name == "class" and words & ADVERTS:
+        return True
+    words = {w for w in words if not w[0].isdigit()}
+    if words - ASIDE_WORDS - FITTINGS:
+        return False
+    return name == "class" or bool(words & (ASIDE_WORDS - SUBJECTS | headers))
 
 
 def parse(html: str) -> Node:
@@ -122,6 +159,12 @@ def parse(html: str) -> Node:
         if tag in RAW:
             close = _RAW_END[tag].search(html, at)
             if not m[3].rstrip().endswith("/>"):
+                if tag == "xmp":               # its text as it stands, tags and all
+                    here = _repair(here, "pre")
+                    node = Node("pre", here)
+                    _judge(node, m[3])
+                    node.kids.append(html[at:close.start() if close else end])
+                    here.kids.append(node)
                 at = close.end() if close else end
             continue
         if tag in ("html", "body", "head") and here.parent is None and tag == "html":
@@ -131,7 +174,7 @@ def parse(html: str) -> Node:
         node = Node(tag, here)
         _judge(node, m[3])
         here.kids.append(node)
-        if tag not in VOID and not (m[3].endswith("/>") and tag not in INLINE | CLOSES_P):
+        if tag not in VOID and not (m[3].endswith("/>") and (tag in MATH or tag not in INLINE | CLOSES_P)):
             here = node
     return root
 
@@ -171,6 +214,27 @@ def _ordered(root: Node) -> list[Node]:
     return out
 
 
+def _settle(nodes: list[Node]) -> None:
+    """Set aside the elements in doubt that do not read like article text, inner ones first."""
+    textual: dict[Node, bool] = {}
+    for node in reversed(nodes):
+        length = linked = 0
+        holds = False
+        for kid in node.kids:
+            if isinstance(kid, str):
+                length += len(kid.strip())
+            elif not kid.aside:
+                length += kid.length
+                linked += kid.length if kid.tag == "a" else kid.linked
+                holds |= textual[kid]
+        node.length, node.linked = length, linked
+        textual[node] = holds or (node.tag in TEXTUAL and length > 0)
+        if node.doubt and node.tag not in INLINE and node.tag not in HEADINGS:
+            node.aside |= _density(node) > DOUBT_LINKED or (length < DOUBT_LENGTH and not textual[node])
+    for node in nodes:
+        node.length = node.linked = 0
+
+
 def _measure(nodes: list[Node]) -> None:
     for node in reversed(nodes):
         for kid in node.kids:
@@ -286,6 +350,9 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     nodes = _ordered(parse(html))
+    if any(node.doubt for node in nodes):
+        _settle(nodes)
+        nodes = _ordered(nodes[0])
     _measure(nodes)
     best = _score(nodes)
     if best is None:                 # no paragraph to go by: all that is not set aside, unless it is links

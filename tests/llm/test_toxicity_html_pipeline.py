@@ -88,6 +88,34 @@ def test_extraction(page):
     assert html_text.main_text(page.format(ARTICLE)) == TEXT
 
 
+PROSE = "Words, of an article, that go on, and on, long enough to count as prose."
+
+
+@pytest.mark.parametrize("part, kept", [
+    ('<h2 id="legal-status">Legal status</h2>', "Legal status"),
+    ('<h2 id="search"><a href="#search">Search</a></h2>', "Search"),
+    ('<h2><span id="Legal_status">Legal status</span></h2>', "Legal status"),
+    ('<section id="search-basics"><h2>Basics</h2><p>Short.</p></section>', "Basics Short."),
+    (f'<section id="related-work"><p>{PROSE}</p></section>', PROSE),
+    ('<div id="social-history"><p>Yes.</p></div>', "Yes."),
+    ('<p id="notice-period">One month.</p>', "One month."),
+    (f'<section id="comments-on-method">{PROSE}</section>', PROSE),
+    (f'<section id="recommendations"><p>{PROSE}</p></section>', PROSE),
+    (f'<section id="header-files"><p>{PROSE}</p></section>', PROSE),
+    (f'<div class="ad-slot"><p>{PROSE}</p></div>', ""),
+    (f'<div class="cookie-notice"><p>{PROSE}</p></div>', ""),
+    (f'<div id="comments"><p>{PROSE}</p></div>', ""),
+    (f'<div id="share"><p>{PROSE}</p></div>', ""),
+    ('<div id="social-web"><a href="/x">Follow us now, please, and at any time.</a></div>', ""),
+    ('<div id="related-pages">Two of them</div>', ""),
+    ('<p>So <math><mi>x</mi><mspace/><mo>=</mo><mn>2</mn><annotation encoding="application/x-tex">x = 2</annotation></math> holds.</p>', "So x=2 holds."),
+    ("<xmp><b>raw</b> &amp; more</xmp>", "<b>raw</b> &amp; more"),
+])
+def test_names_made_from_headings_stay(part, kept):
+    page = f"<body><article><h1>Title</h1><p>{PROSE}</p>{part}<p>{PROSE}</p></article></body>"
+    assert html_text.main_text(page) == " ".join(["Title", PROSE, *filter(None, [kept]), PROSE])
+
+
 def test_extraction_of_odd_pages(spark):
     pages = [(1, "u", None, "x"), (2, None, "", "x"), (None, "u", "<p>", "x"), (4, "u", "<nav>a</nav><footer>b</footer>", "x"), (4, "u", "<nav>a</nav><footer>b</footer>", "x"), (5, "u", "bare &lt;text&gt; here", "x"),
              (6, "u", "<div>" * 3000 + "<p>" + "deep words, " * 20, "x"), (7, "u", "<p>" + text(3, 40_000) + "</p>", "x"), (8, "u", "<a title='unclosed>x<p>broken, but, readable, all, the same, is it not", "x"), (9, "u", "<!-- open <p>x", "x"), (10, "u", "<script>no end <p>x", "x")]
