@@ -5,8 +5,10 @@ assignments to a secret's name, access key ids and long runs of hexadecimal digi
 kind, ``live``, is any other long mixed run of key characters; it is reported only if the
 corpus says it belongs to somebody.  For that, the values of all candidates are hashed and
 counted over the corpus: in how many distinct repositories and of how many distinct owners
-does a value stand?  A value that many owners share is a copied example (documentation, a
-template, a checksum); one that stays with few owners looks like a live credential.
+does a value stand?  A value that many owners share, or that one or two owners have all over
+their repositories, is a copied example (documentation, a template, a checksum); one that
+stays with few owners and few repositories looks like a live credential, however many
+documents of those repositories hold it.
 
 Owners are counted after (value, owner, repository) is made distinct, with map-side partial
 aggregation, so a value that stands in a third of all documents is a few rows per task.
@@ -48,6 +50,9 @@ LIVE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 LIVE_CHARS, LIVE_BITS = 20, 3.0
 #: A value of more owners than this is a copied example.
 MAX_OWNERS = 2
+#: So is one that stands in more repositories than this, whoever owns them.  An owner's live key
+#: may be in a few; with (source, lang) as repositories, four languages of one owner are too many.
+MAX_REPOSITORIES = 3
 
 _HEX_BYTES, _LIVE_BYTES = byte_table(r"[0-9a-f]"), byte_table(r"[A-Za-z0-9+/_=-]")
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("value", T.StringType())])
@@ -135,24 +140,25 @@ def ownership(scanned: DataFrame) -> DataFrame:
     return by_owner.groupBy("value").agg(F.sum("repositories").alias("n_repositories"), F.count(F.lit(1)).alias("n_owners"), F.sum("n").alias("n_uses"))
 
 
-def judged(scanned: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
+def judged(scanned: DataFrame, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """``(row, spans)`` of the documents with reported spans; each span says whether it is ``copied``.
 
     Base spans are always reported, ``live`` ones if their value is not copied.
     """
     uses = scanned.filter(F.size("spans") > 0).select("row", F.explode("spans").alias("span"))
     rated = uses.join(ownership(scanned), uses["span"]["value"] == F.col("value"))
-    copied = F.col("n_owners") > max_owners
+    copied = (F.col("n_owners") > max_owners) | (F.col("n_repositories") > max_repositories)
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("span.kind"))
     return (rated.filter((F.col("span.kind") != "live") | ~copied)
             .groupBy("row").agg(F.array_sort(F.collect_list(F.struct(F.col("span.start").alias("start"), order.alias("order"), F.col("span.kind").alias("kind"), F.col("span.end").alias("end"),
                                                                      copied.alias("copied"), "n_owners", "n_repositories"))).alias("spans")))
 
 
-def secrets(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang"), max_owners: int = MAX_OWNERS) -> DataFrame:
+def secrets(docs: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang"), max_owners: int = MAX_OWNERS,
+            max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """``(doc, spans)`` for every document: its columns but the text, and its reported spans by start and kind."""
     scanned = scan(docs, owner, repository)
-    marked = judged(scanned, max_owners)
+    marked = judged(scanned, max_owners, max_repositories)
     plain, seen = scanned.filter(F.size("spans") == 0), scanned.filter(F.size("spans") > 0)
     found = seen.select("row", "doc").join(marked, "row", "left").select("doc", "spans")
     none = F.lit(None).cast(marked.schema["spans"].dataType)
@@ -167,10 +173,10 @@ def listed(spans: Column) -> Column:
 
 def redact(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every reported span replaced by a mark; other texts are left alone."""
-    max_owners = options.pop("max_owners", MAX_OWNERS)
+    limits = options.pop("max_owners", MAX_OWNERS), options.pop("max_repositories", MAX_REPOSITORIES)
     scanned = scan(docs, **options, keep_text=True)
     plain, seen = scanned.filter(F.size("spans") == 0), scanned.filter(F.size("spans") > 0)
-    joined = seen.select("row", "doc").join(judged(scanned, max_owners), "row", "left")
+    joined = seen.select("row", "doc").join(judged(scanned, *limits), "row", "left")
     clean = plain.select("doc.*").unionByName(joined.filter(F.col("spans").isNull()).select("doc.*"))
     dirty = joined.filter(F.col("spans").isNotNull()).select("doc", F.col("doc.text").cast("string").alias("text"), "spans")
 

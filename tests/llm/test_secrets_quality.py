@@ -41,6 +41,19 @@ def test_owners_tell_examples_from_live_values(spark):
     assert [(s.kind, s.copied, s.n_owners) for s in got[21]] == [("assign", True, 4), ("hex", True, 4)]
 
 
+def test_repositories_tell_examples_of_a_hot_source(spark):
+    """One source repeats an example in all its languages; its live key stays in few of them, in however many documents."""
+    langs, live = ["en", "de", "fr", "es"], KEY[::-1]
+    rows = [(k, f"see {KEY} there", "src0", langs[k % 4]) for k in range(40)] + [(100 + k, f"mine {live} only", "src0", langs[k % 3]) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r.doc.doc_id: r.spans for r in secrets.secrets(docs).collect()}
+    assert all(not got[k] for k in range(40))
+    assert all([(s.kind, s.copied, s.n_owners, s.n_repositories) for s in got[100 + k]] == [("live", False, 1, 3)] for k in range(40))
+    texts = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert texts[0] == f"see {KEY} there" and texts[100] == "mine <SECRET> only"
+    assert all(len(r.spans) == 1 for r in secrets.secrets(docs, max_repositories=4).collect())
+
+
 def test_redact_keeps_rows_and_columns(spark):
     rows = secret_rows()
     docs = documents(spark, rows)
