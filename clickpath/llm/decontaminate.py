@@ -13,8 +13,10 @@ All test phrases (windows of 13 consecutive benchmark words) are searched backwa
 two ranks a step; rows of the phrases that remain walk to a sampled position, and the
 occurrences of all phrases are merged into spans of words to remove.
 
-The benchmark is the stated query set: it is cut into blocks of a bounded size, and each
-block is one pass over the shard inside the same task.
+The benchmark is the stated query set: Spark numbers its items by a running sum of their bytes
+into blocks of a bounded size, and each block is one pass over the shards.  A benchmark of
+several blocks is stored so, and the state of the documents is stored between passes: driver
+and tasks hold one block at a time, whatever the number of blocks, and the disk two states.
 
 Defined results: null and empty texts have no words and are never contaminated; an item
 without words has no window; an item without an id marks words but is not counted or
@@ -29,17 +31,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickpath.llm.common import LOWER, byte_slices, byte_table, doc_text, flat_bytes, prepare, runs
 from clickpath.llm.tokens import spread
+from clickpath.storage import stored, unstored
 
 WINDOW_WORDS = 13
 #: A document is contaminated if at least one in so many of its words is hit.
 HIT_SHARE = 20
 #: Benchmark text (bytes) that one pass holds.
 BLOCK_BYTES = 4 << 20
+#: What an item counts besides its text and id; bounds the items of a block.
+ITEM_BYTES = 16
 _WORD = byte_table(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]|[A-Z]")
 _SAMPLE = 8
 _FOUND = ("n_words", "starts", "ends", "items")
@@ -71,7 +76,7 @@ class Phrases:
         width = np.minimum(counts, size)[item]
         # Right-aligned, zeros in front of short phrases: backward search starts at the end.
         back = np.arange(size - 1, -1, -1)
-        grid = np.where(back < width[:, None], symbols[np.minimum(at[:, None] + width[:, None] - 1 - back, max(len(symbols) - 1, 0))], 0) if len(at) else np.zeros((0, size), np.int64)
+        grid = np.where(back < width[:, None], symbols[np.clip(at[:, None] + width[:, None] - 1 - back, 0, len(symbols) - 1)], 0) if len(at) else np.zeros((0, size), np.int64)
         self.phrases, which = np.unique(grid, axis=0, return_inverse=True)
         self.widths = (self.phrases > 0).sum(1)
         order = np.argsort(which.ravel(), kind="stable")
@@ -214,18 +219,33 @@ def scan_shard(column: pa.Array, block: Phrases) -> tuple[np.ndarray, np.ndarray
     return offsets, np.cumsum(hit), pairs // max(1, len(block.items)), pairs % max(1, len(block.items))
 
 
-def _blocks(benchmark: DataFrame, size: int, limit: int) -> Iterator[Phrases]:
-    ids, texts, held = [], [], 0
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    for row in rows.toLocalIterator():
-        ids.append(row["item_id"])
-        texts.append(row["text"])
-        held += len(row["text"] or "")
-        if held >= limit:
-            yield Phrases(ids, texts, size)
-            ids, texts, held = [], [], 0
-    if ids:
-        yield Phrases(ids, texts, size)
+def _numbered(items: DataFrame, limit: int) -> DataFrame:
+    """``items``, stored, with the ``block`` that each belongs to: by the bytes before it."""
+    kept = stored(items.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()), "benchmark")
+    every = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each partition of the benchmark.
+    before = kept.groupBy("part").agg(F.sum("size").alias("held")).select("part", F.coalesce(F.sum("held").over(every), F.lit(0)).alias("before"))
+    within = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    done = F.col("before") + F.sum("size").over(within) - F.col("size")
+    return stored(kept.join(F.broadcast(before), "part").select("item_id", "text", F.floor(done / F.lit(limit)).cast("long").alias("block")), "benchmark-blocks")
+
+
+def _blocks(benchmark: DataFrame, size: int, limit: int) -> tuple[int, Iterator[Phrases]]:
+    """How many blocks the benchmark has, and the blocks, drawn one at a time."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    length = F.coalesce(F.octet_length("text"), F.lit(0)) + F.coalesce(F.octet_length("item_id"), F.lit(0)) + ITEM_BYTES
+    items = items.withColumn("size", length.cast("long"))
+    total = items.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+
+    def phrases(rows: DataFrame) -> Phrases:
+        found = rows.select("item_id", "text").collect()
+        return Phrases([r["item_id"] for r in found], [r["text"] for r in found], size)
+
+    if total <= limit:
+        return 1, (phrases(x) for x in (items,))
+    numbered = _numbered(items, limit)
+    numbers = [r["block"] for r in numbered.select("block").distinct().orderBy("block").collect()]
+    return len(numbers), (phrases(numbered.filter(F.col("block") == k)) for k in numbers)
 
 
 def _pass(block: Phrases):
@@ -273,8 +293,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORD
     empty = {"starts": "array<long>", "ends": "array<long>", "items": "array<string>"}
     state = docs.select(F.struct(*docs.columns).alias("doc"), F.lit(0).cast("long").alias("n_words"),
                         *(F.array().cast(t).alias(c) for c, t in empty.items()))
-    for block in list(_blocks(benchmark, size, block_bytes)) or [Phrases([], [], size)]:
-        state = state.mapInArrow(_pass(block), state.schema)
+    left, blocks = _blocks(benchmark, size, block_bytes)
+    last = None
+    while left:
+        state, left = state.mapInArrow(_pass(next(blocks)), state.schema), left - 1
+        if left:
+            state, done = stored(state, "decontamination"), last
+            last = state
+            if done is not None:         # its one reader has just been stored
+                unstored(done)
     n_hit = F.expr("aggregate(zip_with(starts, ends, (a, b) -> b - a), 0L, (x, y) -> x + y)")
     return (state.withColumn("n_hit", n_hit)
             .withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))))

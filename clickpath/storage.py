@@ -17,3 +17,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark)}/clickpath-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unstored(df: DataFrame) -> None:
+    """Remove the files of a table of :func:`stored` that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        if folder.rsplit("/", 1)[1].startswith("clickpath-"):
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

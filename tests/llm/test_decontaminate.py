@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from llm_cases import DOCS, NOT_WORD, awkward, documents, plain, text, words
 
+from clickpath.llm import decontaminate
 from clickpath.llm.decontaminate import ShardIndex, contamination, suffix_order
 
 
@@ -45,6 +46,34 @@ def test_contamination_equals_brute_force(spark, block_bytes):
         assert sum(b - a for a, b in zip(r.starts, r.ends, strict=True)) == r.n_hit
 
 
+def test_driver_holds_one_block(spark, monkeypatch):
+    """Of a benchmark of many blocks, one is drawn, and one passed over, at a time; results are whole."""
+    import gc
+    import weakref
+    bench = [(k, text(900 + k, 20)) for k in range(30)] + [(99, None), (100, text(950, 400))]
+    rows = [(k, text(k, 5) + " " + bench[k][1]) for k in range(30)] + [(40, text(950, 400)), (41, text(41, 50)), (42, None)]
+    alive, held, sizes = weakref.WeakSet(), [], []
+
+    made = decontaminate.Phrases
+
+    def counted(ids, texts, size):
+        gc.collect()
+        block = made(ids, texts, size)
+        alive.add(block)
+        held.append(len(alive))
+        sizes.append(sum(len(t or "") for t in texts))
+        return block
+
+    monkeypatch.setattr(decontaminate, "Phrases", counted)
+    frame = spark.createDataFrame(bench, "item_id long, text string").repartition(5)
+    found = contamination(documents(spark, rows), frame, block_bytes=400)
+    assert len(held) >= 8 and max(held) == 1
+    assert max(sizes) <= max(400 + max(len(t or "") for _, t in bench[:-1]), 400 + len(bench[-1][1]))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    got = found.collect()
+    assert Counter((r.doc.doc_id, r.n_words, r.n_hit, ",".join(sorted(r["items"])), r.contaminated) for r in got) == brute(rows, bench)
+
+
 def test_empty_tables(spark):
     docs, bench = spark.createDataFrame([], DOCS), spark.createDataFrame([], "item_id long, text string")
     assert contamination(docs, bench).collect() == []
