@@ -64,3 +64,31 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        (coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words)) AS contaminated
 FROM docs LEFT JOIN words_hit USING (row) LEFT JOIN items_hit USING (row)
 """
+
+#: The stated rules by suffix and prefix tests, the library's patterns as two lists of expressions.
+URL_RULES = f"""
+WITH cut AS (
+    SELECT page_id, coalesce(url, '') AS url, {_LOWER.format("regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1)")} AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+    FROM pages),
+rules(rule, rule_host, rule_path, rule_verdict) AS (
+    VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+           ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+hosts AS (SELECT DISTINCT host FROM cut),
+fitting AS (
+    SELECT host, rule, rule_path, rule_verdict FROM hosts JOIN rules ON host = rule_host OR ends_with(host, '.' || rule_host)),
+chosen AS (
+    SELECT host, path, max_by(rule, length(rule)) AS rule, max_by(rule_verdict, length(rule)) AS rule_verdict
+    FROM (SELECT DISTINCT host, path FROM cut) JOIN fitting USING (host) WHERE starts_with(path, rule_path) GROUP BY ALL),
+words AS (
+    SELECT *, regexp_replace(host, '[^A-Za-z0-9]', '^', 'g') AS marked, regexp_extract(url, '(?s)^[^:/?#]*://(.*)$', 1) AS rest FROM cut)
+SELECT page_id, words.host, words.path, rule,
+       CASE WHEN rule IS NOT NULL THEN rule_verdict
+            WHEN regexp_matches(words.host, '(^|[^a-z0-9])(adult-(education|learning)|anti-spam|fast-track|spam-research)([^a-z0-9]|$)') THEN 'allow'
+            WHEN len(list_intersect(string_split(marked, '^'), ['ads', 'adserver', 'adult', 'banners', 'bets', 'betting', 'casino', 'click', 'clicks',
+                 'doubleclick', 'gambling', 'malware', 'phishing', 'pills', 'poker', 'porn', 'spam', 'track', 'tracker', 'tracking', 'viagra', 'warez', 'xxx'])) > 0 THEN 'block'
+            WHEN regexp_matches(rest, '(?is)/(cart|checkout|login|logout|signin|signup|wp-admin|wp-login)([^a-z0-9]|$)') THEN 'block'
+            WHEN regexp_matches(rest, '(?is)[.](apk|exe|gif|iso|jpg|mp3|mp4|png|rar|zip)$') THEN 'block'
+            ELSE 'allow' END AS verdict
+FROM words LEFT JOIN chosen ON words.host = chosen.host AND words.path = chosen.path
+"""

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpath.llm import html_text, oracles, quality, secrets, simhash, toxicity
+from clickpath.llm import html_text, oracles, quality, secrets, simhash, toxicity, url_rules
 from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination
 from clickpath.llm.licenses import licenses
@@ -85,6 +85,12 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL by the stated rules and the library's patterns."""
+    found = url_rules.judged(table(spark, sf_dir, "pages").select("page_id", "url"), url_rules.stated_rules(spark))
+    return found.select("doc.page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_token_files": op2_token_files,
@@ -96,9 +102,11 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_html_extraction": op10_html_extraction,
+    "op13_url_rules": op13_url_rules,
 }
 
 ORACLES = {
     "op1_licenses": oracles.LICENSES,
     "op9_decontamination": oracles.CONTAMINATION,
+    "op13_url_rules": oracles.URL_RULES,
 }
