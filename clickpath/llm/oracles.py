@@ -92,3 +92,38 @@ SELECT page_id, words.host, words.path, rule,
             ELSE 'allow' END AS verdict
 FROM words LEFT JOIN chosen ON words.host = chosen.host AND words.path = chosen.path
 """
+
+#: A CRC-32 bit by bit; prefixes as whole strings of marks; totals over all ancestors of a node.
+PREFIX_TREE = """
+WITH ids AS (SELECT DISTINCT conv_id AS c, conv_id - conv_id % 5 AS family FROM conversations WHERE conv_id IS NOT NULL),
+crcs AS (
+    SELECT c, family, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+        lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+            lambda a, step: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS crc
+    FROM ids),
+heads AS (SELECT c, family, xor(crc, 4294967295) % 9 AS h FROM crcs),
+marked AS (
+    SELECT conv_id AS c, turn, md5(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS mark, strlen(coalesce(text, '')) AS size
+    FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, mark, size) - 1 AS nth, mark, size FROM marked),
+rebuilt AS (
+    SELECT heads.c, 0 AS part, nth, mark, size FROM heads JOIN turns ON turns.c = heads.family WHERE nth < h
+    UNION ALL
+    SELECT heads.c, 1, nth, mark, size FROM heads JOIN turns ON turns.c = heads.c WHERE nth >= h),
+prefixes AS (
+    SELECT c, row_number() OVER w AS d, string_agg(mark, '') OVER w AS key, size FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY part, nth)
+    UNION ALL
+    SELECT c, 0, '', 0 FROM ids),
+lengths AS (SELECT c, max(d) AS len FROM prefixes GROUP BY c),
+nodes AS (
+    SELECT key, d, min(c) AS rep, count(*) AS n_convs, any_value(size) AS size, list(c ORDER BY c) FILTER (WHERE d = len) AS ending
+    FROM prefixes JOIN lengths USING (c) GROUP BY key, d),
+parents AS (SELECT key[:length(key) - 32] AS up, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY up),
+tree AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN parents ON parents.up = nodes.key),
+totals AS (
+    SELECT prefixes.key, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * tree.size) AS saved_tokens
+    FROM tree JOIN prefixes ON prefixes.c = tree.rep AND prefixes.d <= tree.d GROUP BY prefixes.key)
+SELECT tree.rep AS conv_id, tree.d::BIGINT AS depth, up.rep AS parent_conv_id, tree.n_convs, tree.n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens,
+       sha256(coalesce(array_to_string(tree.ending, ','), '')) AS ends_sha256
+FROM tree JOIN totals USING (key) LEFT JOIN nodes AS up ON tree.d > 0 AND up.key = tree.key[:length(tree.key) - 32]
+"""

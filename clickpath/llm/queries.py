@@ -15,6 +15,7 @@ from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination
 from clickpath.llm.licenses import licenses
 from clickpath.llm.packing import pack_documents
+from clickpath.llm.prefix_tree import prefix_tree
 from clickpath.llm.token_counts import count_documents
 from clickpath.llm.token_files import write_and_read
 
@@ -85,6 +86,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op12_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations, with totals over its subtree."""
+    return prefix_tree(table(spark, sf_dir, "conversations"))
+
+
 def op13_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL by the stated rules and the library's patterns."""
     found = url_rules.judged(table(spark, sf_dir, "pages").select("page_id", "url"), url_rules.stated_rules(spark))
@@ -102,11 +108,13 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_html_extraction": op10_html_extraction,
+    "op12_prefix_tree": op12_prefix_tree,
     "op13_url_rules": op13_url_rules,
 }
 
 ORACLES = {
     "op1_licenses": oracles.LICENSES,
     "op9_decontamination": oracles.CONTAMINATION,
+    "op12_prefix_tree": oracles.PREFIX_TREE,
     "op13_url_rules": oracles.URL_RULES,
 }
