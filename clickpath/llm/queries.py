@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpath.llm import html_text, oracles, quality, secrets, simhash, toxicity, url_rules
+from clickpath.llm import alignment, html_text, oracles, quality, secrets, simhash, toxicity, url_rules
 from clickpath.llm.common import table
 from clickpath.llm.decontaminate import contamination
 from clickpath.llm.licenses import licenses
@@ -21,6 +21,7 @@ from clickpath.llm.token_files import write_and_read
 
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 BYTE_END = 50256        # the tokenizer's own end-of-document id
 
 
@@ -86,6 +87,12 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of two tokenizers' tokens of every whole text, and corpus-wide counts of their links."""
+    a, b = public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECE_MODEL)
+    return alignment.align(table(spark, sf_dir, "documents"), a, b)
+
+
 def op12_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of rebuilt conversations, with totals over its subtree."""
     return prefix_tree(table(spark, sf_dir, "conversations"))
@@ -108,6 +115,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_html_extraction": op10_html_extraction,
+    "op11_alignment": op11_alignment,
     "op12_prefix_tree": op12_prefix_tree,
     "op13_url_rules": op13_url_rules,
 }
