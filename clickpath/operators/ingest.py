@@ -334,6 +334,48 @@ def decode_pixel(requests: DataFrame) -> DataFrame:
         reason.alias("decode_error"))
 
 
+# Fixed: the common and the combined log format (host, identity, user, time, request, status, bytes, ...).
+_LOG_LINE = r'^(\S+) (\S+) (\S+) \[([^\]]*)\] "([A-Z]+) ([^ "]*)(?: (HTTP/[0-9.]+))?" ([0-9]{3}) (\S+)(?: .*)?$'
+_LOG_TIME = "dd/MMM/yyyy:HH:mm:ss Z"
+
+
+def _decoded(text: Column) -> Column:
+    """Form-decoded text: ``+`` is a space, ``%XX`` a byte; as it is where an escape is none."""
+    return F.coalesce(F.try_url_decode(text), text)
+
+
+def with_log_fields(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Add what an access-log line says: ``log_method``, ``log_path``, ``log_query``, ``log_at``
+    (all NULL where the line, or its time, does not fit the format)."""
+    def part(k: int) -> Column:
+        return F.regexp_extract(F.col(line), _LOG_LINE, k)
+
+    at = F.try_to_timestamp(part(4), F.lit(_LOG_TIME))
+    fits = at.isNotNull() & (part(5) != "")
+    target = part(6)
+    return lines.withColumns({
+        "log_method": F.when(fits, part(5)), "log_path": F.when(fits, _decoded(F.substring_index(target, "?", 1))),
+        "log_query": F.when(fits, F.regexp_extract(target, r"^[^?]*\?([^#]*)", 1)), "log_at": F.when(fits, at)})
+
+
+def log_pixels(lines: DataFrame, path: str = "/collect", line: str = "value") -> DataFrame:
+    """The pixel requests (``GET <path>``) of access-log lines as ``(e, received_at)``.
+
+    ``e`` is the last parameter of that name, form-decoded; without one it is empty.  The time of
+    arrival is the log's.  Other requests are no events; lines that are no log lines are in
+    :func:`log_rest`."""
+    found = with_log_fields(lines, line).where((F.col("log_method") == "GET") & (F.col("log_path") == path))
+    given = F.filter(F.split("log_query", "&"), lambda p: _decoded(F.substring_index(p, "=", 1)) == "e")
+    last = F.try_element_at(given, F.lit(-1))
+    value = F.when(F.contains(last, F.lit("=")), _decoded(F.regexp_extract(last, r"^[^=]*=(.*)$", 1)))
+    return found.select(F.coalesce(value, F.lit("")).alias("e"), F.col("log_at").alias("received_at"))
+
+
+def log_rest(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Lines that are not blank and no access-log lines: with the requests they make up the log."""
+    return with_log_fields(lines, line).where(F.col("log_method").isNull() & (F.trim(line) != "")).select(line)
+
+
 def stamp(received_at: Column) -> Column:
     """The server's ingest time, UTC, millisecond precision (overwrites the client's)."""
     return F.timestamp_millis(F.unix_millis(received_at))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpath.config import Config
 from clickpath.functions.channels import channel_group, infer_traffic_source, referrer_host
 from clickpath.functions.clock import boundary_diff
 from clickpath.operators.sequence import number_sessions
+from clickpath.sources import layer
+from clickpath.sources.schema import EVENT_SCHEMA
 
 SESSION_COLUMNS = [
     "anonymous_id", "session_id", "session_start", "session_end", "duration_seconds", "events",
@@ -54,6 +58,11 @@ def sessions(events: DataFrame, cfg: Config = Config(), time_col: str = "event_t
         first(F.col("campaign.attribution")).alias("attribution"),
         first(F.get_json_object(F.col("params"), "$.gclid")).alias("click_id"),
     )
+    return _classified(agg, cfg)
+
+
+def _classified(agg: DataFrame, cfg: Config) -> DataFrame:
+    """Session rows from the aggregated columns: inferred source, channel, duration."""
     i = infer_traffic_source(F.col("utm_source"), F.col("utm_medium"), F.col("utm_campaign"),
                              F.col("click_id"), F.col("referrer"), cfg.internal_domain_list())
     return (agg.withColumn("_i", i)
@@ -73,6 +82,58 @@ def sessions(events: DataFrame, cfg: Config = Config(), time_col: str = "event_t
                ))
 
 
+#: Columns of a session that are its first or last non-NULL value, by the columns' names above.
+_FIRSTS = {"entry_path": "page.path", "entry_url": "page.url", "referrer": "page.referrer", "utm_source": "campaign.source",
+           "utm_medium": "campaign.medium", "utm_campaign": "campaign.campaign", "attribution": "campaign.attribution"}
+
+
+def session_states(events: DataFrame, time_col: str = "event_timestamp", by: tuple[str, ...] = ()) -> DataFrame:
+    """D2, mergeable: what :func:`merged_sessions` needs of a part of the events, per session (and ``by``).
+
+    A first value is kept with its order key, so parts may come in any order and at any size."""
+    ts = F.col(time_col)
+
+    def kept(value: Column) -> Column:
+        return F.when(value.isNotNull() & ts.isNotNull(), F.struct(ts.alias("ts"), F.col("ingested_at"), F.col("event_id"), value.alias("value")))
+
+    firsts = {**{n: F.col(c) for n, c in _FIRSTS.items()}, "click_id": F.get_json_object(F.col("params"), "$.gclid")}
+    return events.groupBy("anonymous_id", "session_id", *by).agg(
+        F.min(ts).alias("session_start"), F.max(ts).alias("session_end"), F.count(F.lit(1)).alias("events"),
+        F.count_if(F.col("event_name") == "page_view").alias("page_views"),
+        *(F.min(kept(c)).alias(n) for n, c in firsts.items()), F.max(kept(F.col("page.path"))).alias("exit_path"))
+
+
+def merged_sessions(states: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """D2 from :func:`session_states` of any parts that make up the events."""
+    firsts = [*_FIRSTS, "click_id"]
+    agg = states.groupBy("anonymous_id", "session_id").agg(
+        F.min("session_start").alias("session_start"), F.max("session_end").alias("session_end"), F.sum("events").alias("events"), F.sum("page_views").alias("page_views"),
+        *(F.min(n).alias(n) for n in firsts), F.max("exit_path").alias("exit_path"))
+    return _classified(agg.withColumns({n: F.col(n)["value"] for n in (*firsts, "exit_path")}), cfg)
+
+
+def fold_sessions(raw: DataFrame, dest: str, dates: list, time_col: str = "event_timestamp") -> None:
+    """Add, or replace, the session states of the ingest ``dates`` (None: rows without one).
+
+    ``raw`` are the events of those dates; nothing else is read.  A folder holds the states of
+    an ingest date, and a manifest names the current ones, so a reader sees all of a fold or
+    nothing, and a date folded again replaces itself."""
+    spark, manifest, folder = raw.sparkSession, layer.current(raw.sparkSession, dest), layer.new_folder("index")
+    states = session_states(raw, time_col, by=("dt",))
+    states.repartition("dt", "anonymous_id").write.partitionBy("dt").parquet(f"{dest}/{folder}")
+    there = {x.split("=", 1)[1]: f"{folder}/{x}" for x in layer.folders(spark, f"{dest}/{folder}", "dt=")}
+    kept = {d: x for d, x in (manifest.index or {}).items() if d not in {layer.NO_DATE if d is None else str(d) for d in dates}}
+    layer.commit(spark, dest, manifest, None, kept | there)
+
+
+def read_sessions(spark: SparkSession, dest: str, cfg: Config = Config()) -> DataFrame:
+    """D2 over all ingest dates folded into ``dest``, from their states alone."""
+    shape = session_states(spark.createDataFrame([], EVENT_SCHEMA)).schema
+    paths = [f"{dest}/{x}" for _, x in sorted((layer.current(spark, dest).index or {}).items())]
+    states = spark.read.schema(shape).parquet(*paths) if paths else spark.createDataFrame([], shape)
+    return merged_sessions(states, cfg)
+
+
 def gap_session_numbers(events: DataFrame, cfg: Config = Config(), time_col: str = "event_timestamp",
                         mode: str = "boundary") -> DataFrame:
     """Number every event's session under the inactivity rule, per visitor.

@@ -15,17 +15,17 @@ from pyspark.sql import functions as F
 from clickpath.functions import channels as C
 from clickpath.operators import health as H
 from clickpath.operators.derived import derived_events, rebuild_derived, rebuild_stats
-from clickpath.operators.sessions import derived_sessions, sessions
+from clickpath.operators.sessions import derived_sessions, fold_sessions, read_sessions, sessions
 from clickpath.plans import oracle as O
 from clickpath.plans import reports as R
 from clickpath.operators import ingest as I
 from clickpath.operators import journeys as J
 from clickpath.plans import oracle_ingest as OI
-from clickpath.session import checkpoint_dir
 from clickpath.shipping import ship_package
-from clickpath.sources import io
-from clickpath.sources.bodies import bridge_bodies
-from clickpath.streaming.jobs import live_quality
+from clickpath.sources import compaction, io
+from clickpath.sources.bodies import bridge_access_log, bridge_bodies
+from clickpath.storage import run_folder, stored
+from clickpath.streaming.jobs import incremental_rebuild, live_quality
 from clickpath.sources.bridge import BRIDGE_CONFIG, bridge_events, bridge_hits
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -230,8 +230,8 @@ def q_events_by_name(spark, sf):
     "(SELECT count(DISTINCT (anonymous_id, session_id)) AS c FROM contract_events), "
     "(SELECT CAST(sum(top) AS BIGINT) AS g FROM (SELECT max(derived_session_number) AS top FROM derived_sessions GROUP BY anonymous_id))")))
 def q_client_vs_gap(spark, sf):
-    e = ev(spark, sf)
-    return R.client_vs_gap_sessions(sessions(e, BRIDGE_CONFIG), derived_sessions(e, BRIDGE_CONFIG))
+    e = stored(ev(spark, sf).select("anonymous_id", "session_id", "ingested_at", "event_id", "event_timestamp"), "session-keys")
+    return R.client_vs_gap_sessions(e.select("anonymous_id", "session_id").distinct(), derived_sessions(e, BRIDGE_CONFIG))
 
 
 @register("report_clock_skew", O.with_ctes(select=SKEW_SQL + " ORDER BY events DESC, bucket"))
@@ -362,7 +362,7 @@ def q_ingest_good_events(spark, sf):
 
 def scratch(spark) -> str:
     """A folder of its own for a query that writes and reads back."""
-    return f"{checkpoint_dir(spark)}/clickpath-query-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/clickpath-query-{uuid.uuid4().hex}"
 
 
 # ---- sinks and sources, written and read back (A1-A5, D5) -------------------------------------
@@ -388,6 +388,58 @@ def q_derived_round_trip(spark, sf):
     return flat(io.read_derived(spark, root))
 
 
+def _thirds(events: DataFrame) -> list[list]:
+    """The ingest dates of ``events`` in three runs, the last run first and the first one last."""
+    dts = sorted((r["dt"] for r in events.select("dt").distinct().collect()), key=str)
+    cut = -(-len(dts) // 3) or 1
+    return [dts[2 * cut:], dts[cut:2 * cut], dts[:cut]]
+
+
+@register("derived_folded_out_of_order", O.with_ctes(DE, select=f"SELECT * EXCLUDE (dt) FROM (SELECT {FLAT_SQL} FROM derived_events)"))
+def q_derived_folded(spark, sf):
+    """H5: the layer after folding the ingest dates in three steps, latest dates first, from nothing."""
+    root, raw, e = scratch(spark), scratch(spark), ev(spark, sf)
+    io.write_raw(e, raw, "events")
+    for dts in _thirds(e):
+        if dts:
+            incremental_rebuild(spark, raw, root, dts, BRIDGE_CONFIG, snapshots=True)
+    return flat(io.read_derived(spark, root))
+
+
+@register("sessions_folded_out_of_order", O.with_ctes(S, select="SELECT * FROM sessions"))
+def q_sessions_folded(spark, sf):
+    """D2 merged from the states of three runs of ingest dates, each read once."""
+    root, e = scratch(spark), stored(ev(spark, sf), "events")
+    for dts in _thirds(e):
+        if dts:
+            fold_sessions(e.where(F.col("dt").isin(dts)), root, dts)
+    return read_sessions(spark, root, BRIDGE_CONFIG)
+
+
+@register("raw_events_compacted", O.with_ctes(select=f"SELECT {FLAT_SQL} FROM contract_events"))
+def q_raw_compacted(spark, sf):
+    """A4: the raw stream written in several small batches, read back after compaction."""
+    root, e = scratch(spark), ev(spark, sf)
+    for k in range(3):
+        io.write_raw(e.where(F.pmod(F.xxhash64("anonymous_id"), F.lit(3)) == k), root, "events")
+    compaction.compact(spark, root)
+    return flat(io.read_events(spark, root))
+
+
+@register("report_rebuild_job")
+def q_rebuild_job(spark, sf):
+    """E17 with files and bytes: what a rebuild into a new folder reports."""
+    stats = rebuild_derived(ev(spark, sf), scratch(spark), BRIDGE_CONFIG)
+    return spark.createDataFrame([tuple(stats.values())], ", ".join(f"{k} long" for k in stats))
+
+
+@register("ingest_access_log_counts", O.with_ctes(IG.replace("    FROM corpus\n)", "    FROM corpus WHERE pixel\n)"), select=OI.FORK_COUNTS))
+def q_access_log_counts(spark, sf):
+    """Accepted and rejected pixel requests of a web server's access log."""
+    ship_package(spark)
+    return I.fork_counts(I.ingest(I.decode_pixel(I.log_pixels(bridge_access_log(spark, sf)))))
+
+
 # ---- E8, F8, H4 -------------------------------------------------------------------------------
 @register("report_rejected_by_dt", O.with_ctes(IG, select=(
     "SELECT dt, bad_rows, array_to_string(list_sort(list_distinct(e))[:3], ' | ') AS sample_errors FROM "

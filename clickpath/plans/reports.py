@@ -69,7 +69,9 @@ def events_by_name(events: DataFrame) -> DataFrame:
 
 
 def client_vs_gap_sessions(sessions: DataFrame, derived_sessions: DataFrame) -> DataFrame:
-    """Client-assigned sessions vs sessions re-derived from the 30-minute rule."""
+    """Client-assigned sessions vs sessions re-derived from the 30-minute rule.
+
+    Only the rows of both are counted: ``sessions`` may be the distinct session keys alone."""
     a = sessions.agg(F.count(F.lit(1)).alias("client_assigned"))
     b = derived_sessions.agg(F.count(F.lit(1)).alias("derived_from_gap"))
     return a.crossJoin(b).withColumn("difference", F.col("client_assigned") - F.col("derived_from_gap"))
@@ -78,15 +80,16 @@ def client_vs_gap_sessions(sessions: DataFrame, derived_sessions: DataFrame) ->
 def rejected_by_dt(bad: DataFrame, samples: int = 3) -> DataFrame:
     """Rejected rows per ingest date with up to three distinct sample errors.
 
-    Each of the smallest errors of a date is a minimum over the errors greater than the one
-    before, so a date's errors are only ever pre-aggregated, never gathered."""
-    counts = bad.groupBy("dt").agg(F.count(F.lit(1)).alias("bad_rows"))
-    errors = stored(bad.select("dt", F.explode("errors").alias("error")).distinct(), "rejected")
-    for k in range(samples):
-        more = errors if k == 0 else errors.join(counts.select("dt", F.col(f"_e{k - 1}").alias("_last")), "dt").where(F.col("error") > F.col("_last"))
-        counts = counts.join(more.groupBy("dt").agg(F.min("error").alias(f"_e{k}")), "dt", "left")
-    listed = F.array_compact(F.array(*[F.col(f"_e{k}") for k in range(samples)]))
-    return counts.select("dt", "bad_rows", listed.alias("sample_errors")).orderBy("dt")
+    The rows' dates and errors are stored once.  A date's distinct errors are found by
+    pre-aggregation, and only its ``samples`` smallest of every task reach the window."""
+    rows = stored(bad.select("dt", "errors"), "rejected")
+    counts = rows.groupBy("dt").agg(F.count(F.lit(1)).alias("bad_rows"))
+    errors = rows.select("dt", F.explode("errors").alias("error")).distinct()
+    nth = F.row_number().over(Window.partitionBy("dt").orderBy("error"))
+    least = errors.withColumn("_nth", nth).where(F.col("_nth") <= samples).groupBy("dt").agg(F.array_sort(F.collect_list("error")).alias("sample_errors"))
+    listed = F.coalesce("sample_errors", F.array().cast("array<string>"))
+    both = counts.withColumnRenamed("dt", "_dt").join(least, F.col("_dt").eqNullSafe(F.col("dt")), "left")
+    return both.select(F.col("_dt").alias("dt"), "bad_rows", listed.alias("sample_errors")).orderBy("dt")
 
 
 def clock_skew_report(skew: DataFrame) -> DataFrame:

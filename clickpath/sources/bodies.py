@@ -126,6 +126,15 @@ def bridge_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posts.unionByName(pixels)
 
 
+def bridge_access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus' requests as a web server's combined log has them: pixels with their query, posts without their bodies."""
+    r = bridge_requests(spark, sf_dir)
+    pixel = F.col("kind") == "pixel"
+    request = F.when(pixel, F.concat(F.lit("GET /collect?v=1&e="), F.url_encode("e"))).otherwise(F.lit("POST /collect"))
+    at = F.date_format("received_at", "dd/MMM/yyyy:HH:mm:ss Z")
+    return r.select(F.concat(F.lit("203.0.113.7 - - ["), at, F.lit('] "'), request, F.lit(' HTTP/1.1" 200 43 "-" "agent/1.0 (\\"x\\")"')).alias("value"))
+
+
 def _sql_jstr(x: str) -> str:
     return f"""('"' || replace(replace({x}, '\\', '\\\\'), '"', '\\"') || '"')"""
 

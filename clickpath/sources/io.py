@@ -16,13 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickpath.operators.ingest import allow_repeated_keys
-from clickpath.sources.schema import BAD_SCHEMA, EVENT_SCHEMA
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+from clickpath.sources import compaction, layer
+from clickpath.sources.layer import exists as _exists
+from clickpath.sources.schema import BAD_SCHEMA, DERIVED_SCHEMA, EVENT_SCHEMA, INGEST_DATE
 
 
 def _with_dt(schema: T.StructType, *more: T.StructField) -> T.StructType:
@@ -48,6 +44,7 @@ def _read_lines(spark: SparkSession, path: str, fields: list[T.StructField]) ->
     Which lines are rows depends on the line alone, never on the columns that a query reads."""
     schema = _with_dt(T.StructType(fields), _BATCH, T.StructField(_LINE, T.StringType()))
     rows = spark.read.schema(schema).option("basePath", path).options(**_JSON).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).json(path)
+    rows = compaction.live(rows, path)
     # Always true, and not known to be so: Spark refuses a read of the line's text without any field.
     with_field = F.xxhash64(fields[0].name) >= F.lit(-(2**63))
     return rows.where((F.col(_LINE).isNull() | _readable(F.col(_LINE))) & with_field).drop("batch")
@@ -69,9 +66,13 @@ def read_events(spark: SparkSession, root: str) -> DataFrame:
     """A1: raw good events (declared schema, hive ``dt``) plus ``event_date``.
 
     Unknown fields are ignored, missing ones are NULL and so is a field that does not convert;
-    a line that is no JSON object is no row (:func:`read_dropped` has those).  ``params`` keeps
+    a line that is no JSON object is no row (:func:`read_dropped` has those).  No ``events/``
+    directory yet is an empty table.  ``params`` keeps
     the object's JSON text.  A filter on ``dt`` prunes directories before any file is opened."""
-    rows = _read_lines(spark, f"{root}/events", EVENT_SCHEMA.fields)
+    path = f"{root}/events"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], _with_dt(EVENT_SCHEMA)).withColumn("event_date", F.to_date("event_timestamp"))
+    rows = _read_lines(spark, path, EVENT_SCHEMA.fields)
     device = F.col("device")
     for name in ("screen_width", "screen_height"):
         device = device.withField(name, _whole_number(name))
@@ -101,13 +102,32 @@ def read_dropped(spark: SparkSession, root: str, stream: str = "events") -> Data
     path, schema = f"{root}/{stream}", "value string, batch string, dt date"
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    lines = spark.read.schema(schema).option("basePath", path).text(path)
+    lines = compaction.live(spark.read.schema(schema).option("basePath", path).text(path), path)
     return lines.where((F.trim("value") != "") & ~_readable(F.col("value")))
 
 
+def read_layer(spark: SparkSession, root: str, manifest: layer.Manifest, dates: list[str] | None = None) -> DataFrame:
+    """Rows of a derived layer as ``manifest`` has it, with their ingest date (``INGEST_DATE``);
+    only of the partitions ``dates``, if given."""
+    reader = spark.read.schema(DERIVED_SCHEMA)
+    if manifest.dates is None:
+        there = layer.folders(spark, root, "event_date=")
+        paths = [f"{root}/{x}" for x in there if dates is None or x.split("=", 1)[1] in dates]
+        base = root
+    else:
+        paths = [f"{root}/{x}" for d, x in sorted(manifest.dates.items()) if dates is None or d in dates]
+        base = f"{root}/{layer.FOLDER}/data"
+    if not paths:
+        return spark.createDataFrame([], DERIVED_SCHEMA)
+    return reader.option("basePath", base).parquet(*paths).select(*DERIVED_SCHEMA.fieldNames())
+
+
 def read_derived(spark: SparkSession, root: str) -> DataFrame:
-    """A3: the derived Parquet layer with hive ``event_date`` (partition pruning)."""
-    return spark.read.parquet(root)
+    """A3: the derived layer with hive ``event_date`` (partition pruning), in its declared schema.
+
+    A layer with snapshots is read as its last committed manifest names it; a layer that is
+    not there yet, or has no rows, is an empty table."""
+    return read_layer(spark, root, layer.current(spark, root)).drop(INGEST_DATE)
 
 
 def _event_json(df: DataFrame) -> DataFrame:
@@ -130,3 +150,19 @@ def write_raw(df: DataFrame, root: str, stream: str, batch: str | None = None) -
     body = _event_json(df) if stream == "events" else _bad_json(df)
     path = f"{root}/{stream}/batch={batch or uuid.uuid4().hex}"
     body.write.mode("overwrite").partitionBy("dt").text(path)
+
+
+COUNTS = "bodies long, received long, accepted long, rejected long, batch string, dt date"
+
+
+def write_counts(counts: DataFrame, root: str, batch: str) -> None:
+    """A batch's accepted and rejected elements per ingest date; written again, it replaces itself."""
+    counts.coalesce(1).write.mode("overwrite").partitionBy("dt").json(f"{root}/counts/batch={batch}")
+
+
+def read_counts(spark: SparkSession, root: str) -> DataFrame:
+    """What every batch of a running or finished ingest took in, accepted and rejected."""
+    path = f"{root}/counts"
+    if not _exists(spark, path):
+        return spark.createDataFrame([], COUNTS)
+    return spark.read.schema(COUNTS).option("basePath", path).json(path)

@@ -60,6 +60,16 @@ BAD_COLUMNS = [f.name for f in BAD_SCHEMA.fields]
 
 # Columns the derived layer adds (event_date is replaced by the trusted date).
 DERIVED_EXTRA = ["skew_seconds", "event_time_trusted", "event_time", "event_date"]
+# The derived layer's files also hold the date of ingest that a row came from.
+INGEST_DATE = "_dt"
+DERIVED_SCHEMA = T.StructType([
+    *EVENT_SCHEMA.fields,
+    T.StructField("skew_seconds", T.DoubleType()),
+    T.StructField("event_time_trusted", T.BooleanType()),
+    T.StructField("event_time", T.TimestampType()),
+    T.StructField(INGEST_DATE, T.DateType()),
+    T.StructField("event_date", T.DateType()),
+])
 
 # Contract rules (fixed values of the event contract v0).
 SCHEMA_VERSION = "0"

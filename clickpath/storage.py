@@ -4,17 +4,29 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from clickpath.session import checkpoint_dir
+from clickpath.sources.layer import remove
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's intermediate files, in the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/clickpath-run-{spark.sparkContext.applicationId}"
+
+
+def remove_run(spark: SparkSession) -> None:
+    """Remove all intermediate files of this application: call it when no result of a query is
+    still to be read.  Files of an application that has died are below its own folder."""
+    remove(spark, run_folder(spark))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to ``spark.checkpoint.dir`` and read it back.
+    """Write ``df`` once to the run's folder in ``spark.checkpoint.dir`` and read it back.
 
     What is read several times is then computed once, and a lost executor costs a re-read."""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/clickpath-{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/clickpath-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -24,5 +36,4 @@ def unstored(df: DataFrame) -> None:
     spark = df.sparkSession
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
         if folder.rsplit("/", 1)[1].startswith("clickpath-"):
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            remove(spark, folder)

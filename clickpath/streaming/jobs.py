@@ -5,23 +5,25 @@ ever drop data from the derived layer.  The streaming jobs are bounded, opt-in v
 
 H1 continuous ingest    landed bodies -> B1-B7 -> events/ + bad/ (foreachBatch, idempotent)
 H2 live dedup           duplicate deliveries removed within a server-clock horizon
-H3 live sessions        provisional inactivity sessions (session windows)
-H4 live quality         per-minute skew buckets, id coverage, reject rate
+H3 live sessions        inactivity sessions: session windows, or kept in state and corrected by late rows
+H4 live quality         per-minute skew buckets, id coverage, reject rate: windowed, or as parts of batches
 H5 incremental rebuild  re-write only the event dates touched by newly arrived dt
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql import functions as F
 
 from clickpath.config import SESSION_GAP_SECONDS, Config
 from clickpath.operators import ingest as I
-from clickpath.operators.derived import derived_events, write_derived
+from clickpath.operators.derived import in_dates, fold_dates
 from clickpath.functions.clock import round_half_away, skew_seconds
 from clickpath.operators.health import SKEW_BUCKETS, SKEW_OVERFLOW, skew_bucket
-from clickpath.sources import io
-from clickpath.storage import stored
+from clickpath.sources import compaction, io
 
 # Spark's session window merges events exactly one gap apart; the event model splits at >= gap.
 LIVE_SESSION_GAP = f"{SESSION_GAP_SECONDS - 1} seconds 999999 microseconds"
@@ -46,13 +48,21 @@ def ingest_stream(spark: SparkSession, landing: str, sink_root: str, checkpoint:
                   collector_instance: str = "spark", pixels: str | None = None, whole_files: bool = False):
     """H1: continuous ingest of landed bodies and, with ``pixels``, of landed pixel requests.
 
-    Each micro-batch is processed once (persisted for the two writes) and written under its
-    own batch id, so a batch replayed after a failure replaces its output."""
+    Each micro-batch is processed once (persisted for its writes) and written under its
+    own batch id, so a batch replayed after a failure replaces its output.  Beside the rows it
+    writes the batch's counts (:func:`clickpath.sources.io.read_counts`) and its part of the
+    quality minutes (:func:`read_quality`), which a restart neither loses nor doubles."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        processed = I.ingest(batch.withColumn("collector_instance", F.lit(collector_instance))).persist()
+        seen, name = Observation(f"bodies-{batch_id}"), f"stream-{batch_id}"
+        given = batch.withColumn("collector_instance", F.lit(collector_instance)).observe(seen, F.count(F.lit(1)).alias("n"))
+        processed = I.ingest(given).persist()
         try:
-            io.write_raw(I.good_events(processed), sink_root, "events", f"stream-{batch_id}")
-            io.write_raw(I.bad_rows(processed), sink_root, "bad", f"stream-{batch_id}")
+            io.write_raw(I.good_events(processed), sink_root, "events", name)
+            io.write_raw(I.bad_rows(processed), sink_root, "bad", name)
+            counts = I.fork_counts(processed).withColumn("bodies", F.lit(seen.get["n"]))
+            io.write_counts(counts, sink_root, name)
+            parts = quality_parts(I.good_events(processed), I.bad_rows(processed))
+            parts.coalesce(1).write.mode("overwrite").parquet(f"{sink_root}/quality/batch={name}")
         finally:
             processed.unpersist()
 
@@ -90,11 +100,8 @@ def live_sessions(events: DataFrame, cfg: Config = Config(), lateness: str = "1
                     F.col("session.end").alias("session_end"), "events", "page_views"))
 
 
-def live_quality(events: DataFrame, bad: DataFrame | None = None, lateness: str = "10 minutes") -> DataFrame:
-    """H4: per ingest minute - accepted and rejected rows, reject rate, clock-skew buckets
-    (the last one for everything ahead of the others), event_id coverage.
-
-    ``bad`` are the rejected rows; without them nothing counts as rejected."""
+def _quality_counts(events: DataFrame, bad: DataFrame | None) -> tuple[DataFrame, dict]:
+    """Rows of both kinds, and the counts of H4 over them."""
     cols = ["ingested_at", "event_timestamp", "event_id"]
     rows = events.select(*cols, F.lit(False).alias("_rejected"))
     if bad is not None:
@@ -103,41 +110,163 @@ def live_quality(events: DataFrame, bad: DataFrame | None = None, lateness: str
     skew = skew_seconds(F.col("event_timestamp"), F.col("ingested_at"))
     bucket = F.when(good, skew_bucket(skew))
     labels = [label for _, _, label in SKEW_BUCKETS] + [SKEW_OVERFLOW]
-    return (rows.withWatermark("ingested_at", lateness)
-            .groupBy(F.window("ingested_at", "1 minute").alias("minute"))
-            .agg(F.count_if(good).alias("events"), F.count_if(~good).alias("rejected"),
-                 F.count("event_id").alias("with_event_id"),
-                 *[F.count_if(bucket == lab).alias(f"skew_bucket_{i}") for i, lab in enumerate(labels)],
-                 F.count_if(good & (F.abs(skew) > F.lit(86400))).alias("untrusted_clock"))
-            .select(F.col("minute.start").alias("minute_start"), "events", "rejected",
-                    round_half_away(F.lit(100.0) * F.col("rejected") / (F.col("events") + F.col("rejected")), 2).alias("reject_pct"),
-                    "with_event_id", *[f"skew_bucket_{i}" for i in range(len(labels))], "untrusted_clock"))
-
-
-def incremental_rebuild(spark: SparkSession, raw_root: str, dest: str, new_dts: list, cfg: Config = Config()) -> int:
-    """H5: fold ingest dates into the derived layer; running it again changes nothing.
-
-    Rows of the derived layer that came from ``new_dts`` (a row's ingest date tells) are
-    replaced, so a date folded in twice is there once.  Only the ``event_date`` partitions
-    touched by old or new rows of those dates are rewritten.  An id already derived from
-    other dates was ingested earlier and stays, and a row with neither id nor ingest stamp is
-    known by its content.  The new content is stored before the
-    partitions are overwritten, never read while written.  Returns the rows rewritten."""
-    dates = [F.to_date(F.lit(str(d))) for d in new_dts]
-    fresh = derived_events(io.read_events(spark, raw_root).where(F.col("dt").isin(*dates)), cfg)
-    existing = io.read_derived(spark, dest)
-    replaced = F.coalesce(F.to_date("ingested_at").isin(*dates), F.lit(False))
-    known = existing.where(~replaced & F.col("event_id").isNotNull()).select("event_id")
-    fresh = fresh.join(known, "event_id", "left_anti").select(*existing.columns)
-    nameless = F.col("event_id").isNull() & F.col("ingested_at").isNull()
-    there = existing.where(nameless).select(F.xxhash64(*existing.columns).alias("_there"))
-    fresh = stored(fresh.join(there, nameless & (F.xxhash64(*existing.columns) == F.col("_there")), "left_anti"), "rebuild-fresh")
-    # Rows without a readable time stand under a NULL date, which is rewritten whole like any other.
-    touched = fresh.select("event_date").union(existing.where(replaced).select("event_date")).distinct().withColumnRenamed("event_date", "_touched")
-    current = existing.where(~replaced).join(touched, F.col("event_date").eqNullSafe(F.col("_touched")), "left_semi").select(*existing.columns)
-    merged = stored(current.unionByName(fresh), "rebuild")
-    write_derived(merged, dest, only_touched=True)
-    return merged.count()
+    return rows, {"events": F.count_if(good), "rejected": F.count_if(~good), "with_event_id": F.count("event_id"),
+                  **{f"skew_bucket_{i}": F.count_if(bucket == lab) for i, lab in enumerate(labels)},
+                  "untrusted_clock": F.count_if(good & (F.abs(skew) > F.lit(86400)))}
+
+
+def _with_rate(counts: DataFrame) -> DataFrame:
+    pct = round_half_away(F.lit(100.0) * F.col("rejected") / (F.col("events") + F.col("rejected")), 2)
+    names = [c for c in counts.columns if c not in ("minute_start", "events", "rejected")]
+    return counts.select("minute_start", "events", "rejected", pct.alias("reject_pct"), *names)
+
+
+def live_quality(events: DataFrame, bad: DataFrame | None = None, lateness: str = "10 minutes") -> DataFrame:
+    """H4: per ingest minute - accepted and rejected rows, reject rate, clock-skew buckets
+    (the last one for everything ahead of the others), event_id coverage.
+
+    ``bad`` are the rejected rows; without them nothing counts as rejected.  On a stream, rows
+    later than ``lateness`` are left out (:class:`LateRows` counts them); :func:`read_quality`
+    leaves out none."""
+    rows, counts = _quality_counts(events, bad)
+    found = rows.withWatermark("ingested_at", lateness).groupBy(F.window("ingested_at", "1 minute").alias("minute")).agg(*(c.alias(n) for n, c in counts.items()))
+    return _with_rate(found.select(F.col("minute.start").alias("minute_start"), *counts))
+
+
+def quality_parts(events: DataFrame, bad: DataFrame | None = None) -> DataFrame:
+    """H4, mergeable: the counts of a part of the rows (a micro-batch, say) per ingest minute."""
+    rows, counts = _quality_counts(events, bad)
+    return rows.groupBy(F.date_trunc("minute", "ingested_at").alias("minute_start")).agg(*(c.alias(n) for n, c in counts.items()))
+
+
+def read_quality(spark: SparkSession, root: str) -> DataFrame:
+    """H4 over all batches that an ingest stream has written: no row is too late to count."""
+    none = spark.createDataFrame([], "ingested_at timestamp, event_timestamp timestamp, event_id string")
+    shape, path = quality_parts(none).schema, f"{root}/quality"
+    if not io._exists(spark, path):
+        return _with_rate(spark.createDataFrame([], shape))
+    parts = spark.read.schema(shape).option("basePath", path).parquet(path).drop("batch")
+    return _with_rate(parts.groupBy("minute_start").agg(*(F.sum(c).alias(c) for c in shape.fieldNames()[1:])))
+
+
+class LateRows(StreamingQueryListener):
+    """Counts what windowed queries leave out behind their watermark, by query name (or id).
+
+    Rows are counted as they reach the state: after a task's pre-aggregation, so a count of
+    groups there, but never zero where a row was left out."""
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(event.name or str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        name = event.progress.name or str(event.progress.id)
+        self.dropped[name] = self.dropped.get(name, 0) + sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+_SESSION_LOG = ("anonymous_id string, kind string, session_start timestamp, client_session_id string, "
+                "distinct_client_session_ids long, events long, version long")
+_MINUTE = 60_000_000
+
+
+def _joined(sessions: list[list], at: int, ids: list[str], gap_minutes: int) -> set[int]:
+    """Put a row at ``at`` (microseconds) into its visitor's sessions, ``[start, end, rows, ids]``
+    in order of time; sessions that it connects become one.  The starts of those that it touched."""
+    minute, near = at // _MINUTE, []
+    for k, (start, end, _, _) in enumerate(sessions):
+        if minute - end // _MINUTE < gap_minutes and start // _MINUTE - minute < gap_minutes:
+            near.append(k)
+    touched = {sessions[k][0] for k in near}
+    made = [at, at, 1, sorted(set(ids))]
+    for k in reversed(near):
+        start, end, rows, known = sessions.pop(k)
+        made = [min(made[0], start), max(made[1], end), made[2] + rows, sorted({*made[3], *known})]
+    sessions.append(made)
+    sessions.sort()
+    return touched | {made[0]}
+
+
+def live_session_log(events: DataFrame, cfg: Config = Config(), time_col: str = "event_timestamp", horizon: str = "30 days", forget: str | None = None) -> DataFrame:
+    """H3 without loss: gap sessions (D3's rule) of every visitor, kept in state and corrected by late rows.
+
+    The output (update mode) is a log: a session as it is now (kind ``session``; ``events`` 0 where
+    it has become part of an earlier one), rows without a time (``untimed``), and rows more than
+    ``horizon`` behind their visitor's latest, which find their session closed (``late``).  All rows
+    are in one of the three; :func:`live_session_table` is the current state of the log.
+
+    A visitor's state is its sessions within the horizon and one number for the closed ones.
+    With ``forget`` a visitor that has sent nothing for so long is dropped from the state."""
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    gap, span = cfg.session_gap_seconds // 60, int(pd.Timedelta(horizon).value // 1000)
+    idle = int(pd.Timedelta(forget).total_seconds() * 1000) if forget else None
+    names = [x.split()[0] for x in _SESSION_LOG.split(", ")]
+
+    def update(key, batches, state):
+        (visitor,) = key
+        if state.hasTimedOut:
+            state.remove()
+            return
+        sessions, closed, version = json.loads(state.get[0]) if state.exists else ([], None, 0)
+        touched, untimed, late = set(), 0, 0
+        for batch in batches:
+            for at, sid in zip(batch["_at"], batch["session_id"], strict=True):
+                if pd.isna(at):
+                    untimed += 1
+                elif closed is not None and int(at) < closed:
+                    late += 1
+                else:
+                    touched |= _joined(sessions, int(at), [] if sid is None else [sid], gap)
+        version += 1
+        now = {s[0]: s for s in sessions}
+        rows = [(visitor, "session", pd.Timestamp(t, unit="us"), min(now[t][3], default=None) if t in now else None, len(now[t][3]) if t in now else 0, now[t][2] if t in now else 0, version)
+                for t in sorted(touched)]
+        rows += [(visitor, kind, None, None, 0, n, version) for kind, n in (("untimed", untimed), ("late", late)) if n]
+        if sessions:
+            # A session closes when no row within the horizon can touch it any more.
+            limit = sessions[-1][1] - span
+            open_ = [s for s in sessions if s[1] // _MINUTE + gap > limit // _MINUTE]
+            if len(open_) < len(sessions):
+                closed = max(closed or limit, limit)
+            sessions = open_
+        state.update((json.dumps([sessions, closed, version]),))
+        if idle:
+            state.setTimeoutDuration(idle)
+        made = pd.DataFrame(rows, columns=names)
+        made["session_start"] = pd.to_datetime(made["session_start"])
+        yield made
+
+    given = events.select("anonymous_id", "session_id", F.unix_micros(time_col).alias("_at"))
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout
+    return given.groupBy("anonymous_id").applyInPandasWithState(update, _SESSION_LOG, "state string", "update", timeout)
+
+
+def live_session_table(log: DataFrame) -> DataFrame:
+    """The sessions that a :func:`live_session_log` has arrived at, in the columns of D3."""
+    w = F.max_by(F.struct("client_session_id", "distinct_client_session_ids", "events"), "version").alias("s")
+    now = log.where("kind = 'session'").groupBy("anonymous_id", "session_start").agg(w).where("s.events > 0")
+    return now.select("anonymous_id", "s.client_session_id", "s.distinct_client_session_ids", "session_start", "s.events")
+
+
+def incremental_rebuild(spark: SparkSession, raw_root: str, dest: str, new_dts: list, cfg: Config = Config(), snapshots: bool | None = None) -> int:
+    """H5: fold ingest dates (None: rows without one) into the derived layer, in any order, so
+    that it equals a full rebuild over all dates folded; running it again changes nothing.
+
+    See :func:`clickpath.operators.derived.fold_dates`.  ``snapshots`` switches the layer by one
+    rename (by default as the layer is kept).  Returns the rows written."""
+    def raw_of(dates: list) -> DataFrame:
+        return io.read_events(spark, raw_root).where(in_dates(F.col("dt"), dates))
+
+    def existing_of(manifest, dates: list[str]) -> DataFrame:
+        return io.read_layer(spark, dest, manifest, dates)
+
+    return fold_dates(spark, raw_of, existing_of, dest, new_dts, cfg, snapshots)
 
 
 def rebuild_stream(spark: SparkSession, raw_root: str, dest: str, checkpoint: str, cfg: Config = Config()):
@@ -146,8 +275,9 @@ def rebuild_stream(spark: SparkSession, raw_root: str, dest: str, checkpoint: st
     raw = spark.readStream.option("basePath", f"{raw_root}/events").schema("value string, batch string, dt date").text(f"{raw_root}/events")
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        dts = [r["dt"].isoformat() for r in batch.select("dt").where("dt is not null").distinct().collect()]
+        dts = [r["dt"] for r in batch.select("dt").distinct().collect()]
         if dts:
             incremental_rebuild(spark, raw_root, dest, dts, cfg)
 
+    raw = raw.where(~F.col("batch").startswith(compaction.PREFIX))      # the same lines again
     return raw.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
