@@ -32,22 +32,22 @@ def with_clock(events: DataFrame, cfg: Config = Config()) -> DataFrame:
 def dedup_deliveries(events: DataFrame, copies: str | None = None) -> DataFrame:
     """Keep the earliest-ingested copy of each ``event_id``; rows without an id are all kept.
 
-    One scan and one aggregation.  A row without an id is a group of its own (the salt), so
-    the rows of a dataset from before ids existed spread evenly; copies of an id collapse
+    One scan and one aggregation.  Rows without an id are grouped by their content (two hashes,
+    128 bits), so they spread evenly, and a group of equal ones is given out as often as it
+    counts; copies of an id collapse
     before the shuffle, so one id delivered millions of times moves at most one row per
     input partition.  Ties on ``ingested_at`` (NULLs last) break on the row's content hash,
-    so the survivor is deterministic.  ``copies`` names a column for how many rows each
-    survivor stands for.
-
-    The salt is a row's place in its input partition: read from files, or store the input,
-    so that a repeated task gives the same places.
+    so the survivor is deterministic, and so are the groups when a task is repeated.
+    ``copies`` names a column for how many rows each survivor stands for.
     """
     cols = events.columns
-    salt = F.when(F.col("event_id").isNull(), F.monotonically_increasing_id())
+    nameless = F.col("event_id").isNull()
+    content = F.when(nameless, F.struct(F.xxhash64(*cols).alias("a"), F.xxhash64(F.lit(1), *cols).alias("b")))
     order = F.struct(F.col("ingested_at").isNull(), F.col("ingested_at"), F.xxhash64(*[c for c in EVENT_COLUMNS if c in cols]))
-    kept = events.groupBy(F.col("event_id").alias("_id"), salt.alias("_salt")).agg(
-        F.min_by(F.struct(*cols), order).alias("_row"), *([F.count(F.lit(1)).alias(copies)] if copies else []))
-    return kept.select("_row.*", *([copies] if copies else []))
+    kept = events.groupBy(F.col("event_id").alias("_id"), content.alias("_content")).agg(
+        F.min_by(F.struct(*cols), order).alias("_row"), F.count(F.lit(1)).alias("_n"))
+    times = F.when(F.col("_id").isNull(), F.array_repeat(F.lit(1).cast("long"), F.col("_n").cast("int"))).otherwise(F.array("_n"))
+    return kept.select("_row", F.explode(times).alias("_copies_")).select("_row.*", *([F.col("_copies_").alias(copies)] if copies else []))
 
 
 def derived_events(events: DataFrame, cfg: Config = Config(), copies: str | None = None) -> DataFrame:
@@ -163,7 +163,9 @@ def rebuild_derived(raw: DataFrame, dest: str, cfg: Config = Config(), snapshots
     kept = derived_events(rows, cfg, copies="_copies")
     write_derived(kept.observe(out, F.sum("_copies").alias("raw"), F.count(F.lit(1)).alias("n"),
                                F.count_if(~F.col("event_time_trusted")).alias("untrusted")).drop("_copies"), f"{dest}/{folder}" if folder else dest)
-    raw_n, got = out.get["raw"] or 0, out.get
+    # Spark plans nothing to observe over an input that it knows to be empty.
+    got = {"raw": 0, "n": 0, "untrusted": 0} if raw.isEmpty() else out.get
+    raw_n = got["raw"] or 0
     index = _write_index(_entries(_copies(raw, cfg)), dest)
     # A plain overwrite takes the manifests with it.
     layer.commit(spark, dest, manifest if folder else layer.current(spark, dest), _partitions(spark, dest, folder) if folder else None, index)

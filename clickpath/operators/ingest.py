@@ -14,55 +14,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickpath.config import MAX_PARAMS
 from clickpath.functions.redaction import redact_json, redact_text
-from clickpath.sources.schema import (ATTRIBUTION_VALUES, CAMPAIGN_FIELD_MAX_LEN, EVENT_NAME_PATTERN,
-                                      EVENT_SCHEMA, ID_MAX_LEN, ID_MIN_LEN, PLATFORM_VALUES,
-                                      SCHEMA_VERSION, USER_ID_MAX_LEN)
-
-# ---- fixed values: the event contract v0 as a rule table ----------------------------------
-# (path, allowed JSON types, extra checks).  Types: string, null, object, integer, number, boolean.
-ROOT_FIELDS = ["schema_version", "event_id", "event_name", "event_timestamp", "ingested_at",
-               "anonymous_id", "session_id", "user_id", "page", "campaign", "device", "params"]
-REQUIRED = ["schema_version", "event_name", "event_timestamp", "anonymous_id", "session_id"]
-CLOSED_OBJECTS = {
-    "page": ["url", "path", "title", "referrer"],
-    "campaign": ["source", "medium", "campaign", "content", "term", "attribution"],
-    "device": ["platform", "user_agent", "language", "screen_width", "screen_height"],
-}
-FIELD_RULES = [
-    ("schema_version", ["string"], {"const": SCHEMA_VERSION}),
-    ("event_id", ["string"], {"min": ID_MIN_LEN, "max": ID_MAX_LEN}),
-    ("event_name", ["string"], {"pattern": EVENT_NAME_PATTERN}),
-    ("event_timestamp", ["string"], {"date_time": True}),
-    ("ingested_at", ["string"], {"date_time": True}),
-    ("anonymous_id", ["string"], {"min": ID_MIN_LEN, "max": ID_MAX_LEN}),
-    ("session_id", ["string"], {"min": ID_MIN_LEN, "max": ID_MAX_LEN}),
-    ("user_id", ["string", "null"], {"max": USER_ID_MAX_LEN}),
-    ("page", ["object"], {}),
-    ("page.url", ["string"], {}),
-    ("page.path", ["string"], {}),
-    ("page.title", ["string"], {}),
-    ("page.referrer", ["string", "null"], {}),
-    ("campaign", ["object"], {}),
-    ("campaign.source", ["string", "null"], {"max": CAMPAIGN_FIELD_MAX_LEN}),
-    ("campaign.medium", ["string", "null"], {"max": CAMPAIGN_FIELD_MAX_LEN}),
-    ("campaign.campaign", ["string", "null"], {"max": CAMPAIGN_FIELD_MAX_LEN}),
-    ("campaign.content", ["string", "null"], {"max": CAMPAIGN_FIELD_MAX_LEN}),
-    ("campaign.term", ["string", "null"], {"max": CAMPAIGN_FIELD_MAX_LEN}),
-    ("campaign.attribution", ["string"], {"enum": ATTRIBUTION_VALUES}),
-    ("device", ["object"], {}),
-    ("device.platform", ["string"], {"enum": PLATFORM_VALUES}),
-    ("device.user_agent", ["string", "null"], {}),
-    ("device.language", ["string", "null"], {}),
-    ("device.screen_width", ["integer", "null"], {}),
-    ("device.screen_height", ["integer", "null"], {}),
-    ("params", ["object"], {"max_properties": MAX_PARAMS}),
-]
-PARAM_VALUE_TYPES = ["string", "number", "boolean", "null"]
-# RFC 3339 / ISO-8601 shapes a browser emits; the value must also parse as a timestamp.
-DATE_TIME_PATTERN = (r"^\d{4}-\d{2}-\d{2}([Tt ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
-                     r"([Zz]|[+-]\d{2}(:?\d{2})?)?)?\z")
+from clickpath.operators.contract import (CLOSED_OBJECTS, DATE_TIME_PATTERN, FIELD_RULES, PARAM_VALUE_TYPES, REQUIRED,  # noqa: F401
+                                          ROOT_FIELDS, SEP, TYPED, V0, Contract, _py_list, _types_text, surely_valid, with_contract_errors)
+from clickpath.sources.schema import EVENT_SCHEMA
+
+# ---- fixed values: messages and type names -----------------------------------------------------
 NOT_OBJECT_MESSAGE = "event must be a JSON object, got "
 UNPARSEABLE_MESSAGE = "body is not valid JSON"
 PIXEL_EMPTY_MESSAGE = "GET /collect called without the `e` parameter"
@@ -71,200 +28,10 @@ PY_TYPE_NAMES = [("OBJECT", "dict"), ("ARRAY", "list"), ("STRING", "str"), ("BOO
                  ("VOID", "NoneType"), ("DOUBLE", "float"), ("FLOAT", "float"), ("DECIMAL", "float")]
 # -------------------------------------------------------------------------------------------------
 
-SEP = "\u0001"  # path-component separator for sorting errors like Python sorts path lists
-
-
 def _get(v: Column, path: str) -> Column:
     return F.variant_get(v, "$." + path, "variant")
 
 
-def json_type(x: Column, schema: Column | None = None) -> Column:
-    """JSON type of a variant: object, array, string, boolean, null, integer, number.
-
-    ``schema`` is ``schema_of_variant(x)`` when already computed (it walks whole objects)."""
-    s = F.schema_of_variant(x) if schema is None else schema
-    d = F.try_variant_get(x, "$", "double")
-    return (F.when(x.isNull(), F.lit(None))
-            .when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array")
-            .when(s == "STRING", "string").when(s == "BOOLEAN", "boolean").when(s == "VOID", "null")
-            .when(s.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), "integer")
-            .when(d == F.floor(d), "integer")
-            .otherwise("number"))
-
-
-def _keys_of(obj: Column) -> Column:
-    """Keys of a variant object (variant -> map cast; no JSON text round trip)."""
-    return F.map_keys(F.try_variant_get(obj, "$", "map<string,variant>"))
-
-
-def _type_ok(t: Column, allowed: list[str]) -> Column:
-    ok = t.isin(allowed)
-    if "number" in allowed:
-        ok = ok | (t == "integer")
-    return ok
-
-
-def _repr(x: Column) -> Column:
-    """Python-style rendering of a JSON value for messages: 'text' for strings, JSON else."""
-    s = F.try_variant_get(x, "$", "string")
-    return F.when(F.schema_of_variant(x) == "STRING", F.concat(F.lit("'"), s, F.lit("'"))).otherwise(F.to_json(x))
-
-
-def _types_text(allowed: list[str]) -> str:
-    return ", ".join(f"'{t}'" for t in allowed)
-
-
-def _py_list(values: list[str]) -> str:
-    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
-
-
-def _err(path: str, cond: Column, message: Column) -> Column:
-    loc = path.replace(".", "/") if path else "<root>"
-    key = path.replace(".", SEP) if path else ""
-    return F.when(cond, F.struct(F.lit(key).alias("k"), F.concat(F.lit(loc + ": "), message).alias("m")))
-
-
-def _unexpected(obj: Column, path: str | None, allowed: list[str], label: str | None = None,
-                keys: Column | None = None) -> Column:
-    keys = _keys_of(obj) if keys is None else keys
-    extra = F.filter(keys, lambda k: ~k.isin(allowed))
-    quoted = F.transform(extra, lambda k: F.concat(F.lit("'"), k, F.lit("'")))
-    msg = F.concat(F.lit("Additional properties are not allowed ("), F.array_join(quoted, ", "),
-                   F.when(F.size(extra) == 1, F.lit(" was")).otherwise(F.lit(" were")), F.lit(" unexpected)"))
-    return _err(label or path or "", F.size(extra) > 0, msg)
-
-
-def _fcol(path: str, what: str) -> str:
-    return f"_{what}_{path.replace('.', '_')}"
-
-
-def with_contract_errors(df: DataFrame, event: str, params: str, out: str = "errors") -> DataFrame:
-    """Add ``out``, the sorted ``location: message`` list for each event object (empty =
-    valid).  ``event`` is the received object (variant), ``params`` the redacted params
-    (variant).  The server stamp is folded in rather than materialised: after stamping,
-    ``ingested_at`` is always present and a valid date-time, so it satisfies its rules.
-
-    Staged projections: each field's value and JSON type are extracted once into columns,
-    and the ~60 rules then reference those columns - the rule table never re-inlines the
-    event expression."""
-    v, pv = F.col(event), F.col(params)
-    stage = [F.array_union(_keys_of(v), F.array(F.lit("ingested_at"))).alias("_keys")]
-    for path, _, _ in FIELD_RULES:
-        x = pv if path == "params" else F.lit(None).cast("variant") if path == "ingested_at" else _get(v, path)
-        stage.append(x.alias(_fcol(path, "x")))
-    df = df.select("*", *stage)
-    df = df.select("*", *[F.schema_of_variant(F.col(_fcol(p, "x"))).alias(_fcol(p, "sv")) for p, _, _ in FIELD_RULES])
-    stage = []
-    for path, _, _ in FIELD_RULES:
-        x, sv = F.col(_fcol(path, "x")), F.col(_fcol(path, "sv"))
-        stage += [json_type(x, sv).alias(_fcol(path, "t")),
-                  F.when(sv == "STRING", F.try_variant_get(x, "$", "string")).alias(_fcol(path, "s"))]
-    df = df.select("*", *stage)
-    errs = []
-    for f in REQUIRED:
-        errs.append(_err("", ~F.array_contains(F.col("_keys"), f), F.lit(f"'{f}' is a required property")))
-    errs.append(_unexpected(v, None, ROOT_FIELDS, keys=F.col("_keys")))
-    for path, allowed, checks in FIELD_RULES:
-        x, t = F.col(_fcol(path, "x")), F.col(_fcol(path, "t"))
-        s = F.col(_fcol(path, "s"))
-        # rendered only inside a failing branch (CASE evaluates lazily)
-        r = F.when(t == "string", F.concat(F.lit("'"), s, F.lit("'"))).otherwise(F.to_json(x))
-        present = x.isNotNull()
-        errs.append(_err(path, present & ~_type_ok(t, allowed),
-                         F.concat(r, F.lit(f" is not of type {_types_text(allowed)}"))))
-        is_str = present & (t == "string")
-        if "const" in checks:
-            errs.append(_err(path, present & ~(is_str & (s == checks["const"])),
-                             F.lit(f"'{checks['const']}' was expected")))
-        if "min" in checks:
-            errs.append(_err(path, is_str & (F.char_length(s) < checks["min"]), F.concat(r, F.lit(" is too short"))))
-        if "max" in checks:
-            errs.append(_err(path, is_str & (F.char_length(s) > checks["max"]), F.concat(r, F.lit(" is too long"))))
-        if "pattern" in checks:
-            errs.append(_err(path, is_str & ~s.rlike(checks["pattern"].replace("$", r"\z")),
-                             F.concat(r, F.lit(f" does not match '{checks['pattern']}'"))))
-        if "date_time" in checks:
-            ok = s.rlike(DATE_TIME_PATTERN) & F.try_to_timestamp(s).isNotNull()
-            errs.append(_err(path, is_str & ~F.coalesce(ok, F.lit(False)),
-                             F.concat(r, F.lit(" is not a 'date-time'"))))
-        if "enum" in checks:
-            errs.append(_err(path, is_str & ~s.isin(checks["enum"]),
-                             F.concat(r, F.lit(f" is not one of {_py_list(checks['enum'])}"))))
-        if path in CLOSED_OBJECTS:
-            errs.append(F.when(present & (t == "object"), _unexpected(x, "", CLOSED_OBJECTS[path], path)))
-        if "max_properties" in checks:
-            n = F.size(_keys_of(x))
-            errs.append(_err(path, present & (t == "object") & (n > checks["max_properties"]),
-                             F.concat(F.to_json(x), F.lit(" has too many properties"))))
-    # params values: flat scalars only (one error per offending key)
-    pmap = F.try_variant_get(pv, "$", "map<string,variant>")
-    per_key = F.transform(
-        F.filter(F.map_entries(pmap), lambda e: ~_type_ok(json_type(e["value"]), PARAM_VALUE_TYPES)),
-        lambda e: F.struct(F.concat(F.lit("params" + SEP), e["key"]).alias("k"),
-                           F.concat(F.lit("params/"), e["key"], F.lit(": "), _repr(e["value"]),
-                                    F.lit(f" is not of type {_types_text(PARAM_VALUE_TYPES)}")).alias("m")))
-    all_errs = F.concat(F.array_compact(F.array(*errs)), F.coalesce(per_key, F.array()))
-    df = df.withColumn(out, F.transform(F.array_sort(all_errs), lambda e: e["m"]))
-    return df.drop("_keys", *[_fcol(p, w) for p, _, _ in FIELD_RULES for w in ("x", "sv", "t", "s")])
-
-
-_SCHEMA_TYPES = {"string": "STRING", "null": "VOID", "integer": "TINYINT|SMALLINT|INT|BIGINT"}
-
-
-def _schema_pattern() -> str:
-    """Regex over ``schema_of_variant`` text that only objects of the contract's types match.
-
-    Keys stand in sorted order, and every field is followed by ``", "`` (see
-    :func:`surely_valid`).  ``params`` may hold any flat values."""
-    def fields(prefix: str) -> str:
-        out = []
-        for path, allowed, _ in sorted(FIELD_RULES, key=lambda r: r[0]):
-            parent, _, key = path.rpartition(".")
-            if parent != prefix:
-                continue
-            if path == "params":
-                kind = "OBJECT<[^<>]*>"
-            elif path == "ingested_at":
-                kind = r"[A-Z]+(?:\([0-9,]*\))?"            # whatever was sent is overwritten
-            elif allowed == ["object"]:
-                kind = f"OBJECT<{fields(path)}>"
-            else:
-                kind = "(?:" + "|".join(_SCHEMA_TYPES[t] for t in allowed) + ")"
-            out.append(f"(?:{key}: {kind}, )" + ("" if path in REQUIRED else "?"))
-        return "".join(out)
-
-    return rf"\AOBJECT<{fields('')}>\z"
-
-
-TYPED = ("struct<schema_version:string,event_id:string,event_name:string,event_timestamp:string,anonymous_id:string,"
-         "session_id:string,user_id:string,campaign:struct<source:string,medium:string,campaign:string,content:string,"
-         "term:string,attribution:string>,device:struct<platform:string>>")
-
-
-def surely_valid(event: Column, schema: Column, typed: Column) -> Column:
-    """True only for event objects that meet the whole contract, at a fraction of its cost.
-
-    The variant's schema text proves all types and keys at once, one typed read (``typed``,
-    the event as ``TYPED``) gives the values.  False proves nothing: the rule table decides
-    those rows."""
-    ends = F.replace(F.replace(schema, F.lit(">"), F.lit(", >")), F.lit("<, >"), F.lit("<>"))
-    ok = ends.rlike(_schema_pattern())
-    for path, _, checks in FIELD_RULES:
-        value = typed
-        if path in ("ingested_at", "params") or not checks:
-            continue
-        for part in path.split("."):
-            value = value[part]
-        size = F.char_length(value)
-        tests = {"const": lambda x: value == x, "min": lambda x: size >= x, "max": lambda x: size <= x,
-                 "pattern": lambda x: value.rlike(x.replace("$", r"\z")), "enum": lambda x: value.isin(x),
-                 "date_time": lambda x: value.rlike(DATE_TIME_PATTERN) & F.try_to_timestamp(value).isNotNull()}
-        for name, given in checks.items():
-            ok = ok & F.coalesce(value.isNull() | tests[name](given), F.lit(False))
-    n_params = F.size(_keys_of(_get(event, "params")))
-    return F.coalesce(ok & (F.coalesce(n_params, F.lit(0)) <= MAX_PARAMS), F.lit(False))
-
-
 def _py_type_name(v: Column) -> Column:
     s = F.schema_of_variant(v)
     out = F.when(s.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), "int")
@@ -381,9 +148,13 @@ def stamp(received_at: Column) -> Column:
     return F.timestamp_millis(F.unix_millis(received_at))
 
 
-def process(elements: DataFrame) -> DataFrame:
+def process(elements: DataFrame, versions: dict[str, Contract] | None = None) -> DataFrame:
     """B3-B6 on decoded elements: one row per element with ``errors`` (empty = good).
 
+    ``versions`` are further contracts by the ``schema_version`` that chooses them (see
+    :func:`clickpath.operators.contract.compile_schema`); all other events are judged by the
+    fixed one.
+
     Columns: ingested_at, dt, collector_instance, elem_pos, errors, good, event (variant,
     stamped, params redacted), params (redacted JSON text), payload (post-redaction JSON
     text of what was received, for bad rows), payload_raw (redacted whole text of an
@@ -398,11 +169,20 @@ def process(elements: DataFrame) -> DataFrame:
     x = x.withColumn("params", F.when(F.col("_params_in").isNotNull(), redact_json(F.to_json(F.col("_params_in")))))
     # The rule table sees only rows that the cheap test cannot clear.
     x = x.withColumn("_typed", F.when(F.col("_is_obj"), F.try_variant_get(e, "$", TYPED)))
-    x = x.withColumn("_clear", F.col("_is_obj") & surely_valid(e, F.col("_kind"), F.col("_typed")))
+    x = x.withColumn("_clear", F.col("_is_obj") & surely_valid("elem", "_kind", "_typed"))
     x = x.withColumn("_doubtful", F.when(F.col("_is_obj") & ~F.col("_clear"), e))
     x = x.withColumn("_pvar", F.when(F.col("_doubtful").isNotNull(), F.try_parse_json(F.col("params"))))
     fields = F.try_variant_get(e, "$", "map<string,variant>")
-    x = with_contract_errors(x, "_doubtful", "_pvar", "_contract_errors")
+    version = F.try_variant_get(F.col("_doubtful"), "$.schema_version", "string")
+    others = list(versions or {})
+    if others:
+        x = x.withColumn("_version", F.when(version.isin(others), version))
+        ours = F.col("_version").isNull()
+        x = x.withColumns({"_own": F.when(ours, F.col("_doubtful")), **{f"_event{k}": F.when(F.col("_version") == v, F.col("_doubtful")) for k, v in enumerate(others)}})
+    x = with_contract_errors(x, "_own" if others else "_doubtful", "_pvar", "_contract_errors")
+    for k, v in enumerate(others):
+        x = with_contract_errors(x, f"_event{k}", "_pvar", f"_errors{k}", versions[v])
+        x = x.withColumn("_contract_errors", F.when(F.col("_version") == v, F.col(f"_errors{k}")).otherwise(F.col("_contract_errors")))
     raw_text = F.coalesce(F.col("body"), F.lit(""))
     non_obj_payload = F.when(F.col("_kind") == "STRING",
                              F.regexp_extract(F.to_json(F.array(redact_text(F.try_variant_get(e, "$", "string")))),
@@ -424,8 +204,11 @@ def process(elements: DataFrame) -> DataFrame:
     empty = F.create_map().cast("map<string,variant>")
     red_params = F.when(F.col("_pvar").isNotNull(),
                         F.map_from_arrays(F.array(F.lit("params")), F.array(F.col("_pvar"))))
-    as_received = F.to_json(F.to_variant_object(F.map_concat(
+    redacted = F.to_json(F.to_variant_object(F.map_concat(
         F.map_filter(fields, lambda k, v: k != "params"), F.coalesce(red_params, empty))))
+    # The object is put together anew only where redaction changed something in it.
+    same = F.col("params").isNull() | (F.col("params") == F.to_json("_params_in"))
+    as_received = F.when(same, F.to_json(e)).otherwise(redacted)
     return x.select(
         "ingested_at", F.to_date("ingested_at").alias("dt"), "collector_instance", "elem_pos", "errors",
         good.alias("good"), F.when(F.col("_is_obj"), e).alias("event"), "params",
@@ -465,9 +248,9 @@ def fork_counts(processed: DataFrame) -> DataFrame:
                                        F.count_if(~F.col("good")).alias("rejected"))
 
 
-def ingest(bodies: DataFrame) -> DataFrame:
-    """B1-B6 in one pass over request bodies."""
-    return process(decode_bodies(bodies))
+def ingest(bodies: DataFrame, versions: dict[str, Contract] | None = None) -> DataFrame:
+    """B1-B6 in one pass over request bodies; ``versions`` as in :func:`process`."""
+    return process(decode_bodies(bodies), versions)
 
 
 REPLAY_KEY = ["anonymous_id", "session_id", "event_name", "event_timestamp", "ingested_at"]

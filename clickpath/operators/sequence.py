@@ -32,7 +32,8 @@ def seq_key(c: Column) -> Column:
 
 def _chunked(df: DataFrame, key: str, order: list[Column], chunks: int | None) -> DataFrame:
     """Rows with their key and the partition of a global sort that they fall in."""
-    numbered = df.withColumn(KEY, seq_key(F.col(key))).withColumn(ROW, F.monotonically_increasing_id())
+    # A sort by range reads its input twice, and a row's place must be the same each time.
+    numbered = stored(df.withColumn(KEY, seq_key(F.col(key))), "sequence-input").withColumn(ROW, F.monotonically_increasing_id())
     by = [F.col(KEY).asc(), *order]
     cut = numbered.repartitionByRange(chunks, *by) if chunks else numbered.repartitionByRange(*by)
     return cut.withColumn(CHUNK, F.spark_partition_id())

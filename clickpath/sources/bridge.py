@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpath.config import Config
+from clickpath.sources.io import spread_small
 
 # ---- fixed values of the bridge ------------------------------------------------------------
 INTERNAL_DOMAINS = "example.com.br"
@@ -105,7 +106,7 @@ def _event_name(n):
 
 
 def _with_pages(spark: SparkSession, sf_dir: str, cols: list[str]) -> DataFrame:
-    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(*cols)
+    ev = spread_small(spark.read.parquet(f"{sf_dir}/events.parquet").select(*cols), f"{sf_dir}/events.parquet")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.col("url").alias("page_url"))
     total = pages.agg(F.count(F.lit(1)).alias("_pages"))       # one row
     base = (ev.crossJoin(F.broadcast(total))

@@ -130,6 +130,18 @@ def read_derived(spark: SparkSession, root: str) -> DataFrame:
     return read_layer(spark, root, layer.current(spark, root)).drop(INGEST_DATE)
 
 
+def spread_small(df: DataFrame, path: str) -> DataFrame:
+    """``df``, read from ``path``, over all cores where its files make fewer splits than there are.
+
+    Files of a few megabytes are one task however much work a row is.  Larger inputs stay as
+    they are read."""
+    spark = df.sparkSession
+    split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    status = layer._fs(spark, path).getContentSummary(layer._path(spark, path))
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if status.getLength() < split * cores else df
+
+
 def _event_json(df: DataFrame) -> DataFrame:
     cols = [F.try_parse_json("params").alias("params") if c == "params" else F.col(c)
             for c in EVENT_SCHEMA.fieldNames()]

@@ -59,7 +59,7 @@ def ingest_stream(spark: SparkSession, landing: str, sink_root: str, checkpoint:
         try:
             io.write_raw(I.good_events(processed), sink_root, "events", name)
             io.write_raw(I.bad_rows(processed), sink_root, "bad", name)
-            counts = I.fork_counts(processed).withColumn("bodies", F.lit(seen.get["n"]))
+            counts = I.fork_counts(processed).withColumn("bodies", F.lit(0 if batch.isEmpty() else seen.get["n"]).cast("long"))
             io.write_counts(counts, sink_root, name)
             parts = quality_parts(I.good_events(processed), I.bad_rows(processed))
             parts.coalesce(1).write.mode("overwrite").parquet(f"{sink_root}/quality/batch={name}")
