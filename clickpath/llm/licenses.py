@@ -56,10 +56,12 @@ COMMON = frozenset("a an and any are as at be by can for from in is it its may n
 #: Share of a template's 2-grams that must vote, words that neighbouring diagonals may differ by.
 LEAST_SHARE, SLACK = 0.75, 2
 _SENTINEL = " "
+#: A-Z alone are folded, whatever the script.
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _words(text: str) -> list[str]:
-    return re.findall(WORD, text.lower())
+    return re.findall(WORD, text.translate(str.maketrans(_UPPER, _LOWER)))
 
 
 def template_rows() -> list[tuple[int, str, bool, int, int, int, str, str]]:
@@ -80,7 +82,8 @@ def _templates(spark: SparkSession) -> DataFrame:
 
 def matches(docs: DataFrame) -> DataFrame:
     """Matched 2-grams: (row, doc_id, at, template columns, verified), and a sentinel for every text."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))), F.lit(f"({WORD})"), F.lit(1))
+    folded = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), _UPPER, _LOWER)
+    words = F.regexp_extract_all(folded, F.lit(f"({WORD})"), F.lit(1))
     ended = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.array_append(words, F.lit(_SENTINEL)).alias("words"))
     pairs = F.arrays_zip(F.col("words").alias("first"), F.expr("slice(words, 2, size(words))").alias("second"))
     grams = ended.select("row", "doc_id", F.posexplode(pairs).alias("at", "pair")).select("row", "doc_id", "at", F.col("pair.first").alias("first"), F.coalesce("pair.second", F.lit("")).alias("second"))

@@ -217,9 +217,11 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     told = docs.withColumn("__text", F.xxhash64("text"))
     found = near_duplicates(told.select("doc_id", "text", "__text"), carry=("__text",), **options)
     first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__text")).alias("kept"))
-    kept = first.select(F.col("kept.doc_id").alias("__doc"), F.col("kept.__text").alias("__kept"))
-    stay = told.join(kept, told["doc_id"].cast("long").eqNullSafe(F.col("__doc")) & (F.col("__text") == F.col("__kept")), "left_semi")
-    return stay.dropDuplicates(["doc_id", "__text"]).select(*docs.columns)
+    keys = ["__id", "__none", "__text"]
+    kept = first.select(F.coalesce("kept.doc_id", F.lit(0).cast("long")).alias("__id"), F.col("kept.none").alias("__none"), F.col("kept.__text").alias("__text"))
+    told = told.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")), "__none": F.col("doc_id").cast("long").isNull()})
+    # Equal rows lie where the join has brought them: the texts move once.
+    return told.join(kept.hint("merge"), keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
 
 
 def hex_digits(bits: Column) -> Column:

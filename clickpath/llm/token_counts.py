@@ -19,11 +19,13 @@ columns are ignored.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +33,7 @@ from pyspark.sql.window import Window
 
 from clickpath.llm.common import byte_slices, prepare
 from clickpath.llm.tokens import encoder
-from clickpath.session import checkpoint_dir
-from clickpath.storage import stored
+from clickpath.storage import run_folder, stored
 
 BLOCK_IDS = 1 << 16
 CHUNK_BLOCKS = 1 << 10
@@ -79,18 +80,28 @@ def write_flat(docs: DataFrame, tokenizer: str, end_id: int, path: str, block_id
     both.withColumn("part", F.when(F.col("data").isNull(), "order").otherwise("blocks")).write.option("compression", "zstd").partitionBy("part").parquet(path)
 
 
-def read_binary(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS, width: int = 2) -> DataFrame:
-    """Blocks (file, block, data) of plain binary files of ids; a file must fit a row (2 GB)."""
+def read_binary(spark: SparkSession, path: str, block_ids: int = BLOCK_IDS, width: int = 2, run_blocks: int = 256) -> DataFrame:
+    """Blocks (file, block, data) of plain binary files of ids, of any size.
+
+    Spark lists the files; a task opens its files through pyarrow's file systems and reads runs of
+    ``run_blocks`` blocks by their offsets, so one long file is read by many tasks.  A file cut
+    off within an id: what is left of that id is no id and is left out.  An empty file has no blocks."""
     prepare(spark)
-    size = block_ids * width
+    size, parts = block_ids * width, spark.sparkContext.defaultParallelism
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for file, data in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                for k in range(0, len(data), size):
-                    yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([k // size], pa.int64()), pa.array([data[k:k + size]], pa.binary())], ["file", "block", "data"])
+            for file, first, length in zip(*(batch.column(c).to_pylist() for c in ("path", "first", "length")), strict=True):
+                system, name = pa.fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", file))
+                last = min(first + run_blocks, -(-length // size))
+                with system.open_input_file(name) as data:
+                    for k in range(first, last):
+                        block = data.read_at(min(size, length - k * size), k * size)
+                        yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([k], pa.int64()), pa.array([block], pa.binary())], ["file", "block", "data"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, block long, data binary")
+    files = spark.read.format("binaryFile").load(path).select("path", (F.col("length") - F.col("length") % width).alias("length")).filter("length > 0")
+    runs = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / size).cast("long"), F.lit(run_blocks).cast("long"))).alias("first"))
+    return runs.repartition(4 * parts).mapInArrow(run, "file string, block long, data binary")
 
 
 def scan_blocks(blocks: DataFrame, end_id: int, width: int = 2) -> DataFrame:
@@ -144,7 +155,7 @@ def stitch(scanned: DataFrame, chunk_blocks: int = CHUNK_BLOCKS) -> DataFrame:
 def count_documents(docs: DataFrame, tokenizer: str, end_id: int, block_ids: int = BLOCK_IDS, width: int = 2) -> DataFrame:
     """(doc_id, file, start, n_tokens): tokens of every document with its separator, from flat files."""
     spark = docs.sparkSession
-    path = f"{checkpoint_dir(spark)}/clickpath-flat-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/clickpath-flat-{uuid.uuid4().hex}"
     write_flat(docs, tokenizer, end_id, path, block_ids, width)
     schema = "file int, block long, data binary, doc_ids array<long>, part string"
     files = spark.read.schema(schema).option("basePath", path).parquet(path)

@@ -1,6 +1,6 @@
 """Operator 2, token-id output: files of context-mixed, range-coded blocks.
 
-Documents are sorted by doc_id over range partitions, encoded, closed by an end id, and each
+Documents are sorted by doc_id, then by a hash of their text, over range partitions, encoded, closed by an end id, and each
 partition's ids are cut into blocks of 4096 that :mod:`mixing_coder` codes independently of
 each other, with their own checksums.  A file is the Parquet output of one task, one row per
 block: the coded payload and which documents it holds (their place in the file, doc_id, ids of
@@ -11,8 +11,9 @@ Reading decodes blocks wherever they lie.  A document's CRC-32 over all blocks i
 its pieces' CRCs, each carried past the bytes that follow it, so even a document of many
 blocks is summed up by partial aggregates.
 
-Defined results: null and empty texts are the end id alone; null doc_ids sort first; repeated
-rows are documents of their own; an empty table gives no files' rows and no result; ids of
+Defined results: null and empty texts are the end id alone; null doc_ids sort first; documents of one
+doc_id (or of none) stand in order of their texts' hashes, so they may span files and ``start`` is
+the same in every run; repeated rows are documents of their own; an empty table gives no files' rows and no result; ids of
 65536 and more are refused; extra columns are ignored.
 """
 
@@ -33,7 +34,7 @@ from pyspark.sql.window import Window
 from clickpath.llm.common import byte_slices, prepare
 from clickpath.llm.mixing_coder import BLOCK_IDS, LANES, decode_blocks, encode_blocks
 from clickpath.llm.tokens import END_ID, encoder
-from clickpath.session import checkpoint_dir
+from clickpath.storage import run_folder
 
 _LISTS = ("ordinals", "doc_ids", "begins", "starts", "counts", "after")
 SCHEMA = "file int, block long, payload binary, " + ", ".join(f"{c} array<long>" for c in _LISTS)
@@ -102,7 +103,8 @@ def write_files(docs: DataFrame, tokenizer: str, path: str, block_ids: int = BLO
             yield _block_rows(file, block, held, at, known, block_ids)
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    given.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(run, SCHEMA).write.parquet(path)
+    order = ["doc_id", F.xxhash64("text")]
+    given.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, SCHEMA).write.parquet(path)
 
 
 def read_pieces(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -150,6 +152,6 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 def write_and_read(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Write the files to the shared folder and read every document back."""
     spark = docs.sparkSession
-    path = f"{checkpoint_dir(spark)}/clickpath-tokens-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/clickpath-tokens-{uuid.uuid4().hex}"
     write_files(docs, tokenizer, path)
     return read_documents(spark, path)

@@ -164,3 +164,38 @@ def test_separator_scan_of_plain_binary_files(spark, scratch):
     got = token_counts.stitch(token_counts.scan_blocks(token_counts.read_binary(spark, scratch, block_ids=2), 0)).orderBy("start").collect()
     assert [(r.ordinal, r.start, r.n_tokens, r.closed) for r in got] == [(0, 0, 3, True), (1, 3, 1, True), (2, 4, 2, True), (3, 6, 3, False)]
     assert token_counts.count_documents(spark.createDataFrame([], DOCS), BYTE, 50256).collect() == []
+
+
+def test_binary_files_of_any_size_and_cut_off(spark, scratch):
+    import os
+
+    os.makedirs(scratch + "/flat")
+    rng = np.random.default_rng(6)
+    ids = {name: rng.integers(0, 9, n).astype("<u2") for name, n in (("a.bin", 1000), ("b.bin", 7), ("c.bin", 0), ("d.bin", 64))}
+    for name, x in ids.items():
+        with open(f"{scratch}/flat/{name}", "wb") as f:
+            f.write(x.tobytes() + (b"\x05" if name == "b.bin" else b""))          # b ends within an id
+    blocks = token_counts.read_binary(spark, scratch + "/flat", block_ids=16, run_blocks=3)
+    got = {}
+    for r in sorted(blocks.collect(), key=lambda r: (r.file, r.block)):
+        got.setdefault(os.path.basename(r.file), []).append(bytes(r.data))
+    assert {k: b"".join(v) for k, v in got.items()} == {k: x.tobytes() for k, x in ids.items() if len(x)}
+    assert len(got["a.bin"]) == 63
+    counted = token_counts.stitch(token_counts.scan_blocks(blocks, 8)).filter("closed").groupBy("file").count().collect()
+    assert {os.path.basename(r.file): r["count"] for r in counted} == {k: int((x == 8).sum()) for k, x in ids.items() if (x == 8).any()}
+
+
+def test_equal_and_missing_doc_ids_span_files_and_start_alike(spark, scratch):
+    rows = [(None, text(k, 40)) for k in range(120)] + [(7, text(k, 40)) for k in range(120, 240)] + [(7, text(1, 5))] * 3
+    starts = []
+    for k, given in enumerate((rows, rows[::-1])):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")        # so few rows would share a task
+        try:
+            token_files.write_files(documents(spark, given), WORD, f"{scratch}/{k}")
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        read = token_files.read_documents(spark, f"{scratch}/{k}").collect()
+        assert len(read) == len(rows)
+        starts.append(sorted((r.start, r.n_tokens, r.ids_crc32) for r in read))
+        assert token_files.read_pieces(spark, f"{scratch}/{k}").filter("doc_id is null").select("file").distinct().count() > 1
+    assert starts[0] == starts[1]
