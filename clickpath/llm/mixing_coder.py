@@ -11,12 +11,16 @@ Ids of up to 16 bits are coded in two parts:
   order 2 has none, and a yes or no is coded.  Its probability mixes what the hit rates at
   the confidence of order 2, of order 1, and the overall rate (order 0) say, in the logistic
   domain, with weights that learn from every answer.
-* On a no the id is coded by order 0: four nibbles, each with adaptive cumulative counts in
-  the context of the nibbles before it.
+* On a no the id is coded by order 0: the counts of the block's ids so far, with as many counts
+  for an id not seen yet as there are ids seen once.  A new id follows as 16 plain bits.  These
+  counts are taken anew at the places of ``_ADAPT``, always over all ids before; between them
+  they stand still, which makes an id one division rather than a walk through adaptive counts.
+
+The counts need no table of all ids: in the sorted list of the ids seen, a count *is* a place.
 
 The coder keeps 48 bits of the interval and moves 16 bits at a time; carries run back into
-what is already written.  Everything is integer arithmetic, so a file reads back the same
-on any machine.
+what is already written.  Everything is integer arithmetic, or a double quotient that is exact
+when rounded down, so a file reads back the same on any machine.
 """
 
 from __future__ import annotations
@@ -28,101 +32,174 @@ import zlib
 import numpy as np
 
 BLOCK_IDS = 4096
-LANES = 2048
+LANES = 1024
 MAGIC = 0x4D58
 _HEADER = struct.Struct("<HHIII")               # magic, format, ids, crc32, 16-bit words
-_TOTAL = 14                                     # bits of a probability
-_SLOTS2, _SLOTS1, _CONTEXTS = 1024, 512, 1 + 16 + 256 + 256
-_RATE = 5
+_YES = 14                                       # bits of the probability of a yes
+_SLOTS2, _SLOTS1 = 1024, 512
 _TOP, _FLOOR = 1 << 48, 1 << 32
+#: Places at which order 0 takes its counts anew; longer blocks go on by powers of two.
+_ADAPT = (32, 64, 128, 256, 384, 512, 768, 1024, 1536, 2048, 3072)
+#: Ids that order 0 counts at most (the latest); keeps its total within 14 bits.
+_MOST_SEEN = 8192
 
 #: Logistic tables over 12-bit probabilities and over -2047..2047 (8 fractional bits).
-_SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2047, 2048)], np.int32)
+_SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2047, 2048)], np.int64)
 _STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], np.int32)
-#: Cumulative counts that a nibble pulls towards; every nibble keeps a count of 1.
-_PULL = np.array([[i if i <= s else (1 << _TOTAL) - 16 + i for i in range(16)] for s in range(16)], np.int16)
 
 
 class _Model:
-    """Predictions of all lanes; starts empty."""
+    """Orders 1 and 2 and the mixing of all lanes; starts empty.  Rows: order 2, order 1."""
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.after2 = np.zeros(lanes * _SLOTS2, np.uint32)        # id | how often in a row << 16
-        self.after1 = np.zeros(lanes * _SLOTS1, np.uint32)
-        self.base2, self.base1 = self.lane * _SLOTS2, self.lane * _SLOTS1
-        self.rate2, self.rate1 = (np.full(lanes * 16, 1 << 11, np.int32) for _ in range(2))
+        lane = np.arange(lanes)
+        self.after = np.zeros(lanes * (_SLOTS2 + _SLOTS1), np.int32)         # id | how often in a row << 16
+        self.bases = np.stack([lane * _SLOTS2, lanes * _SLOTS2 + lane * _SLOTS1])
+        self.masks = np.array([[_SLOTS2 - 1], [_SLOTS1 - 1]])
+        self.rates = np.full(2 * lanes * 16, 1 << 11, np.int32)
+        self.rate_bases = np.stack([lane * 16, (lanes + lane) * 16])
         self.rate0 = np.full(lanes, 1 << 10, np.int32)
-        self.base16 = self.lane * 16
         self.weights = np.full((3, lanes), 1 << 15, np.int32)
-        self.counts = np.tile((np.arange(16) << (_TOTAL - 4)).astype(np.int16), (lanes * _CONTEXTS, 1))
-        self.base0 = self.lane * _CONTEXTS
-        self.last = self.last2 = np.zeros(lanes, np.int64)
+        self.inputs = np.empty((3, lanes), np.int32)
+        self.hashes = np.zeros((2, lanes), np.int64)
+        self.last = np.zeros(lanes, np.int64)
 
     def propose(self) -> tuple[np.ndarray, np.ndarray]:
-        """The proposed id of each lane, and the counts (of ``1 << _TOTAL``) that say yes."""
-        self.at2 = self.base2 + (((self.last * 40503 + self.last2 * 30011) >> 4) & (_SLOTS2 - 1))
-        self.at1 = self.base1 + ((self.last * 40503 >> 5) & (_SLOTS1 - 1))
-        self.two, self.one = self.after2[self.at2], self.after1[self.at1]
-        run2, run1 = self.two >> 16, self.one >> 16
-        guess = (np.where(run2 > 0, self.two, self.one) & 0xFFFF).astype(np.int64)
-        self.slot2, self.slot1 = self.base16 + run2, self.base16 + run1
-        self.inputs = [_STRETCH[self.rate2[self.slot2]], _STRETCH[self.rate1[self.slot1]], _STRETCH[self.rate0]]
-        x, y, z = self.inputs
-        dot = (x * self.weights[0] + y * self.weights[1] + z * self.weights[2]) >> 16
-        self.chance = _SQUASH[np.clip(dot, -2047, 2047) + 2047]
-        return guess, self.chance << (_TOTAL - 12)
+        """The proposed id of each lane, and the counts (of ``1 << _YES``) that say yes."""
+        self.at = (self.hashes & self.masks) + self.bases
+        self.was = self.after.take(self.at, mode="clip")
+        self.run = self.was >> 16
+        self.slots = self.rate_bases + self.run
+        self.said = self.rates.take(self.slots, mode="clip")
+        _STRETCH.take(self.said, out=self.inputs[:2], mode="clip")
+        _STRETCH.take(self.rate0, out=self.inputs[2], mode="clip")
+        x, w = self.inputs, self.weights
+        dot = x[0] * w[0]
+        dot += x[1] * w[1]
+        dot += x[2] * w[2]
+        dot >>= 16
+        dot += 2047                                                # beyond the table: its ends
+        self.chance = _SQUASH.take(dot, mode="clip")
+        guess = np.where(self.run[0] > 0, self.was[0], self.was[1]) & 0xFFFF
+        return guess, self.chance << (_YES - 12)
 
     def learn(self, ids: np.ndarray, hit: np.ndarray) -> None:
         """What came: adjust rates, weights and memories."""
-        goal = hit.astype(np.int32) << 12
-        miss = (goal - self.chance) * 6
-        for k in range(3):
-            self.weights[k] += (self.inputs[k] * miss + (1 << 13)) >> 14
+        goal = hit.astype(np.int32)
+        goal <<= 12
+        miss = (goal - self.chance.astype(np.int32)) * np.int32(6)
+        step = self.inputs * miss
+        step += 1 << 13
+        step >>= 14
+        self.weights += step
         np.clip(self.weights, -(1 << 18), 1 << 18, out=self.weights)
         goal -= hit
-        for table, at in ((self.rate2, self.slot2), (self.rate1, self.slot1)):
-            was = table[at]
-            table[at] = was + ((goal - was) >> 4)
-        self.rate0 += (goal - self.rate0) >> 5
-        new = ids.astype(np.uint32)
-        for table, at, was in ((self.after2, self.at2, self.two), (self.after1, self.at1, self.one)):
-            again = (was & 0xFFFF) == new
-            run = was >> 16
-            table[at] = np.where(again, np.minimum(run + 1, 15) << 16, 1 << 16) | new
-        self.last2, self.last = self.last, ids
-
-    def context(self, step: int, high: np.ndarray) -> np.ndarray:
-        """Row of the counts for the next nibble of each lane, after the nibbles ``high``."""
-        if step == 0:
-            return self.base0
-        if step == 1:
-            return self.base0 + 1 + high
-        if step == 2:
-            return self.base0 + 17 + high
-        return self.base0 + 273 + ((high * 2654435761 >> 20) & 255)
+        rate = goal - self.said
+        rate >>= 4
+        rate += self.said
+        self.rates[self.slots] = rate
+        goal -= self.rate0
+        goal >>= 5
+        self.rate0 += goal
+        new = ids.astype(np.int32)
+        run = np.minimum(self.run, 14)
+        run *= (self.was & 0xFFFF) == new
+        run += 1
+        run <<= 16
+        run |= new
+        self.after[self.at] = run
+        ahead = ids * 40503
+        self.hashes[0] = (ahead + self.last * 30011) >> 4
+        self.hashes[1] = ahead >> 5
+        self.last = ids
+
+
+class _Counts:
+    """Order 0 of all lanes after the ids ``seen`` (a row a lane): in the sorted ids of a lane
+    the places ``first`` to ``first + size`` hold the id; the places from ``n`` on mean a new id."""
+
+    def __init__(self, seen: np.ndarray):
+        seen = seen[:, -_MOST_SEEN:]
+        self.lanes, self.n = seen.shape
+        self.ids = np.sort(seen, axis=1)
+        begins = np.ones((self.lanes, self.n + 1), bool)
+        begins[:, 1:-1] = self.ids[:, 1:] != self.ids[:, :-1]
+        edges = np.flatnonzero(begins)
+        lane, self.starts = np.divmod(edges, self.n + 1)
+        real = self.starts < self.n
+        self.sizes = np.diff(edges, append=edges[-1] + 1)[real]
+        lane, self.starts = lane[real], self.starts[real]
+        #: Distinct ids of lane k are ``bounds[k]`` to ``bounds[k + 1]`` in starts and sizes.
+        self.bounds = np.searchsorted(lane, np.arange(self.lanes + 1))
+        self.new = np.maximum(1, np.bincount(lane[self.sizes == 1], minlength=self.lanes))
+        self.total = self.n + self.new
+
+    def of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first, size) of the ids (a row a lane); a new id has the places from ``n`` on."""
+        first, size = np.full(1 << 16, self.n, np.int64), np.zeros(1 << 16, np.int64)
+        firsts, sizes = np.empty(ids.shape, np.int64), np.empty(ids.shape, np.int64)
+        for k, (a, b) in enumerate(zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist(), strict=True)):
+            starts = self.starts[a:b]
+            known = self.ids[k, starts]
+            first[known], size[known] = starts, self.sizes[a:b]
+            firsts[k], sizes[k] = first[ids[k]], size[ids[k]]
+            first[known], size[known] = self.n, 0
+        return firsts, np.where(sizes == 0, self.new[:, None], sizes)
+
+    def places(self) -> np.ndarray:
+        """What stands at each place, as ``id | first << 16 | size << 32``; row-wise, n + 1 places a lane."""
+        out = np.empty((self.lanes, self.n + 1), np.int64)
+        repeated = np.repeat(self.starts << 16 | self.sizes << 32, self.sizes).reshape(self.lanes, self.n)
+        np.bitwise_or(repeated, self.ids, out=out[:, :-1])
+        out[:, -1] = self.n << 16 | self.new << 32
+        return out.ravel()
+
+
+def _stretches(steps: int) -> list[tuple[int, int]]:
+    """The stretches of a block between which order 0 takes its counts anew."""
+    cuts = [0, *_ADAPT]
+    while cuts[-1] < steps:
+        cuts.append(2 * cuts[-1] if cuts[-1] & (cuts[-1] - 1) == 0 else 1 << cuts[-1].bit_length())
+    cuts = [x for x in cuts if x < steps] + [steps]
+    return list(zip(cuts[:-1], cuts[1:], strict=True))
 
 
 class _Writer:
     def __init__(self, lanes: int, steps: int):
-        # A yes or no and four nibbles take at most 14 bits each.
-        self.width = steps * 5 + 4
+        # A yes or no, a place and a plain id take at most 14 + 14 + 16 bits.
+        self.width = steps * 3 + 4
         self.words = np.zeros(lanes * self.width, np.uint16)
         self.start = np.arange(lanes) * self.width
         self.at = self.start.copy()
         self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, _TOP - 1, np.int64)
 
-    def put(self, low: np.ndarray, size: np.ndarray) -> None:
-        """Narrow every lane to ``size`` counts from ``low``."""
-        part = self.range >> _TOTAL
-        self.low += part * low
-        self.range = part * size
-        over = np.flatnonzero(self.low >= _TOP)
+    def put(self, hit: np.ndarray, yes: np.ndarray, first: np.ndarray, size: np.ndarray, total: np.ndarray) -> None:
+        """Narrow hit lanes to a yes, the others to a no and to ``size`` places of ``total``."""
+        part = self.range >> _YES
+        edge = part * yes
+        part <<= _YES
+        part -= edge
+        # The quotient is below 2 ** 48 / total, so as a double it is off by less than 1 / total.
+        place = (part / total).astype(np.int64)
+        add = place * first
+        add += edge
+        place *= size
+        self.low += np.where(hit, 0, add)
+        self.range = np.where(hit, edge, place)
+        over = (self.low >= _TOP).nonzero()[0]
+        if len(over):
+            self._carry(over)
+        self._move((self.range < _FLOOR).nonzero()[0])
+
+    def plain(self, lanes: np.ndarray, ids: np.ndarray) -> None:
+        """16 plain bits for the given lanes."""
+        part = self.range[lanes] >> 16
+        low = part * ids + self.low[lanes]
+        self.low[lanes], self.range[lanes] = low, part
+        over = lanes[low >= _TOP]
         if len(over):
             self._carry(over)
-        short = np.flatnonzero(self.range < _FLOOR)
-        if len(short):
-            self._move(short)
+        self._move(lanes[part < _FLOOR])
 
     def _carry(self, lanes: np.ndarray) -> None:
         self.low[lanes] -= _TOP
@@ -132,16 +209,18 @@ class _Writer:
             at = at[self.words[at] == 0] - 1
 
     def _move(self, lanes: np.ndarray) -> None:
-        low, at = self.low[lanes], self.at[lanes]
-        self.words[at] = low >> 32
-        self.at[lanes] = at + 1
-        self.low[lanes] = (low & (_FLOOR - 1)) << 16
-        self.range[lanes] <<= 16
+        while len(lanes):
+            low, at, size = self.low[lanes], self.at[lanes], self.range[lanes] << 16
+            self.words[at] = low >> 32
+            self.at[lanes] = at + 1
+            self.low[lanes] = (low & (_FLOOR - 1)) << 16
+            self.range[lanes] = size
+            lanes = lanes[size < _FLOOR]
 
     def finish(self) -> list[bytes]:
         every = np.arange(len(self.at))
         for _ in range(3):
-            self.range[:] = 1
+            self.range[:] = _FLOOR - 1
             self._move(every)
         return [self.words[a:b].astype("<u2").tobytes() for a, b in zip(self.start.tolist(), self.at.tolist(), strict=True)]
 
@@ -160,102 +239,83 @@ class _Reader:
         self.code = first[:, 0] << 32 | first[:, 1] << 16 | first[:, 2]
         self.range = np.full(len(payloads), _TOP - 1, np.int64)
 
-    def count(self) -> np.ndarray:
-        """Where in ``1 << _TOTAL`` counts the code of every lane lies."""
-        self.part = self.range >> _TOTAL
-        # Both numbers are below 2 ** 48, so the quotient of doubles is off by one at most.
-        guess = (self.code / self.part).astype(np.int64)
-        guess -= guess * self.part > self.code
-        guess += (guess + 1) * self.part <= self.code
-        return np.minimum(guess, (1 << _TOTAL) - 1)
-
-    def take(self, low: np.ndarray, size: np.ndarray) -> None:
-        """Narrow like the writer did; follows :meth:`count`."""
-        self.code -= self.part * low
-        self.range = self.part * size
-        short = np.flatnonzero(self.range < _FLOOR)
-        if len(short):
-            at = self.at[short]
-            self.code[short] = self.code[short] << 16 | self.words[np.minimum(at, self.last[short])]
-            self.at[short] = at + 1
-            self.range[short] <<= 16
-
-
-class _Nibbles:
-    """Order-0 counts of all lanes, one nibble at a time; hit lanes pass without a change."""
-
-    def __init__(self, model: _Model, lanes: int):
-        self.model = model
-        self.first = np.arange(lanes) * 16
-        self.rows = np.empty((lanes, 16), np.int16)
-
-    def load(self, step: int, high: np.ndarray) -> np.ndarray:
-        self.at = self.model.context(step, high)
-        return np.take(self.model.counts, self.at, axis=0, out=self.rows)
-
-    def bounds(self, nibble: np.ndarray, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Count interval of each lane's nibble; all counts for a hit lane."""
-        flat = self.rows.ravel()
-        at = self.first + nibble
-        low = flat[at].astype(np.int64)
-        high = np.where(nibble < 15, flat[np.minimum(at + 1, len(flat) - 1)], 1 << _TOTAL)
-        low[hit] = 0
-        high[hit] = 1 << _TOTAL
-        return low, high - low
-
-    def learn(self, nibble: np.ndarray, hit: np.ndarray) -> None:
-        pull = np.take(_PULL, nibble, axis=0)
-        pull -= self.rows
-        pull >>= _RATE
-        pull[hit] = 0
-        pull += self.rows
-        self.model.counts[self.at] = pull
+    def take(self, yes: np.ndarray, places: np.ndarray, bases: np.ndarray, n: int, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(hit, what stands at the place that the code of each other lane says); narrows like the writer."""
+        part = self.range >> _YES
+        edge = part * yes
+        hit = self.code < edge
+        part <<= _YES
+        part -= edge
+        place = (part / total).astype(np.int64)
+        code = self.code - edge
+        # Off by one at most as a double, as both numbers are below 2 ** 48.
+        at = (code / place).astype(np.int64)
+        at -= at * place > code
+        at += (at + 1) * place <= code
+        found = places.take(np.minimum(np.maximum(at, 0), n) + bases, mode="clip")
+        code -= place * (found >> 16 & 0xFFFF)
+        place *= found >> 32
+        self.code = np.where(hit, self.code, code)
+        self.range = np.where(hit, edge, place)
+        self._fill((self.range < _FLOOR).nonzero()[0])
+        return hit, found
+
+    def plain(self, lanes: np.ndarray) -> np.ndarray:
+        """16 plain bits of the given lanes."""
+        part, code = self.range[lanes] >> 16, self.code[lanes]
+        ids = np.clip(code // part, 0, 0xFFFF)
+        self.code[lanes], self.range[lanes] = code - part * ids, part
+        self._fill(lanes[part < _FLOOR])
+        return ids
+
+    def _fill(self, lanes: np.ndarray) -> None:
+        while len(lanes):
+            at, size = self.at[lanes], self.range[lanes] << 16
+            self.code[lanes] = self.code[lanes] << 16 | self.words[np.minimum(at, self.last[lanes])]
+            self.at[lanes] = at + 1
+            self.range[lanes] = size
+            lanes = lanes[size < _FLOOR]
 
 
 def _encode_lanes(grid: np.ndarray) -> list[bytes]:
     lanes, steps = grid.shape
     model, writer = _Model(lanes), _Writer(lanes, steps)
-    nibbles = _Nibbles(model, lanes)
-    for ids in np.ascontiguousarray(grid.T).astype(np.int64):
-        guess, yes = model.propose()
-        hit = guess == ids
-        writer.put(np.where(hit, 0, yes), np.where(hit, yes, (1 << _TOTAL) - yes))
-        hits = np.flatnonzero(hit)
-        if len(hits) < lanes:
-            for step in range(4):
-                nibble = ids >> (12 - 4 * step) & 15
-                nibbles.load(step, ids >> (16 - 4 * step))
-                writer.put(*nibbles.bounds(nibble, hits))
-                nibbles.learn(nibble, hits)
-        model.learn(ids, hit)
+    for begin, end in _stretches(steps):
+        counts = _Counts(grid[:, :begin])
+        firsts, sizes = counts.of(grid[:, begin:end])
+        new = np.ascontiguousarray((firsts == counts.n).T)
+        rows = (np.ascontiguousarray(x.T) for x in (grid[:, begin:end].astype(np.int64), firsts, sizes))
+        for ids, first, size, unseen in zip(*rows, new, strict=True):
+            guess, yes = model.propose()
+            hit = guess == ids
+            writer.put(hit, yes, first, size, counts.total)
+            unseen = (unseen & ~hit).nonzero()[0]
+            if len(unseen):
+                writer.plain(unseen, ids[unseen])
+            model.learn(ids, hit)
     return writer.finish()
 
 
 def _decode_lanes(payloads: list[bytes], steps: int) -> np.ndarray:
     lanes = len(payloads)
     model, reader = _Model(lanes), _Reader(payloads)
-    nibbles = _Nibbles(model, lanes)
-    out = np.zeros((steps, lanes), np.int64)
-    for place in out:
-        guess, yes = model.propose()
-        hit = reader.count() < yes
-        reader.take(np.where(hit, 0, yes), np.where(hit, yes, (1 << _TOTAL) - yes))
-        hits = np.flatnonzero(hit)
-        ids = guess
-        if len(hits) < lanes:
-            # A hit lane follows its id, so that all lanes pass the same contexts.
-            ids = np.zeros(lanes, np.int64)
-            for step in range(4):
-                rows = nibbles.load(step, ids)
-                nibble = (rows <= reader.count().astype(np.int16)[:, None]).sum(1) - 1
-                if len(hits):
-                    nibble[hits] = guess[hits] >> (12 - 4 * step) & 15
-                reader.take(*nibbles.bounds(nibble, hits))
-                nibbles.learn(nibble, hits)
-                ids = ids << 4 | nibble
-        place[:] = ids
-        model.learn(ids, hit)
-    return out.T
+    grid = np.zeros((lanes, steps), np.uint16)
+    for begin, end in _stretches(steps):
+        counts = _Counts(grid[:, :begin])
+        places, bases = counts.places(), np.arange(lanes) * (counts.n + 1)
+        out = np.zeros((end - begin, lanes), np.int64)
+        for place in out:
+            guess, yes = model.propose()
+            hit, found = reader.take(yes, places, bases, counts.n, counts.total)
+            ids = np.where(hit, guess, found & 0xFFFF)
+            unseen = ((found >> 16 & 0xFFFF) == counts.n) & ~hit
+            unseen = unseen.nonzero()[0]
+            if len(unseen):
+                ids[unseen] = reader.plain(unseen)
+            place[:] = ids
+            model.learn(ids, hit)
+        grid[:, begin:end] = out.T
+    return grid
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -269,7 +329,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
                 raise ValueError("the coder takes ids below 65536")
             row[:len(ids)] = ids
         for ids, words in zip(part, _encode_lanes(grid), strict=True):
-            out.append(_HEADER.pack(MAGIC, 1, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), len(words) // 2) + words)
+            out.append(_HEADER.pack(MAGIC, 2, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), len(words) // 2) + words)
     return out
 
 
@@ -279,7 +339,7 @@ def decode_blocks(payloads: list[bytes]) -> list[np.ndarray]:
     for k in range(0, len(payloads), LANES):
         part = payloads[k:k + LANES]
         heads = [_HEADER.unpack_from(p) for p in part]
-        if any(h[:2] != (MAGIC, 1) or _HEADER.size + 2 * h[4] != len(p) for h, p in zip(heads, part, strict=True)):
+        if any(h[:2] != (MAGIC, 2) or _HEADER.size + 2 * h[4] != len(p) for h, p in zip(heads, part, strict=True)):
             raise ValueError("not a block of this format, or cut short")
         grid = _decode_lanes([p[_HEADER.size:] for p in part], max((h[2] for h in heads), default=0))
         for row, (_, _, n, crc, _) in zip(grid, heads, strict=True):

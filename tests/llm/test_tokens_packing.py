@@ -101,6 +101,17 @@ def test_coder_round_trip(blocks):
     assert [b.tolist() for b in back] == [b.tolist() for b in blocks]
 
 
+def test_coder_round_trip_past_all_adaptions():
+    # Longer than order 0 looks back, beside blocks that end inside and right at its stretches.
+    rng = np.random.default_rng(7)
+    sizes = (20_001, 4096, 3072, 33, 32, 1)
+    blocks = [rng.zipf(1.3, n).clip(max=65535).astype(np.uint32) for n in sizes] + [rng.integers(0, 1 << 16, 9000).astype(np.uint32)]
+    coded = mixing_coder.encode_blocks(blocks)
+    assert [b.tolist() for b in mixing_coder.decode_blocks(coded)] == [b.tolist() for b in blocks]
+    for payload, block in zip(coded, blocks, strict=True):      # each is a stream of its own
+        assert mixing_coder.decode_blocks([payload])[0].tolist() == block.tolist()
+
+
 def test_coder_saves_space_and_detects_damage():
     same = np.tile(np.arange(40, dtype=np.uint32) * 1000, 100)
     skewed = np.random.default_rng(1).zipf(1.4, 4096).clip(max=60000).astype(np.uint32)
