@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clickpath.config import Config
 from clickpath.functions.clock import event_time, event_time_trusted, skew_seconds
 from clickpath.sources import layer
+from clickpath.sources.buckets import Bucketed
 from clickpath.sources.schema import EVENT_COLUMNS, INGEST_DATE
 from clickpath.storage import stored
 
@@ -55,6 +56,17 @@ def derived_events(events: DataFrame, cfg: Config = Config(), copies: str | None
     return with_clock(dedup_deliveries(events, copies), cfg)
 
 
+def bucketed_derived(events: Bucketed, cfg: Config = Config()) -> DataFrame:
+    """D4 over a table bucketed by ``event_id``: its buckets move no rows, and neither do the rows
+    without an id, which are all kept.  Ids delivered so often that they would crowd a bucket
+    are pre-aggregated and exchanged."""
+    if events.by != ["event_id"]:
+        raise ValueError(f"deduplication needs buckets of event_id, not of {events.by}")
+    named = F.col("event_id").isNotNull()
+    often = derived_events(events.apart.where(named), cfg)
+    return derived_events(events.rows, cfg).unionByName(often).unionByName(with_clock(events.apart.where(~named), cfg))
+
+
 def rebuild_stats(raw: DataFrame, cfg: Config = Config()) -> DataFrame:
     """E17 as a query: raw, derived, duplicates removed, untrusted clocks, partitions; one scan."""
     d = derived_events(raw, cfg, copies="_copies")

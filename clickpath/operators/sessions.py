@@ -12,6 +12,7 @@ from clickpath.functions.channels import channel_group, infer_traffic_source, re
 from clickpath.functions.clock import boundary_diff
 from clickpath.operators.sequence import number_sessions
 from clickpath.sources import layer
+from clickpath.sources.buckets import Bucketed
 from clickpath.sources.schema import EVENT_SCHEMA
 
 SESSION_COLUMNS = [
@@ -61,6 +62,16 @@ def sessions(events: DataFrame, cfg: Config = Config(), time_col: str = "event_t
     return _classified(agg, cfg)
 
 
+def bucketed_sessions(events: Bucketed, cfg: Config = Config(), time_col: str = "event_timestamp") -> DataFrame:
+    """D2 over a table bucketed by visitor, or by visitor and session: its buckets move no rows.
+
+    Only the rows apart (sessions that would crowd a bucket, keys with NULLs) are pre-aggregated
+    and exchanged."""
+    if not set(events.by) <= {"anonymous_id", "session_id"}:
+        raise ValueError(f"sessions need buckets of visitors or sessions, not of {events.by}")
+    return sessions(events.rows, cfg, time_col).unionByName(sessions(events.apart, cfg, time_col))
+
+
 def _classified(agg: DataFrame, cfg: Config) -> DataFrame:
     """Session rows from the aggregated columns: inferred source, channel, duration."""
     i = infer_traffic_source(F.col("utm_source"), F.col("utm_medium"), F.col("utm_campaign"),

@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 
 from clickpath.functions import channels as C
 from clickpath.operators import health as H
-from clickpath.operators.derived import derived_events, rebuild_derived, rebuild_stats
-from clickpath.operators.sessions import derived_sessions, fold_sessions, read_sessions, sessions
+from clickpath.operators.derived import bucketed_derived, derived_events, rebuild_derived, rebuild_stats
+from clickpath.operators.sessions import bucketed_sessions, derived_sessions, fold_sessions, read_sessions, sessions
 from clickpath.plans import oracle as O
 from clickpath.plans import reports as R
 from clickpath.operators import ingest as I
 from clickpath.operators import journeys as J
 from clickpath.plans import oracle_ingest as OI
 from clickpath.shipping import ship_package
-from clickpath.sources import compaction, io
+from clickpath.sources import buckets, compaction, io, zones
 from clickpath.sources.bodies import bridge_access_log, bridge_bodies
 from clickpath.storage import run_folder, stored
 from clickpath.streaming.jobs import incremental_rebuild, live_quality
@@ -204,9 +204,8 @@ def q_sessions_by_channel(spark, sf):
 
 
 @register("report_acquisition", O.with_ctes(S, select=(
-    "SELECT channel, o.s AS source, o.m AS medium, o.c AS campaign, len(l) AS sessions FROM ("
-    "SELECT channel, {'s': ifnull(source, '(direct)'), 'm': ifnull(medium, '(none)'), 'c': ifnull(campaign_name, '(not set)')} AS o, "
-    "list(session_id) AS l FROM sessions GROUP BY ALL)")))
+    "SELECT channel, coalesce(source, '(direct)') AS source, coalesce(medium, '(none)') AS medium, "
+    "coalesce(campaign_name, '(not set)') AS campaign, count(*) AS sessions FROM sessions GROUP BY 1, 2, 3, 4")))
 def q_acquisition(spark, sf):
     return R.acquisition(ses(spark, sf))
 
@@ -426,6 +425,50 @@ def q_raw_compacted(spark, sf):
     return flat(io.read_events(spark, root))
 
 
+def _bucketed(spark, sf, by: list[str]) -> buckets.Bucketed:
+    dest = scratch(spark)
+    buckets.write_bucketed(stored(ev(spark, sf), "events"), dest, by, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return buckets.read_bucketed(spark, dest)
+
+
+@register("sessions_bucketed", O.with_ctes(S, select="SELECT * FROM sessions"))
+def q_sessions_bucketed(spark, sf):
+    """D2 over events bucketed by visitor and session."""
+    return bucketed_sessions(_bucketed(spark, sf, ["anonymous_id", "session_id"]), BRIDGE_CONFIG)
+
+
+@register("derived_events_bucketed", O.with_ctes(DE, select=f"SELECT {FLAT_SQL} FROM derived_events"))
+def q_derived_bucketed(spark, sf):
+    """D4 over events bucketed by id."""
+    return flat(bucketed_derived(_bucketed(spark, sf, ["event_id"]), BRIDGE_CONFIG))
+
+
+def _zoned(spark, sf) -> str:
+    root = scratch(spark)
+    io.write_raw(ev(spark, sf), root, "events")
+    zones.update_zones(spark, root)
+    return root
+
+
+@register("zones_by_ingest_date", O.with_ctes(select=(
+    "SELECT dt, count(*) AS events, min(event_date) AS first_date, max(event_date) AS last_date FROM contract_events GROUP BY 1")))
+def q_zones(spark, sf):
+    """The event dates that lie under each ingest date, from the zone map alone."""
+    return zones.zones(spark, _zoned(spark, sf)).groupBy("dt").agg(
+        F.sum("rows").alias("events"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"))
+
+
+@register("report_latest_event_dates", O.with_ctes(select=(
+    "SELECT event_date, count(*) AS events, count(DISTINCT dt) AS ingest_dates FROM contract_events, "
+    "(SELECT max(event_date) AS top FROM contract_events) WHERE event_date BETWEEN top - 29 AND top GROUP BY 1")))
+def q_latest_event_dates(spark, sf):
+    """Events of the latest 30 event dates, of which the zone map also tells the last."""
+    root = _zoned(spark, sf)
+    top = zones.zones(spark, root).agg(F.max("last_date").alias("last")).select(F.date_sub("last", 29).alias("first"), "last").first()
+    found = zones.read_between(spark, root, top["first"], top["last"])
+    return found.groupBy("event_date").agg(F.count(F.lit(1)).alias("events"), F.count_distinct("dt").alias("ingest_dates"))
+
+
 @register("report_rebuild_job")
 def q_rebuild_job(spark, sf):
     """E17 with files and bytes: what a rebuild into a new folder reports."""

@@ -37,13 +37,13 @@ def _readable(line: Column) -> Column:
     return F.from_json(line, "map<string,string>", _JSON).isNotNull() | F.coalesce(listed, F.lit(False))
 
 
-def _read_lines(spark: SparkSession, path: str, fields: list[T.StructField]) -> DataFrame:
-    """Rows of the NDJSON files below ``path``, with ``_LINE``: the text of a line of which a field that is read
+def _read_lines(spark: SparkSession, path: str, fields: list[T.StructField], files: list[str] | None = None) -> DataFrame:
+    """Rows of the NDJSON files below ``path`` (only of ``files`` there, if given), with ``_LINE``: the text of a line of which a field that is read
     does not convert (that field is NULL), else NULL.
 
     Which lines are rows depends on the line alone, never on the columns that a query reads."""
     schema = _with_dt(T.StructType(fields), _BATCH, T.StructField(_LINE, T.StringType()))
-    rows = spark.read.schema(schema).option("basePath", path).options(**_JSON).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).json(path)
+    rows = spark.read.schema(schema).option("basePath", path).options(**_JSON).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).json(path if files is None else files)
     rows = compaction.live(rows, path)
     # Always true, and not known to be so: Spark refuses a read of the line's text without any field.
     with_field = F.xxhash64(fields[0].name) >= F.lit(-(2**63))
@@ -62,17 +62,18 @@ def _whole_number(device_field: str) -> Column:
     return F.coalesce(F.col("device")[device_field], F.when(number == F.floor(number), number.try_cast("bigint")))
 
 
-def read_events(spark: SparkSession, root: str) -> DataFrame:
+def read_events(spark: SparkSession, root: str, files: list[str] | None = None) -> DataFrame:
     """A1: raw good events (declared schema, hive ``dt``) plus ``event_date``.
 
     Unknown fields are ignored, missing ones are NULL and so is a field that does not convert;
     a line that is no JSON object is no row (:func:`read_dropped` has those).  No ``events/``
     directory yet is an empty table.  ``params`` keeps
-    the object's JSON text.  A filter on ``dt`` prunes directories before any file is opened."""
+    the object's JSON text.  A filter on ``dt`` prunes directories before any file is opened;
+    with ``files`` only those are read."""
     path = f"{root}/events"
-    if not _exists(spark, path):
+    if files == [] or not _exists(spark, path):
         return spark.createDataFrame([], _with_dt(EVENT_SCHEMA)).withColumn("event_date", F.to_date("event_timestamp"))
-    rows = _read_lines(spark, path, EVENT_SCHEMA.fields)
+    rows = _read_lines(spark, path, EVENT_SCHEMA.fields, files)
     device = F.col("device")
     for name in ("screen_width", "screen_height"):
         device = device.withField(name, _whole_number(name))
