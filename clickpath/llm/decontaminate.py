@@ -33,6 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickpath.llm.common import LOWER, byte_slices, byte_table, doc_text, flat_bytes, prepare, runs
 from clickpath.llm.tokens import spread
@@ -248,7 +249,7 @@ def _blocks(benchmark: DataFrame, size: int, limit: int) -> tuple[int, Iterator[
     return len(numbers), (phrases(numbered.filter(F.col("block") == k)) for k in numbers)
 
 
-def _pass(block: Phrases):
+def _pass(block: Phrases, carried: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in byte_slices(doc_text(batch)):
@@ -259,8 +260,8 @@ def _pass(block: Phrases):
                 for d, i in zip(doc.tolist(), item.tolist(), strict=True):
                     if block.items[i] is not None:
                         names[d].add(block.items[i])
-                columns = [part.column("doc"), pa.array(np.diff(offsets)), *spans, pa.array([sorted(x) for x in names], pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc", *_FOUND])
+                columns = [*(part.column(c) for c in carried), pa.array(np.diff(offsets)), *spans, pa.array([sorted(x) for x in names], pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns, [*carried, *_FOUND])
 
     return run
 
@@ -282,21 +283,25 @@ def merged(part: pa.RecordBatch, offsets: np.ndarray, hit: np.ndarray) -> tuple[
     return tuple(pa.ListArray.from_arrays(bounds, pa.array(x - offsets[doc], pa.int64())) for x in (starts, stops))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, share: int = HIT_SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW_WORDS, share: int = HIT_SHARE, block_bytes: int = BLOCK_BYTES, keep_text: bool = True) -> DataFrame:
     """``(doc, n_words, starts, ends, items, n_hit, contaminated)`` for every document.
 
-    ``doc`` holds the columns of ``docs``, ``starts`` and ``ends`` are the merged spans of
+    ``doc`` holds the columns of ``docs`` (without the text unless ``keep_text``: then the last
+    pass brings no text back from Python), ``starts`` and ``ends`` are the merged spans of
     words to remove (words from 0, end exclusive), ``items`` the benchmark items that have a
     window in the document.
     """
     prepare(docs.sparkSession)
     empty = {"starts": "array<long>", "ends": "array<long>", "items": "array<string>"}
-    state = docs.select(F.struct(*docs.columns).alias("doc"), F.lit(0).cast("long").alias("n_words"),
+    given = F.struct(*(c for c in docs.columns if keep_text or c != "text")).alias("doc")
+    state = docs.select(given, *([] if keep_text else ["text"]), F.lit(0).cast("long").alias("n_words"),
                         *(F.array().cast(t).alias(c) for c, t in empty.items()))
     left, blocks = _blocks(benchmark, size, block_bytes)
     last = None
     while left:
-        state, left = state.mapInArrow(_pass(next(blocks)), state.schema), left - 1
+        left -= 1
+        carried = [c for c in state.columns if c == "doc" or (c == "text" and left)]
+        state = state.mapInArrow(_pass(next(blocks), carried), T.StructType([state.schema[c] for c in (*carried, *_FOUND)]))
         if left:
             state, done = stored(state, "decontamination"), last
             last = state

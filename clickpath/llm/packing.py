@@ -190,7 +190,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             found = {"sequence_id": pa.array(sequence), "offset": pa.array(offset)}
             yield pa.RecordBatch.from_arrays([found[c] if c in found else batch.column(c) for c in names], names)
 
-    return cut.join(earlier, ["length", "part"]).mapInArrow(place, schema)
+    # ``earlier`` has a row per length and partition, so it grows with the input: both sides are shuffled.
+    return cut.join(earlier.hint("merge"), ["length", "part"]).mapInArrow(place, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:

@@ -71,13 +71,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text by a lexicon learned from the rows not held out."""
-    found = toxicity.toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    found = toxicity.toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), keep_text=False)
     return found.select("doc.doc_id", toxicity.held_out(F.col("doc.doc_id")).alias("held_out"), "score", "predicted")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside 13-word windows of benchmark items."""
-    found = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    found = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), keep_text=False)
     return found.select("doc.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), "contaminated")
 

@@ -6,7 +6,7 @@ letters inside a word (``1d10t``, ``tr@sh``).
 
 The lexicon is learned from labelled rows: whole words and word beginnings (stems of 3 to 8
 characters), each weighted by the log-odds of standing in a toxic document.  Its exception
-phrases, a hit with the word before or after it, are learned likewise: a phrase that clean
+phrases, a hit with the word (of any length) before or after it, are learned likewise: a phrase that clean
 documents use excuses the hit inside it.  All go into one Aho-Corasick automaton, and a
 document's score is a logistic function of its hits' weight, that weight over its length, and
 the number of different entries hit.
@@ -222,6 +222,21 @@ def learn(rows: DataFrame, most: int = MOST_ENTRIES) -> tuple[Lexicon, np.ndarra
     return lexicon, _calibrated(kept, lexicon)
 
 
+def with_neighbours(text: str, start: int, end: int) -> set[str]:
+    """The word ``text[start:end]`` with the word before it and with the word after it, of any
+    length, where a single space stands between."""
+    first, last = start, end
+    if text[start - 1:start] == " ":
+        first -= 1
+        while first and text[first - 1].isalnum():
+            first -= 1
+    if text[end:end + 1] == " ":
+        last += 1
+        while text[last:last + 1].isalnum():
+            last += 1
+    return {x for x in (text[first:end], text[start:last]) if len(x) > end - start + 1}
+
+
 def _exceptions(rows: DataFrame, lexicon: Lexicon, n_pos: int, n_neg: int, most: int) -> list[str]:
     """Phrases of a hit and a neighbouring word that clean documents use at least as often."""
     kept: list = []
@@ -233,9 +248,7 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon, n_pos: int, n_neg: int, most:
         for start, end, _, _ in lexicon.hits(kept[0], text):
             while end < len(text) and text[end].isalnum():
                 end += 1
-            before = re.search(r"[^\W_]+ $", text[max(0, start - 40):start])
-            after = re.match(r" [^\W_]+", text[end:end + 40])
-            found |= {m for m in ((before[0] if before else "") + text[start:end], text[start:end] + (after[0] if after else "")) if " " in m}
+            found |= with_neighbours(text, start, end)
         return found
 
     counted = _counted(rows, phrases).filter((F.col("neg") >= 3) & (F.col("neg") * n_pos >= F.col("pos") * n_neg))
@@ -274,10 +287,12 @@ def _calibrated(rows: DataFrame, lexicon: Lexicon) -> np.ndarray:
     return beta
 
 
-def score(docs: DataFrame, lexicon: Lexicon, beta: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
-    """``(doc, score, predicted)`` for every row; ``doc`` holds the columns of ``docs``."""
+def score(docs: DataFrame, lexicon: Lexicon, beta: np.ndarray, threshold: float = THRESHOLD, keep_text: bool = True) -> DataFrame:
+    """``(doc, score, predicted)`` for every row; ``doc`` holds the columns of ``docs`` (without the text
+    unless ``keep_text``: then no text comes back from Python)."""
     prepare(docs.sparkSession)
-    measured = _measured(docs.select(F.struct(*docs.columns).alias("doc")), lexicon, "doc", False)
+    given = F.struct(*(c for c in docs.columns if keep_text or c != "text")).alias("doc")
+    measured = _measured(docs.select(given, *([] if keep_text else ["text"])), lexicon, "doc", False)
     if not np.isfinite(beta[0]):
         value = F.lit(0.0)
     else:
@@ -286,7 +301,7 @@ def score(docs: DataFrame, lexicon: Lexicon, beta: np.ndarray, threshold: float
     return measured.select("doc", value.alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = SAMPLE_ROWS) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, rows: int = SAMPLE_ROWS, keep_text: bool = True) -> DataFrame:
     """Learn from ``labels(doc_id, toxic)`` and score every row of ``docs``."""
     lexicon, beta = learn(training_rows(docs, labels, rows))
-    return score(docs, lexicon, beta, threshold)
+    return score(docs, lexicon, beta, threshold, keep_text)

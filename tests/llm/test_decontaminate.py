@@ -74,6 +74,17 @@ def test_driver_holds_one_block(spark, monkeypatch):
     assert Counter((r.doc.doc_id, r.n_words, r.n_hit, ",".join(sorted(r["items"])), r.contaminated) for r in got) == brute(rows, bench)
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 1])
+def test_results_without_texts_are_the_same(spark, block_bytes):
+    bench = spark.createDataFrame([(k, text(k, 20)) for k in range(4)], "item_id long, text string")
+    docs = documents(spark, [(k, text(k, 20) + " " + text(k + 50, 30)) for k in range(8)] + [(9, None)])
+    whole, bare = (contamination(docs, bench, block_bytes=block_bytes, keep_text=k) for k in (True, False))
+    assert "text" in whole.schema["doc"].dataType.names and "text" not in bare.columns + bare.schema["doc"].dataType.names
+    cols = ["doc.doc_id", "n_words", "starts", "ends", "items", "n_hit", "contaminated"]
+    assert sorted(map(str, whole.select(*cols).collect())) == sorted(map(str, bare.select(*cols).collect()))
+    assert bare.filter("contaminated").count() >= 4
+
+
 def test_empty_tables(spark):
     docs, bench = spark.createDataFrame([], DOCS), spark.createDataFrame([], "item_id long, text string")
     assert contamination(docs, bench).collect() == []

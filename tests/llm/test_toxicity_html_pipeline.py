@@ -1,7 +1,9 @@
 import random
+import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from llm_cases import DOCS, NOT_WORD, awkward, documents, plain, text
 from pyspark.sql import types as T
@@ -60,6 +62,48 @@ def test_exceptions_excuse_hits():
     assert empty.hits(empty.automaton(), "anything") == []
 
 
+def _plain_hits(lexicon, text):
+    """All entries at all places, one by one."""
+    found = {}
+    for start in range(len(text)):
+        if start and text[start - 1].isalnum():
+            continue
+        for end in range(start + 1, len(text) + 1):
+            entry, whole = text[start:end], end == len(text) or not text[end].isalnum()
+            weight = max(lexicon.words.get(entry, 0) if whole else 0, lexicon.stems.get(entry, 0))
+            if weight > found.get(start, (0, 0, 0, 0))[3]:
+                found[start] = (start, end, entry, weight)
+    places = [m.span() for e in lexicon.exceptions for m in re.finditer(rf"(?<![^\W_]){re.escape(e)}(?![^\W_])", text)]
+    return [h for _, h in sorted(found.items()) if not any(a <= h[0] and h[1] <= b for a, b in places)]
+
+
+def test_hits_equal_a_plain_scan():
+    rnd = random.Random(5)
+    parts = ["ab", "abc", "abcd", "b", "ba", "bab", "c"]
+    for _ in range(60):
+        words = {rnd.choice(parts): rnd.randint(1, 9) for _ in range(3)}
+        stems = {rnd.choice(parts): rnd.randint(1, 9) + 0.5 for _ in range(2)}
+        lexicon = toxicity.Lexicon(words, stems, [f"{rnd.choice(parts)} {rnd.choice(parts)}" for _ in range(2)])
+        line = "".join(rnd.choice(parts) + rnd.choice([" ", " ", "", ", ", "_"]) for _ in range(30))
+        assert lexicon.hits(lexicon.automaton(), line) == _plain_hits(lexicon, line)
+
+
+def test_neighbours_of_any_length():
+    long = "x" * 500
+    line = f"{long} scum {long}y, scum"
+    assert toxicity.with_neighbours(line, 501, 505) == {f"{long} scum", f"scum {long}y"}
+    assert toxicity.with_neighbours(line, len(line) - 4, len(line)) == set()          # a comma before it
+    assert toxicity.with_neighbours("scum", 0, 4) == toxicity.with_neighbours(" scum ", 1, 5) == set()
+
+
+def test_scores_without_texts_are_the_same(spark):
+    lexicon, docs = toxicity.Lexicon({"scum": 5.0}), documents(spark, awkward() + [(77, "scum " * 9)])
+    beta = np.array([-2.0, 1.0, 0.5, 0.5])
+    whole, bare = (toxicity.score(docs, lexicon, beta, keep_text=k) for k in (True, False))
+    assert "text" in whole.schema["doc"].dataType.names and "text" not in bare.schema["doc"].dataType.names
+    assert sorted(map(str, whole.select("doc.doc_id", "score").collect())) == sorted(map(str, bare.select("doc.doc_id", "score").collect()))
+
+
 def test_learning_from_tasks_without_entries(spark):
     """Tasks whose texts hold nothing that is counted give nothing, and learning goes on."""
     rows = [("grobnik " + text(k, 5) if k < 6 else text(500 + k, 3) if k % 2 else None, int(k < 6)) for k in range(60)]
