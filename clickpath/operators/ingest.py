@@ -256,9 +256,10 @@ def ingest(bodies: DataFrame, versions: dict[str, Contract] | None = None) -> Da
 REPLAY_KEY = ["anonymous_id", "session_id", "event_name", "event_timestamp", "ingested_at"]
 
 
-def replay_bad(bad: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def replay_bad(bad: DataFrame, known: DataFrame | None = None, versions: dict[str, Contract] | None = None) -> DataFrame:
     """Re-validate stored bad rows after a fix; rows that now pass come back as good
-    contract rows.
+    contract rows.  A fix may be a further version of the contract (``versions`` as in
+    :func:`process`) that the rows were sent for before it was known.
 
     A row's payload is the post-redaction object as received, or the raw text that no parser
     took then.  It is re-stamped with the original ``ingested_at`` so ``dt`` does not move.
@@ -266,7 +267,7 @@ def replay_bad(bad: DataFrame, known: DataFrame | None = None) -> DataFrame:
     its rows in ``REPLAY_KEY``, are left out, so a second replay adds nothing."""
     bodies = (bad.select(F.coalesce("payload", "payload_raw").alias("body"), F.col("ingested_at").alias("received_at"), "collector_instance")
               .where(F.col("body").isNotNull()))
-    fixed = good_events(ingest(bodies))
+    fixed = good_events(ingest(bodies, versions))
     if known is None:
         return fixed
     missing = F.col("event_id").isNull()

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,12 +21,13 @@ from clickpath.plans import oracle as O
 from clickpath.plans import reports as R
 from clickpath.operators import ingest as I
 from clickpath.operators import journeys as J
+from clickpath.operators.contract import V0
 from clickpath.plans import oracle_ingest as OI
 from clickpath.shipping import ship_package
 from clickpath.sources import buckets, compaction, io, zones
-from clickpath.sources.bodies import bridge_access_log, bridge_bodies
+from clickpath.sources.bodies import bridge_access_log, bridge_bodies, bridge_requests
 from clickpath.storage import run_folder, stored
-from clickpath.streaming.jobs import incremental_rebuild, live_quality
+from clickpath.streaming.jobs import dedup_stream, incremental_rebuild, ingest_stream, live_quality, live_session_table, read_session_log, session_log_stream
 from clickpath.sources.bridge import BRIDGE_CONFIG, bridge_events, bridge_hits
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -483,6 +485,83 @@ def q_access_log_counts(spark, sf):
     return I.fork_counts(I.ingest(I.decode_pixel(I.log_pixels(bridge_access_log(spark, sf)))))
 
 
+# ---- B9, and the streaming jobs H1 to H3 run to the end of what has landed ---------------------
+#: A later version of the contract: the same rules under the next version's name.
+V1 = replace(V0, field_rules=[(path, kinds, {"const": "1"} if path == "schema_version" else checks) for path, kinds, checks in V0.field_rules])
+_KEY_TIME = "timezone('UTC', CAST(json_extract_string(elem, '$.event_timestamp') AS TIMESTAMPTZ))"
+
+
+@register("ingest_replayed", O.with_ctes(IG, select=OI.GOOD_EVENTS.replace("FROM processed WHERE len(errors) = 0", (
+    "FROM processed p WHERE array_to_string(errors, ' | ') = 'schema_version: ''0'' was expected' AND json_extract_string(elem, '$.schema_version') = '1' "
+    "AND NOT EXISTS (SELECT 1 FROM (" + OI.GOOD_EVENTS + ") g WHERE g.event_id = json_extract_string(p.elem, '$.event_id') OR "
+    "(g.event_id IS NULL AND json_extract_string(p.elem, '$.event_id') IS NULL AND g.ingested_at = p.ingested_at "
+    "AND g.anonymous_id = json_extract_string(p.elem, '$.anonymous_id') AND g.session_id = json_extract_string(p.elem, '$.session_id') "
+    f"AND g.event_name = json_extract_string(p.elem, '$.event_name') AND g.event_timestamp = {_KEY_TIME.replace('elem', 'p.elem')}))"))))
+def q_replayed(spark, sf):
+    """Stored bad rows judged again once the contract's next version is known."""
+    root, made = scratch(spark), stored(processed(spark, sf), "processed")
+    io.write_raw(I.good_events(made), root, "events")
+    io.write_raw(I.bad_rows(made), root, "bad")
+    return flat(I.replay_bad(io.read_bad(spark, root), io.read_events(spark, root), {"1": V1}))
+
+
+def _ended(job) -> None:
+    """Wait for a job with the trigger ``availableNow``; an error in it is raised."""
+    job.awaitTermination()
+
+
+NOW = {"availableNow": True}
+
+
+def _streamed_ingest(spark, sf) -> str:
+    """H1 over the corpus' bodies and pixel requests, landed as text files."""
+    ship_package(spark)
+    root, given = scratch(spark), bridge_requests(spark, sf)
+    given.where("kind = 'post'").select("body").write.text(f"{root}/posts")
+    given.where("kind = 'pixel'").select("e").write.text(f"{root}/pixels")
+    _ended(ingest_stream(spark, f"{root}/posts", f"{root}/sink", f"{root}/checkpoint", NOW, pixels=f"{root}/pixels"))
+    return f"{root}/sink"
+
+
+@register("ingest_stream_counts", O.with_ctes(IG, select=(
+    "SELECT count(*) AS received, count(*) FILTER (WHERE len(errors) = 0) AS accepted, count(*) FILTER (WHERE len(errors) > 0) AS rejected FROM processed")))
+def q_stream_counts(spark, sf):
+    """The counts that the ingest stream's batches have written, over all of them."""
+    counts = io.read_counts(spark, _streamed_ingest(spark, sf))
+    return counts.agg(*(F.sum(c).alias(c) for c in ("received", "accepted", "rejected")))
+
+
+@register("ingest_stream_good_events", O.with_ctes(IG, select=f"SELECT * EXCLUDE (ingested_at, dt) FROM ({OI.GOOD_EVENTS})"))
+def q_stream_good(spark, sf):
+    """H1: the raw stream that the ingest stream has written, but for its own time of arrival."""
+    return flat(io.read_events(spark, _streamed_ingest(spark, sf)).drop("ingested_at", "dt", "event_date"))
+
+
+def _landed_twice(spark, sf, run: Callable[[str], None]) -> None:
+    """Call ``run`` with a raw folder that holds a part of the events, and again with all of them."""
+    root, e = scratch(spark), stored(ev(spark, sf), "events")
+    for part in (0, 1):
+        io.write_raw(e.where(F.pmod(F.xxhash64("ingested_at", "session_id"), F.lit(2)) == part), root, "events")
+        run(root)
+
+
+@register("live_dedup_ids", O.with_ctes(select=(
+    "SELECT event_id, CASE WHEN event_id IS NULL THEN count(*) ELSE 1 END AS events FROM contract_events GROUP BY event_id")))
+def q_live_dedup(spark, sf):
+    """H2: rows per id in the stream without duplicate deliveries, of a job that was started twice."""
+    dest = scratch(spark)
+    _landed_twice(spark, sf, lambda root: _ended(dedup_stream(spark, root, dest, f"{dest}/checkpoint", trigger=NOW)))
+    return io.read_events(spark, dest).groupBy("event_id").agg(F.count(F.lit(1)).alias("events"))
+
+
+@register("live_sessions_logged", O.with_ctes(DS, select="SELECT * EXCLUDE (derived_session_number) FROM derived_sessions"))
+def q_live_sessions(spark, sf):
+    """H3: the sessions that the log has arrived at, of a job that was started twice; rows of any age."""
+    dest = scratch(spark)
+    _landed_twice(spark, sf, lambda root: _ended(session_log_stream(spark, root, dest, f"{dest}/checkpoint", BRIDGE_CONFIG, horizon="36500 days", trigger=NOW)))
+    return live_session_table(read_session_log(spark, dest))
+
+
 # ---- E8, F8, H4 -------------------------------------------------------------------------------
 @register("report_rejected_by_dt", O.with_ctes(IG, select=(
     "SELECT dt, bad_rows, array_to_string(list_sort(list_distinct(e))[:3], ' | ') AS sample_errors FROM "

@@ -37,14 +37,16 @@ def _readable(line: Column) -> Column:
     return F.from_json(line, "map<string,string>", _JSON).isNotNull() | F.coalesce(listed, F.lit(False))
 
 
-def _read_lines(spark: SparkSession, path: str, fields: list[T.StructField], files: list[str] | None = None) -> DataFrame:
+def _read_lines(spark: SparkSession, path: str, fields: list[T.StructField], files: list[str] | None = None, per_trigger: int | None = None) -> DataFrame:
     """Rows of the NDJSON files below ``path`` (only of ``files`` there, if given), with ``_LINE``: the text of a line of which a field that is read
-    does not convert (that field is NULL), else NULL.
+    does not convert (that field is NULL), else NULL.  With ``per_trigger`` they are a stream of so many files a micro-batch.
 
     Which lines are rows depends on the line alone, never on the columns that a query reads."""
     schema = _with_dt(T.StructType(fields), _BATCH, T.StructField(_LINE, T.StringType()))
-    rows = spark.read.schema(schema).option("basePath", path).options(**_JSON).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).json(path if files is None else files)
-    rows = compaction.live(rows, path)
+    reader = spark.read if per_trigger is None else spark.readStream.option("maxFilesPerTrigger", per_trigger)
+    rows = reader.schema(schema).option("basePath", path).options(**_JSON).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).json(path if files is None else files)
+    # A compacted batch holds lines that a stream has read as they landed.
+    rows = compaction.live(rows, path) if per_trigger is None else rows.where(~F.col("batch").startswith(compaction.PREFIX))
     # Always true, and not known to be so: Spark refuses a read of the line's text without any field.
     with_field = F.xxhash64(fields[0].name) >= F.lit(-(2**63))
     return rows.where((F.col(_LINE).isNull() | _readable(F.col(_LINE))) & with_field).drop("batch")
@@ -73,7 +75,19 @@ def read_events(spark: SparkSession, root: str, files: list[str] | None = None)
     path = f"{root}/events"
     if files == [] or not _exists(spark, path):
         return spark.createDataFrame([], _with_dt(EVENT_SCHEMA)).withColumn("event_date", F.to_date("event_timestamp"))
-    rows = _read_lines(spark, path, EVENT_SCHEMA.fields, files)
+    return _typed_events(_read_lines(spark, path, EVENT_SCHEMA.fields, files))
+
+
+def stream_events(spark: SparkSession, root: str, max_files: int = 1000) -> DataFrame:
+    """A1 as a stream: the same rows as :func:`read_events`, file by file as batches land.
+
+    Compacted batches are left out, for they repeat lines that have landed before: start a
+    stream before the batches that it has not read yet are cleaned up.  ``events/`` must exist."""
+    return _typed_events(_read_lines(spark, f"{root}/events", EVENT_SCHEMA.fields, per_trigger=max_files))
+
+
+def _typed_events(rows: DataFrame) -> DataFrame:
+    """Event rows of :func:`_read_lines`, with what other spellings of a value say, and ``event_date``."""
     device = F.col("device")
     for name in ("screen_width", "screen_height"):
         device = device.withField(name, _whole_number(name))

@@ -4,8 +4,8 @@ The batch rebuild stays authoritative: a 166-day-late event exists, so no waterm
 ever drop data from the derived layer.  The streaming jobs are bounded, opt-in views:
 
 H1 continuous ingest    landed bodies -> B1-B7 -> events/ + bad/ (foreachBatch, idempotent)
-H2 live dedup           duplicate deliveries removed within a server-clock horizon
-H3 live sessions        inactivity sessions: session windows, or kept in state and corrected by late rows
+H2 live dedup           duplicate deliveries removed within a server-clock horizon, raw stream to raw stream
+H3 live sessions        inactivity sessions: session windows, or a log kept in state and corrected by late rows
 H4 live quality         per-minute skew buckets, id coverage, reject rate: windowed, or as parts of batches
 H5 incremental rebuild  re-write only the event dates touched by newly arrived dt
 """
@@ -23,6 +23,7 @@ from clickpath.operators import ingest as I
 from clickpath.operators.derived import in_dates, fold_dates
 from clickpath.functions.clock import round_half_away, skew_seconds
 from clickpath.operators.health import SKEW_BUCKETS, SKEW_OVERFLOW, skew_bucket
+from clickpath.shipping import ship_package
 from clickpath.sources import compaction, io
 
 # Spark's session window merges events exactly one gap apart; the event model splits at >= gap.
@@ -86,6 +87,16 @@ def live_dedup(events: DataFrame, horizon: str = "1 hour") -> DataFrame:
     return events.where(F.col("event_id").isNull()).unionByName(ids)
 
 
+def dedup_stream(spark: SparkSession, raw_root: str, dest: str, checkpoint: str, horizon: str = "1 hour", max_files: int = 1000, trigger: dict | None = None):
+    """H2 as a job: the raw stream of ``raw_root`` without duplicate deliveries, as a raw stream
+    in ``dest``.  A micro-batch is a batch of that stream; done again, it replaces itself."""
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        io.write_raw(batch, dest, "events", f"stream-{batch_id}")
+
+    w = live_dedup(io.stream_events(spark, raw_root, max_files), horizon).writeStream.foreachBatch(write_batch)
+    return w.option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
 def live_sessions(events: DataFrame, cfg: Config = Config(), lateness: str = "1 hour",
                   time_col: str = "event_time") -> DataFrame:
     """H3: provisional inactivity sessions per visitor (session windows on the trusted
@@ -254,6 +265,27 @@ def live_session_table(log: DataFrame) -> DataFrame:
     return now.select("anonymous_id", "s.client_session_id", "s.distinct_client_session_ids", "session_start", "s.events")
 
 
+def session_log_stream(spark: SparkSession, raw_root: str, dest: str, checkpoint: str, cfg: Config = Config(), horizon: str = "30 days",
+                       forget: str | None = None, max_files: int = 1000, trigger: dict | None = None):
+    """H3 as a job: :func:`live_session_log` over the raw stream of ``raw_root``.  A micro-batch's
+    part of the log lies under its id in ``dest``; done again, it replaces itself."""
+    ship_package(spark)                    # the state update runs on the workers
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{dest}/log/batch=stream-{batch_id}")
+
+    w = live_session_log(io.stream_events(spark, raw_root, max_files), cfg, horizon=horizon, forget=forget).writeStream.outputMode("update").foreachBatch(write_batch)
+    return w.option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
+def read_session_log(spark: SparkSession, dest: str) -> DataFrame:
+    """The log of :func:`session_log_stream`; before its first micro-batch an empty table."""
+    path = f"{dest}/log"
+    if not io._exists(spark, path):
+        return spark.createDataFrame([], _SESSION_LOG)
+    return spark.read.schema(_SESSION_LOG).option("basePath", path).parquet(path).select(*(x.split()[0] for x in _SESSION_LOG.split(", ")))
+
+
 def incremental_rebuild(spark: SparkSession, raw_root: str, dest: str, new_dts: list, cfg: Config = Config(), snapshots: bool | None = None) -> int:
     """H5: fold ingest dates (None: rows without one) into the derived layer, in any order, so
     that it equals a full rebuild over all dates folded; running it again changes nothing.

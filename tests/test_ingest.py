@@ -2,10 +2,12 @@
 
 import datetime as dt
 import json
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from clickpath.operators import ingest as I
+from clickpath.operators.contract import V0
 
 NOW = dt.datetime(2026, 7, 28, 12, 0, 0, 123456)
 BASE = {"schema_version": "0", "event_name": "page_view", "event_timestamp": "2026-07-28T12:00:00Z",
@@ -121,3 +123,14 @@ def test_replay_after_fix(spark):
     out = I.replay_bad(bad).collect()
     assert len(out) == 1 and out[0].event_id == "evt_00000009"
     assert I.replay_bad(bad, I.replay_bad(bad)).count() == 0
+
+
+def test_replay_once_a_version_is_known(spark):
+    later = replace(V0, field_rules=[(p, t, {"const": "1"} if p == "schema_version" else c) for p, t, c in V0.field_rules])
+    sent = [json.dumps(ev(schema_version="1", event_id=f"evt_0000000{k}")) for k in (1, 2)] + [json.dumps(ev(schema_version="1", event_name="Bad")), json.dumps(ev(schema_version="2"))]
+    processed = I.ingest(spark.createDataFrame([(b, NOW) for b in sent], "body string, received_at timestamp"))
+    bad = I.bad_rows(processed)
+    assert bad.count() == 4 and I.replay_bad(bad).count() == 0
+    out = I.replay_bad(bad, versions={"1": later})
+    assert sorted((r.event_id, r.schema_version, r.ingested_at) for r in out.collect()) == [(f"evt_0000000{k}", "1", NOW.replace(microsecond=123000)) for k in (1, 2)]
+    assert I.replay_bad(bad, out, {"1": later}).count() == 0

@@ -134,6 +134,44 @@ def test_live_session_log_of_shuffled_rows_equals_the_batch(spark, scratch):
     assert [(r.kind, r.events) for r in log.where("kind <> 'session'").collect()] == [("untimed", 1)]
 
 
+NOW = {"availableNow": True}
+
+
+def test_session_log_job_started_again_equals_the_batch(spark, scratch):
+    rng = random.Random(7)
+    start = dt.datetime(2026, 7, 28, 0, 0, 30)
+    rows = [event(anonymous_id=f"anon_{rng.randrange(3):07d}", session_id=f"sess_{rng.randrange(2)}", event_timestamp=start + dt.timedelta(seconds=rng.randrange(0, 40_000)),
+                  ingested_at=start + dt.timedelta(hours=rng.randrange(60))) for _ in range(60)]
+    raw, dest = scratch + "/raw", scratch + "/log"
+    assert jobs.live_session_table(jobs.read_session_log(spark, dest)).count() == 0
+    for part in (rows[40:], rows[:40]):
+        io.write_raw(events_df(spark, part).drop("event_date"), raw, "events")
+        jobs.session_log_stream(spark, raw, dest, scratch + "/ckpt", trigger=NOW).awaitTermination(300)
+        whole = io.read_events(spark, raw)
+        want = derived_sessions(whole, Config()).select("anonymous_id", "client_session_id", "distinct_client_session_ids", "session_start", "events")
+        got = jobs.live_session_table(jobs.read_session_log(spark, dest))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 3
+
+
+def test_dedup_job_keeps_one_copy_over_restarts_and_all_rows_without_an_id(spark, scratch):
+    raw, dest = scratch + "/raw", scratch + "/once"
+    copies = [event(event_id="evt_00000001"), event(event_id="evt_00000001", ingested_at="2026-07-30T12:00:01Z"), event(event_id="evt_00000002"), event(), event()]
+    for part in (copies, copies[1:4]):
+        io.write_raw(events_df(spark, part).drop("event_date"), raw, "events")
+        jobs.dedup_stream(spark, raw, dest, scratch + "/ckpt", trigger=NOW).awaitTermination(300)
+    ids = sorted(str(r.event_id) for r in io.read_events(spark, dest).collect())
+    assert ids == ["None", "None", "None", "evt_00000001", "evt_00000002"]
+
+
+def test_stream_of_events_reads_partly_readable_lines_and_no_compacted_ones(spark, scratch):
+    wide = OK[:-1] + ',"device":{"screen_width":1280.0}}'
+    _lines(scratch, "a", 28, [OK, wide, "no"])
+    _lines(scratch, "compact-x", 28, [OK, wide])
+    jobs.dedup_stream(spark, scratch, scratch + "/out", scratch + "/ckpt", trigger=NOW).awaitTermination(300)
+    rows = io.read_events(spark, scratch + "/out").collect()
+    assert sorted(str(r.device and r.device.screen_width) for r in rows) == ["1280", "None"]
+
+
 def test_rows_beyond_the_horizon_are_counted(spark, scratch):
     def at(hours):
         return dt.datetime(2026, 7, 28) + dt.timedelta(hours=hours)
