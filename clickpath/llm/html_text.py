@@ -6,7 +6,9 @@ sidebars, notices, adverts, forms, scripts, styles and reader comments, by eleme
 or a class or id that as a whole names such furniture (``ad-slot``, ``related-posts``).  A class
 or id with only a word of it (``legal-status``, made from a heading) is a doubt: headings and
 inline elements stay, paragraphs, list items and cells go if most of their text is links, and
-other elements also if they have little text and no heading or paragraph.  Formulas (``math``, without their
+other elements also if they have little text and no heading or paragraph.  A class that is just
+the name of a subject (``legal``, ``map``) is a doubt too: the element stays if it has a heading
+of its own or reads like a longer piece of prose, and is not mostly links.  Formulas (``math``, without their
 annotations) and ``xmp`` are text.  Every paragraph then passes points to its ancestors, for
 its length and its commas, the full sum to the parent, half to the grandparent and less
 further up; a container's points are discounted by its link density.  The container with
@@ -46,6 +48,8 @@ ASIDE_WORDS = set("ad ads adv advert adverts advertisement advertising adsense s
                   "toc copyright legal disclaimer paywall outbrain taboola".split())
 #: Of these, those that articles are about as well: an id of no others is a doubt.
 SUBJECTS = set("alert banner consent copyright disclaimer legal login map menu navigation notice notification promotion recommendations recommended related reply search sharing signup social status subscribe subscription widget".split())
+#: Of those, the ones that name no kind of furniture: a class of no others is a doubt.
+TOPICS = set("legal map search social status".split())
 #: Those that no article is about: a class with one of them names furniture, whatever else it says.
 ADVERTS = set("ad ads adv advert adverts advertisement advertising adsense sponsored promo nav navbar breadcrumb breadcrumbs sidebar masthead cookie cookies gdpr newsletter disqus pagination pager toolbar popup modal paywall outbrain taboola".split())
 #: Words that go with furniture: a name of these and ASIDE_WORDS alone names it as a whole.
@@ -63,6 +67,10 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 TEXTUAL = PARAGRAPHS | HEADINGS | {"li", "dt", "dd", "th", "caption", "figcaption", "summary"}
 #: An element in doubt goes if more of its text is links, or if it has less text (and no textual element).
 DOUBT_LINKED, DOUBT_LENGTH = 0.5, 25
+#: The same for a doubt by class (and no heading).
+TOPIC_LENGTH = 200
+#: Degrees of doubt: by a name with a word of furniture, and by a class that is a subject's name.
+BY_NAME, BY_TOPIC = 1, 2
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+>|[^>]*>)""", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""", re.IGNORECASE)
@@ -76,9 +84,9 @@ class Node:
 
     def __init__(self, tag: str, parent: Node | None):
         self.tag, self.parent, self.kids = tag, parent, []
-        self.aside = self.article = self.doubt = False
+        self.aside = self.article = False
         self.points = 0.0
-        self.length = self.linked = self.commas = self.blocks = 0
+        self.doubt = self.length = self.linked = self.commas = self.blocks = 0
 
 
 def _judge(node: Node, attributes: str) -> None:
@@ -118,7 +126,7 @@ def _judge(node: Node, attributes: str) -> None:
         if _furniture(name, words, headers):
             node.aside = True
         else:
-            node.doubt = True
+            node.doubt = max(node.doubt, BY_TOPIC if name == "class" and words <= TOPICS else BY_NAME)
 
 
 def _furniture(name: str, words: set[str], headers: set[str]) -> bool:
@@ -128,7 +136,9 @@ def _furniture(name: str, words: set[str], headers: set[str]) -> bool:
     words = {w for w in words if not w[0].isdigit()}
     if words - ASIDE_WORDS - FITTINGS:
         return False
-    return name == "class" or bool(words & (ASIDE_WORDS - SUBJECTS | headers))
+    if name == "class":
+        return not words <= TOPICS
+    return bool(words & (ASIDE_WORDS - SUBJECTS | headers))
 
 
 def parse(html: str) -> Node:
@@ -217,9 +227,10 @@ def _ordered(root: Node) -> list[Node]:
 def _settle(nodes: list[Node]) -> None:
     """Set aside the elements in doubt that do not read like article text, inner ones first."""
     textual: dict[Node, bool] = {}
+    headed: dict[Node, bool] = {}
     for node in reversed(nodes):
         length = linked = 0
-        holds = False
+        holds = heading = False
         for kid in node.kids:
             if isinstance(kid, str):
                 length += len(kid.strip())
@@ -227,10 +238,13 @@ def _settle(nodes: list[Node]) -> None:
                 length += kid.length
                 linked += kid.length if kid.tag == "a" else kid.linked
                 holds |= textual[kid]
+                heading |= headed[kid]
         node.length, node.linked = length, linked
         textual[node] = holds or (node.tag in TEXTUAL and length > 0)
+        headed[node] = heading or (node.tag in HEADINGS and length > 0)
         if node.doubt and node.tag not in INLINE and node.tag not in HEADINGS:
-            node.aside |= _density(node) > DOUBT_LINKED or (length < DOUBT_LENGTH and not textual[node])
+            short = length < TOPIC_LENGTH and not headed[node] if node.doubt == BY_TOPIC else length < DOUBT_LENGTH and not textual[node]
+            node.aside |= short or _density(node) > DOUBT_LINKED
     for node in nodes:
         node.length = node.linked = 0
 

@@ -150,6 +150,13 @@ PROSE = "Words, of an article, that go on, and on, long enough to count as prose
     (f'<div class="cookie-notice"><p>{PROSE}</p></div>', ""),
     (f'<div id="comments"><p>{PROSE}</p></div>', ""),
     (f'<div id="share"><p>{PROSE}</p></div>', ""),
+    (f'<section class="legal"><h2>Legal status</h2><p>{PROSE}</p></section>', f"Legal status {PROSE}"),
+    ('<h3 class="status">Status</h3>', "Status"),
+    (f'<div class="map"><p>{PROSE} {PROSE} {PROSE}</p></div>', " ".join([PROSE] * 3)),
+    ('<div class="legal"><p>All rights reserved, as ever.</p></div>', ""),
+    ('<div class="social"><h4>Share</h4><a href="/x">With your friends, now, please</a></div>', ""),
+    (f'<div class="search-form"><h4>Search</h4><p>{PROSE}</p></div>', ""),
+    (f'<div class="notice"><p>{PROSE}</p></div>', ""),
     ('<div id="social-web"><a href="/x">Follow us now, please, and at any time.</a></div>', ""),
     ('<div id="related-pages">Two of them</div>', ""),
     ('<p>So <math><mi>x</mi><mspace/><mo>=</mo><mn>2</mn><annotation encoding="application/x-tex">x = 2</annotation></math> holds.</p>', "So x=2 holds."),
