@@ -1,9 +1,11 @@
+import random
 import re
 from collections import Counter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pytest
 from llm_cases import DOCS, SPACED, awkward, documents, text
 
 from clickpath.llm import quality, secrets
@@ -86,8 +88,8 @@ def test_rule_statistics_equal_brute_force():
 
 
 def test_forest_and_threshold():
-    random = np.random.default_rng(2)
-    usual, odd = random.normal(0, 1, (2000, 3)), random.normal(9, 1, (20, 3))
+    draw = np.random.default_rng(2)
+    usual, odd = draw.normal(0, 1, (2000, 3)), draw.normal(9, 1, (20, 3))
     forest = quality.grow(np.vstack([usual, odd]), 64, 128)
     assert forest.score(odd).min() > np.quantile(forest.score(usual), 0.995)
     assert quality.grow(np.zeros((0, 3))).score(usual).tolist() == [0.0] * len(usual)
@@ -109,3 +111,23 @@ def test_quality_keeps_clean_and_rejects_junk(spark):
     unlabelled = quality.quality(documents(spark, rows[:30]), labels.limit(0)).collect()
     assert all(r.kept != r.base_failed for r in unlabelled)
     assert quality.quality(spark.createDataFrame([], DOCS), labels).collect() == []
+
+
+def planted(kind: str, k: int) -> str:
+    own = text(5000 + k, 150).split()
+    if kind == "symbols":
+        return " ".join(w + "#$" for w in own)
+    if kind == "marks":
+        return " ".join(w + "!?;" for w in own)
+    if kind == "vocabulary":                     # few words, hardly a window twice
+        draw = random.Random(k)
+        return " ".join(draw.choice(own[:25]) for _ in range(150))
+    return " ".join(own[j % 7] for j in range(150))
+
+
+@pytest.mark.parametrize("kind", ["symbols", "marks", "vocabulary", "windows"])
+def test_an_anomaly_of_each_statistic_is_rejected(spark, kind):
+    rows = [(k, text(k, 100 + k)) for k in range(200)] + [(1000 + k, planted(kind, k)) for k in range(12)]
+    labels = spark.createDataFrame([(i, int(i < 1000), None) for i, _ in rows if i < 150 or 1000 <= i < 1006], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in quality.quality(documents(spark, rows), labels, max_loss=0.02).collect()}
+    assert not any(kept[1000 + k] for k in range(6, 12)) and sum(kept[k] for k in range(150, 200)) >= 48
