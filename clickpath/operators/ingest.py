@@ -72,9 +72,9 @@ def decode_bodies(bodies: DataFrame) -> DataFrame:
     allow_repeated_keys(bodies.sparkSession)
     b = with_whole_json(b, "body", "_parsed")
     parsed = F.col("_parsed")
+    # Only an array reads as one: asking costs less than the schema text of a whole body.
     elems = (F.when(F.col("decode_error").isNotNull() | parsed.isNull(), F.array(F.lit(None).cast("variant")))
-             .when(F.schema_of_variant(parsed).startswith("ARRAY"), F.try_variant_get(parsed, "$", "array<variant>"))
-             .otherwise(F.array(parsed)))
+             .otherwise(F.coalesce(F.try_variant_get(parsed, "$", "array<variant>"), F.array(parsed))))
     return b.select("body", "received_at", "collector_instance", "decode_error",
                     F.posexplode(elems).alias("elem_pos", "elem"))
 
@@ -184,9 +184,12 @@ def process(elements: DataFrame, versions: dict[str, Contract] | None = None) ->
         x = with_contract_errors(x, f"_event{k}", "_pvar", f"_errors{k}", versions[v])
         x = x.withColumn("_contract_errors", F.when(F.col("_version") == v, F.col(f"_errors{k}")).otherwise(F.col("_contract_errors")))
     raw_text = F.coalesce(F.col("body"), F.lit(""))
-    non_obj_payload = F.when(F.col("_kind") == "STRING",
-                             F.regexp_extract(F.to_json(F.array(redact_text(F.try_variant_get(e, "$", "string")))),
-                                              r"^\[(.*)\]$", 1)).otherwise(redact_json(F.to_json(e)))
+    # A UDF's input is made for every row whatever CASE surrounds it: events, which have a payload of
+    # their own, are NULL there, so none is rendered, searched and shipped for nothing.
+    text = F.col("_kind") == "STRING"
+    walked = F.when(~F.col("_is_obj") & ~text, e)
+    non_obj_payload = F.when(text, F.regexp_extract(F.to_json(F.array(redact_text(F.try_variant_get(e, "$", "string")))),
+                                                    r"^\[(.*)\]$", 1)).otherwise(redact_json(F.to_json(walked)))
     errors = (F.when(F.col("decode_error").isNotNull(), F.array(F.col("decode_error")))
               .when(e.isNull(), F.array(F.lit(UNPARSEABLE_MESSAGE)))
               .when(~F.col("_is_obj"), F.array(F.concat(F.lit(NOT_OBJECT_MESSAGE), _py_type_name(e))))
