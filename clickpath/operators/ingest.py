@@ -61,6 +61,12 @@ def allow_repeated_keys(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
 
 
+def small_methods(spark: SparkSession) -> None:
+    """The JVM compiles no method over 8,000 bytes: a stage with one is run operator by operator,
+    whose expressions Spark cuts into small methods, rather than interpreted row by row."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def decode_bodies(bodies: DataFrame) -> DataFrame:
     """B1: one row per event element.  An array body yields one row per element (an empty
     array yields none); an object one row; unparseable text one row with ``elem`` NULL."""
@@ -70,6 +76,7 @@ def decode_bodies(bodies: DataFrame) -> DataFrame:
     if "decode_error" not in b.columns:
         b = b.withColumn("decode_error", F.lit(None).cast("string"))
     allow_repeated_keys(bodies.sparkSession)
+    small_methods(bodies.sparkSession)
     b = with_whole_json(b, "body", "_parsed")
     parsed = F.col("_parsed")
     # Only an array reads as one: asking costs less than the schema text of a whole body.

@@ -49,3 +49,9 @@ def test_only_arrays_are_cut_into_elements(spark):
     by_body = {t: [r.j for r in sorted(found, key=lambda r: r.elem_pos) if r.body == t] for t in texts}
     assert by_body == {"[1,[2],{}]": ["1", "[2]", "{}"], "[]": [], "{}": ["{}"], '"[1]"': ['"[1]"'], "7": ["7"], "null": ["null"],
                        "true": ["true"], "[": [None], "1.5": ["1.5"], None: [None]}
+
+
+def test_no_method_too_long_for_the_jvm_to_compile(spark):
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    I.ingest(bodies(spark, "{}"))
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
