@@ -43,6 +43,16 @@ def test_events_are_not_rendered_as_payloads_of_no_object(spark, shipped):
     assert json.loads(sorted(r.payload for r in rows)[1]) == json.loads(bad)
 
 
+def test_replay_judges_a_row_once(spark, shipped):
+    rows = [(json.dumps(BASE | {"event_id": f"evt_0000000{k}", "params": {"auth_token": "<REDACTED>"}}), None, NOW, "c") for k in range(3)]
+    bad = spark.createDataFrame(rows, "payload string, payload_raw string, ingested_at timestamp, collector_instance string")
+    known = I.replay_bad(bad.where(F.col("payload").contains("evt_00000000")))
+    known = spark.createDataFrame(known.collect(), known.schema)
+    shipped.value = 0
+    assert sorted(r.event_id for r in I.replay_bad(bad, known).collect()) == ["evt_00000001", "evt_00000002"]
+    assert shipped.value == 3
+
+
 def test_only_arrays_are_cut_into_elements(spark):
     texts = ["[1,[2],{}]", "[]", "{}", '"[1]"', "7", "null", "true", "[", "1.5", None]
     found = I.decode_bodies(bodies(spark, *texts)).select("body", "elem_pos", F.to_json("elem").alias("j")).collect()
