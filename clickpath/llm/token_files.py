@@ -64,8 +64,10 @@ def crc_carried(crc: np.ndarray, after: np.ndarray) -> np.ndarray:
 def _block_rows(file: int, first: int, ids: np.ndarray, at: int, docs: np.ndarray, block_ids: int) -> pa.RecordBatch:
     """Rows of the blocks of ``ids``, which begin at place ``at`` of the file.
 
-    ``docs`` has rows (ordinal, doc_id, has a doc_id, start, ids) of all documents in them.
+    ``docs`` has rows (ordinal, doc_id, has a doc_id, start, ids) of all documents in them, and
+    may have more that begin behind them.
     """
+    docs = docs[docs[:, 3] < at + len(ids)]
     blocks = [ids[k:k + block_ids] for k in range(0, len(ids), block_ids)]
     edges = at + np.arange(len(blocks)) * block_ids
     cuts = np.unique(np.concatenate([np.maximum(docs[:, 3], at), edges]))

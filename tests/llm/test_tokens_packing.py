@@ -210,3 +210,16 @@ def test_equal_and_missing_doc_ids_span_files_and_start_alike(spark, scratch):
         starts.append(sorted((r.start, r.n_tokens, r.ids_crc32) for r in read))
         assert token_files.read_pieces(spark, f"{scratch}/{k}").filter("doc_id is null").select("file").distinct().count() > 1
     assert starts[0] == starts[1]
+
+
+def test_token_files_longer_than_one_coded_stretch(spark, scratch):
+    # A file of many times LANES * block_ids ids: documents lie across the ends of its coded stretches.
+    rows = [(k, text(k, 3 + k % 60)) for k in range(600)]
+    token_files.write_files(documents(spark, rows), WORD, scratch + "/files", block_ids=2)
+    want, at = [], 0
+    for i, t in rows:
+        ids = np.array([*plain_ids(WORD, t), 1], "<u4")
+        want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    assert at > 10 * 2 * mixing_coder.LANES
+    assert [tuple(r) for r in token_files.read_documents(spark, scratch + "/files").orderBy("start").collect()] == want
