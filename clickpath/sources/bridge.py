@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickpath.config import Config
+from clickpath.operators.ingest import small_methods
 from clickpath.sources.io import spread_small
 
 # ---- fixed values of the bridge ------------------------------------------------------------
@@ -142,6 +143,7 @@ def bridge_events(spark: SparkSession, sf_dir: str, keep_keys: bool = False) ->
     """Contract events (EVENT_SCHEMA + ``dt`` + ``event_date``) from the driver tables.
 
     ``keep_keys`` also returns the bridge key ``bridge_n`` and the delivery ``copy``."""
+    small_methods(spark)
     rows = _with_copies(_with_pages(spark, sf_dir, ["event_id", "ts", "user_id", "event_type"]))
     n = F.col("event_id")
 

@@ -13,6 +13,8 @@ H5 incremental rebuild  re-write only the event dates touched by newly arrived d
 from __future__ import annotations
 
 import json
+from bisect import bisect_right
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -185,21 +187,32 @@ _SESSION_LOG = ("anonymous_id string, kind string, session_start timestamp, clie
 _MINUTE = 60_000_000
 
 
-def _joined(sessions: list[list], at: int, ids: list[str], gap_minutes: int) -> set[int]:
-    """Put a row at ``at`` (microseconds) into its visitor's sessions, ``[start, end, rows, ids]``
-    in order of time; sessions that it connects become one.  The starts of those that it touched."""
-    minute, near = at // _MINUTE, []
-    for k, (start, end, _, _) in enumerate(sessions):
-        if minute - end // _MINUTE < gap_minutes and start // _MINUTE - minute < gap_minutes:
-            near.append(k)
-    touched = {sessions[k][0] for k in near}
-    made = [at, at, 1, sorted(set(ids))]
-    for k in reversed(near):
-        start, end, rows, known = sessions.pop(k)
-        made = [min(made[0], start), max(made[1], end), made[2] + rows, sorted({*made[3], *known})]
-    sessions.append(made)
-    sessions.sort()
-    return touched | {made[0]}
+def _joined(sessions: list[list], rows: list[tuple[int, str | None]], gap_minutes: int) -> set[int]:
+    """Put rows (microseconds, client session id) into their visitor's sessions, ``[start, end, rows, ids]``
+    in order of time; sessions that they connect become one.  The starts of those that they touched."""
+    runs: list[list] = []
+    for at, sid in sorted(rows, key=itemgetter(0)):
+        if not runs or at // _MINUTE - runs[-1][1] // _MINUTE >= gap_minutes:
+            runs.append([at, at, 0, set()])
+        run = runs[-1]
+        run[1], run[2] = at, run[2] + 1
+        if sid is not None:
+            run[3].add(sid)
+    touched = set()
+    for start, end, n, ids in runs:
+        # Sessions lie a gap apart: of those that begin before the run, only the last can be near it.
+        lo = bisect_right(sessions, start, key=itemgetter(0))
+        if lo and start // _MINUTE - sessions[lo - 1][1] // _MINUTE < gap_minutes:
+            lo -= 1
+        hi = lo
+        while hi < len(sessions) and sessions[hi][0] // _MINUTE - end // _MINUTE < gap_minutes:
+            hi += 1
+        near = sessions[lo:hi]
+        made = [min(start, near[0][0]), max(end, near[-1][1]), n + sum(s[2] for s in near), sorted(ids.union(*(s[3] for s in near)))] if near else [start, end, n, sorted(ids)]
+        touched.update(s[0] for s in near)
+        touched.add(made[0])
+        sessions[lo:hi] = [made]
+    return touched
 
 
 def live_session_log(events: DataFrame, cfg: Config = Config(), time_col: str = "event_timestamp", horizon: str = "30 days", forget: str | None = None) -> DataFrame:
@@ -212,6 +225,7 @@ def live_session_log(events: DataFrame, cfg: Config = Config(), time_col: str =
 
     A visitor's state is its sessions within the horizon and one number for the closed ones.
     With ``forget`` a visitor that has sent nothing for so long is dropped from the state."""
+    import numpy as np
     import pandas as pd
     from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -227,18 +241,15 @@ def live_session_log(events: DataFrame, cfg: Config = Config(), time_col: str =
         sessions, closed, version = json.loads(state.get[0]) if state.exists else ([], None, 0)
         touched, untimed, late = set(), 0, 0
         for batch in batches:
-            for at, sid in zip(batch["_at"], batch["session_id"], strict=True):
-                if pd.isna(at):
-                    untimed += 1
-                elif closed is not None and int(at) < closed:
-                    late += 1
-                else:
-                    touched |= _joined(sessions, int(at), [] if sid is None else [sid], gap)
+            timed = [(int(at), sid) for at, sid in zip(batch["_at"].tolist(), batch["session_id"].tolist(), strict=True) if at == at]
+            kept = timed if closed is None else [row for row in timed if row[0] >= closed]
+            untimed, late = untimed + len(batch) - len(timed), late + len(timed) - len(kept)
+            touched |= _joined(sessions, kept, gap)
         version += 1
-        now = {s[0]: s for s in sessions}
-        rows = [(visitor, "session", pd.Timestamp(t, unit="us"), min(now[t][3], default=None) if t in now else None, len(now[t][3]) if t in now else 0, now[t][2] if t in now else 0, version)
-                for t in sorted(touched)]
-        rows += [(visitor, kind, None, None, 0, n, version) for kind, n in (("untimed", untimed), ("late", late)) if n]
+        now, starts = {s[0]: s for s in sessions}, sorted(touched)
+        # A session that is part of an earlier one now has no rows and no ids.
+        rows = [("session", min(ids, default=None), len(ids), n) for _, _, n, ids in (now.get(t, (t, t, 0, ())) for t in starts)]
+        rows += [(kind, None, 0, n) for kind, n in (("untimed", untimed), ("late", late)) if n]
         if sessions:
             # A session closes when no row within the horizon can touch it any more.
             limit = sessions[-1][1] - span
@@ -249,9 +260,13 @@ def live_session_log(events: DataFrame, cfg: Config = Config(), time_col: str =
         state.update((json.dumps([sessions, closed, version]),))
         if idle:
             state.setTimeoutDuration(idle)
-        made = pd.DataFrame(rows, columns=names)
-        made["session_start"] = pd.to_datetime(made["session_start"])
-        yield made
+        if rows:
+            # A frame of arrays: pandas need not look at every value, and a visitor has few.
+            kinds, ids, distinct, events = (np.array(x, dtype) for x, dtype in zip(zip(*rows), (object, object, np.int64, np.int64), strict=True))
+            times = np.full(len(rows), "NaT", "datetime64[us]")
+            times[:len(starts)] = np.array(starts, np.int64).view("datetime64[us]")
+            columns = (np.full(len(rows), visitor, object), kinds, times, ids, distinct, events, np.full(len(rows), version, np.int64))
+            yield pd.DataFrame(dict(zip(names, columns, strict=True)))
 
     given = events.select("anonymous_id", "session_id", F.unix_micros(time_col).alias("_at"))
     timeout = GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout

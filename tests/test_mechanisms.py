@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from clickpath.config import Config
 from clickpath.operators import ingest as I
 from clickpath.operators.sessions import derived_sessions, fold_sessions, read_sessions, sessions
+from clickpath.plans import catalog
 from clickpath.sources import compaction, io, layer
 from clickpath.storage import run_folder, stored
 from clickpath.streaming import jobs
@@ -203,3 +204,36 @@ def test_session_states_folded_in_any_order(spark, scratch):
 def test_a_run_can_be_removed(spark):
     kept = stored(spark.range(3).toDF("x"), "kept")
     assert kept.count() == 3 and layer.exists(spark, run_folder(spark))
+
+
+def test_rows_of_a_batch_join_sessions_like_a_sort_of_all_rows():
+    rng, minute = random.Random(5), 60_000_000
+    for _ in range(200):
+        sessions, all_rows, span = [], [], rng.choice((60, 600, 6000))
+        for _ in range(3):
+            rows = [(rng.randrange(-50 * minute, span * minute), rng.choice([None, "a", "b"])) for _ in range(rng.randrange(30))]
+            before = {s[0] for s in sessions}
+            touched = jobs._joined(sessions, rows, 30)
+            want = []
+            all_rows += rows
+            for at, sid in sorted(all_rows, key=lambda r: r[0]):
+                if not want or at // minute - want[-1][1] // minute >= 30:
+                    want.append([at, at, 0, set()])
+                want[-1][1], want[-1][2] = at, want[-1][2] + 1
+                want[-1][3] |= {sid} - {None}
+            assert sessions == [[a, b, n, sorted(ids)] for a, b, n, ids in want]
+            # Only sessions that were logged before or are there now come into the log.
+            now = {s[0] for s in sessions}
+            assert before ^ now <= touched <= before | now
+
+
+def test_landed_events_are_one_file_a_date_and_part(spark, scratch):
+    pages = spark.range(3).selectExpr("id AS page_id", "concat('https://www.example.com/', id) AS url")
+    events = spark.range(800).selectExpr("id AS event_id", "timestamp_seconds(1785000000 + id * 1000) AS ts", "id % 9 AS user_id", "'view' AS event_type", "0.0D AS value", "'{}' AS props")
+    pages.write.parquet(scratch + "/pages.parquet")
+    events.write.parquet(scratch + "/events.parquet")
+    roots = []
+    catalog._landed_twice(spark, scratch, roots.append)
+    files = [f.rsplit("/", 1)[0] for f in spark.read.text(roots[0] + "/events").inputFiles()]
+    assert len(files) == len(set(files)) > 10
+    assert io.read_events(spark, roots[0]).count() == 840
