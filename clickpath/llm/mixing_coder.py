@@ -19,8 +19,9 @@ Ids of up to 16 bits are coded in two parts:
 The counts need no table of all ids: in the sorted list of the ids seen, a count *is* a place.
 
 The coder keeps 48 bits of the interval and moves 16 bits at a time; carries run back into
-what is already written.  Everything is integer arithmetic, or a double quotient that is exact
-when rounded down, so a file reads back the same on any machine.
+what is already written.  Everything is integer arithmetic (the interval's in doubles, which hold
+such integers exactly), or a double quotient that is exact when rounded down, so a file reads
+back the same on any machine.
 """
 
 from __future__ import annotations
@@ -32,20 +33,24 @@ import zlib
 import numpy as np
 
 BLOCK_IDS = 4096
-LANES = 1024
+LANES = 1536
 MAGIC = 0x4D58
-_HEADER = struct.Struct("<HHIII")               # magic, format, ids, crc32, 16-bit words
+_FORMAT = 3
+_HEADER = struct.Struct("<HHIIII")              # magic, format, ids, crc32, coded 16-bit words, plain ids behind them
 _YES = 14                                       # bits of the probability of a yes
 _SLOTS2, _SLOTS1 = 1024, 512
+_RUNS = 8                                       # how often in a row an id came: 0 to 7 (or more)
+_LEARN = 3                                      # steps of the weights at each place of _ADAPT
 _TOP, _FLOOR = 1 << 48, 1 << 32
-#: Places at which order 0 takes its counts anew; longer blocks go on by powers of two.
+_TILE = 16
+#: Places at which order 0 and the mixing take their counts anew; longer blocks go on by powers of two.
 _ADAPT = (32, 64, 128, 256, 384, 512, 768, 1024, 1536, 2048, 3072)
 #: Ids that order 0 counts at most (the latest); keeps its total within 14 bits.
 _MOST_SEEN = 8192
 
 #: Logistic tables over 12-bit probabilities and over -2047..2047 (8 fractional bits).
 _SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2047, 2048)], np.int64)
-_STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], np.int32)
+_STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], np.int64)
 
 
 class _Model:
@@ -53,65 +58,74 @@ class _Model:
 
     def __init__(self, lanes: int):
         lane = np.arange(lanes)
-        self.after = np.zeros(lanes * (_SLOTS2 + _SLOTS1), np.int32)         # id | how often in a row << 16
-        self.bases = np.stack([lane * _SLOTS2, lanes * _SLOTS2 + lane * _SLOTS1])
-        self.masks = np.array([[_SLOTS2 - 1], [_SLOTS1 - 1]])
-        self.rates = np.full(2 * lanes * 16, 1 << 11, np.int32)
-        self.rate_bases = np.stack([lane * 16, (lanes + lane) * 16])
-        self.rate0 = np.full(lanes, 1 << 10, np.int32)
-        self.weights = np.full((3, lanes), 1 << 15, np.int32)
-        self.inputs = np.empty((3, lanes), np.int32)
-        self.hashes = np.zeros((2, lanes), np.int64)
-        self.last = np.zeros(lanes, np.int64)
-
-    def propose(self) -> tuple[np.ndarray, np.ndarray]:
-        """The proposed id of each lane, and the counts (of ``1 << _YES``) that say yes."""
-        self.at = (self.hashes & self.masks) + self.bases
-        self.was = self.after.take(self.at, mode="clip")
-        self.run = self.was >> 16
-        self.slots = self.rate_bases + self.run
-        self.said = self.rates.take(self.slots, mode="clip")
-        _STRETCH.take(self.said, out=self.inputs[:2], mode="clip")
-        _STRETCH.take(self.rate0, out=self.inputs[2], mode="clip")
-        x, w = self.inputs, self.weights
-        dot = x[0] * w[0]
-        dot += x[1] * w[1]
-        dot += x[2] * w[2]
-        dot >>= 16
-        dot += 2047                                                # beyond the table: its ends
-        self.chance = _SQUASH.take(dot, mode="clip")
-        guess = np.where(self.run[0] > 0, self.was[0], self.was[1]) & 0xFFFF
-        return guess, self.chance << (_YES - 12)
-
-    def learn(self, ids: np.ndarray, hit: np.ndarray) -> None:
-        """What came: adjust rates, weights and memories."""
-        goal = hit.astype(np.int32)
-        goal <<= 12
-        miss = (goal - self.chance.astype(np.int32)) * np.int32(6)
-        step = self.inputs * miss
-        step += 1 << 13
-        step >>= 14
-        self.weights += step
-        np.clip(self.weights, -(1 << 18), 1 << 18, out=self.weights)
-        goal -= hit
-        rate = goal - self.said
-        rate >>= 4
-        rate += self.said
-        self.rates[self.slots] = rate
-        goal -= self.rate0
-        goal >>= 5
-        self.rate0 += goal
-        new = ids.astype(np.int32)
-        run = np.minimum(self.run, 14)
-        run *= (self.was & 0xFFFF) == new
-        run += 1
-        run <<= 16
-        run |= new
-        self.after[self.at] = run
-        ahead = ids * 40503
-        self.hashes[0] = (ahead + self.last * 30011) >> 4
-        self.hashes[1] = ahead >> 5
-        self.last = ids
+        self.after = np.zeros(lanes * (_SLOTS2 + _SLOTS1), np.uint32)        # id | how often in a row << 16
+        #: A slot of all lanes lies together: frequent contexts are the same in most lanes.
+        self.bases = np.stack([lane, lanes * _SLOTS2 + lane])
+        self.masks, self.width = np.array([[_SLOTS2 - 1], [_SLOTS1 - 1]], np.uint32), np.uint32(lanes)
+        self.at = self.bases.copy()
+        self.hashes = np.zeros((2, lanes), np.uint32)
+        self.last = np.zeros(lanes, np.uint32)
+        #: Cells, by order 2's run and order 1's run, each of all lanes.
+        self.steps, self.lane = np.array([[_RUNS * lanes], [lanes]], np.uint32), lane.astype(np.uint32)
+        self.came = np.zeros((_RUNS, _RUNS, lanes), np.int64)
+        self.hit = np.zeros((_RUNS, _RUNS, lanes), np.int64)
+        self.weights = np.full((3, lanes), 1 << 15, np.int64)
+        self.was, self.run, self.known, self.cell = (np.empty((2, lanes), np.uint32) for _ in range(4))
+        self.same = np.empty((2, lanes), bool)
+        self.more = np.empty((2, lanes), np.uint32)
+        self._mix(0)
+
+    def propose(self, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the counts of ``1 << _YES`` that say yes, whether order 2 proposes); sets the lanes' cells."""
+        self.after.take(self.at, out=self.was, mode="clip")
+        np.right_shift(self.was, 16, out=self.run)
+        np.bitwise_and(self.was, 0xFFFF, out=self.known)
+        np.multiply(self.run, self.steps, out=self.cell)
+        np.add(self.cell[0], self.cell[1], out=cells)
+        cells += self.lane
+        return self.yes.take(cells, mode="clip"), self.run[0] > 0
+
+    def learn(self, ids: np.ndarray) -> None:
+        """What came (uint32): adjust the memories."""
+        np.equal(self.known, ids, out=self.same)
+        once = ids | np.uint32(1 << 16)
+        np.add(self.was, 1 << 16, out=self.more)
+        np.minimum(self.more, ids | np.uint32((_RUNS - 1) << 16), out=self.more)
+        self.after[self.at] = np.where(self.same, self.more, once)
+        ahead = ids * np.uint32(40503)
+        self.last *= np.uint32(30011)
+        self.last += ahead
+        np.right_shift(self.last, 4, out=self.hashes[0])
+        np.right_shift(ahead, 5, out=self.hashes[1])
+        self.hashes &= self.masks
+        self.hashes *= self.width
+        np.add(self.hashes, self.bases, out=self.at)
+        self.last[:] = ids
+
+    def adapt(self, cells: np.ndarray, hits: np.ndarray) -> None:
+        """After a stretch, with the cells and answers of its places: take the hit rates anew, let
+        the weights learn, and mix each cell's chance of a yes."""
+        size, shape = self.came.size, self.came.shape
+        self.came += np.bincount(cells.ravel(), minlength=size).reshape(shape)
+        self.hit += np.bincount(cells[hits], minlength=size).reshape(shape)
+        self._mix(_LEARN)
+
+    def _mix(self, steps: int) -> None:
+        x2, x1, x0 = (_STRETCH[((self.hit.sum(axis) << 12) + (1 << 11)) // (self.came.sum(axis) + 2)] for axis in (1, 0, (0, 1)))
+        slower = 32 * np.maximum(self.came.sum((0, 1)), 1)
+        for left in range(steps, -1, -1):
+            w2, w1, w0 = self.weights
+            dot = (x2 * w2)[:, None] + (x1 * w1 + x0 * w0)
+            dot >>= 16
+            dot += 2047                                                # beyond the table: its ends
+            chance = _SQUASH.take(dot, mode="clip")
+            if left:
+                missed = self.hit << 12
+                missed -= self.came * chance
+                by2, by1 = missed.sum(1), missed.sum(0)
+                self.weights += np.stack([(by2 * x2).sum(0), (by1 * x1).sum(0), by1.sum(0) * x0]) // slower
+                np.clip(self.weights, -(1 << 18), 1 << 18, out=self.weights)
+        self.yes = (chance << (_YES - 12)).astype(np.float64).ravel()
 
 
 class _Counts:
@@ -122,39 +136,57 @@ class _Counts:
         seen = seen[:, -_MOST_SEEN:]
         self.lanes, self.n = seen.shape
         self.ids = np.sort(seen, axis=1)
-        begins = np.ones((self.lanes, self.n + 1), bool)
-        begins[:, 1:-1] = self.ids[:, 1:] != self.ids[:, :-1]
+        begins = np.ones((self.lanes, self.n), bool)
+        np.not_equal(self.ids[:, 1:], self.ids[:, :-1], out=begins[:, 1:])
+        distinct = np.count_nonzero(begins, axis=1)
         edges = np.flatnonzero(begins)
-        lane, self.starts = np.divmod(edges, self.n + 1)
-        real = self.starts < self.n
-        self.sizes = np.diff(edges, append=edges[-1] + 1)[real]
-        lane, self.starts = lane[real], self.starts[real]
         #: Distinct ids of lane k are ``bounds[k]`` to ``bounds[k + 1]`` in starts and sizes.
-        self.bounds = np.searchsorted(lane, np.arange(self.lanes + 1))
-        self.new = np.maximum(1, np.bincount(lane[self.sizes == 1], minlength=self.lanes))
+        self.bounds = np.concatenate([[0], np.cumsum(distinct)])
+        self.starts = edges - np.repeat(np.arange(self.lanes) * self.n, distinct)
+        self.sizes = np.diff(edges, append=self.lanes * self.n)
+        once = np.concatenate([[0], np.cumsum(self.sizes == 1)])
+        self.new = np.maximum(1, np.diff(once[self.bounds]))
         self.total = self.n + self.new
 
     def of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(first, size) of the ids (a row a lane); a new id has the places from ``n`` on."""
-        first, size = np.full(1 << 16, self.n, np.int64), np.zeros(1 << 16, np.int64)
-        firsts, sizes = np.empty(ids.shape, np.int64), np.empty(ids.shape, np.int64)
+        """(``first | size << 16`` of the ids, whether they are new), a row a lane."""
+        table, out = np.zeros(1 << 16, np.uint32), np.empty(ids.shape, np.uint32)
+        packed, held = (self.starts | self.sizes << 16).astype(np.uint32), self.ids.ravel()[_flat(self.starts, self.bounds, self.n)]
         for k, (a, b) in enumerate(zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist(), strict=True)):
-            starts = self.starts[a:b]
-            known = self.ids[k, starts]
-            first[known], size[known] = starts, self.sizes[a:b]
-            firsts[k], sizes[k] = first[ids[k]], size[ids[k]]
-            first[known], size[known] = self.n, 0
-        return firsts, np.where(sizes == 0, self.new[:, None], sizes)
-
-    def places(self) -> np.ndarray:
-        """What stands at each place, as ``id | first << 16 | size << 32``; row-wise, n + 1 places a lane."""
-        out = np.empty((self.lanes, self.n + 1), np.int64)
-        repeated = np.repeat(self.starts << 16 | self.sizes << 32, self.sizes).reshape(self.lanes, self.n)
-        np.bitwise_or(repeated, self.ids, out=out[:, :-1])
+            known = held[a:b]
+            table[known] = packed[a:b]
+            table.take(ids[k], out=out[k], mode="clip")
+            table[known] = 0
+        new = out == 0
+        np.copyto(out, (self.n | self.new << 16).astype(np.uint32)[:, None], where=new)
+        return out, new
+
+    def places(self, room: np.ndarray) -> np.ndarray:
+        """What stands at each place, as ``id | first << 16 | size << 32``; row-wise, n + 1 places a lane.  Uses ``room``."""
+        out = room[:self.lanes * (self.n + 1)].reshape(self.lanes, self.n + 1)
+        packed = self.starts << 16 | self.sizes << 32
+        for k in range(0, self.lanes, _TILE):
+            a, b = self.bounds[k], self.bounds[min(k + _TILE, self.lanes)]
+            ids = self.ids[k:k + _TILE]
+            np.bitwise_or(np.repeat(packed[a:b], self.sizes[a:b]).reshape(ids.shape), ids, out=out[k:k + _TILE, :-1])
         out[:, -1] = self.n << 16 | self.new << 32
         return out.ravel()
 
 
+def _flat(starts: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
+    """Places in rows of ``n`` as places in all rows."""
+    return starts + np.repeat(np.arange(len(bounds) - 1) * n, np.diff(bounds))
+
+
+def _turned(rows: np.ndarray) -> np.ndarray:
+    """The transpose as a copy, tile by tile: whole columns would miss the cache at every value."""
+    out = np.empty(rows.shape[::-1], rows.dtype)
+    for k in range(0, len(rows), _TILE):
+        for m in range(0, rows.shape[1], 16 * _TILE):
+            out[m:m + 16 * _TILE, k:k + _TILE] = rows[k:k + _TILE, m:m + 16 * _TILE].T
+    return out
+
+
 def _stretches(steps: int) -> list[tuple[int, int]]:
     """The stretches of a block between which order 0 takes its counts anew."""
     cuts = [0, *_ADAPT]
@@ -165,156 +197,179 @@ def _stretches(steps: int) -> list[tuple[int, int]]:
 
 
 class _Writer:
+    """Interval and words of all lanes.  Doubles, as they hold integers below 2 ** 53 exactly."""
+
     def __init__(self, lanes: int, steps: int):
-        # A yes or no, a place and a plain id take at most 14 + 14 + 16 bits.
-        self.width = steps * 3 + 4
-        self.words = np.zeros(lanes * self.width, np.uint16)
-        self.start = np.arange(lanes) * self.width
-        self.at = self.start.copy()
-        self.low, self.range = np.zeros(lanes, np.int64), np.full(lanes, _TOP - 1, np.int64)
+        self.low, self.range = np.zeros(lanes), np.full(lanes, _TOP - 1.0)
+        #: Words of all lanes; those that ``used`` says are written.
+        self.words, self.used, self.moves = np.empty((steps + 64, lanes), np.uint32), np.empty((steps + 64, lanes), bool), 0
 
     def put(self, hit: np.ndarray, yes: np.ndarray, first: np.ndarray, size: np.ndarray, total: np.ndarray) -> None:
         """Narrow hit lanes to a yes, the others to a no and to ``size`` places of ``total``."""
-        part = self.range >> _YES
-        edge = part * yes
-        part <<= _YES
-        part -= edge
-        # The quotient is below 2 ** 48 / total, so as a double it is off by less than 1 / total.
-        place = (part / total).astype(np.int64)
+        edge, place = _parts(self.range, yes, total)
+        no = 1.0 - hit
         add = place * first
         add += edge
+        add *= no
+        self.low += add
         place *= size
-        self.low += np.where(hit, 0, add)
-        self.range = np.where(hit, edge, place)
-        over = (self.low >= _TOP).nonzero()[0]
-        if len(over):
-            self._carry(over)
-        self._move((self.range < _FLOOR).nonzero()[0])
-
-    def plain(self, lanes: np.ndarray, ids: np.ndarray) -> None:
-        """16 plain bits for the given lanes."""
-        part = self.range[lanes] >> 16
-        low = part * ids + self.low[lanes]
-        self.low[lanes], self.range[lanes] = low, part
-        over = lanes[low >= _TOP]
-        if len(over):
-            self._carry(over)
-        self._move(lanes[part < _FLOOR])
-
-    def _carry(self, lanes: np.ndarray) -> None:
-        self.low[lanes] -= _TOP
-        at = self.at[lanes] - 1
-        while len(at):
-            self.words[at] += np.uint16(1)
-            at = at[self.words[at] == 0] - 1
+        self.range = _either(edge, place, no)
+        short = self.range < _FLOOR
+        while short.any():
+            self._move(short)
+            short = self.range < _FLOOR
 
     def _move(self, lanes: np.ndarray) -> None:
-        while len(lanes):
-            low, at, size = self.low[lanes], self.at[lanes], self.range[lanes] << 16
-            self.words[at] = low >> 32
-            self.at[lanes] = at + 1
-            self.low[lanes] = (low & (_FLOOR - 1)) << 16
-            self.range[lanes] = size
-            lanes = lanes[size < _FLOOR]
-
-    def finish(self) -> list[bytes]:
-        every = np.arange(len(self.at))
+        # A word may have a 17th bit, the carry into the words before it.
+        word = self.low * (1 / _FLOOR)
+        np.floor(word, out=word)
+        if self.moves == len(self.words):
+            self.words, self.used = (np.concatenate([x, np.empty_like(x)]) for x in (self.words, self.used))
+        self.words[self.moves], self.used[self.moves] = word, lanes
+        self.moves += 1
+        # Without masks, which cost more than the arithmetic.
+        moved = lanes.astype(np.float64)
+        word *= moved
+        word *= _FLOOR
+        self.low -= word
+        moved *= 65535
+        moved += 1
+        self.low *= moved
+        self.range *= moved
+
+    def finish(self) -> list[np.ndarray]:
+        """The words of each lane."""
         for _ in range(3):
-            self.range[:] = _FLOOR - 1
-            self._move(every)
-        return [self.words[a:b].astype("<u2").tobytes() for a, b in zip(self.start.tolist(), self.at.tolist(), strict=True)]
+            self._move(np.ones(len(self.low), bool))
+        used = _turned(self.used[:self.moves])
+        words = _turned(self.words[:self.moves])[used]
+        over = np.flatnonzero(words >> 16)
+        while len(over):
+            carry = words[over] >> 16
+            words[over] &= 0xFFFF
+            over -= 1
+            words[over] += carry
+            over = over[words[over] > 0xFFFF]
+        return np.split(words.astype("<u2"), np.cumsum(np.count_nonzero(used, axis=1))[:-1])
+
+
+def _parts(size: np.ndarray, yes: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(size of a yes, size of one of ``total`` places of a no) in intervals of ``size``."""
+    part = size * (1 / (1 << _YES))
+    np.floor(part, out=part)
+    edge = part * yes
+    part *= 1 << _YES
+    part -= edge
+    # The quotient is below 2 ** 48 / total, so as a double it is off by less than 1 / total.
+    part /= total
+    return edge, np.floor(part, out=part)
+
+
+def _either(yes: np.ndarray, no: np.ndarray, is_no: np.ndarray) -> np.ndarray:
+    """``no`` where ``is_no`` is 1, ``yes`` where it is 0; without a mask, which costs more.  Overwrites ``no``."""
+    no -= yes
+    no *= is_no
+    no += yes
+    return no
 
 
 class _Reader:
-    def __init__(self, payloads: list[bytes]):
+    def __init__(self, streams: list[np.ndarray]):
         # Words past the end of a stream read as zeros.
-        sizes = [len(p) // 2 for p in payloads]
-        words = np.zeros((len(payloads), max(sizes, default=0) + 8), np.uint16)
-        for k, p in enumerate(payloads):
-            words[k, :sizes[k]] = np.frombuffer(p, "<u2")
-        first = words[:, :3].astype(np.int64)
-        self.words, width = words.ravel(), words.shape[1]
-        self.at = np.arange(len(payloads)) * width + 3
-        self.last = (np.arange(len(payloads)) + 1) * width - 1
-        self.code = first[:, 0] << 32 | first[:, 1] << 16 | first[:, 2]
-        self.range = np.full(len(payloads), _TOP - 1, np.int64)
-
-    def take(self, yes: np.ndarray, places: np.ndarray, bases: np.ndarray, n: int, total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(hit, what stands at the place that the code of each other lane says); narrows like the writer."""
-        part = self.range >> _YES
-        edge = part * yes
+        words = np.zeros((len(streams), max(map(len, streams), default=0) + 8), np.uint16)
+        for row, stream in zip(words, streams, strict=True):
+            row[:len(stream)] = stream
+        first = words[:, :3].astype(np.float64)
+        self.words = words.ravel()
+        self.at = np.arange(len(streams)) * words.shape[1] + 3
+        self.code = (first[:, 0] * 65536 + first[:, 1]) * 65536 + first[:, 2]
+        self.range = np.full(len(streams), _TOP - 1.0)
+
+    def take(self, yes: np.ndarray, places: np.ndarray, bases: np.ndarray, n: int, total: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hit, what stands at the place that the code of each other lane says, whether that is
+        a new id); narrows like the writer."""
+        edge, place = _parts(self.range, yes, total)
         hit = self.code < edge
-        part <<= _YES
-        part -= edge
-        place = (part / total).astype(np.int64)
         code = self.code - edge
-        # Off by one at most as a double, as both numbers are below 2 ** 48.
-        at = (code / place).astype(np.int64)
-        at -= at * place > code
-        at += (at + 1) * place <= code
-        found = places.take(np.minimum(np.maximum(at, 0), n) + bases, mode="clip")
-        code -= place * (found >> 16 & 0xFFFF)
-        place *= found >> 32
-        self.code = np.where(hit, self.code, code)
-        self.range = np.where(hit, edge, place)
-        self._fill((self.range < _FLOOR).nonzero()[0])
-        return hit, found
-
-    def plain(self, lanes: np.ndarray) -> np.ndarray:
-        """16 plain bits of the given lanes."""
-        part, code = self.range[lanes] >> 16, self.code[lanes]
-        ids = np.clip(code // part, 0, 0xFFFF)
-        self.code[lanes], self.range[lanes] = code - part * ids, part
-        self._fill(lanes[part < _FLOOR])
-        return ids
-
-    def _fill(self, lanes: np.ndarray) -> None:
-        while len(lanes):
-            at, size = self.at[lanes], self.range[lanes] << 16
-            self.code[lanes] = self.code[lanes] << 16 | self.words[np.minimum(at, self.last[lanes])]
-            self.at[lanes] = at + 1
-            self.range[lanes] = size
-            lanes = lanes[size < _FLOOR]
-
-
-def _encode_lanes(grid: np.ndarray) -> list[bytes]:
+        # Exact when rounded down, as both numbers are below 2 ** 48.
+        at = code / place
+        np.floor(at, out=at)
+        np.maximum(at, 0, out=at)
+        np.minimum(at, n, out=at)
+        at += bases
+        found = places.take(at.astype(np.int64), mode="clip")
+        first = found >> 16
+        first &= 0xFFFF
+        no = 1.0 - hit
+        edge_or_add = place * first.astype(np.float64)
+        edge_or_add += edge
+        edge_or_add *= no
+        self.code -= edge_or_add
+        place *= (found >> 32).astype(np.float64)
+        self.range = _either(edge, place, no)
+        short = self.range < _FLOOR
+        while short.any():
+            moved = short.astype(np.float64)
+            word = self.words.take(self.at, mode="clip").astype(np.float64)
+            word *= moved
+            moved *= 65535
+            moved += 1
+            self.range *= moved
+            self.code *= moved
+            self.code += word
+            self.at += short
+            short = self.range < _FLOOR
+        return hit, found, first == n
+
+
+def _encode_lanes(grid: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The words and the ids written as they are of each lane."""
     lanes, steps = grid.shape
     model, writer = _Model(lanes), _Writer(lanes, steps)
+    plain, columns = np.zeros((lanes, steps), bool), _turned(grid)
     for begin, end in _stretches(steps):
         counts = _Counts(grid[:, :begin])
-        firsts, sizes = counts.of(grid[:, begin:end])
-        new = np.ascontiguousarray((firsts == counts.n).T)
-        rows = (np.ascontiguousarray(x.T) for x in (grid[:, begin:end].astype(np.int64), firsts, sizes))
-        for ids, first, size, unseen in zip(*rows, new, strict=True):
-            guess, yes = model.propose()
-            hit = guess == ids
-            writer.put(hit, yes, first, size, counts.total)
-            unseen = (unseen & ~hit).nonzero()[0]
-            if len(unseen):
-                writer.plain(unseen, ids[unseen])
-            model.learn(ids, hit)
-    return writer.finish()
-
-
-def _decode_lanes(payloads: list[bytes], steps: int) -> np.ndarray:
-    lanes = len(payloads)
-    model, reader = _Model(lanes), _Reader(payloads)
+        places, new = counts.of(grid[:, begin:end])
+        total = counts.total.astype(np.float64)
+        cells, hits = np.empty((end - begin, lanes), np.uint32), np.empty((end - begin, lanes), bool)
+        for ids, place, cell, hit in zip(columns[begin:end].astype(np.uint32), _turned(places), cells, hits, strict=True):
+            yes, order2 = model.propose(cell)
+            model.learn(ids)
+            hit[:] = np.where(order2, model.same[0], model.same[1])
+            writer.put(hit, yes, (place & 0xFFFF).astype(np.float64), (place >> 16).astype(np.float64), total)
+        plain[:, begin:end] = new & ~_turned(hits)
+        if end < steps:
+            model.adapt(cells, hits)
+    return list(zip(writer.finish(), np.split(grid[plain].astype("<u2"), np.cumsum(plain.sum(axis=1))[:-1]), strict=True))
+
+
+def _decode_lanes(streams: list[tuple[np.ndarray, np.ndarray]], steps: int) -> np.ndarray:
+    lanes = len(streams)
+    model, reader = _Model(lanes), _Reader([words for words, _ in streams])
+    plain = np.concatenate([*(ids for _, ids in streams), np.zeros(1, np.uint16)])
+    to = np.cumsum([0, *(len(ids) for _, ids in streams)])[:-1]
     grid = np.zeros((lanes, steps), np.uint16)
+    room = np.empty(lanes * (min(_stretches(steps)[-1][0], _MOST_SEEN) + 1), np.int64)
     for begin, end in _stretches(steps):
         counts = _Counts(grid[:, :begin])
-        places, bases = counts.places(), np.arange(lanes) * (counts.n + 1)
-        out = np.zeros((end - begin, lanes), np.int64)
-        for place in out:
-            guess, yes = model.propose()
-            hit, found = reader.take(yes, places, bases, counts.n, counts.total)
-            ids = np.where(hit, guess, found & 0xFFFF)
-            unseen = ((found >> 16 & 0xFFFF) == counts.n) & ~hit
-            unseen = unseen.nonzero()[0]
-            if len(unseen):
-                ids[unseen] = reader.plain(unseen)
-            place[:] = ids
-            model.learn(ids, hit)
-        grid[:, begin:end] = out.T
+        places, bases, total = counts.places(room), np.arange(lanes) * (counts.n + 1.0), counts.total.astype(np.float64)
+        out = np.empty((end - begin, lanes), np.uint32)
+        cells, hits = np.empty((end - begin, lanes), np.uint32), np.empty((end - begin, lanes), bool)
+        for ids, cell, hit in zip(out, cells, hits, strict=True):
+            yes, order2 = model.propose(cell)
+            hit[:], found, new = reader.take(yes, places, bases, counts.n, total)
+            ids[:] = found & 0xFFFF
+            np.copyto(ids, np.where(order2, model.known[0], model.known[1]), where=hit)
+            new &= ~hit
+            new = new.nonzero()[0]
+            if len(new):
+                at = to[new]
+                ids[new] = plain.take(at, mode="clip")
+                to[new] = at + 1
+            model.learn(ids)
+        grid[:, begin:end] = _turned(out.astype(np.uint16))
+        if end < steps:
+            model.adapt(cells, hits)
     return grid
 
 
@@ -328,8 +383,8 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
             if len(ids) and int(ids.max()) > 0xFFFF:
                 raise ValueError("the coder takes ids below 65536")
             row[:len(ids)] = ids
-        for ids, words in zip(part, _encode_lanes(grid), strict=True):
-            out.append(_HEADER.pack(MAGIC, 2, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), len(words) // 2) + words)
+        for ids, (words, plain) in zip(part, _encode_lanes(grid), strict=True):
+            out.append(_HEADER.pack(MAGIC, _FORMAT, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), len(words), len(plain)) + words.tobytes() + plain.tobytes())
     return out
 
 
@@ -339,10 +394,11 @@ def decode_blocks(payloads: list[bytes]) -> list[np.ndarray]:
     for k in range(0, len(payloads), LANES):
         part = payloads[k:k + LANES]
         heads = [_HEADER.unpack_from(p) for p in part]
-        if any(h[:2] != (MAGIC, 2) or _HEADER.size + 2 * h[4] != len(p) for h, p in zip(heads, part, strict=True)):
+        if any(h[:2] != (MAGIC, _FORMAT) or _HEADER.size + 2 * (h[4] + h[5]) != len(p) for h, p in zip(heads, part, strict=True)):
             raise ValueError("not a block of this format, or cut short")
-        grid = _decode_lanes([p[_HEADER.size:] for p in part], max((h[2] for h in heads), default=0))
-        for row, (_, _, n, crc, _) in zip(grid, heads, strict=True):
+        bodies = [np.frombuffer(p, "<u2", offset=_HEADER.size) for p in part]
+        grid = _decode_lanes([(b[:h[4]], b[h[4]:]) for b, h in zip(bodies, heads, strict=True)], max((h[2] for h in heads), default=0))
+        for row, (_, _, n, crc, _, _) in zip(grid, heads, strict=True):
             ids = row[:n].astype(np.uint32)
             if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
                 raise ValueError("a block does not match its checksum")

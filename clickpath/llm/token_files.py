@@ -22,6 +22,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -109,6 +110,18 @@ def write_files(docs: DataFrame, tokenizer: str, path: str, block_ids: int = BLO
     given.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, SCHEMA).write.parquet(path)
 
 
+def _lane_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of LANES blocks, as the coder takes them at once; the last may have fewer."""
+    held: list[pa.RecordBatch] = []
+    for batch in chain(batches, [None]):
+        if batch is not None and len(batch):
+            held.append(batch)
+        while (rows := sum(map(len, held))) >= LANES or (batch is None and rows):
+            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            yield whole.slice(0, LANES)
+            held = [whole.slice(LANES)] if rows > LANES else []
+
+
 def read_pieces(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """Decoded pieces (file, ordinal, doc_id, begin, start, n, crc) of the documents in the files.
 
@@ -118,23 +131,21 @@ def read_pieces(spark: SparkSession, path: str, with_ids: bool = False) -> DataF
     prepare(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lo in range(0, len(batch), LANES):
-                part = batch.slice(lo, LANES)
-                ids = np.concatenate(decode_blocks(part.column("payload").to_pylist()))
-                flat = {c: part.column(c).flatten() for c in _LISTS}
-                counts = flat["counts"].to_numpy()
-                ends = np.cumsum(counts)
-                raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
-                spans = list(zip((4 * (ends - counts)).tolist(), (4 * ends).tolist(), strict=True))
-                crc = crc_carried(np.array([zlib.crc32(raw[a:b]) for a, b in spans], np.int64), 4 * flat["after"].to_numpy())
-                file = np.repeat(part.column("file").to_numpy(), pc.list_value_length(part.column("counts")).to_numpy())
-                columns = [pa.array(file), flat["ordinals"], flat["doc_ids"], flat["begins"], flat["starts"], flat["counts"], pa.array(crc)]
-                names = ["file", "ordinal", "doc_id", "begin", "start", "n", "crc"]
-                if with_ids:
-                    columns.append(pa.array([bytes(raw[a:b]) for a, b in spans], pa.binary()))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names)
+        for part in _lane_batches(batches):
+            ids = np.concatenate(decode_blocks(part.column("payload").to_pylist()))
+            flat = {c: part.column(c).flatten() for c in _LISTS}
+            counts = flat["counts"].to_numpy()
+            ends = np.cumsum(counts)
+            raw = memoryview(ids.astype("<u4", copy=False)).cast("B")
+            spans = list(zip((4 * (ends - counts)).tolist(), (4 * ends).tolist(), strict=True))
+            crc = crc_carried(np.array([zlib.crc32(raw[a:b]) for a, b in spans], np.int64), 4 * flat["after"].to_numpy())
+            file = np.repeat(part.column("file").to_numpy(), pc.list_value_length(part.column("counts")).to_numpy())
+            columns = [pa.array(file), flat["ordinals"], flat["doc_ids"], flat["begins"], flat["starts"], flat["counts"], pa.array(crc)]
+            names = ["file", "ordinal", "doc_id", "begin", "start", "n", "crc"]
+            if with_ids:
+                columns.append(pa.array([bytes(raw[a:b]) for a, b in spans], pa.binary()))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "file int, ordinal long, doc_id long, begin long, start long, n long, crc long" + (", ids binary" if with_ids else "")
     return spark.read.schema(SCHEMA).parquet(path).mapInArrow(run, schema)
