@@ -7,16 +7,17 @@ serving the same place of every block (a *lane*).
 Ids of up to 16 bits are coded in two parts:
 
 * Order 2 and order 1 (hashes of the last two ids, and of the last) each remember the id that
-  followed last and how often in a row it did.  Order 2 proposes its id, or order 1 where
-  order 2 has none, and a yes or no is coded.  Its probability mixes what the hit rates at
-  the confidence of order 2, of order 1, and the overall rate (order 0) say, in the logistic
-  domain, with weights that learn from every answer.
-* On a no the id is coded by order 0: the counts of the block's ids so far, with as many counts
-  for an id not seen yet as there are ids seen once.  A new id follows as 16 plain bits.  These
-  counts are taken anew at the places of ``_ADAPT``, always over all ids before; between them
-  they stand still, which makes an id one division rather than a walk through adaptive counts.
-
-The counts need no table of all ids: in the sorted list of the ids seen, a count *is* a place.
+  followed last and how often in a row it did.  The id that came more often in a row is
+  proposed, and a yes or no is coded.  Its probability mixes what the hit rates at the
+  confidence of order 2, of order 1, and the overall rate (order 0) say, in the logistic domain,
+  with weights that learn from every answer.
+* On a no the id is coded by order 0: how often each id of the block was not the proposed one.
+  These counts are a deflated table behind the coded words.
+
+The memories follow every id.  Rates and weights are taken anew at the places of ``_ADAPT``,
+always over all ids before; between them they stand still, which makes a yes one look into a
+table.  Order 0 needs no table of all ids: in the sorted list of the ids it codes, a count *is* a
+place.
 
 The coder keeps 48 bits of the interval and moves 16 bits at a time; carries run back into
 what is already written.  Everything is integer arithmetic (the interval's in doubles, which hold
@@ -35,81 +36,87 @@ import numpy as np
 BLOCK_IDS = 4096
 LANES = 1536
 MAGIC = 0x4D58
-_FORMAT = 3
-_HEADER = struct.Struct("<HHIIII")              # magic, format, ids, crc32, coded 16-bit words, plain ids behind them
+_FORMAT = 4
+_HEADER = struct.Struct("<HHIIII")              # magic, format, ids, crc32, 16-bit words, ids of the table behind them
 _YES = 14                                       # bits of the probability of a yes
 _SLOTS2, _SLOTS1 = 1024, 512
 _RUNS = 8                                       # how often in a row an id came: 0 to 7 (or more)
-_LEARN = 3                                      # steps of the weights at each place of _ADAPT
+_LEARN = 2                                      # steps of the weights at each place of _ADAPT
 _TOP, _FLOOR = 1 << 48, 1 << 32
 _TILE = 16
-#: Places at which order 0 and the mixing take their counts anew; longer blocks go on by powers of two.
-_ADAPT = (32, 64, 128, 256, 384, 512, 768, 1024, 1536, 2048, 3072)
-#: Ids that order 0 counts at most (the latest); keeps its total within 14 bits.
-_MOST_SEEN = 8192
+#: Places at which the mixing takes its rates anew; longer blocks go on by powers of two.
+_ADAPT = (64, 256, 768, 1792)
+#: Order 0 counts at most so many ids, larger counts are scaled down to it.
+_MOST_COUNTED = 1 << 15
+#: The table has a byte for each gap between ids and for each count; from this on 16 bits follow.
+_LARGE = 255
 
 #: Logistic tables over 12-bit probabilities and over -2047..2047 (8 fractional bits).
 _SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256))))) for x in range(-2047, 2048)], np.int64)
 _STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((p + 0.5) / (4095.5 - p))))) for p in range(4096)], np.int64)
 
 
-class _Model:
-    """Orders 1 and 2 and the mixing of all lanes; starts empty.  Rows: order 2, order 1."""
+class _Memory:
+    """Orders 1 and 2 of all lanes; starts empty.  Rows: order 2, order 1."""
 
     def __init__(self, lanes: int):
         lane = np.arange(lanes)
         self.after = np.zeros(lanes * (_SLOTS2 + _SLOTS1), np.uint32)        # id | how often in a row << 16
         #: A slot of all lanes lies together: frequent contexts are the same in most lanes.
-        self.bases = np.stack([lane, lanes * _SLOTS2 + lane])
-        self.masks, self.width = np.array([[_SLOTS2 - 1], [_SLOTS1 - 1]], np.uint32), np.uint32(lanes)
+        self.bases, self.width = np.stack([lane, lanes * _SLOTS2 + lane]), np.uint32(lanes)
         self.at = self.bases.copy()
         self.hashes = np.zeros((2, lanes), np.uint32)
         self.last = np.zeros(lanes, np.uint32)
-        #: Cells, by order 2's run and order 1's run, each of all lanes.
-        self.steps, self.lane = np.array([[_RUNS * lanes], [lanes]], np.uint32), lane.astype(np.uint32)
-        self.came = np.zeros((_RUNS, _RUNS, lanes), np.int64)
-        self.hit = np.zeros((_RUNS, _RUNS, lanes), np.int64)
-        self.weights = np.full((3, lanes), 1 << 15, np.int64)
-        self.was, self.run, self.known, self.cell = (np.empty((2, lanes), np.uint32) for _ in range(4))
+        self.cells = (lane * _RUNS * _RUNS).astype(np.uint32)
+        self.was, self.run, self.more = (np.empty((2, lanes), np.uint32) for _ in range(3))
         self.same = np.empty((2, lanes), bool)
-        self.more = np.empty((2, lanes), np.uint32)
-        self._mix(0)
 
-    def propose(self, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(the counts of ``1 << _YES`` that say yes, whether order 2 proposes); sets the lanes' cells."""
+    def propose(self, cells: np.ndarray) -> np.ndarray:
+        """The proposed ids; sets the lanes' cells: order 2's run, order 1's run."""
         self.after.take(self.at, out=self.was, mode="clip")
         np.right_shift(self.was, 16, out=self.run)
-        np.bitwise_and(self.was, 0xFFFF, out=self.known)
-        np.multiply(self.run, self.steps, out=self.cell)
-        np.add(self.cell[0], self.cell[1], out=cells)
-        cells += self.lane
-        return self.yes.take(cells, mode="clip"), self.run[0] > 0
+        np.multiply(self.run[0], _RUNS, out=cells)
+        cells += self.run[1]
+        cells += self.cells
+        return np.maximum(self.was[0], self.was[1]).astype(np.uint16)        # the longer run is the larger
 
     def learn(self, ids: np.ndarray) -> None:
-        """What came (uint32): adjust the memories."""
-        np.equal(self.known, ids, out=self.same)
-        once = ids | np.uint32(1 << 16)
+        """What came."""
+        ids = ids.astype(np.uint32)
+        np.bitwise_and(self.was, 0xFFFF, out=self.run)
+        np.equal(self.run, ids, out=self.same)
         np.add(self.was, 1 << 16, out=self.more)
         np.minimum(self.more, ids | np.uint32((_RUNS - 1) << 16), out=self.more)
-        self.after[self.at] = np.where(self.same, self.more, once)
-        ahead = ids * np.uint32(40503)
-        self.last *= np.uint32(30011)
+        self.after[self.at] = np.where(self.same, self.more, ids | np.uint32(1 << 16))
+        ahead = ids * np.uint32(0x9E3779B1)
         self.last += ahead
-        np.right_shift(self.last, 4, out=self.hashes[0])
-        np.right_shift(ahead, 5, out=self.hashes[1])
-        self.hashes &= self.masks
+        np.right_shift(self.last, 32 - _SLOTS2.bit_length() + 1, out=self.hashes[0])
+        np.right_shift(ahead, 32 - _SLOTS1.bit_length() + 1, out=self.hashes[1])
         self.hashes *= self.width
         np.add(self.hashes, self.bases, out=self.at)
-        self.last[:] = ids
+        self.last = np.multiply(ids, np.uint32(0x85EBCA6B), out=ids)
+
+
+class _Mixer:
+    """The chance of a yes in each cell of all lanes."""
+
+    def __init__(self, lanes: int):
+        self.lanes = lanes
+        self.came = np.zeros((_RUNS, _RUNS, lanes), np.int64)
+        self.hit = np.zeros((_RUNS, _RUNS, lanes), np.int64)
+        self.weights = np.full((3, lanes), 1 << 15, np.int64)
+        self._mix(0)
 
     def adapt(self, cells: np.ndarray, hits: np.ndarray) -> None:
         """After a stretch, with the cells and answers of its places: take the hit rates anew, let
-        the weights learn, and mix each cell's chance of a yes."""
-        size, shape = self.came.size, self.came.shape
-        self.came += np.bincount(cells.ravel(), minlength=size).reshape(shape)
-        self.hit += np.bincount(cells[hits], minlength=size).reshape(shape)
+        the weights learn, and mix."""
+        self.came += self._counted(cells.ravel())
+        self.hit += self._counted(cells[hits])
         self._mix(_LEARN)
 
+    def _counted(self, cells: np.ndarray) -> np.ndarray:
+        return np.bincount(cells, minlength=self.came.size).reshape(self.lanes, -1).T.reshape(self.came.shape)
+
     def _mix(self, steps: int) -> None:
         x2, x1, x0 = (_STRETCH[((self.hit.sum(axis) << 12) + (1 << 11)) // (self.came.sum(axis) + 2)] for axis in (1, 0, (0, 1)))
         slower = 32 * np.maximum(self.came.sum((0, 1)), 1)
@@ -125,57 +132,76 @@ class _Model:
                 by2, by1 = missed.sum(1), missed.sum(0)
                 self.weights += np.stack([(by2 * x2).sum(0), (by1 * x1).sum(0), by1.sum(0) * x0]) // slower
                 np.clip(self.weights, -(1 << 18), 1 << 18, out=self.weights)
-        self.yes = (chance << (_YES - 12)).astype(np.float64).ravel()
+        #: Counts of ``1 << _YES`` that say yes.
+        self.yes = (chance << (_YES - 12)).reshape(-1, self.lanes).T.astype(np.float64).ravel()
 
 
 class _Counts:
-    """Order 0 of all lanes after the ids ``seen`` (a row a lane): in the sorted ids of a lane
-    the places ``first`` to ``first + size`` hold the id; the places from ``n`` on mean a new id."""
-
-    def __init__(self, seen: np.ndarray):
-        seen = seen[:, -_MOST_SEEN:]
-        self.lanes, self.n = seen.shape
-        self.ids = np.sort(seen, axis=1)
-        begins = np.ones((self.lanes, self.n), bool)
-        np.not_equal(self.ids[:, 1:], self.ids[:, :-1], out=begins[:, 1:])
-        distinct = np.count_nonzero(begins, axis=1)
-        edges = np.flatnonzero(begins)
-        #: Distinct ids of lane k are ``bounds[k]`` to ``bounds[k + 1]`` in starts and sizes.
-        self.bounds = np.concatenate([[0], np.cumsum(distinct)])
-        self.starts = edges - np.repeat(np.arange(self.lanes) * self.n, distinct)
-        self.sizes = np.diff(edges, append=self.lanes * self.n)
-        once = np.concatenate([[0], np.cumsum(self.sizes == 1)])
-        self.new = np.maximum(1, np.diff(once[self.bounds]))
-        self.total = self.n + self.new
-
-    def of(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(``first | size << 16`` of the ids, whether they are new), a row a lane."""
-        table, out = np.zeros(1 << 16, np.uint32), np.empty(ids.shape, np.uint32)
-        packed, held = (self.starts | self.sizes << 16).astype(np.uint32), self.ids.ravel()[_flat(self.starts, self.bounds, self.n)]
+    """Order 0 of all lanes: the sorted distinct ``ids`` of each, one lane after the other, and
+    their counts; lane k has ``bounds[k]`` to ``bounds[k + 1]`` of them."""
+
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray, bounds: np.ndarray):
+        self.ids, self.sizes, self.bounds = ids, sizes, bounds
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        #: Places of all lanes; those of lane k begin at ``bases[k]``.
+        self.bases = ends[bounds[:-1]]
+        self.total = ends[bounds[1:]] - self.bases
+        self.first = ends[:-1] - np.repeat(self.bases, np.diff(bounds))
+
+    @classmethod
+    def of(cls, lane: np.ndarray, ids: np.ndarray, lanes: int) -> _Counts:
+        """Counts of ``ids``, each of the given lane."""
+        keys = np.sort(lane.astype(np.uint32 if lanes <= 1 << 16 else np.uint64) << 16 | ids)
+        edges = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]]))
+        sizes, keys = np.diff(edges, append=len(keys)), keys[edges]
+        of, ids = (keys >> 16).astype(np.int64), (keys & 0xFFFF).astype(np.int64)
+        total = np.bincount(of, sizes, lanes).astype(np.int64)
+        much = total[of] > _MOST_COUNTED
+        if much.any():
+            sizes[much] = np.maximum(1, sizes[much] * _MOST_COUNTED // total[of[much]])
+        return cls(ids, sizes, np.searchsorted(of, np.arange(lanes + 1)))
+
+    def intervals(self, grid: np.ndarray) -> tuple[np.ndarray, int]:
+        """``first | size << bits`` of the grid's counted ids (a row a lane; of others anything), and ``bits``."""
+        kind, bits = (np.uint32, 16) if self.total.max(initial=0) < 1 << 16 else (np.uint64, 32)
+        packed = (self.first | self.sizes << bits).astype(kind)
+        table, out = np.zeros(1 << 16, kind), np.empty(grid.shape, kind)
         for k, (a, b) in enumerate(zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist(), strict=True)):
-            known = held[a:b]
-            table[known] = packed[a:b]
-            table.take(ids[k], out=out[k], mode="clip")
-            table[known] = 0
-        new = out == 0
-        np.copyto(out, (self.n | self.new << 16).astype(np.uint32)[:, None], where=new)
-        return out, new
-
-    def places(self, room: np.ndarray) -> np.ndarray:
-        """What stands at each place, as ``id | first << 16 | size << 32``; row-wise, n + 1 places a lane.  Uses ``room``."""
-        out = room[:self.lanes * (self.n + 1)].reshape(self.lanes, self.n + 1)
-        packed = self.starts << 16 | self.sizes << 32
-        for k in range(0, self.lanes, _TILE):
-            a, b = self.bounds[k], self.bounds[min(k + _TILE, self.lanes)]
-            ids = self.ids[k:k + _TILE]
-            np.bitwise_or(np.repeat(packed[a:b], self.sizes[a:b]).reshape(ids.shape), ids, out=out[k:k + _TILE, :-1])
-        out[:, -1] = self.n << 16 | self.new << 32
-        return out.ravel()
-
-
-def _flat(starts: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
-    """Places in rows of ``n`` as places in all rows."""
-    return starts + np.repeat(np.arange(len(bounds) - 1) * n, np.diff(bounds))
+            table[self.ids[a:b]] = packed[a:b]
+            table.take(grid[k], out=out[k], mode="clip")
+        return out, bits
+
+    def places(self) -> np.ndarray:
+        """What stands at each place, as ``id | first << 16 | size << 36``."""
+        return np.append(np.repeat(self.ids | self.first << 16 | self.sizes << 36, self.sizes), 1 << 36)
+
+    def tables(self) -> list[bytes]:
+        """The counts of each lane, written."""
+        return [_written(self.ids[a:b], self.sizes[a:b]) for a, b in zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist(), strict=True)]
+
+
+def _written(ids: np.ndarray, sizes: np.ndarray) -> bytes:
+    gaps, more = np.diff(ids, prepend=-1) - 1, sizes - 1
+    small = np.minimum(np.concatenate([gaps, more]), _LARGE).astype(np.uint8).tobytes()
+    return zlib.compress(small + np.concatenate([gaps[gaps >= _LARGE], more[more >= _LARGE]]).astype("<u2").tobytes(), 1)
+
+
+def _read(table: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, counts) of a written table of ``n`` ids."""
+    try:
+        table = zlib.decompress(table)
+    except zlib.error as damage:
+        raise ValueError("a block's table is damaged or cut short") from damage
+    both = np.frombuffer(table, np.uint8, 2 * n).astype(np.int64)
+    large, rest = (both == _LARGE).nonzero()[0], np.frombuffer(table[2 * n:], "<u2")
+    if len(rest) != len(large):
+        raise ValueError("a block's table is damaged or cut short")
+    both[large] = rest
+    both += 1
+    ids, sizes = np.cumsum(both[:n]) - 1, both[n:]
+    if n and (ids[-1] > 0xFFFF or sizes.sum() > _MOST_COUNTED + (1 << 16)):
+        raise ValueError("a block's table is damaged")
+    return ids, sizes
 
 
 def _turned(rows: np.ndarray) -> np.ndarray:
@@ -207,17 +233,16 @@ class _Writer:
     def put(self, hit: np.ndarray, yes: np.ndarray, first: np.ndarray, size: np.ndarray, total: np.ndarray) -> None:
         """Narrow hit lanes to a yes, the others to a no and to ``size`` places of ``total``."""
         edge, place = _parts(self.range, yes, total)
-        no = 1.0 - hit
+        no = (~hit).astype(np.float64)
         add = place * first
         add += edge
         add *= no
         self.low += add
         place *= size
         self.range = _either(edge, place, no)
-        short = self.range < _FLOOR
-        while short.any():
-            self._move(short)
-            short = self.range < _FLOOR
+        self._move(self.range < _FLOOR)
+        while self.range.min(initial=_TOP) < _FLOOR:
+            self._move(self.range < _FLOOR)
 
     def _move(self, lanes: np.ndarray) -> None:
         # A word may have a 17th bit, the carry into the words before it.
@@ -285,91 +310,79 @@ class _Reader:
         self.code = (first[:, 0] * 65536 + first[:, 1]) * 65536 + first[:, 2]
         self.range = np.full(len(streams), _TOP - 1.0)
 
-    def take(self, yes: np.ndarray, places: np.ndarray, bases: np.ndarray, n: int, total: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hit, what stands at the place that the code of each other lane says, whether that is
-        a new id); narrows like the writer."""
+    def take(self, yes: np.ndarray, hit: np.ndarray, places: np.ndarray, bases: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """What stands at the place that the code of each lane says, where it is no hit; sets ``hit``; narrows like the writer."""
         edge, place = _parts(self.range, yes, total)
-        hit = self.code < edge
-        code = self.code - edge
+        np.less(self.code, edge, out=hit)
+        no = (~hit).astype(np.float64)
         # Exact when rounded down, as both numbers are below 2 ** 48.
-        at = code / place
-        np.floor(at, out=at)
-        np.maximum(at, 0, out=at)
-        np.minimum(at, n, out=at)
+        at = self.code - edge
+        at /= place
+        at = at.astype(np.int64)
         at += bases
-        found = places.take(at.astype(np.int64), mode="clip")
-        first = found >> 16
-        first &= 0xFFFF
-        no = 1.0 - hit
-        edge_or_add = place * first.astype(np.float64)
-        edge_or_add += edge
-        edge_or_add *= no
-        self.code -= edge_or_add
-        place *= (found >> 32).astype(np.float64)
+        found = places.take(at, mode="clip")
+        add = (found >> 16 & 0xFFFFF).astype(np.float64)
+        add *= place
+        add += edge
+        add *= no
+        self.code -= add
+        place *= (found >> 36).astype(np.float64)
         self.range = _either(edge, place, no)
-        short = self.range < _FLOOR
-        while short.any():
-            moved = short.astype(np.float64)
-            word = self.words.take(self.at, mode="clip").astype(np.float64)
-            word *= moved
-            moved *= 65535
-            moved += 1
-            self.range *= moved
-            self.code *= moved
-            self.code += word
-            self.at += short
-            short = self.range < _FLOOR
-        return hit, found, first == n
-
-
-def _encode_lanes(grid: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The words and the ids written as they are of each lane."""
+        self._fill(self.range < _FLOOR)
+        while self.range.min(initial=_TOP) < _FLOOR:
+            self._fill(self.range < _FLOOR)
+        return found
+
+    def _fill(self, lanes: np.ndarray) -> None:
+        moved = lanes.astype(np.float64)
+        word = self.words.take(self.at, mode="clip").astype(np.float64)
+        word *= moved
+        moved *= 65535
+        moved += 1
+        self.range *= moved
+        self.code *= moved
+        self.code += word
+        self.at += lanes
+
+
+def _encode_lanes(grid: np.ndarray) -> list[tuple[np.ndarray, int, bytes]]:
+    """The words of each lane, how many distinct ids order 0 has, and their table."""
     lanes, steps = grid.shape
-    model, writer = _Model(lanes), _Writer(lanes, steps)
-    plain, columns = np.zeros((lanes, steps), bool), _turned(grid)
+    memory, columns = _Memory(lanes), _turned(grid)
+    cells, hits = np.empty((steps, lanes), np.uint32), np.empty((steps, lanes), bool)
+    for ids, cell, hit in zip(columns, cells, hits, strict=True):
+        np.equal(memory.propose(cell), ids, out=hit)
+        memory.learn(ids)
+    missed = ~_turned(hits)
+    counts = _Counts.of(np.repeat(np.arange(lanes), np.count_nonzero(missed, axis=1)), grid[missed], lanes)
+    places, bits = counts.intervals(grid)
+    mixer, writer, total = _Mixer(lanes), _Writer(lanes, steps), np.maximum(counts.total, 1).astype(np.float64)
     for begin, end in _stretches(steps):
-        counts = _Counts(grid[:, :begin])
-        places, new = counts.of(grid[:, begin:end])
-        total = counts.total.astype(np.float64)
-        cells, hits = np.empty((end - begin, lanes), np.uint32), np.empty((end - begin, lanes), bool)
-        for ids, place, cell, hit in zip(columns[begin:end].astype(np.uint32), _turned(places), cells, hits, strict=True):
-            yes, order2 = model.propose(cell)
-            model.learn(ids)
-            hit[:] = np.where(order2, model.same[0], model.same[1])
-            writer.put(hit, yes, (place & 0xFFFF).astype(np.float64), (place >> 16).astype(np.float64), total)
-        plain[:, begin:end] = new & ~_turned(hits)
+        for place, cell, hit in zip(_turned(places[:, begin:end]), cells[begin:end], hits[begin:end], strict=True):
+            first = (place & place.dtype.type((1 << bits) - 1)).astype(np.float64)
+            writer.put(hit, mixer.yes.take(cell, mode="clip"), first, (place >> place.dtype.type(bits)).astype(np.float64), total)
         if end < steps:
-            model.adapt(cells, hits)
-    return list(zip(writer.finish(), np.split(grid[plain].astype("<u2"), np.cumsum(plain.sum(axis=1))[:-1]), strict=True))
+            mixer.adapt(cells[begin:end], hits[begin:end])
+    return list(zip(writer.finish(), np.diff(counts.bounds).tolist(), counts.tables(), strict=True))
 
 
-def _decode_lanes(streams: list[tuple[np.ndarray, np.ndarray]], steps: int) -> np.ndarray:
+def _decode_lanes(streams: list[np.ndarray], tables: list[tuple[np.ndarray, np.ndarray]], steps: int) -> np.ndarray:
     lanes = len(streams)
-    model, reader = _Model(lanes), _Reader([words for words, _ in streams])
-    plain = np.concatenate([*(ids for _, ids in streams), np.zeros(1, np.uint16)])
-    to = np.cumsum([0, *(len(ids) for _, ids in streams)])[:-1]
-    grid = np.zeros((lanes, steps), np.uint16)
-    room = np.empty(lanes * (min(_stretches(steps)[-1][0], _MOST_SEEN) + 1), np.int64)
+    memory, mixer, reader = _Memory(lanes), _Mixer(lanes), _Reader(streams)
+    counts = _Counts(*(np.concatenate(x) for x in zip(*tables, strict=True)), np.cumsum([0, *(len(ids) for ids, _ in tables)]))
+    places, total = counts.places(), np.maximum(counts.total, 1).astype(np.float64)
+    grid = np.empty((lanes, steps), np.uint16)
     for begin, end in _stretches(steps):
-        counts = _Counts(grid[:, :begin])
-        places, bases, total = counts.places(room), np.arange(lanes) * (counts.n + 1.0), counts.total.astype(np.float64)
-        out = np.empty((end - begin, lanes), np.uint32)
+        out = np.empty((end - begin, lanes), np.uint16)
         cells, hits = np.empty((end - begin, lanes), np.uint32), np.empty((end - begin, lanes), bool)
         for ids, cell, hit in zip(out, cells, hits, strict=True):
-            yes, order2 = model.propose(cell)
-            hit[:], found, new = reader.take(yes, places, bases, counts.n, total)
-            ids[:] = found & 0xFFFF
-            np.copyto(ids, np.where(order2, model.known[0], model.known[1]), where=hit)
-            new &= ~hit
-            new = new.nonzero()[0]
-            if len(new):
-                at = to[new]
-                ids[new] = plain.take(at, mode="clip")
-                to[new] = at + 1
-            model.learn(ids)
-        grid[:, begin:end] = _turned(out.astype(np.uint16))
+            guess = memory.propose(cell)
+            found = reader.take(mixer.yes.take(cell, mode="clip"), hit, places, counts.bases, total)
+            ids[:] = np.where(hit, guess, found.astype(np.uint16))
+            memory.learn(ids)
+        grid[:, begin:end] = _turned(out)
         if end < steps:
-            model.adapt(cells, hits)
+            mixer.adapt(cells, hits)
     return grid
 
 
@@ -378,13 +391,13 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     out: list[bytes] = []
     for k in range(0, len(blocks), LANES):
         part = blocks[k:k + LANES]
-        grid = np.zeros((len(part), max(map(len, part))), np.uint16)
+        grid = np.empty((len(part), max(map(len, part))), np.uint16)
         for row, ids in zip(grid, part, strict=True):
-            if len(ids) and int(ids.max()) > 0xFFFF:
+            if int(ids.max()) > 0xFFFF:
                 raise ValueError("the coder takes ids below 65536")
-            row[:len(ids)] = ids
-        for ids, (words, plain) in zip(part, _encode_lanes(grid), strict=True):
-            out.append(_HEADER.pack(MAGIC, _FORMAT, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), len(words), len(plain)) + words.tobytes() + plain.tobytes())
+            row[:len(ids)], row[len(ids):] = ids, ids[-1]
+        for ids, (words, distinct, table) in zip(part, _encode_lanes(grid), strict=True):
+            out.append(_HEADER.pack(MAGIC, _FORMAT, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), len(words), distinct) + words.tobytes() + table)
     return out
 
 
@@ -394,10 +407,13 @@ def decode_blocks(payloads: list[bytes]) -> list[np.ndarray]:
     for k in range(0, len(payloads), LANES):
         part = payloads[k:k + LANES]
         heads = [_HEADER.unpack_from(p) for p in part]
-        if any(h[:2] != (MAGIC, _FORMAT) or _HEADER.size + 2 * (h[4] + h[5]) != len(p) for h, p in zip(heads, part, strict=True)):
+        behind = [_HEADER.size + 2 * h[4] for h in heads]
+        if any(h[:2] != (MAGIC, _FORMAT) or at > len(p) for h, p, at in zip(heads, part, behind, strict=True)):
             raise ValueError("not a block of this format, or cut short")
-        bodies = [np.frombuffer(p, "<u2", offset=_HEADER.size) for p in part]
-        grid = _decode_lanes([(b[:h[4]], b[h[4]:]) for b, h in zip(bodies, heads, strict=True)], max((h[2] for h in heads), default=0))
+        streams = [np.frombuffer(p, "<u2", h[4], _HEADER.size) for h, p in zip(heads, part, strict=True)]
+        tables = [_read(p[at:], h[5]) for h, p, at in zip(heads, part, behind, strict=True)]
+        with np.errstate(all="ignore"):                 # of damaged blocks, which their checksum tells
+            grid = _decode_lanes(streams, tables, max(h[2] for h in heads))
         for row, (_, _, n, crc, _, _) in zip(grid, heads, strict=True):
             ids = row[:n].astype(np.uint32)
             if zlib.crc32(ids.astype("<u4").tobytes()) != crc:

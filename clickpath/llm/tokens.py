@@ -38,7 +38,7 @@ _LETTER, _PRINTED, _SEEN, _POINT, _SPACE, _BREAK = 1, 2, 4, 8, 16, 32
 _KINDS = [(_LETTER, r"[A-Za-z]"), (_PRINTED, r"[!-~]"), (_SEEN, r"[!-~\xC3]"), (_POINT, r"[!-/:-@\[-`{-~]"), (_SPACE, r"\x20"), (_BREAK, r"\n")]
 #: Letters that are their own lower case and NFC form in any order.
 _LOWER = "a-z\u00df-\u00f6\u00f8-\u00ff"
-_WORD = f"^ ?[{_LOWER}]+$"
+_WORD, _ASCII_WORD = f"^ ?[{_LOWER}]+$", "^ ?[a-z]+$"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ENCODERS: dict[tuple[str, bool], PieceEncoder] = {}
 
@@ -72,26 +72,26 @@ class PieceEncoder:
         self.kinds = kinds.tobytes()
         # A capital after white space may be lowered where that changes no id and makes no special token.
         self.lowers = self.drops_space and not any(x[:1].isalpha() for x in special) and all(a == b for a, b in zip(*(self._ids(list(x)) for x in (ascii_uppercase, ascii_lowercase)), strict=True))
-        self.words = self._word_tokenizer()
+        self.words = self._word_tokenizers()
         self._forget()
 
-    def _word_tokenizer(self) -> Tokenizer | None:
-        """The tokenizer's model behind a cut at spaces alone, if that reads words like the whole does."""
+    def _word_tokenizers(self) -> tuple[Tokenizer, Tokenizer] | None:
+        """The tokenizer's model behind a cut at spaces alone, if that reads words like the whole does: for words of ASCII letters, and for others."""
         from tokenizers import Tokenizer, pre_tokenizers
 
         whole, suffix = self.tokenizer, getattr(self.tokenizer.model, "end_of_word_suffix", None)
         if not (self.drops_space and suffix and whole.normalizer and whole.pre_tokenizer):
             return None
-        words = Tokenizer(whole.model)
-        words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        plain, words, split = Tokenizer(whole.model), Tokenizer(whole.model), pre_tokenizers.CharDelimiterSplit(" ")
+        plain.pre_tokenizer, words.pre_tokenizer = split, pre_tokenizers.Sequence([split, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         letters = [chr(c) for c in range(0x61, 0x100) if re.match(f"[{_LOWER}]", chr(c))]
         for word in ("".join(letters), "".join(letters[::-1]), *(2 * x for x in letters)):
             got = whole.pre_tokenizer.pre_tokenize_str(whole.normalizer.normalize_str(word))
-            if [x for x, _ in got] != [x for x, _ in words.pre_tokenizer.pre_tokenize_str(word)] or len(got) != 1:
+            if [x for x, _ in got] != [x for x, _ in words.pre_tokenizer.pre_tokenize_str(word)] or len(got) != 1 or (word.isascii() and got[0][0] != word):
                 return None
         self.ends = np.zeros(whole.get_vocab_size(), bool)
         self.ends[[k for x, k in whole.get_vocab(with_added_tokens=False).items() if x.endswith(suffix)]] = True
-        return words
+        return plain, words
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -136,27 +136,28 @@ class PieceEncoder:
             left = left[self.table[slots[left]] != places[left]]
             slots[left] = slots[left] + 1 & mask
 
-    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of words of lower-case letters, one after the other, and how many each has."""
+    def _encode_words(self, tokenizer: Tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of words of lower-case letters, one after the other, and how many each has (None: not told)."""
         texts = [" ".join(words[k:k + _JOINED]) for k in range(0, len(words), _JOINED)]
-        got = self.words.encode_batch_fast(texts, add_special_tokens=False)
+        got = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         ids = np.fromiter(chain.from_iterable(e.ids for e in got), np.int64)
         ends = np.flatnonzero(self.ends[ids])
         return (ids, np.diff(ends, prepend=-1)) if len(ends) == len(words) else None
 
     def _encode_new(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces, one after the other, and how many each has."""
-        plain = pc.match_substring_regex(pieces, _WORD).to_numpy(zero_copy_only=False) if self.words else np.zeros(len(pieces), bool)
-        got = self._encode_words(pc.utf8_ltrim(pieces.filter(pa.array(plain)), " ").to_pylist()) if plain.any() else None
-        if got is None:
-            return self._encode_pieces(pieces.to_pylist())
-        counts = np.zeros(len(pieces), np.int32)
-        other, counts[~plain] = self._encode_pieces(pieces.filter(pa.array(~plain)).to_pylist())
-        ids, counts[plain] = got
-        begins = np.empty(len(pieces), np.int64)
-        begins[plain] = np.cumsum(counts[plain]) - counts[plain]
-        begins[~plain] = len(ids) + np.cumsum(counts[~plain]) - counts[~plain]
-        return spread(np.concatenate([ids, other]), begins, counts), counts
+        counts, begins, parts = np.zeros(len(pieces), np.int32), np.empty(len(pieces), np.int64), [np.zeros(0, np.int64)]
+        left = np.ones(len(pieces), bool)
+        for tokenizer, pattern in zip(self.words or (), (_ASCII_WORD, _WORD)):
+            these = pc.match_substring_regex(pieces, pattern).to_numpy(zero_copy_only=False) & left
+            got = self._encode_words(tokenizer, pc.utf8_ltrim(pieces.filter(pa.array(these)), " ").to_pylist())
+            if got is not None:
+                parts.append(got[0])
+                counts[these], left = got[1], left & ~these
+                begins[these] = sum(map(len, parts[:-1])) + np.cumsum(got[1]) - got[1]
+        other, counts[left] = self._encode_pieces(pieces.filter(pa.array(left)).to_pylist())
+        begins[left] = sum(map(len, parts)) + np.cumsum(counts[left]) - counts[left]
+        return spread(np.concatenate([*parts, other]), begins, counts), counts
 
     def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces, one after the other, and how many each has."""
@@ -278,4 +279,6 @@ def spread(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarr
     ends = np.cumsum(counts, dtype=np.int64)
     if not len(ends) or not ends[-1]:
         return flat[:0]
-    return flat[np.repeat(starts - (ends - counts), counts) + np.arange(ends[-1])]
+    at = np.repeat(starts - (ends - counts), counts)
+    at += np.arange(ends[-1])
+    return flat[at]

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from llm_cases import DOCS, awkward, documents, text
 from tokenizers import Tokenizer
 
-from clickpath.llm import mixing_coder, packing, token_counts, token_files
+from clickpath.llm import mixing_coder, packing, token_counts, token_files, tokens
 from clickpath.llm.tokens import encoder
 
 WORD, BYTE = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -39,6 +39,35 @@ def test_pieces_encode_like_any_text(t):
         assert enc.encode(pa.array([t, t]), None)[0].tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids * 2
 
 
+def test_new_words_need_no_normalizer(monkeypatch):
+    # Normalizer and patterns were most of the library's time; words of lower-case letters go to the model alone.
+    enc, seen = tokens.PieceEncoder(WORD), []
+    ids_of = enc._ids
+    monkeypatch.setattr(enc, "_ids", lambda texts: seen.extend(texts) or ids_of(texts))
+    texts = [text(1, 300), "Über straße naïve\nÉté çà d'été it's " + text(2, 300), "A capital Begins. \nNext <|ENDOFTEXT|> <|endoftext|> H\u0331 \u0130x", None]
+    ids, off = enc.encode(pa.array(texts, pa.string()), None)
+    for k, t in enumerate(texts):
+        assert ids[off[k]:off[k + 1]].tolist() == plain_ids(WORD, t), t
+    assert sum(map(len, seen)) < 400
+
+
+def test_pieces_with_equal_hashes_are_told_apart(monkeypatch):
+    monkeypatch.setattr(tokens, "_hashes", lambda pieces: np.full(len(pieces), 7, np.uint64))
+    for path in (WORD, BYTE):
+        enc, t = tokens.PieceEncoder(path), text(3, 60) + " Some. words, more"
+        for _ in range(2):
+            assert enc.encode(pa.array([t, t]), None)[0].tolist() == plain_ids(path, t) * 2
+
+
+def test_pieces_are_forgotten_and_encoded_again(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMORY_PIECES", 50)
+    enc = tokens.PieceEncoder(WORD)
+    for k in range(6):
+        t = text(k % 3, 40)
+        assert enc.encode(pa.array([t]), None)[0].tolist() == plain_ids(WORD, t)
+    assert len(enc.known) < 150
+
+
 def test_packing_places_every_id_once(spark):
     rows = awkward() + [(100 + k, text(k, 5 * k)) for k in range(60)]
     got = packing.pack_documents(documents(spark, rows), BYTE, 256).collect()
@@ -126,6 +155,28 @@ def test_coder_saves_space_and_detects_damage():
         mixing_coder.encode_blocks([np.array([1 << 16], np.uint32)])
 
 
+def test_coder_sends_new_ids_as_a_table():
+    # Ids that a block has once cost 16 plain bits and an escape each; in a table of the block they cost their gaps.
+    rng = np.random.default_rng(11)
+    block = np.concatenate([rng.permutation(4000)[:1500], rng.integers(0, 4000, 500)]).astype(np.uint32)
+    coded = mixing_coder.encode_blocks([block, np.zeros(5, np.uint32), np.full(70_000, 9, np.uint32), rng.permutation(1 << 16).astype(np.uint32)])
+    assert len(coded[0]) < 4000
+    assert mixing_coder.decode_blocks(coded)[0].tolist() == block.tolist()
+    assert mixing_coder.decode_blocks(coded)[3].tolist() == mixing_coder.decode_blocks([coded[3]])[0].tolist()
+    for at in range(len(coded[0]) - 800, len(coded[0]), 50):          # within the table
+        damaged = bytearray(coded[0])
+        damaged[at] ^= 16
+        with pytest.raises(ValueError):
+            mixing_coder.decode_blocks([bytes(damaged)])
+
+
+def test_blocks_are_joined_to_whole_batches():
+    batches = [pa.record_batch({"block": list(range(a, b))}) for a, b in ((0, 0), (0, 700), (700, 1400), (1400, 4000), (4000, 4001))]
+    got = list(token_files._lane_batches(iter(batches)))
+    assert [len(x) for x in got] == [mixing_coder.LANES] * (4001 // mixing_coder.LANES) + [4001 % mixing_coder.LANES]
+    assert [x for b in got for x in b.column("block").to_pylist()] == list(range(4001))
+
+
 def test_crc_carried_over_pieces():
     data = bytes(range(256)) * 9
     for cuts in ([0, 10, 500], [0, 1, 2303], [0, 4, 8, 2300]):
