@@ -149,17 +149,22 @@ class _Counts:
         self.first = ends[:-1] - np.repeat(self.bases, np.diff(bounds))
 
     @classmethod
-    def of(cls, lane: np.ndarray, ids: np.ndarray, lanes: int) -> _Counts:
-        """Counts of ``ids``, each of the given lane."""
-        keys = np.sort(lane.astype(np.uint32 if lanes <= 1 << 16 else np.uint64) << 16 | ids)
-        edges = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]]))
-        sizes, keys = np.diff(edges, append=len(keys)), keys[edges]
-        of, ids = (keys >> 16).astype(np.int64), (keys & 0xFFFF).astype(np.int64)
-        total = np.bincount(of, sizes, lanes).astype(np.int64)
+    def of(cls, grid: np.ndarray, counted: np.ndarray) -> _Counts:
+        """Counts of the ids of the grid (a row a lane) that are ``counted``."""
+        lanes, total = len(grid), np.count_nonzero(counted, axis=1)
+        # Rows sort much faster than all ids with their lanes; the others go behind the counted ones.
+        rows = np.sort(np.where(counted, grid, np.uint16(0xFFFF)), axis=1)
+        opens = np.ones(rows.shape, bool)
+        np.not_equal(rows[:, 1:], rows[:, :-1], out=opens[:, 1:])
+        real = np.arange(rows.shape[1]) < total[:, None]
+        edges = np.flatnonzero(opens[real])
+        ids, sizes = rows[real][edges].astype(np.int64), np.diff(edges, append=total.sum())
+        bounds = np.searchsorted(edges, np.concatenate([[0], np.cumsum(total)]))
+        of = np.repeat(np.arange(lanes), np.diff(bounds))
         much = total[of] > _MOST_COUNTED
         if much.any():
             sizes[much] = np.maximum(1, sizes[much] * _MOST_COUNTED // total[of[much]])
-        return cls(ids, sizes, np.searchsorted(of, np.arange(lanes + 1)))
+        return cls(ids, sizes, bounds)
 
     def intervals(self, grid: np.ndarray) -> tuple[np.ndarray, int]:
         """``first | size << bits`` of the grid's counted ids (a row a lane; of others anything), and ``bits``."""
@@ -228,7 +233,7 @@ class _Writer:
     def __init__(self, lanes: int, steps: int):
         self.low, self.range = np.zeros(lanes), np.full(lanes, _TOP - 1.0)
         #: Words of all lanes; those that ``used`` says are written.
-        self.words, self.used, self.moves = np.empty((steps + 64, lanes), np.uint32), np.empty((steps + 64, lanes), bool), 0
+        self.words, self.used, self.moves = np.empty((steps * 5 // 4 + 64, lanes), np.uint32), np.empty((steps * 5 // 4 + 64, lanes), bool), 0
 
     def put(self, hit: np.ndarray, yes: np.ndarray, first: np.ndarray, size: np.ndarray, total: np.ndarray) -> None:
         """Narrow hit lanes to a yes, the others to a no and to ``size`` places of ``total``."""
@@ -353,8 +358,7 @@ def _encode_lanes(grid: np.ndarray) -> list[tuple[np.ndarray, int, bytes]]:
     for ids, cell, hit in zip(columns, cells, hits, strict=True):
         np.equal(memory.propose(cell), ids, out=hit)
         memory.learn(ids)
-    missed = ~_turned(hits)
-    counts = _Counts.of(np.repeat(np.arange(lanes), np.count_nonzero(missed, axis=1)), grid[missed], lanes)
+    counts = _Counts.of(grid, ~_turned(hits))
     places, bits = counts.intervals(grid)
     mixer, writer, total = _Mixer(lanes), _Writer(lanes, steps), np.maximum(counts.total, 1).astype(np.float64)
     for begin, end in _stretches(steps):
