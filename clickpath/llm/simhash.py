@@ -193,7 +193,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, crowd: int = CROWD) -> Da
                    .unionAll(answer.join(crowded, "key", "left_semi").select(F.col("v").alias("bits"))).distinct())
         found.append(_crowd_links(stored(members, "simhash-members")))
     apart = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits
-    met = calm.join(answer, (calm["key"] == answer["key"]) & (F.col("u") != F.col("v")) & apart)
+    # Spark takes the keys to be about as large as the fingerprints; about 50 answer for each.
+    met = calm.join(answer.hint("merge"), (calm["key"] == answer["key"]) & (F.col("u") != F.col("v")) & apart)
     found.append(met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))
     return found[0] if len(found) == 1 else found[0].unionAll(found[1])
 

@@ -117,3 +117,17 @@ def test_star_rounds_without_contraction(spark, monkeypatch):
     frame = spark.createDataFrame(edges, "u long, v long")
     want = {v: r for v, r in closure(edges).items() if v != r}
     assert {r.u: r.root for r in module.components(frame).collect()} == want
+
+
+def test_no_join_of_the_keys_is_broadcast(spark, monkeypatch):
+    """Spark takes the keys for a table of the fingerprints' size: at any size it must not be sent to the driver."""
+    plans, kept = [], simhash.stored
+    monkeypatch.setattr(simhash, "stored", lambda df, name: (plans.append((name, df._jdf.queryExecution().executedPlan().toString())), kept(df, name))[1])
+    docs = documents(spark, near_rows())
+    simhash.near_duplicates(docs).collect()
+    simhash.one_of_each(docs, crowd=2).collect()
+    found = [plan for name, plan in plans if name == "simhash-links"]
+    assert len(found) == 2
+    for plan in found:
+        assert "SortMergeJoin" in plan
+        assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "Inner" in line]
