@@ -26,7 +26,7 @@ from clickpath.plans import oracle_ingest as OI
 from clickpath.shipping import ship_package
 from clickpath.sources import buckets, compaction, io, zones
 from clickpath.sources.bodies import bridge_access_log, bridge_bodies, bridge_requests
-from clickpath.storage import run_folder, stored
+from clickpath.storage import run_folder, stored, unstored
 from clickpath.streaming.jobs import dedup_stream, incremental_rebuild, ingest_stream, live_quality, live_session_table, read_session_log, session_log_stream
 from clickpath.sources.bridge import BRIDGE_CONFIG, bridge_events, bridge_hits
 
@@ -500,8 +500,9 @@ _KEY_TIME = "timezone('UTC', CAST(json_extract_string(elem, '$.event_timestamp')
 def q_replayed(spark, sf):
     """Stored bad rows judged again once the contract's next version is known."""
     root, made = scratch(spark), stored(processed(spark, sf), "processed")
-    io.write_raw(I.good_events(made), root, "events")
-    io.write_raw(I.bad_rows(made), root, "bad")
+    io.write_raw(I.good_events(made), root, "events", compression="gzip")
+    io.write_raw(I.bad_rows(made), root, "bad", compression="gzip")
+    unstored(made)
     return flat(I.replay_bad(io.read_bad(spark, root), io.read_events(spark, root), {"1": V1}))
 
 

@@ -10,6 +10,8 @@ never inferred: a dataset where no row carries ``page`` still has a ``page`` col
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -170,13 +172,31 @@ def _bad_json(df: DataFrame) -> DataFrame:
                      .alias("value"), "dt")
 
 
-def write_raw(df: DataFrame, root: str, stream: str, batch: str | None = None) -> None:
+#: Text files that a task has open at once; the rows of further dates are sorted first.
+OPEN_FILES = 64
+
+
+@contextmanager
+def _unsorted(spark: SparkSession) -> Iterator[None]:
+    """Within, tasks write a file of every date at once instead of sorting all their rows by date."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def write_raw(df: DataFrame, root: str, stream: str, batch: str | None = None, compression: str | None = None) -> None:
     """A4: NDJSON partitioned by ingest date.  ``stream`` is ``events`` (contract rows) or
     ``bad`` (rejected rows).  Spark's commit protocol gives unique file names and atomic
-    visibility.  A ``batch`` written again replaces itself; without one it is a new batch."""
+    visibility.  A ``batch`` written again replaces itself; without one it is a new batch.
+    ``compression`` names a codec of Spark's text files; readers tell it by the files' names."""
     body = _event_json(df) if stream == "events" else _bad_json(df)
     path = f"{root}/{stream}/batch={batch or uuid.uuid4().hex}"
-    body.write.mode("overwrite").partitionBy("dt").text(path)
+    with _unsorted(df.sparkSession):
+        body.write.mode("overwrite").partitionBy("dt").text(path, compression=compression)
 
 
 COUNTS = "bodies long, received long, accepted long, rejected long, batch string, dt date"

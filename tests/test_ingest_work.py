@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql.functions import pandas_udf
 
 from clickpath.functions import redaction
 from clickpath.operators import ingest as I
+from clickpath.sources import io
 
 NOW = dt.datetime(2026, 7, 28, 12, 0, 0)
 BASE = {"schema_version": "0", "event_name": "page_view", "event_timestamp": "2026-07-28T12:00:00Z",
@@ -65,3 +67,42 @@ def test_no_method_too_long_for_the_jvm_to_compile(spark):
     spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
     I.ingest(bodies(spark, "{}"))
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_rows_are_kept_beside_a_udf(spark):
+    """Beside a UDF Spark would keep a whole partition's rows; they pass through Python once instead."""
+    plan = plan_of(I.ingest(bodies(spark, "{}")))
+    assert "EvalPython" not in plan
+    assert plan.count("MapInArrow") == 1
+
+
+def test_redaction_by_rows_equals_the_udf(spark):
+    texts = ['{"auth_token":"x","n":1.50}', '{"a":[{"password":{"b":1}},{"secret":""}]}', '{"plan":"pro"}', "null", '"s apikey=q"', '[1,"\\u0074oken"]', None]
+    rows = spark.createDataFrame([(k, t, NOW) for k, t in enumerate(texts * 3)], "k int, t string, at timestamp")
+    got = redaction.with_redacted(rows, "t", "r").collect()
+    want = rows.withColumn("r", redaction.redact_json(F.col("t"))).collect()
+    assert sorted(got) == sorted(want)
+
+
+def test_known_rows_are_not_sent_to_the_driver(spark, scratch):
+    """Of compressed lines Spark knows the files' size alone."""
+    io.write_raw(I.good_events(I.ingest(bodies(spark, json.dumps(BASE | {"event_id": "evt_00000001"})))), scratch, "events", compression="gzip")
+    bad = spark.createDataFrame([(json.dumps(BASE), None, NOW, "c")], "payload string, payload_raw string, ingested_at timestamp, collector_instance string")
+    found = I.replay_bad(bad, io.read_events(spark, scratch))
+    assert "BroadcastHashJoin" not in plan_of(found) and "BroadcastNestedLoopJoin" not in plan_of(found)
+    assert found.count() == 1
+
+
+def test_lines_are_written_unsorted_and_may_be_compressed(spark, scratch):
+    given = [(json.dumps(BASE | {"event_id": f"evt_0000000{k}"}), NOW + dt.timedelta(days=k % 3)) for k in range(9)]
+    made = I.ingest(spark.createDataFrame(given, "body string, received_at timestamp"))
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    io.write_raw(I.good_events(made), scratch, "events", "a", "gzip")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    files = [str(f) for f in (Path(scratch) / "events").rglob("part-*")]
+    assert files and all(f.endswith(".txt.gz") for f in files)
+    assert sorted((r.event_id, r.dt) for r in io.read_events(spark, scratch).collect()) == [(f"evt_0000000{k}", (NOW + dt.timedelta(days=k % 3)).date()) for k in range(9)]
