@@ -512,15 +512,18 @@ def _ended(job) -> None:
 
 
 NOW = {"availableNow": True}
+#: Requests of one landed file.
+LANDED_ROWS = 20_000
 
 
 def _streamed_ingest(spark, sf) -> str:
     """H1 over the corpus' bodies and pixel requests, landed as text files."""
     ship_package(spark)
     root, given = scratch(spark), bridge_requests(spark, sf)
-    given.where("kind = 'post'").select("body").write.text(f"{root}/posts")
-    given.where("kind = 'pixel'").select("e").write.text(f"{root}/pixels")
-    _ended(ingest_stream(spark, f"{root}/posts", f"{root}/sink", f"{root}/checkpoint", NOW, pixels=f"{root}/pixels"))
+    # A file is a task and so many files a micro-batch: both are bounded by the files' rows.
+    for kind, column, folder in (("post", "body", "posts"), ("pixel", "e", "pixels")):
+        given.where(F.col("kind") == kind).select(column).write.option("maxRecordsPerFile", LANDED_ROWS).text(f"{root}/{folder}", compression="gzip")
+    _ended(ingest_stream(spark, f"{root}/posts", f"{root}/sink", f"{root}/checkpoint", NOW, pixels=f"{root}/pixels", compression="gzip"))
     return f"{root}/sink"
 
 

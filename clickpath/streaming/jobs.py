@@ -26,7 +26,7 @@ from clickpath.operators.derived import in_dates, fold_dates
 from clickpath.functions.clock import round_half_away, skew_seconds
 from clickpath.operators.health import SKEW_BUCKETS, SKEW_OVERFLOW, skew_bucket
 from clickpath.shipping import ship_package
-from clickpath.sources import compaction, io
+from clickpath.sources import compaction, io, layer
 
 # Spark's session window merges events exactly one gap apart; the event model splits at >= gap.
 LIVE_SESSION_GAP = f"{SESSION_GAP_SECONDS - 1} seconds 999999 microseconds"
@@ -48,26 +48,29 @@ def landed_pixels(spark: SparkSession, landing: str, max_files: int = 1000) -> D
 
 
 def ingest_stream(spark: SparkSession, landing: str, sink_root: str, checkpoint: str, trigger: dict | None = None,
-                  collector_instance: str = "spark", pixels: str | None = None, whole_files: bool = False):
+                  collector_instance: str = "spark", pixels: str | None = None, whole_files: bool = False, compression: str | None = None):
     """H1: continuous ingest of landed bodies and, with ``pixels``, of landed pixel requests.
 
-    Each micro-batch is processed once (persisted for its writes) and written under its
-    own batch id, so a batch replayed after a failure replaces its output.  Beside the rows it
+    Each micro-batch is processed once (a table below ``sink_root`` until its writes are done) and
+    written under its own batch id, so a batch replayed after a failure replaces its output;
+    ``compression`` as in :func:`clickpath.sources.io.write_raw`.  Beside the rows it
     writes the batch's counts (:func:`clickpath.sources.io.read_counts`) and its part of the
     quality minutes (:func:`read_quality`), which a restart neither loses nor doubles."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         seen, name = Observation(f"bodies-{batch_id}"), f"stream-{batch_id}"
         given = batch.withColumn("collector_instance", F.lit(collector_instance)).observe(seen, F.count(F.lit(1)).alias("n"))
-        processed = I.ingest(given).persist()
+        judged, work = I.ingest(given), f"{sink_root}/_work-{name}"
         try:
-            io.write_raw(I.good_events(processed), sink_root, "events", name)
-            io.write_raw(I.bad_rows(processed), sink_root, "bad", name)
+            judged.write.mode("overwrite").parquet(work)
+            processed = batch.sparkSession.read.schema(judged.schema).parquet(work)
+            io.write_raw(I.good_events(processed), sink_root, "events", name, compression)
+            io.write_raw(I.bad_rows(processed), sink_root, "bad", name, compression)
             counts = I.fork_counts(processed).withColumn("bodies", F.lit(0 if batch.isEmpty() else seen.get["n"]).cast("long"))
             io.write_counts(counts, sink_root, name)
             parts = quality_parts(I.good_events(processed), I.bad_rows(processed))
             parts.coalesce(1).write.mode("overwrite").parquet(f"{sink_root}/quality/batch={name}")
         finally:
-            processed.unpersist()
+            layer.remove(spark, work)
 
     bodies = landed_bodies(spark, landing, whole_files=whole_files)
     if pixels:

@@ -12,6 +12,7 @@ from pyspark.sql.functions import pandas_udf
 from clickpath.functions import redaction
 from clickpath.operators import ingest as I
 from clickpath.sources import io
+from clickpath.streaming.jobs import ingest_stream
 
 NOW = dt.datetime(2026, 7, 28, 12, 0, 0)
 BASE = {"schema_version": "0", "event_name": "page_view", "event_timestamp": "2026-07-28T12:00:00Z",
@@ -106,3 +107,20 @@ def test_lines_are_written_unsorted_and_may_be_compressed(spark, scratch):
     files = [str(f) for f in (Path(scratch) / "events").rglob("part-*")]
     assert files and all(f.endswith(".txt.gz") for f in files)
     assert sorted((r.event_id, r.dt) for r in io.read_events(spark, scratch).collect()) == [(f"evt_0000000{k}", (NOW + dt.timedelta(days=k % 3)).date()) for k in range(9)]
+
+
+def test_a_streams_batch_is_not_held_in_memory(spark, scratch, monkeypatch):
+    """Judged once, kept as a table until its writes are done, and compressed where it is asked for."""
+    held, judged, ingest = [], [], I.ingest
+    monkeypatch.setattr(type(spark.range(1)), "persist", lambda self, *a: held.append(1) or self)
+    monkeypatch.setattr(I, "ingest", lambda *a: judged.append(1) or ingest(*a))
+    landed = Path(scratch) / "landed"
+    landed.mkdir()
+    (landed / "a.txt").write_text(json.dumps(BASE) + "\n" + json.dumps(BASE | {"event_name": "Upper"}) + "\n{\n")
+    ingest_stream(spark, str(landed), f"{scratch}/sink", f"{scratch}/checkpoint", {"availableNow": True}, compression="gzip").awaitTermination()
+    assert not held and len(judged) == 1
+    assert sorted(p.name for p in (Path(scratch) / "sink").iterdir()) == ["bad", "counts", "events", "quality"]
+    counts = io.read_counts(spark, f"{scratch}/sink").collect()
+    assert [(r.bodies, r.received, r.accepted, r.rejected) for r in counts] == [(3, 3, 1, 2)]
+    assert io.read_events(spark, f"{scratch}/sink").count() == 1 and io.read_bad(spark, f"{scratch}/sink").count() == 2
+    assert all(str(f).endswith(".txt.gz") for f in (Path(scratch) / "sink/events").rglob("part-*"))
